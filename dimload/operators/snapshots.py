@@ -52,11 +52,20 @@ def write_daily_snapshot(source: DataFrame, base_path: str, day, fmt: str = "par
 
 
 def backfill_window(spark: SparkSession, today, days_back: int) -> DataFrame:
-    """L10 day list ``[today - days_back, today)`` (today excluded), column ``day`` (date)."""
-    t = _date_lit(today)
-    return spark.range(1).select(
-        F.explode(F.sequence(F.date_sub(t, days_back), F.date_sub(t, 1))).alias("day")
-    ).filter(F.lit(days_back) > 0)
+    """L10 day list ``[today - days_back, today)`` (today excluded), column ``day`` (date).
+
+    ``today`` is a date / text, or a one-row DataFrame whose first column is the day (e.g. derived
+    from the data, so that no value is fetched to the driver).
+    """
+    if isinstance(today, DataFrame):
+        base = today.select(F.col(f"`{today.columns[0]}`").cast("date").alias("_today"))
+        t = F.col("_today")
+    else:
+        base = spark.range(1)
+        t = _date_lit(today)
+    if days_back <= 0:
+        return base.select(F.lit(None).cast("date").alias("day")).filter(F.lit(False))
+    return base.select(F.explode(F.sequence(F.date_sub(t, days_back), F.date_sub(t, 1))).alias("day"))
 
 
 def default_days_back(production: bool) -> int:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dimload.plans import load_queries, scd_queries, table_queries
+from dimload.plans import flow_queries, load_queries, scd_queries, table_queries
 
-_MODULES = [scd_queries, load_queries, table_queries]
+_MODULES = [scd_queries, load_queries, table_queries, flow_queries]
 
 
 def all_queries() -> dict:
