@@ -330,13 +330,16 @@ def scd_load(
     keys: DataFrame | None = None,
     materialize: bool = False,
     check_source_unique: bool = False,
+    broadcast_rows: int | None = None,
 ) -> ScdResult:
     """One SCD batch from ``(dimension, source, keys)`` to the new dimension and new keys.
 
     ``dim=None`` is a first load (D0 builds an empty dimension). The returned frames are lazy
-    unless ``materialize``: then the keyed new versions are checkpointed once (reliable checkpoint)
-    so that the dimension and the key appends read the same rows, and the broadcast of their keys
-    is decided on a checked count.
+    unless ``materialize``: then the new versions (the output of the one wide join) are
+    checkpointed once to the shared checkpoint folder, so the dimension write, the key appends and
+    the checks all read them instead of re-running the join, and the broadcast of their keys into
+    the keys-table scan is decided on their counted size. ``broadcast_rows`` passes a count the
+    caller already knows.
     """
     if check_source_unique:
         from dimload.operators.quality import assert_unique
@@ -346,7 +349,7 @@ def scd_load(
         dim = prepare_dimension(source, spec, None)
     steps = scd_steps(dim, source, spec, as_of)
     sk = spec.surrogate_key
-    n = None
+    n = broadcast_rows
     inserted = steps.inserted
     if materialize:
         from dimload.session import materialize as _mat
@@ -354,10 +357,6 @@ def scd_load(
         inserted = _mat(inserted)
         n = inserted.count()
     keyed = assign_version_keys(inserted, keys, spec, as_of, broadcast_rows=n)
-    if materialize:
-        from dimload.session import materialize as _mat
-
-        keyed = _mat(keyed)
 
     dcols = steps.dim.columns
     skc = _q(sk)

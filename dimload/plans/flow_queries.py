@@ -48,6 +48,19 @@ def q_keyed_view_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_key(u, keys_to_map(keys, "sk"), "sk", "cid", "cid", F.col("sys"))
 
 
+def _lineitem_keys(spark, sf_dir):
+    li = fx.table(spark, sf_dir, "lineitem")
+    return li.select(F.concat_ws("|", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("k"), "l_orderkey")
+
+
+def q_keys_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 on a compound key (l_orderkey | l_linenumber): a second batch numbered after the first."""
+    cand = _lineitem_keys(spark, sf_dir)
+    keys0 = generate_keys(cand.filter(F.col("l_orderkey") % 2 == 0), "k", empty_keys(spark, "sk"), "sk", "2024-01-01 00:00:00", "l_orderkey|l_linenumber", "core")
+    new = generate_keys(cand, "k", keys0, "sk", AS_OF, "l_orderkey|l_linenumber", "core")
+    return new.select("sk", F.col("originating_source_business_key").alias("k"))
+
+
 # --------------------------------------------------------------------------- L6 / L7 / L8
 
 
@@ -303,6 +316,7 @@ def q_load_with_post_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "keyed_view_single": q_keyed_view_single,
     "keyed_view_multi": q_keyed_view_multi,
+    "keys_lineitem": q_keys_lineitem,
     "keyed_load": q_keyed_load,
     "keyed_load_script": q_keyed_load_script,
     "keyed_load_two_scripts": q_keyed_load_two_scripts,
@@ -362,6 +376,9 @@ select k.dim_customer_sk, c.* from customer c join k on cast(c.c_custkey as varc
 k as (select row_number() over (order by md5(cast(cid as varchar)), cast(cid as varchar), sys) as sk, cast(cid as varchar) as v, sys
   from (select distinct cid, sys from u))
 select k.sk, u.cid, u.name, u.sys from u join k on cast(u.cid as varchar) = k.v and u.sys = k.sys""",
+    "keys_lineitem": """with c as (select distinct cast(l_orderkey as varchar) || '|' || cast(l_linenumber as varchar) as k, l_orderkey % 2 = 0 as first_batch from lineitem),
+k0 as (select row_number() over (order by md5(k), k) as sk, k from c where first_batch)
+select (select max(sk) from k0) + row_number() over (order by md5(k), k) as sk, k from c where k not in (select k from k0)""",
     "keyed_load": _KEYED,
     "keyed_load_script": _KEYED,
     "keyed_load_two_scripts": _KEYED,

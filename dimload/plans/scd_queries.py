@@ -43,7 +43,7 @@ def batch1(spark: SparkSession, sf_dir: str) -> ScdResult:
 
 def batch2(spark: SparkSession, sf_dir: str) -> ScdResult:
     b1 = batch1(spark, sf_dir)
-    return scd_load(b1.dimension, fx.scd_source_2(spark, sf_dir), fx.SCD_SPEC, fx.AS_OF_2, keys=b1.new_keys, materialize=True)
+    return scd_load(b1.dimension, fx.scd_source_2(spark, sf_dir), fx.SCD_SPEC, fx.AS_OF_2, keys=b1.new_keys)
 
 
 def _out(df: DataFrame, cols=fx.SCD_OUT) -> DataFrame:
