@@ -55,29 +55,41 @@ def assign_numbers(
     out_col: str,
     tie_cols: Sequence[str] = (),
     bucket_hex: int = DEFAULT_BUCKET_HEX,
+    exclude: Column | None = None,
 ) -> DataFrame:
     """Add ``out_col = base + dense_rank() over (order by md5(key), key, *tie_cols)``.
 
-    Rows with equal ``(key, *tie_cols)`` get equal numbers; rows with a NULL key get NULL.
-    ``base`` is a one-row frame with column ``max_sk`` (``None`` = 0). The only global step is a
-    window over the bucket-size table (at most ``16**bucket_hex + 1`` rows).
+    Rows with equal ``(key, *tie_cols)`` get equal numbers. Rows with a NULL key, or where
+    ``exclude`` holds (e.g. keys that already have a number), get NULL and take no number.
+    ``base`` is a one-row frame with column ``max_sk`` (``None`` = 0).
+
+    Plan: one shuffle by hash bucket (md5 prefix) for the ranking window; the bucket sizes are an
+    aggregate over the window's own partitioning (no second shuffle); the only global step is a
+    running sum over the bucket-size table (at most ``16**bucket_hex + 1`` rows), which is then
+    broadcast back -- its size is bounded by ``bucket_hex``, not by the data.
     """
-    h = F.md5(F.col(key_col).cast("string"))
-    order = ["_nb_h", key_col, *tie_cols]
-    keyed = df.withColumn("_nb_h", h).withColumn("_nb_b", F.substring(F.col("_nb_h"), 1, bucket_hex))
-    valid = keyed.filter(F.col(key_col).isNotNull())
-    ranked = valid.withColumn("_nb_r", F.dense_rank().over(Window.partitionBy("_nb_b").orderBy(*order)))
-    sizes = valid.groupBy("_nb_b").agg(F.count_distinct(*[F.col(c) for c in (key_col, *tie_cols)]).alias("_nb_n"))
+    skip = F.col(key_col).isNull()
+    if exclude is not None:
+        skip = skip | F.coalesce(exclude, F.lit(False))
+    keyed = (
+        df.withColumn("_nb_x", skip)
+        .withColumn("_nb_h", F.md5(F.col(key_col).cast("string")))
+        .withColumn("_nb_b", F.coalesce(F.substring(F.col("_nb_h"), 1, bucket_hex), F.lit("")))
+    )
+    # Taken rows rank first in their bucket, so skipped rows never shift a number.
+    order = ["_nb_x", "_nb_h", key_col, *tie_cols]
+    ranked = keyed.withColumn("_nb_r", F.dense_rank().over(Window.partitionBy("_nb_b").orderBy(*order)))
+    sizes = ranked.groupBy("_nb_b").agg(F.coalesce(F.max(F.when(~F.col("_nb_x"), F.col("_nb_r"))), F.lit(0)).cast("bigint").alias("_nb_n"))
     if base is not None:
         sizes = sizes.unionByName(base.select(F.lit("").alias("_nb_b"), F.col("max_sk").cast("bigint").alias("_nb_n")))
     running = Window.orderBy("_nb_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_nb_b", F.coalesce(F.sum("_nb_n").over(running), F.lit(0)).alias("_nb_o"))
-    numbered = ranked.join(F.broadcast(offsets), "_nb_b").withColumn(
-        out_col, (F.col("_nb_o") + F.col("_nb_r")).cast("bigint")
+    offsets = sizes.groupBy("_nb_b").agg(F.sum("_nb_n").alias("_nb_n")).select(
+        "_nb_b", F.coalesce(F.sum("_nb_n").over(running), F.lit(0)).alias("_nb_o")
+    )
+    numbered = ranked.join(F.broadcast(offsets), "_nb_b", "left").withColumn(
+        out_col, F.when(~F.col("_nb_x"), (F.col("_nb_o") + F.col("_nb_r")).cast("bigint"))
     )
-    numbered = numbered.drop("_nb_h", "_nb_b", "_nb_r", "_nb_o")
-    nulls = keyed.filter(F.col(key_col).isNull()).drop("_nb_h", "_nb_b").withColumn(out_col, F.lit(None).cast("bigint"))
-    return numbered.unionByName(nulls)
+    return numbered.drop("_nb_x", "_nb_h", "_nb_b", "_nb_r", "_nb_o")
 
 
 def _const_or_col(v: str | Column | None) -> Column:

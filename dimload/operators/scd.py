@@ -294,13 +294,16 @@ def assign_version_keys(
     as_of,
     broadcast_rows: int | None = None,
 ) -> DataFrame:
-    """D7 for the new versions: existing key for ``bk || start`` or the next dense number.
+    """D7 for the new versions: the existing key of ``bk || start`` or the next dense number.
 
-    ``broadcast_rows`` is the *checked* row count of ``inserted`` (e.g. after materialising it);
-    below the limit its keys are broadcast into the keys-table scan instead of shuffling the table.
+    Rows whose derived key is NULL (NULL business key) are dropped: they never get a key.
+    With ``broadcast_rows`` -- the *counted* size of ``inserted`` -- at or below the limit, the
+    new versions' keys are broadcast into the keys-table scan (a semi-join), so the keys table is
+    never shuffled; otherwise it is an ordinary left join planned by Catalyst / AQE.
     """
     sk = spec.surrogate_key
     ins = inserted.withColumn("_vkey", derived_key(spec.business_keys, spec.start_col)).drop(sk)
+    ins = ins.filter(F.col("_vkey").isNotNull())
     if keys is None:
         looked = ins.withColumn("_old_sk", F.lit(None).cast("bigint"))
         base = None
@@ -309,17 +312,12 @@ def assign_version_keys(
             (F.col(C.KEYS_KEY_NAME) == F.lit(spec.originating_key_name))
             & (F.col(C.KEYS_SYSTEM) == F.lit(spec.source_system))
         ).select(F.col(C.KEYS_BUSINESS_KEY).alias("_vkey"), F.col(sk).cast("bigint").alias("_old_sk"))
-        probe = ins.select("_vkey").filter(F.col("_vkey").isNotNull()).distinct()
         if broadcast_rows is not None and broadcast_rows <= _BROADCAST_KEY_ROWS:
-            found = lookup.join(F.broadcast(probe), "_vkey", "left_semi")
-        else:
-            found = lookup.join(probe, "_vkey", "left_semi")
-        looked = ins.join(found, "_vkey", "left")
+            lookup = lookup.join(F.broadcast(ins.select("_vkey")), "_vkey", "left_semi")
+        looked = ins.join(lookup, "_vkey", "left")
         base = max_key(keys, sk)
-    fresh = looked.filter(F.col("_old_sk").isNull())
-    numbered = assign_numbers(fresh, "_vkey", base, "_new_sk")
-    old = looked.filter(F.col("_old_sk").isNotNull()).withColumn("_new_sk", F.lit(None).cast("bigint"))
-    return numbered.unionByName(old).withColumn(sk, F.coalesce(F.col("_old_sk"), F.col("_new_sk")))
+    numbered = assign_numbers(looked, "_vkey", base, "_new_sk", exclude=F.col("_old_sk").isNotNull())
+    return numbered.withColumn(sk, F.coalesce(F.col("_old_sk"), F.col("_new_sk")))
 
 
 def scd_load(
@@ -328,18 +326,19 @@ def scd_load(
     spec: ScdSpec,
     as_of,
     keys: DataFrame | None = None,
-    materialize: bool = False,
+    materialize: bool = True,
     check_source_unique: bool = False,
     broadcast_rows: int | None = None,
 ) -> ScdResult:
     """One SCD batch from ``(dimension, source, keys)`` to the new dimension and new keys.
 
-    ``dim=None`` is a first load (D0 builds an empty dimension). The returned frames are lazy
-    unless ``materialize``: then the new versions (the output of the one wide join) are
-    checkpointed once to the shared checkpoint folder, so the dimension write, the key appends and
-    the checks all read them instead of re-running the join, and the broadcast of their keys into
-    the keys-table scan is decided on their counted size. ``broadcast_rows`` passes a count the
-    caller already knows.
+    ``dim=None`` is a first load (D0 builds an empty dimension). With ``materialize`` (default)
+    the new versions are checkpointed once to the shared checkpoint folder before they are
+    numbered: dense numbering reads them twice (bucket sizes, then numbers), and the dimension
+    write, the key appends and the checks read them again, so without the checkpoint the wide join
+    would run once per reader. Their counted size then decides the broadcast of their keys into
+    the keys-table scan. ``materialize=False`` keeps everything lazy (one plan, for inspection);
+    ``broadcast_rows`` passes a count the caller already knows.
     """
     if check_source_unique:
         from dimload.operators.quality import assert_unique
@@ -362,11 +361,11 @@ def scd_load(
     skc = _q(sk)
     retained = steps.dim.filter((skc < 0) | skc.isNull())
     existing = steps.history.unionByName(steps.kept).filter(skc >= 0)
-    new_versions = keyed.filter(F.col("_vkey").isNotNull()).select(*[_q(c) for c in dcols])
+    new_versions = keyed.select(*[_q(c) for c in dcols])
     dimension = retained.unionByName(existing).unionByName(new_versions)
 
     new_keys = (
-        keyed.filter(F.col("_old_sk").isNull() & F.col("_vkey").isNotNull())
+        keyed.filter(F.col("_old_sk").isNull())
         .select(
             F.col(sk).cast("bigint").alias(sk),
             F.col("_vkey").alias(C.KEYS_BUSINESS_KEY),
@@ -396,3 +395,21 @@ def publish_with_keys(dim: DataFrame, staged: DataFrame, keys: DataFrame, spec:
     joined = staged.withColumn("_vkey", derived_key(spec.business_keys, spec.start_col)).join(lookup, "_vkey", "inner")
     cols = [F.col("_key_sk").alias(c) if c == sk else _q(c) for c in dim.columns]
     return retained.unionByName(joined.select(*cols))
+
+
+def cluster_by_key(dim: DataFrame, spec: ScdSpec, partitions: int | None = None) -> DataFrame:
+    """The dimension hash-partitioned by business key (``spark.sql.shuffle.partitions`` parts).
+
+    Stored this way (or bucketed on the key, see :func:`write_dimension_table`), the next batch's
+    join with the source and the latest-expiry aggregate need no shuffle of the dimension: only
+    the source is shuffled to match.
+    """
+    n = partitions or int(dim.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dim.repartition(n, *[_q(k) for k in spec.business_keys])
+
+
+def write_dimension_table(dim: DataFrame, spec: ScdSpec, table: str, buckets: int, mode: str = "overwrite") -> None:
+    """Publish a dimension as a catalog table bucketed and sorted by business key, so later batches
+    read it already partitioned for the business-key join (no dimension-side shuffle)."""
+    bks = list(spec.business_keys)
+    dim.write.mode(mode).bucketBy(buckets, *bks).sortBy(*bks).saveAsTable(table)

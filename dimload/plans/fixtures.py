@@ -30,8 +30,17 @@ SCD_OUT = ["cid", "name", "seg", "bal", "cur", "st", "en", "up", "sk"]
 SCD_TS = ("st", "en", "up")
 
 
+_READERS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table (read-only input). The reader is reused within a session so its parquet
+    footer / schema is resolved once, not once per query."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _READERS:
+        _READERS[key] = spark.read.parquet(path)
+    return _READERS[key]
 
 
 def scd_source_1(spark: SparkSession, sf_dir: str) -> DataFrame:
