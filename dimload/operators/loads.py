@@ -115,12 +115,17 @@ def delete_matches(
         skeys.append(s)
     t = target.select("*", *[k.alias(f"_tk{i}") for i, k in enumerate(tkeys)])
     s = dk.select(*[k.alias(f"_sk{i}") for i, k in enumerate(skeys)])
-    dc = _expr(delete_condition)
-    in_scope = F.lit(True) if dc is None else F.coalesce(dc, F.lit(False))
     null_key = reduce(lambda a, b: a | b, [F.col(f"_tk{i}").isNull() for i in range(len(tkeys))])
-    candidates = t.filter(in_scope & ~null_key)
-    passthrough = t.filter(~in_scope | null_key)
+    # NULL keys never match: they skip the join (an IS NULL scan, skipped by parquet statistics
+    # when the key has no NULLs) instead of piling into one shuffle partition.
+    candidates = t.filter(~null_key)
+    passthrough = t.filter(null_key)
     cond = reduce(lambda a, b: a & b, [F.col(f"_tk{i}") == F.col(f"_sk{i}") for i in range(len(tkeys))])
+    dc = _expr(delete_condition)
+    if dc is not None:
+        # P8 as part of the match, so the target is scanned once: a row outside the condition
+        # (or where it is NULL) finds no match and survives.
+        cond = cond & dc
     survivors = candidates.join(s, cond, "left_anti").unionByName(passthrough)
     return survivors.drop(*[f"_tk{i}" for i in range(len(tkeys))])
 
