@@ -98,6 +98,10 @@ def _const_or_col(v: str | Column | None) -> Column:
     return F.lit(v)
 
 
+# Candidate batches up to this *counted* size are broadcast into the keys-table scan.
+BROADCAST_CANDIDATE_ROWS = 2_000_000
+
+
 def generate_keys(
     candidates: DataFrame,
     key_col: str,
@@ -107,6 +111,7 @@ def generate_keys(
     key_name: str | Column,
     source_system: str | Column,
     bucket_hex: int = DEFAULT_BUCKET_HEX,
+    candidate_rows: int | None = None,
 ) -> DataFrame:
     """K1: rows to append to the keys table for keys of ``candidates`` it does not hold yet.
 
@@ -114,19 +119,32 @@ def generate_keys(
     columns of ``candidates`` (several source systems in one batch). New identities are numbered
     in ``(md5(value), value, name, system)`` order after the table's current maximum; existing
     keys never change.
+
+    The keys table only grows, so its anti-join is the expensive part. ``candidate_rows`` is a
+    count of ``candidates`` the caller has checked (e.g. after materialising them): at or below
+    ``BROADCAST_CANDIDATE_ROWS`` the candidate identities are broadcast into the keys-table scan
+    first (semi-join), so only the few matching key rows take part in the anti-join and the keys
+    table is never shuffled. Without a count, Catalyst / AQE choose the join.
     """
     ident = [C.KEYS_BUSINESS_KEY, C.KEYS_KEY_NAME, C.KEYS_SYSTEM]
     cand = candidates.select(
         F.col(key_col).cast("string").alias(C.KEYS_BUSINESS_KEY),
-        _const_or_col(key_name).cast("string").alias(C.KEYS_KEY_NAME),
-        _const_or_col(source_system).cast("string").alias(C.KEYS_SYSTEM),
+        F.coalesce(_const_or_col(key_name).cast("string"), F.lit("")).alias(C.KEYS_KEY_NAME),
+        F.coalesce(_const_or_col(source_system).cast("string"), F.lit("")).alias(C.KEYS_SYSTEM),
     ).filter(F.col(C.KEYS_BUSINESS_KEY).isNotNull())
-    existing = keys.select(*ident)
-    cond = None
-    for c in ident:
-        term = cand[c].eqNullSafe(existing[c])
-        cond = term if cond is None else cond & term
-    new_ids = cand.dropDuplicates(ident).join(existing, cond, "left_anti")
+    existing = keys.select(
+        F.col(C.KEYS_BUSINESS_KEY),
+        F.coalesce(F.col(C.KEYS_KEY_NAME), F.lit("")).alias(C.KEYS_KEY_NAME),
+        F.coalesce(F.col(C.KEYS_SYSTEM), F.lit("")).alias(C.KEYS_SYSTEM),
+    )
+    if isinstance(key_name, str):
+        existing = existing.filter(F.col(C.KEYS_KEY_NAME) == F.lit(key_name))
+    if isinstance(source_system, str):
+        existing = existing.filter(F.col(C.KEYS_SYSTEM) == F.lit(source_system))
+    distinct_cand = cand.dropDuplicates(ident)
+    if candidate_rows is not None and candidate_rows <= BROADCAST_CANDIDATE_ROWS:
+        existing = existing.join(F.broadcast(distinct_cand), ident, "left_semi")
+    new_ids = distinct_cand.join(existing, ident, "left_anti")
     numbered = assign_numbers(
         new_ids, C.KEYS_BUSINESS_KEY, max_key(keys, sk), sk, (C.KEYS_KEY_NAME, C.KEYS_SYSTEM), bucket_hex
     )
