@@ -78,6 +78,15 @@ def publish_dimension(result: ScdResult, spec: ScdSpec, dim_path: str, batch_id:
     spark.read.parquet(f"{stage}/current").write.mode("overwrite").partitionBy(BATCH_COL).parquet(f"{dim_path}/{cur}=true")
 
 
+def initialize_dimension(dim: DataFrame, spec: ScdSpec, dim_path: str, batch_id: str = "0") -> None:
+    """Write an existing dimension (e.g. just the default member) in the publish layout."""
+    cur = spec.current_col
+    flag = F.coalesce(F.col(f"`{cur}`"), F.lit(False))
+    tagged = dim.withColumn(BATCH_COL, F.lit(str(batch_id)))
+    tagged.filter(flag).drop(cur).write.mode("overwrite").partitionBy(BATCH_COL).parquet(f"{dim_path}/{cur}=true")
+    tagged.filter(~flag).drop(cur).write.mode("overwrite").partitionBy(BATCH_COL).parquet(f"{dim_path}/{cur}=false")
+
+
 def run_scd_batch(
     spark: SparkSession,
     source: DataFrame,

@@ -128,8 +128,21 @@ def q_keys_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch2(spark, sf_dir).new_keys.select("sk", "originating_source_business_key", "originating_business_key_name", "originating_source_system_code", "active_flag")
 
 
+def q_scd_on_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D8 on storage: both batches through the ledger-guarded publish, dimension read back."""
+    from dimload.operators.publish import initialize_dimension, read_dimension, run_scd_batch
+
+    root = scratch_path(spark, "scd_storage")
+    paths = dict(dim_path=f"{root}/dim", keys_path=f"{root}/keys", map_path=f"{root}/map", ledger_path=f"{root}/ledger")
+    initialize_dimension(dim0(spark, sf_dir), fx.SCD_SPEC, paths["dim_path"])
+    run_scd_batch(spark, fx.scd_source_1(spark, sf_dir), fx.SCD_SPEC, fx.AS_OF_1, "1", **paths)
+    run_scd_batch(spark, fx.scd_source_2(spark, sf_dir), fx.SCD_SPEC, fx.AS_OF_2, "2", **paths)
+    return _out(read_dimension(spark, paths["dim_path"], fx.SCD_SPEC))
+
+
 QUERIES = {
     "scd_load": q_scd_load,
+    "scd_on_storage": q_scd_on_storage,
     "scd_first_load": q_scd_first_load,
     "dim_create_empty": q_dim_create_empty,
     "mirror_customer": q_mirror_customer,
@@ -205,6 +218,7 @@ select 'current_start_before_default_end' as test, count(*) = 0 as passed, count
 union all select 'current_end_is_default_end', count(*) = 0, count(*) from staged where cur and en <> timestamp '2400-01-01'
 union all select 'unique_cid_st', count(*) = 0, count(*) from (select cid, st from staged group by cid, st having count(*) > 1)""",
     "scd_publish": SCD_CTE + _sel("fin"),
+    "scd_on_storage": SCD_CTE + _sel("fin"),
     "keys_generate": SCD_CTE
     + f"select sk, cast(cid as varchar) || strftime(st, {_TS}) as originating_source_business_key, 'cid||st' as originating_business_key_name, 'core' as originating_source_system_code, false as active_flag from d1",
     "keys_incremental": SCD_CTE
