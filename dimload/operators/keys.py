@@ -56,6 +56,7 @@ def assign_numbers(
     tie_cols: Sequence[str] = (),
     bucket_hex: int = DEFAULT_BUCKET_HEX,
     exclude: Column | None = None,
+    one_row_per_key: bool = True,
 ) -> DataFrame:
     """Add ``out_col = base + dense_rank() over (order by md5(key), key, *tie_cols)``.
 
@@ -68,6 +69,15 @@ def assign_numbers(
     running sum over the bucket-size table (at most ``16**bucket_hex + 1`` rows), which is then
     broadcast back -- its size is bounded by ``bucket_hex``, not by the data.
     """
+    if not one_row_per_key:
+        # A key repeated on many rows (one key may hold a third of all rows) must not become one
+        # window group: number the distinct keys (combined map-side) and join the numbers back.
+        ident = [key_col, *tie_cols]
+        ex = F.coalesce(exclude, F.lit(False)) if exclude is not None else F.lit(False)
+        tagged = df.withColumn("_nb_ex", ex)
+        distinct = tagged.select(*ident, "_nb_ex").dropDuplicates([*ident, "_nb_ex"])
+        numbers = assign_numbers(distinct, key_col, base, out_col, tie_cols, bucket_hex, F.col("_nb_ex"))
+        return tagged.join(numbers, [*ident, "_nb_ex"], "left").drop("_nb_ex")
     skip = F.col(key_col).isNull()
     if exclude is not None:
         skip = skip | F.coalesce(exclude, F.lit(False))

@@ -47,3 +47,13 @@ def test_with_key_drops_rows_without_key(spark):
     src = spark.createDataFrame([(1, "x"), (2, "y")], "c int, d string")
     out = with_key(src, keys_to_map(keys, "sk"), "sk", "c", "c", "core").collect()
     assert [(r.sk, r.c) for r in out] == [(1, 1)]
+
+
+def test_numbering_with_hot_repeated_key(spark):
+    rows = [("hot",)] * 300 + [(str(i),) for i in range(50)] + [(None,)]
+    df = spark.createDataFrame(rows, "k string")
+    out = assign_numbers(df, "k", None, "n", one_row_per_key=False).collect()
+    assert len(out) == len(rows)
+    got = {r.k: r.n for r in out}
+    want = {v: i + 1 for i, v in enumerate(md5_order(set(r[0] for r in rows if r[0] is not None)))}
+    assert {k: v for k, v in got.items() if k is not None} == want and got[None] is None
