@@ -14,7 +14,7 @@ from dimload.operators.keys import empty_keys
 from dimload.operators.schema import describe_schema, empty_like
 from dimload.operators.scd import ScdResult, cluster_by_key, publish_with_keys, scd_checks, scd_load, scd_steps
 from dimload.plans import fixtures as fx
-from dimload.session import materialize, scratch_path
+from dimload.session import materialize, materialize_clustered, scratch_path
 from dimload.sources.io import mirror
 
 _STATE: dict = {}
@@ -37,7 +37,7 @@ def batch1(spark: SparkSession, sf_dir: str) -> ScdResult:
         r = scd_load(dim0(spark, sf_dir), fx.scd_source_1(spark, sf_dir), fx.SCD_SPEC, fx.AS_OF_1, keys=None)
         # Stored clustered by business key, as a dimension table should be (bucketed on it), so
         # the next batch joins it without shuffling it.
-        dim = materialize(cluster_by_key(r.dimension, fx.SCD_SPEC))
+        dim = materialize_clustered(r.dimension, list(fx.SCD_SPEC.business_keys))
         keys = materialize(r.new_keys)
         _STATE[key] = ScdResult(dim, keys, r.new_map, r.steps)
     return _STATE[key]
