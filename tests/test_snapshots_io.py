@@ -83,3 +83,35 @@ def test_file_manifest_filters(spark, tmp_out):
     names = sorted(r.url.rsplit("/", 1)[1] for r in file_manifest(spark, [f"{tmp_out}/m"], ".csv").collect())
     assert names == ["a.csv", "b.csv.gz", "c.csv.gz1"]
     assert file_manifest(spark, [f"{tmp_out}/m"], "None").count() == 4
+
+
+def test_catalog_tables_and_for_each(spark):
+    from dimload.operators.multi import catalog_tables, for_each_table, row_count
+
+    spark.createDataFrame([(1,), (2,)], "x int").createOrReplaceTempView("m1_a")
+    spark.createDataFrame([(1,)], "y int").createOrReplaceTempView("m1_b")
+    tables = {k: v for k, v in catalog_tables(spark).items() if k.startswith("m1_")}
+    got = {r.table_name: r.row_count for r in for_each_table(tables, row_count).collect()}
+    assert got == {"m1_a": 2, "m1_b": 1}
+
+
+def test_script_file_manifest_writer_and_is_done(spark, tmp_out):
+    import json
+    import os
+
+    from dimload.sources.io import write_manifest
+    from dimload.sources.ledger import is_done
+    from dimload.sources.scripts import load_script
+
+    os.makedirs(f"{tmp_out}/scripts/core")
+    open(f"{tmp_out}/scripts/core/q.sql", "w").write("select count(*) as n from {0}_t where x > :m")
+    spark.createDataFrame([(1,), (5,), (7,)], "x int").createOrReplaceTempView("stage_t")
+    text = load_script(f"{tmp_out}/scripts", "core", "q")
+    assert run_script(spark, text, {"m": 2}, positional=("stage",)).first().n == 2
+    os.makedirs(f"{tmp_out}/files")
+    open(f"{tmp_out}/files/a.csv", "w").write("1")
+    write_manifest(file_manifest(spark, [f"{tmp_out}/files"], None), f"{tmp_out}/manifest")
+    lines = [json.loads(l) for p in os.listdir(f"{tmp_out}/manifest") if p.endswith(".json") for l in open(f"{tmp_out}/manifest/{p}")]
+    assert len(lines) == 1 and lines[0]["mandatory"] is True and lines[0]["url"].endswith("a.csv")
+    led = ledger_rows(spark.createDataFrame([("u1",)], "id string"), "id", "2024-01-01")
+    assert is_done(led, "u1").first().done is True and is_done(led, "u2").first().done is False
