@@ -37,7 +37,8 @@ def batch1(spark: SparkSession, sf_dir: str) -> ScdResult:
         r = scd_load(dim0(spark, sf_dir), fx.scd_source_1(spark, sf_dir), fx.SCD_SPEC, fx.AS_OF_1, keys=None)
         # Stored clustered by business key, as a dimension table should be (bucketed on it), so
         # the next batch joins it without shuffling it.
-        dim = materialize_clustered(r.dimension, list(fx.SCD_SPEC.business_keys))
+        parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+        dim = materialize_clustered(r.dimension, list(fx.SCD_SPEC.business_keys), parts)
         keys = materialize(r.new_keys)
         _STATE[key] = ScdResult(dim, keys, r.new_map, r.steps)
     return _STATE[key]

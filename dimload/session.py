@@ -74,17 +74,19 @@ def materialize_clustered(df: DataFrame, columns, partitions: int | None = None)
     """Hash-partition ``df`` by ``columns`` and checkpoint it so that the partitioning survives.
 
     A checkpoint taken under adaptive execution reports an unknown partitioning, so later joins
-    and aggregates on ``columns`` would shuffle it again; the checkpoint job itself therefore runs
-    with adaptive execution paused (it is a plain repartition, nothing to adapt), and the session
-    setting is restored afterwards.
+    and aggregates on ``columns`` would shuffle it again. The upstream plan is therefore
+    checkpointed first with adaptive execution on (its shuffles coalesced, skew handled); only the
+    final repartition-and-checkpoint of those rows runs with adaptive execution paused (a plain
+    scan and one shuffle, nothing to adapt), and the session setting is restored afterwards.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.checkpoint(eager=True)
     key = "spark.sql.adaptive.enabled"
     before = spark.conf.get(key)
     spark.conf.set(key, "false")
     try:
-        return df.repartition(n, *columns).checkpoint(eager=True)
+        return rows.repartition(n, *columns).checkpoint(eager=True)
     finally:
         spark.conf.set(key, before)
