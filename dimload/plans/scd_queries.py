@@ -49,6 +49,24 @@ def batch2(spark: SparkSession, sf_dir: str) -> ScdResult:
     return scd_load(b1.dimension, fx.scd_source_2(spark, sf_dir), fx.SCD_SPEC, fx.AS_OF_2, keys=b1.new_keys)
 
 
+def line_batch1(spark: SparkSession, sf_dir: str) -> ScdResult:
+    """First load of the order-line dimension, stored clustered by its compound key."""
+    key = _state_key(spark, sf_dir, "line_batch1")
+    if key not in _STATE:
+        r = scd_load(None, fx.line_source_1(spark, sf_dir), fx.LINE_SPEC, fx.AS_OF_1)
+        parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+        dim = materialize_clustered(r.dimension, list(fx.LINE_SPEC.business_keys), parts)
+        _STATE[key] = ScdResult(dim, materialize(r.new_keys), r.new_map, r.steps)
+    return _STATE[key]
+
+
+def q_scd_load_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D8 with a compound business key and two type-2 columns over the whole lineitem table."""
+    b1 = line_batch1(spark, sf_dir)
+    r = scd_load(b1.dimension, fx.line_source_2(spark, sf_dir), fx.LINE_SPEC, fx.AS_OF_2, keys=b1.new_keys)
+    return fx.ts_text(r.dimension.select(*fx.LINE_OUT), cols=fx.LINE_TS, out=fx.LINE_OUT)
+
+
 def _out(df: DataFrame, cols=fx.SCD_OUT) -> DataFrame:
     return fx.ts_text(df.select(*cols), out=cols)
 
@@ -144,6 +162,7 @@ def q_scd_on_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "scd_load": q_scd_load,
     "scd_on_storage": q_scd_on_storage,
+    "scd_load_lines": q_scd_load_lines,
     "scd_first_load": q_scd_first_load,
     "dim_create_empty": q_dim_create_empty,
     "mirror_customer": q_mirror_customer,
@@ -225,3 +244,33 @@ union all select 'unique_cid_st', count(*) = 0, count(*) from (select cid, st fr
     "keys_incremental": SCD_CTE
     + f"select sk, cast(cid as varchar) || strftime(st, {_TS}) as originating_source_business_key, 'cid||st' as originating_business_key_name, 'core' as originating_source_system_code, false as active_flag from insk",
 }
+
+_LK = "cast(l_orderkey as varchar) || '|' || cast(l_linenumber as varchar)"
+LINE_SQL = f"""
+with core as (select l_orderkey, l_linenumber, sum(l_quantity) as l_quantity, round(sum(l_extendedprice), 2) as l_extendedprice,
+    max(l_returnflag) as l_returnflag, max(l_linestatus) as l_linestatus from lineitem group by l_orderkey, l_linenumber),
+s1 as (select * from core where l_orderkey % 5 <> 0),
+s2 as (select l_orderkey, l_linenumber, case when l_linenumber = 2 then l_quantity + 1 else l_quantity end as l_quantity, l_extendedprice,
+    case when l_linenumber = 1 and l_orderkey % 2 = 0 then 'X' else l_returnflag end as l_returnflag, l_linestatus
+  from core where l_orderkey % 7 <> 0),
+d1 as (select *, {AS1} as etl_updated_timestamp, timestamp '1970-01-01' as st, timestamp '2400-01-01' as en, cast(null as timestamp) as up, true as cur,
+    row_number() over (order by md5({_LK} || strftime(timestamp '1970-01-01', {_TS})), {_LK} || strftime(timestamp '1970-01-01', {_TS})) as sk from s1),
+j as (select d1.*, s2.l_orderkey is not null as m,
+    (s2.l_returnflag is distinct from d1.l_returnflag or s2.l_linestatus is distinct from d1.l_linestatus) as x2,
+    (s2.l_quantity is distinct from d1.l_quantity or s2.l_extendedprice is distinct from d1.l_extendedprice) as x1,
+    s2.l_quantity as sq, s2.l_extendedprice as sp
+  from d1 left join s2 on d1.l_orderkey = s2.l_orderkey and d1.l_linenumber = s2.l_linenumber),
+kept as (select l_orderkey, l_linenumber, case when m and not x2 and x1 then sq else l_quantity end as l_quantity,
+    case when m and not x2 and x1 then sp else l_extendedprice end as l_extendedprice, l_returnflag, l_linestatus, etl_updated_timestamp, st,
+    case when m and x2 then {AS2} else en end as en, case when m and not x2 and x1 then {AS2} end as up, not (m and x2) as cur, sk from j),
+mx as (select l_orderkey, l_linenumber, max(en) as m, bool_or(cur) as has from kept group by l_orderkey, l_linenumber),
+ins as (select s2.*, {AS2} as etl_updated_timestamp, coalesce(mx.m + interval 1 microsecond, timestamp '1970-01-01') as st,
+    timestamp '2400-01-01' as en, cast(null as timestamp) as up, true as cur
+  from s2 left join mx on s2.l_orderkey = mx.l_orderkey and s2.l_linenumber = mx.l_linenumber where not coalesce(mx.has, false)),
+insk as (select *, (select max(sk) from d1) + row_number() over (order by md5({_LK} || strftime(st, {_TS})), {_LK} || strftime(st, {_TS})) as sk from ins),
+fin as (select * from kept union all select * from insk)
+select l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag, l_linestatus,
+  strftime(etl_updated_timestamp, {_TS}) as etl_updated_timestamp, strftime(st, {_TS}) as row_effective_timestamp,
+  strftime(en, {_TS}) as row_expiry_timestamp, strftime(up, {_TS}) as row_update_timestamp, cur as row_current_flag, sk as line_sk from fin
+"""
+ORACLES["scd_load_lines"] = LINE_SQL
