@@ -66,6 +66,11 @@ RESERVED_COLUMN_NAMES = ("time", "datetime", "timestamp", "user")
 BACKFILL_DAYS_PROD = 30
 BACKFILL_DAYS_OTHER = 2
 
+# --- fixed values: delimited unload format and single-file size cap (bytes) ---------------------
+UNLOAD_DELIMITER = ","
+UNLOAD_ESCAPE = "/"
+SINGLE_FILE_MAX_BYTES = 5_000_000_000
+
 # --- fixed values: compressed-file pattern (the dot is deliberately unescaped) -------------------
 COMPRESSED_PATTERN = ".*(.gz)\\d*$"
 

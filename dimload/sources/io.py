@@ -12,10 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimload import constants as C
 from dimload.functions.columns import file_of_key
 
-# Size cap of a single-file unload (bytes), the same cap the original applies.
-SINGLE_FILE_MAX_BYTES = 5_000_000_000
+SINGLE_FILE_MAX_BYTES = C.SINGLE_FILE_MAX_BYTES
 
 
 def mirror(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
@@ -28,10 +28,10 @@ def read_delimited(
     spark: SparkSession,
     path: str | Sequence[str],
     schema: T.StructType | str,
-    delimiter: str = ",",
+    delimiter: str = C.UNLOAD_DELIMITER,
     header: bool = False,
     quote: str = '"',
-    escape: str = "\\",
+    escape: str = C.UNLOAD_ESCAPE,
     null_value: str = "",
     compression: str | None = None,
 ) -> DataFrame:
@@ -56,7 +56,7 @@ def load_delimited(
     schema: T.StructType | str,
     target_path: str,
     truncate: bool = False,
-    delimiter: str = ",",
+    delimiter: str = C.UNLOAD_DELIMITER,
     header: bool = False,
     fmt: str = "parquet",
 ) -> DataFrame:
@@ -73,10 +73,11 @@ def load_delimited(
 def unload(
     df: DataFrame,
     path: str,
-    delimiter: str = ",",
+    delimiter: str = C.UNLOAD_DELIMITER,
     single: bool = False,
     header: bool = False,
     max_single_bytes: int = SINGLE_FILE_MAX_BYTES,
+    escape: str = C.UNLOAD_ESCAPE,
 ) -> None:
     """Write ``df`` as uncompressed delimited text.
 
@@ -94,7 +95,7 @@ def unload(
         .option("sep", delimiter)
         .option("header", str(header).lower())
         .option("compression", "none")
-        .option("escape", "\\")
+        .option("escape", escape)
         .option("nullValue", "")
         .csv(path)
     )
