@@ -274,3 +274,15 @@ select l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag, l_li
   strftime(en, {_TS}) as row_expiry_timestamp, strftime(up, {_TS}) as row_update_timestamp, cur as row_current_flag, sk as line_sk from fin
 """
 ORACLES["scd_load_lines"] = LINE_SQL
+
+ORACLES["dim_create_empty"] = """
+with d as (select * from (describe select c_custkey as cid, c_name as name, c_mktsegment as seg, c_acctbal as bal,
+    cast(null as timestamp) as etl_updated_timestamp, cast(null as boolean) as etl_deleted_flag,
+    cast(null as timestamp) as st, cast(null as timestamp) as en, cast(null as timestamp) as up, cast(null as boolean) as cur,
+    cast(null as timestamp) as etl_inserted_timestamp, cast(null as bigint) as sk from customer))
+select cast(row_number() over () as integer) as position, column_name,
+  case column_type when 'BIGINT' then 'bigint' when 'VARCHAR' then 'string' when 'DOUBLE' then 'double'
+    when 'TIMESTAMP' then 'timestamp_ntz' when 'BOOLEAN' then 'boolean' when 'INTEGER' then 'int' else lower(column_type) end as data_type,
+  "null" = 'YES' as nullable
+from d
+"""
