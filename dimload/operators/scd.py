@@ -16,7 +16,7 @@ Plan shape (one batch):
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass
 from functools import reduce
 from typing import Sequence
 
@@ -61,7 +61,6 @@ class ScdSpec:
     update_col: str | None = C.ROW_UPDATE
     key_name: str | None = None
     source_system: str = "core"
-    extra: dict = field(default_factory=dict)
 
     @classmethod
     def for_entity(cls, entity: str, scd2_columns: str | Sequence[str], **kw) -> "ScdSpec":

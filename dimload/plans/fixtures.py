@@ -5,8 +5,6 @@ Every fixture is a projection / filter of a whole driver table, so its work grow
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
