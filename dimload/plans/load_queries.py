@@ -56,6 +56,17 @@ def q_exclude_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exclude_deleted(_run("full")(spark, sf_dir))
 
 
+def q_load_upsert_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2 on a table partitioned by order status: only touched partitions are rewritten."""
+    from dimload.operators.publish import load_into
+    from dimload.session import scratch_path
+
+    path = scratch_path(spark, "orders_by_status")
+    load_target(spark, sf_dir).write.partitionBy("o_orderstatus").parquet(path)
+    out = load_into(path, load_source(spark, sf_dir), "upsert", KEYS, LOAD_AS_OF, partition_cols=["o_orderstatus"])
+    return _out(out)
+
+
 QUERIES = {
     "load_insert": _run("insert"),
     "load_upsert": _run("upsert"),
@@ -64,6 +75,7 @@ QUERIES = {
     "load_refresh": _run("refresh"),
     "load_upsert_conditional": _run("upsert", delete_condition="o_orderstatus = 'O'", load_constraint="o_orderstatus <> 'P'"),
     "exclude_deleted": q_exclude_deleted,
+    "load_upsert_partitioned": q_load_upsert_partitioned,
 }
 
 _TS = "'%Y-%m-%d %H:%M:%S.%f'"
@@ -104,4 +116,5 @@ ORACLES = {
     + _SEL
     + "r",
     "exclude_deleted": LOAD_CTE + _FULL + _SEL + "r where etl_deleted_flag = false",
+    "load_upsert_partitioned": LOAD_CTE + _UPSERT + _SEL + "r",
 }

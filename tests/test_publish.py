@@ -38,3 +38,38 @@ def test_three_batches_and_rerun(spark, tmp_out):
     assert run_scd_batch(spark, b2, SPEC, "2024-03-01 00:00:00", "3", **paths) == "published"
     assert canon(read_dimension(spark, paths["dim_path"], SPEC)) == stored_rows
     assert spark.read.parquet(paths["keys_path"]).count() == stored_n
+
+
+def test_load_into_partitioned_upsert_rewrites_only_touched_partitions(spark, tmp_out):
+    import os
+
+    from dimload.operators.loads import load
+    from dimload.operators.publish import load_into
+
+    t = spark.createDataFrame(
+        [(1, "a", "p1"), (2, "b", "p1"), (3, "c", "p2"), (4, "d", "p3")], "k bigint, v string, part string"
+    ).withColumns({"etl_updated_timestamp": F.lit(None).cast("timestamp_ntz"), "etl_deleted_flag": F.lit(False)})
+    path = f"{tmp_out}/t"
+    t.write.partitionBy("part").parquet(path)
+    untouched = sorted(os.listdir(f"{path}/part=p3"))
+    src = spark.createDataFrame([(1, "a2", "p2"), (5, "e", "p4")], "k bigint, v string, part string")
+    expected = load(spark.read.parquet(path), src, "upsert", [("k", "k")], "2024-01-01 00:00:00")
+    want = sorted(tuple(r) for r in expected.select("k", "v", "part", "etl_deleted_flag").collect())
+    out = load_into(path, src, "upsert", [("k", "k")], "2024-01-01 00:00:00", partition_cols=["part"])
+    assert sorted(tuple(r) for r in out.select("k", "v", "part", "etl_deleted_flag").collect()) == want
+    assert sorted(os.listdir(f"{path}/part=p3")) == untouched  # partition without changes not rewritten
+    load_into(path, spark.createDataFrame([(9, "z", "p3")], "k bigint, v string, part string"), "insert", None, "2024-01-02 00:00:00", partition_cols=["part"])
+    assert spark.read.parquet(path).filter("k = 9").count() == 1
+
+
+def test_load_into_clears_partition_emptied_by_a_moved_key(spark, tmp_out):
+    from dimload.operators.publish import load_into
+
+    t = spark.createDataFrame([(1, "a", "p/1"), (2, "b", "p2")], "k bigint, v string, part string").withColumns(
+        {"etl_updated_timestamp": F.lit(None).cast("timestamp_ntz"), "etl_deleted_flag": F.lit(False)}
+    )
+    path = f"{tmp_out}/t2"
+    t.write.partitionBy("part").parquet(path)
+    src = spark.createDataFrame([(1, "a2", "p2")], "k bigint, v string, part string")
+    out = load_into(path, src, "upsert", [("k", "k")], "2024-01-01 00:00:00", partition_cols=["part"])
+    assert sorted((r.k, r.v, r.part) for r in out.collect()) == [(1, "a2", "p2"), (2, "b", "p2")]
