@@ -38,6 +38,20 @@ def catalog_tables(spark: SparkSession, databases: str | list[str] | None = None
     return out
 
 
+def for_each_catalog_table(
+    spark: SparkSession,
+    databases: str | list[str] | None,
+    sql_to_run: Callable[[str, DataFrame], DataFrame],
+    pre_sql: str | None = None,
+) -> DataFrame | None:
+    """M1 over a catalog: optional statement first (``pre_sql``), then ``sql_to_run`` for every
+    table of the comma-separated ``databases``; results combined."""
+    if pre_sql:
+        spark.sql(pre_sql)
+    tables = catalog_tables(spark, databases)
+    return for_each_table(tables, sql_to_run) if tables else None
+
+
 def row_count(name: str, df: DataFrame) -> DataFrame:
     """M1 example: ``(table_name, row_count)``."""
     return df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")

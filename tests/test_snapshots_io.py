@@ -115,3 +115,14 @@ def test_script_file_manifest_writer_and_is_done(spark, tmp_out):
     assert len(lines) == 1 and lines[0]["mandatory"] is True and lines[0]["url"].endswith("a.csv")
     led = ledger_rows(spark.createDataFrame([("u1",)], "id string"), "id", "2024-01-01")
     assert is_done(led, "u1").first().done is True and is_done(led, "u2").first().done is False
+
+
+def test_for_each_catalog_table_with_pre_sql(spark):
+    from dimload.operators.multi import for_each_catalog_table, row_count
+
+    spark.createDataFrame([(1,), (2,), (3,)], "x int").createOrReplaceTempView("m1_src")
+    out = for_each_catalog_table(
+        spark, None, lambda n, df: row_count(n, df), pre_sql="create or replace temporary view m1_c as select * from m1_src where x > 1"
+    )
+    got = {r.table_name: r.row_count for r in out.collect()}
+    assert got["m1_c"] == 2 and got["m1_src"] == 3
