@@ -81,25 +81,26 @@ def assign_numbers(
     skip = F.col(key_col).isNull()
     if exclude is not None:
         skip = skip | F.coalesce(exclude, F.lit(False))
-    keyed = (
-        df.withColumn("_nb_x", skip)
-        .withColumn("_nb_h", F.md5(F.col(key_col).cast("string")))
+    h = F.md5(F.col(key_col).cast("string"))
+    keyed = df.select(
+        "*",
+        skip.alias("_nb_x"),
+        h.alias("_nb_h"),
         # NULL keys take no number; park them in a bucket of their own ("~" sorts after hex).
-        .withColumn("_nb_b", F.coalesce(F.substring(F.col("_nb_h"), 1, bucket_hex), F.lit("~")))
+        F.coalesce(F.substring(h, 1, bucket_hex), F.lit("~")).alias("_nb_b"),
     )
     # Taken rows rank first in their bucket, so skipped rows never shift a number.
     order = ["_nb_x", "_nb_h", key_col, *tie_cols]
-    ranked = keyed.withColumn("_nb_r", F.dense_rank().over(Window.partitionBy("_nb_b").orderBy(*order)))
+    ranked = keyed.select("*", F.dense_rank().over(Window.partitionBy("_nb_b").orderBy(*order)).alias("_nb_r"))
     sizes = ranked.groupBy("_nb_b").agg(F.coalesce(F.max(F.when(~F.col("_nb_x"), F.col("_nb_r"))), F.lit(0)).cast("bigint").alias("_nb_n"))
     if base is not None:
         # The base sorts before every hex bucket, so it offsets all of them.
         sizes = sizes.unionByName(base.select(F.lit("").alias("_nb_b"), F.col("max_sk").cast("bigint").alias("_nb_n")))
     running = Window.orderBy("_nb_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_nb_b", F.coalesce(F.sum("_nb_n").over(running), F.lit(0)).alias("_nb_o"))
-    numbered = ranked.join(F.broadcast(offsets), "_nb_b", "left").withColumn(
-        out_col, F.when(~F.col("_nb_x"), (F.col("_nb_o") + F.col("_nb_r")).cast("bigint"))
-    )
-    return numbered.drop("_nb_x", "_nb_h", "_nb_b", "_nb_r", "_nb_o")
+    numbered = ranked.join(F.broadcast(offsets), "_nb_b", "left")
+    value = F.when(~F.col("_nb_x"), (F.col("_nb_o") + F.col("_nb_r")).cast("bigint")).alias(out_col)
+    return numbered.select(*[F.col(f"`{c}`") for c in df.columns if c != out_col], value)
 
 
 def _const_or_col(v: str | Column | None) -> Column:

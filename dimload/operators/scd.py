@@ -189,14 +189,14 @@ def scd_steps(dim: DataFrame, source: DataFrame, spec: ScdSpec, as_of) -> ScdSte
     src_nullkey = source.filter(key_null)
 
     src_ren = src_keyed.select(*[_q(c).alias(_S + c) for c in scols], F.lit(True).alias("_src_hit"))
-    cur_tag = cur.withColumn("_cur_hit", F.lit(True))
+    cur_tag = cur.select("*", F.lit(True).alias("_cur_hit"))
     on = reduce(lambda a, b: a & b, [cur_tag[k] == src_ren[_S + k] for k in bks])
     j = cur_tag.join(src_ren, on, "full_outer")
 
     matched = F.coalesce(F.col("_cur_hit"), F.lit(False)) & F.coalesce(F.col("_src_hit"), F.lit(False))
     c2 = matched & any_differs([(_q(c), F.col(f"`{_S}{c}`")) for c in t2])
     c1 = matched & ~c2 & any_differs([(_q(c), F.col(f"`{_S}{c}`")) for c in t1])
-    j = j.withColumn("_c2", c2).withColumn("_c1", c1)
+    j = j.select("*", c2.alias("_c2"), c1.alias("_c1"))
 
     # D2 + D3 on the current rows.
     t1_low = {c.lower() for c in t1}
@@ -225,11 +225,9 @@ def scd_steps(dim: DataFrame, source: DataFrame, spec: ScdSpec, as_of) -> ScdSte
     hist_max = history.groupBy(*bks).agg(F.max(_q(spec.end_col)).alias("_hist_max"))
     cand = remaining_keyed.join(hist_max, bks, "left")
     latest = F.greatest(F.col("_hist_max"), F.col("_retired_at"))
-    ins_keyed = cand.withColumn("_start", next_start(latest)).drop("_hist_max", "_retired_at")
-    ins_null = src_nullkey.withColumn("_start", next_start(F.lit(None).cast("timestamp_ntz")))
-    ins_src = ins_keyed.unionByName(ins_null)
-
-    inserted = ins_src.select(*_insert_columns(dcols, scols, spec, asof))
+    ins_keyed = cand.select(*[_q(c) for c in scols], next_start(latest).alias("_start"))
+    ins_null = src_nullkey.select(*[_q(c) for c in scols], next_start(F.lit(None).cast("timestamp_ntz")).alias("_start"))
+    inserted = ins_keyed.unionByName(ins_null).select(*_insert_columns(dcols, scols, spec, asof))
     return ScdSteps(spec, as_of, dim, history, kept, remaining, inserted)
 
 
@@ -308,10 +306,10 @@ def assign_version_keys(
     never shuffled; otherwise it is an ordinary left join planned by Catalyst / AQE.
     """
     sk = spec.surrogate_key
-    ins = inserted.withColumn("_vkey", derived_key(spec.business_keys, spec.start_col)).drop(sk)
-    ins = ins.filter(F.col("_vkey").isNotNull())
+    vkey = derived_key(spec.business_keys, spec.start_col)
+    ins = inserted.select(*[_q(c) for c in inserted.columns if c != sk], vkey.alias("_vkey")).filter(F.col("_vkey").isNotNull())
     if keys is None:
-        looked = ins.withColumn("_old_sk", F.lit(None).cast("bigint"))
+        looked = ins.select("*", F.lit(None).cast("bigint").alias("_old_sk"))
         base = None
     else:
         lookup = keys.filter(
@@ -323,7 +321,7 @@ def assign_version_keys(
         looked = ins.join(lookup, "_vkey", "left")
         base = max_key(keys, sk)
     numbered = assign_numbers(looked, "_vkey", base, "_new_sk", exclude=F.col("_old_sk").isNotNull())
-    return numbered.withColumn(sk, F.coalesce(F.col("_old_sk"), F.col("_new_sk")))
+    return numbered.select("*", F.coalesce(F.col("_old_sk"), F.col("_new_sk")).alias(sk))
 
 
 def scd_load(
