@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimload.llm import hilbert_pack, hypergeometric, token_store, warc
+from dimload.llm import bradley_terry, hilbert_pack, hypergeometric, kneser_ney, rule_ledger, token_store, warc
 from dimload.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -28,11 +28,61 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_tokens(spark, path, digests=True)
 
 
+def remainder(modulus: int):
+    """crc32 of doc_id as text, modulo ``modulus``: the fold of a document."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, by models learned from the documents of the other folds."""
+    docs = table(spark, sf_dir, "documents")
+    models = kneser_ney.fit(docs.where((remainder(5) != 0) & F.col("lang").isNotNull()))
+    out = kneser_ney.predict(docs, models, (remainder(5) == 1) & F.col("lang").isNotNull())
+    return out.select("doc_id", (remainder(5) == 0).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op4_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 ids along a Hilbert curve."""
     return hilbert_pack.pack(table(spark, sf_dir, "documents"), tokenizer_path(), size=4096, end_id=2).drop("tokens")
 
 
+def op5_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's measurements, failure bits and verdict."""
+    rows = rule_ledger.ledger(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", *rule_ledger.MEASURES, "failed", (~rule_ledger.passes(1)).alias("base_failed"), rule_ledger.passes(rule_ledger.VERSION).alias("kept")
+    )
+
+
+_OP5_SQL = r"""
+with d as (
+  select row_number() over () as rid, doc_id, coalesce(text, '') as t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l
+  from documents
+), windows as (
+  select rid, i, list_slice(w, i, i + 4) as g from (select rid, w, unnest(range(1, len(w) - 3)) as i from d)
+), twice as (
+  select rid, g from windows group by rid, g having count(*) > 1
+), covered as (
+  select rid, count(distinct i + k) as n from (select rid, i, unnest(range(5)) as k from windows semi join twice using (rid, g)) group by rid
+), m as (
+  select doc_id, len(w)::bigint as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+    len(l)::bigint as n_lines, (len(l) - len(list_distinct(l)))::bigint as n_dup_lines, coalesce(n, 0)::bigint as n_repeat_words,
+    length(regexp_replace(t, '[^A-Z]', '', 'g'))::bigint as n_upper, length(regexp_replace(t, '[^A-Za-z]', '', 'g'))::bigint as n_letters,
+    length(regexp_replace(t, '[^!?]', '', 'g'))::bigint as n_marks
+  from d left join covered using (rid)
+), f as (
+  select *, ((n_words < 10)::bigint + 2 * (100 * n_repeat_words > 20 * n_words)::bigint + 4 * (100 * n_symbols > 8 * word_chars)::bigint
+    + 8 * (100 * n_dup_lines > 50 * n_lines)::bigint + 16 * (100 * n_upper > 60 * n_letters)::bigint
+    + 32 * (100 * n_marks > 10 * word_chars)::bigint + 64 * (word_chars > 30 * n_words)::bigint) as failed
+  from m
+)
+select *, failed & 3 != 0 as base_failed, failed = 0 as kept from f
+"""
+
+
 def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC records, then read back through the index."""
     path = scratch_path(spark, "warc")
@@ -57,6 +107,14 @@ from p join g on p.html = g.html
 """
 
 
+def op9_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, ranked by labels of the other folds."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = bradley_terry.fit(docs, labels.where(remainder(3) != 1))
+    out = bradley_terry.score(docs, model)
+    return out.select("doc_id", (remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents shuffled uniformly into 16 shards of equal row counts."""
     docs = hypergeometric.shuffle_into_shards(table(spark, sf_dir, "documents"), shards=16)
@@ -74,9 +132,12 @@ def op10_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_store": op1_token_store,
+    "op3_language_id": op3_language_id,
     "op4_hilbert_packing": op4_hilbert_packing,
+    "op5_rule_ledger": op5_rule_ledger,
     "op7_warc_index": op7_warc_index,
+    "op9_bradley_terry": op9_bradley_terry,
     "op10_hypergeometric_shards": op10_hypergeometric_shards,
 }
 
-ORACLES = {"op7_warc_index": _OP7_SQL}
+ORACLES = {"op5_rule_ledger": _OP5_SQL, "op7_warc_index": _OP7_SQL}
