@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimload.llm import bradley_terry, hilbert_pack, hypergeometric, kneser_ney, rule_ledger, token_store, warc
+from dimload.llm import bradley_terry, hilbert_pack, hypergeometric, kneser_ney, rule_ledger, setjoin, token_store, warc
 from dimload.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -28,6 +28,11 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_tokens(spark, path, digests=True)
 
 
+def op2_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shingle count and near-duplicate group."""
+    return setjoin.groups(table(spark, sf_dir, "documents"))
+
+
 def remainder(modulus: int):
     """crc32 of doc_id as text, modulo ``modulus``: the fold of a document."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
@@ -132,6 +137,7 @@ def op10_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_store": op1_token_store,
+    "op2_jaccard_groups": op2_jaccard_groups,
     "op3_language_id": op3_language_id,
     "op4_hilbert_packing": op4_hilbert_packing,
     "op5_rule_ledger": op5_rule_ledger,
