@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimload.llm.textbatch import fresh_name
 from dimload.session import scratch_path
 
 NUMPY_LIMIT = 500_000_000  # numpy draws hypergeometric numbers up to twice this population
@@ -84,7 +85,7 @@ def shard_targets(rows: int, shards: int, target_rows: int) -> tuple[np.ndarray,
     return tuple(np.array(c, dtype=np.int64) for c in zip(*out, strict=True)) if out else (np.empty(0, np.int64),) * 3
 
 
-def _dealt(counts: dict[int, int], shards: int, target_rows: int, seed: int):
+def _dealt(counts: dict[int, int], shards: int, target_rows: int, seed: int, target: str, order: str):
     parts = sorted(counts)
     sizes = np.array([counts[p] for p in parts], dtype=np.int64)
 
@@ -102,7 +103,7 @@ def _dealt(counts: dict[int, int], shards: int, target_rows: int, seed: int):
             if at + n > len(labels):
                 raise RuntimeError("the input's partitions changed while it was being dealt")
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(labels[at : at + n]), pa.array(rng.integers(0, 1 << 62, n))], names=[*batch.schema.names, "_target", "_order"]
+                [*batch.columns, pa.array(labels[at : at + n]), pa.array(rng.integers(0, 1 << 62, n))], names=[*batch.schema.names, target, order]
             )
             at += n
         if labels is not None and at != len(labels):
@@ -114,20 +115,21 @@ def _dealt(counts: dict[int, int], shards: int, target_rows: int, seed: int):
 def shuffle_into_shards(docs: DataFrame, shards: int = 16, seed: int = 1, target_rows: int = 50_000) -> DataFrame:
     """``docs`` shuffled uniformly into ``shards``; see the module's text."""
     spark = docs.sparkSession
-    docs = docs.drop("shard", "slot", "_target", "_order")
+    docs = docs.drop("shard", "slot")
+    target, order = (fresh_name(docs.columns, c) for c in ("_target", "_order"))
     path = scratch_path(spark, "shuffle-input")
     docs.write.parquet(path)  # fixed files: both passes see the same partitions
     fixed = spark.read.schema(docs.schema).parquet(path)
     counted = fixed.select(F.spark_partition_id().alias("p")).groupBy("p").count()
     counts = {r["p"]: r["count"] for r in counted.collect()}  # a number for each input split
     n = sum(counts.values())
-    schema = T.StructType([*docs.schema.fields, T.StructField("_target", T.LongType()), T.StructField("_order", T.LongType())])
-    dealt = fixed.mapInArrow(_dealt(counts, shards, target_rows, seed), schema)
-    rank = F.row_number().over(Window.partitionBy("_target").orderBy("_order"))
+    schema = T.StructType([*docs.schema.fields, T.StructField(target, T.LongType()), T.StructField(order, T.LongType())])
+    dealt = fixed.mapInArrow(_dealt(counts, shards, target_rows, seed, target, order), schema)
+    rank = F.row_number().over(Window.partitionBy(target).orderBy(order))
     per, rest = n // shards, n % shards
     small = max(1, -(-per // target_rows)) if per else 0
     large = -(-(per + 1) // target_rows)
-    t = F.col("_target")
+    t = F.col(target)
     shard = F.when(t < rest * large, F.floor(t / large)).otherwise(rest + F.floor((t - rest * large) / max(small, 1)))
     first = F.when(t < rest * large, t % large).otherwise((t - rest * large) % max(small, 1)) * target_rows
-    return dealt.withColumn("slot", (first + rank - 1).cast("long")).withColumn("shard", shard.cast("int")).drop("_target", "_order")
+    return dealt.withColumn("slot", (first + rank - 1).cast("long")).withColumn("shard", shard.cast("int")).drop(target, order)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimload.llm import bradley_terry, hilbert_pack, hypergeometric, kneser_ney, rule_ledger, setjoin, token_store, warc
+from dimload.llm import bradley_terry, containment, hilbert_pack, hypergeometric, kneser_ney, licences, rule_ledger, setjoin, token_store, warc
 from dimload.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -88,6 +88,11 @@ select *, failed & 3 != 0 as base_failed, failed = 0 as kept from f
 """
 
 
+def op6_licence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's licence phrases and labels."""
+    return licences.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC records, then read back through the index."""
     path = scratch_path(spark, "warc")
@@ -112,6 +117,32 @@ from p join g on p.html = g.html
 """
 
 
+def op8_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item found in a document."""
+    return containment.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_OP8_SQL = rf"""
+with iw as (
+  select item_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as w from benchmark where item_id is not null
+), ig as (
+  select distinct item_id, least(len(w), 5) as k, list_slice(w, i, i + least(len(w), 5) - 1) as g
+  from (select item_id, w, unnest(range(1, len(w) - least(len(w), 5) + 2)) as i from iw where len(w) > 0)
+), size as (
+  select item_id, count(*) as n from ig group by item_id
+), dw as (
+  select doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as w from documents where doc_id is not null
+), dg as (
+  select distinct doc_id, k, list_slice(w, i, i + k - 1) as g
+  from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) as i from dw, (select distinct k from ig) where len(w) >= k)
+)
+select doc_id, item_id, n::bigint as n_shingles, count(*)::bigint as n_found, count(*) / n as containment
+from dg join ig using (k, g) join size using (item_id)
+group by doc_id, item_id, n having count(*) * 100 >= n * 80
+"""
+
+
 def op9_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality, ranked by labels of the other folds."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -141,9 +172,11 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_hilbert_packing": op4_hilbert_packing,
     "op5_rule_ledger": op5_rule_ledger,
+    "op6_licence_spans": op6_licence_spans,
     "op7_warc_index": op7_warc_index,
+    "op8_minhash_containment": op8_minhash_containment,
     "op9_bradley_terry": op9_bradley_terry,
     "op10_hypergeometric_shards": op10_hypergeometric_shards,
 }
 
-ORACLES = {"op5_rule_ledger": _OP5_SQL, "op7_warc_index": _OP7_SQL}
+ORACLES = {"op5_rule_ledger": _OP5_SQL, "op7_warc_index": _OP7_SQL, "op8_minhash_containment": _OP8_SQL}

@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimload.llm.textbatch import BLANKS, Words, byte_table, mix, slices, window_hashes, word_hashes
+from dimload.llm.textbatch import BLANKS, Words, byte_table, fresh_name, mix, slices, window_hashes, word_hashes
 from dimload.session import scratch_path
 
 WIDTH, PERCENT = 5, 80
@@ -374,3 +374,17 @@ def groups(docs: DataFrame) -> DataFrame:
     of_doc = one.join(of_set, keys).select("doc_id", F.col("comp").alias("component_id"))
     out = rows.join(of_doc, "doc_id", "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each group the smallest doc_id stays, of
+    rows that repeat a doc_id one, and all rows without a doc_id. All columns are kept."""
+    member = groups(docs)
+    gone, alone = (fresh_name(docs.columns, c) for c in ("_gone", "_alone"))
+    others = saved(member.where("component_id <> doc_id").select(F.col("doc_id").alias(gone)).distinct(), "duplicates")
+    kept = docs.join(others, F.col("doc_id").cast("long") == F.col(gone), "left_anti")
+    repeated = saved(member.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return kept
+    kept = kept.withColumn(alone, F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
+    return kept.dropDuplicates(["doc_id", alone]).drop(alone)

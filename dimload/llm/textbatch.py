@@ -65,6 +65,14 @@ def rebuilt(offsets: np.ndarray, raw: bytes) -> pa.Array:
     return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(raw))
 
 
+def fresh_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores added until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class Words:
     """The words of a slice: ``codes`` into ``vocabulary`` in text order; document ``i`` owns
     ``codes[bounds[i]:bounds[i + 1]]``. Documents without a word own an empty range."""
