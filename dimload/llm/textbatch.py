@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 
 #: Word separators of `[^\x20\x09-\x0D]+`; every other byte belongs to a word.
 BLANKS = bytes([0x20, *range(0x09, 0x0E)])

@@ -19,7 +19,7 @@ from dimload.llm.textbatch import Words, as_string, buffers, rebuilt
 
 WORDS_A_CALL = 200
 #: Distinct words whose ids a worker keeps; those met later are encoded again in each slice.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 400_000
 #: ASCII punctuation without the apostrophe, which opens contractions: after letters, one piece.
 _MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
