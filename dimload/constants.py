@@ -71,11 +71,6 @@ UNLOAD_DELIMITER = ","
 UNLOAD_ESCAPE = "/"
 SINGLE_FILE_MAX_BYTES = 5_000_000_000
 
-# --- fixed values: partition folder names (Hive convention used by Spark) ------------------------
-# Characters escaped as %XX in a partition value, besides control characters; NULL's folder value.
-PARTITION_ESCAPE_CHARS = '"#%\'*/:=?\\{[]^'
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
 # --- fixed values: compressed-file pattern (the dot is deliberately unescaped) -------------------
 COMPRESSED_PATTERN = ".*(.gz)\\d*$"
 

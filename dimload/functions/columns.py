@@ -61,26 +61,24 @@ def derived_key(business_keys: Sequence[str], start_col: str) -> Column:
     """``bk || start`` text key of one dimension version.
 
     A single key column concatenates exactly like the original (``'42' || '1970-01-01 ...'``);
-    several key columns are joined with ``'|'`` before the start. Any NULL part makes the key NULL,
-    so rows with a NULL business key never receive a surrogate key.
+    several key columns are joined with ``'|'`` before the start, with ``'|'`` and ``'\\'`` inside a
+    part escaped by ``'\\'``, so different keys never share a text. Any NULL part makes the key
+    NULL, so rows with a NULL business key never receive a surrogate key.
     """
-    parts: list[Column] = []
-    for i, k in enumerate(business_keys):
-        if i:
-            parts.append(F.lit("|"))
-        parts.append(F.col(k).cast("string"))
-    parts.append(key_timestamp_text(F.col(start_col)))
-    return F.concat(*parts)
+    return F.concat(business_key_text(business_keys), key_timestamp_text(F.col(start_col)))
 
 
 def business_key_text(business_keys: Sequence[str]) -> Column:
     """Text form of a (possibly compound) business key, NULL if any part is NULL."""
+    texts = [F.col(k).cast("string") for k in business_keys]
+    if len(texts) == 1:
+        return texts[0]
     parts: list[Column] = []
-    for i, k in enumerate(business_keys):
+    for i, text in enumerate(texts):
         if i:
             parts.append(F.lit("|"))
-        parts.append(F.col(k).cast("string"))
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+        parts.append(F.regexp_replace(text, r"([|\\])", r"\\$1"))
+    return F.concat(*parts)
 
 
 def differs(left: Column, right: Column) -> Column:

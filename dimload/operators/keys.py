@@ -21,6 +21,7 @@ from dimload.functions.columns import ts_ntz
 # Hex digits of md5 used as the ranking bucket: 16**3 = 4096 buckets. Raise it for very large
 # batches of new keys (each bucket is ranked inside one task).
 DEFAULT_BUCKET_HEX = 3
+MAX_BUCKET_HEX = 4  # 65,537 offset rows
 
 
 def keys_schema_columns(sk: str) -> list[str]:
@@ -44,8 +45,9 @@ def empty_keys(spark: SparkSession, sk: str) -> DataFrame:
 
 
 def max_key(keys: DataFrame, sk: str) -> DataFrame:
-    """One-row frame ``max_sk``: the largest surrogate key handed out so far (0 when empty)."""
-    return keys.agg(F.coalesce(F.max(F.col(sk)), F.lit(0)).cast("bigint").alias("max_sk"))
+    """One-row frame ``max_sk``: the largest surrogate key handed out so far (0 when there is none;
+    default members have negative ones)."""
+    return keys.agg(F.greatest(F.max(F.col(sk)), F.lit(0)).cast("bigint").alias("max_sk"))
 
 
 def assign_numbers(
@@ -69,6 +71,8 @@ def assign_numbers(
     running sum over the bucket-size table (at most ``16**bucket_hex + 1`` rows), which is then
     broadcast back -- its size is bounded by ``bucket_hex``, not by the data.
     """
+    if not 1 <= bucket_hex <= MAX_BUCKET_HEX:
+        raise ValueError(f"bucket_hex must be 1 to {MAX_BUCKET_HEX}: the offsets are broadcast")
     if not one_row_per_key:
         # A key repeated on many rows (one key may hold a third of all rows) must not become one
         # window group: number the distinct keys (combined map-side) and join the numbers back.
@@ -81,26 +85,23 @@ def assign_numbers(
     skip = F.col(key_col).isNull()
     if exclude is not None:
         skip = skip | F.coalesce(exclude, F.lit(False))
+    # Rows that take no number stay out of the ranking: they may be many, and NULL keys would
+    # all meet in one group.
+    rest = df.filter(skip).withColumn(out_col, F.lit(None).cast("bigint"))
     h = F.md5(F.col(key_col).cast("string"))
-    keyed = df.select(
-        "*",
-        skip.alias("_nb_x"),
-        h.alias("_nb_h"),
-        # NULL keys take no number; park them in a bucket of their own ("~" sorts after hex).
-        F.coalesce(F.substring(h, 1, bucket_hex), F.lit("~")).alias("_nb_b"),
-    )
-    # Taken rows rank first in their bucket, so skipped rows never shift a number.
-    order = ["_nb_x", "_nb_h", key_col, *tie_cols]
+    keyed = df.filter(~skip).select("*", h.alias("_nb_h"), F.substring(h, 1, bucket_hex).alias("_nb_b"))
+    order = ["_nb_h", key_col, *tie_cols]
     ranked = keyed.select("*", F.dense_rank().over(Window.partitionBy("_nb_b").orderBy(*order)).alias("_nb_r"))
-    sizes = ranked.groupBy("_nb_b").agg(F.coalesce(F.max(F.when(~F.col("_nb_x"), F.col("_nb_r"))), F.lit(0)).cast("bigint").alias("_nb_n"))
+    sizes = ranked.groupBy("_nb_b").agg(F.max("_nb_r").cast("bigint").alias("_nb_n"))
     if base is not None:
         # The base sorts before every hex bucket, so it offsets all of them.
         sizes = sizes.unionByName(base.select(F.lit("").alias("_nb_b"), F.col("max_sk").cast("bigint").alias("_nb_n")))
     running = Window.orderBy("_nb_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_nb_b", F.coalesce(F.sum("_nb_n").over(running), F.lit(0)).alias("_nb_o"))
     numbered = ranked.join(F.broadcast(offsets), "_nb_b", "left")
-    value = F.when(~F.col("_nb_x"), (F.col("_nb_o") + F.col("_nb_r")).cast("bigint")).alias(out_col)
-    return numbered.select(*[F.col(f"`{c}`") for c in df.columns if c != out_col], value)
+    value = (F.col("_nb_o") + F.col("_nb_r")).cast("bigint").alias(out_col)
+    columns = [c for c in df.columns if c != out_col]
+    return numbered.select(*[F.col(f"`{c}`") for c in columns], value).unionByName(rest.select(*[F.col(f"`{c}`") for c in columns], F.col(out_col)))
 
 
 def _const_or_col(v: str | Column | None) -> Column:
@@ -109,10 +110,6 @@ def _const_or_col(v: str | Column | None) -> Column:
     return F.lit(v)
 
 
-# Candidate batches up to this *counted* size are broadcast into the keys-table scan.
-BROADCAST_CANDIDATE_ROWS = 2_000_000
-
-
 def generate_keys(
     candidates: DataFrame,
     key_col: str,
@@ -122,7 +119,7 @@ def generate_keys(
     key_name: str | Column,
     source_system: str | Column,
     bucket_hex: int = DEFAULT_BUCKET_HEX,
-    candidate_rows: int | None = None,
+    materialize: bool = True,
 ) -> DataFrame:
     """K1: rows to append to the keys table for keys of ``candidates`` it does not hold yet.
 
@@ -131,11 +128,9 @@ def generate_keys(
     in ``(md5(value), value, name, system)`` order after the table's current maximum; existing
     keys never change.
 
-    The keys table only grows, so its anti-join is the expensive part. ``candidate_rows`` is a
-    count of ``candidates`` the caller has checked (e.g. after materialising them): at or below
-    ``BROADCAST_CANDIDATE_ROWS`` the candidate identities are broadcast into the keys-table scan
-    first (semi-join), so only the few matching key rows take part in the anti-join and the keys
-    table is never shuffled. Without a count, Catalyst / AQE choose the join.
+    Ranking reads the new identities twice (bucket sizes, then numbers). With ``materialize``
+    (default) they are checkpointed first, so the candidates are read and deduplicated once; the
+    join with the keys table is left to Catalyst and AQE.
     """
     ident = [C.KEYS_BUSINESS_KEY, C.KEYS_KEY_NAME, C.KEYS_SYSTEM]
     cand = candidates.select(
@@ -153,9 +148,11 @@ def generate_keys(
     if isinstance(source_system, str):
         existing = existing.filter(F.col(C.KEYS_SYSTEM) == F.lit(source_system))
     distinct_cand = cand.dropDuplicates(ident)
-    if candidate_rows is not None and candidate_rows <= BROADCAST_CANDIDATE_ROWS:
-        existing = existing.join(F.broadcast(distinct_cand), ident, "left_semi")
     new_ids = distinct_cand.join(existing, ident, "left_anti")
+    if materialize:
+        from dimload.session import materialize as _mat
+
+        new_ids = _mat(new_ids)
     numbered = assign_numbers(
         new_ids, C.KEYS_BUSINESS_KEY, max_key(keys, sk), sk, (C.KEYS_KEY_NAME, C.KEYS_SYSTEM), bucket_hex
     )

@@ -7,8 +7,10 @@ the new target as a lazy DataFrame (publish it with :mod:`dimload.operators.qual
 * The delete of upsert / refresh_by_keys / full is a ``left_anti`` join against the *distinct*
   source keys: the distinct is a partial (map-side) aggregate, so repeated source keys shrink
   before the shuffle, and its output is already partitioned for the join.
-* Target rows with a NULL key can never match; they bypass the join (no NULL-key hot
-  partition), as do target rows outside ``delete_condition`` (P8).
+* Target rows with a NULL key can never match; they are salted over the join's partitions, so
+  the target is scanned once and no NULL-key hot partition arises. Target rows outside
+  ``delete_condition`` (P8) find no match either.
+* The target is aligned first (E3): it gains the columns that only the source has.
 * The source is never de-duplicated: two source rows with one key are both inserted.
 * The broadcast-or-shuffle choice for the anti-join is Catalyst's (size statistics) and AQE's
   (runtime sizes, skew split); no unchecked broadcast hint is given.
@@ -27,6 +29,7 @@ from dimload.functions.columns import local_time, ts_ntz
 from dimload.operators.predicates import common_columns, load_stamp
 
 JoinKeys = Sequence[Sequence[str]]
+NULL_KEY_SALTS = 1024
 
 
 def _q(name: str) -> Column:
@@ -98,36 +101,46 @@ def delete_matches(
     ``join_keys`` = ``[(source_key, target_key[, cast]), ...]``; the cast applies to both sides.
     ``delete_condition`` restricts the delete to target rows where it holds.
     """
-    dk = distinct_keys(delete_source, join_keys, as_text)
-    tkeys = []
-    for key in join_keys:
-        t = _q(key[1])
-        if as_text:
-            t = t.cast("string")
-        if len(key) == 3 and key[2]:
-            t = t.cast(key[2])
-        tkeys.append(t)
-    skeys = []
-    for i, key in enumerate(join_keys):
-        s = F.col(f"_dk{i}")
-        if len(key) == 3 and key[2]:
-            s = s.cast(key[2])
-        skeys.append(s)
-    t = target.select("*", *[k.alias(f"_tk{i}") for i, k in enumerate(tkeys)])
-    s = dk.select(*[k.alias(f"_sk{i}") for i, k in enumerate(skeys)])
-    null_key = reduce(lambda a, b: a | b, [F.col(f"_tk{i}").isNull() for i in range(len(tkeys))])
-    # NULL keys never match: they skip the join (an IS NULL scan, skipped by parquet statistics
-    # when the key has no NULLs) instead of piling into one shuffle partition.
-    candidates = t.filter(~null_key)
-    passthrough = t.filter(null_key)
-    cond = reduce(lambda a, b: a & b, [F.col(f"_tk{i}") == F.col(f"_sk{i}") for i in range(len(tkeys))])
+    t, s, cond = _matched_sides(target, delete_source, join_keys, as_text)
     dc = _expr(delete_condition)
     if dc is not None:
         # P8 as part of the match, so the target is scanned once: a row outside the condition
         # (or where it is NULL) finds no match and survives.
         cond = cond & dc
-    survivors = candidates.join(s, cond, "left_anti").unionByName(passthrough)
-    return survivors.drop(*[f"_tk{i}" for i in range(len(tkeys))])
+    return t.join(s, cond, "left_anti").select(*[_q(c) for c in target.columns])
+
+
+def key_matches(target: DataFrame, source: DataFrame, join_keys: JoinKeys) -> DataFrame:
+    """The target rows whose keys occur in the source, by the comparison of :func:`delete_matches`."""
+    t, s, cond = _matched_sides(target, source, join_keys, False)
+    return t.join(s, cond, "left_semi").select(*[_q(c) for c in target.columns])
+
+
+def _matched_sides(target: DataFrame, source: DataFrame, join_keys: JoinKeys, as_text: bool) -> tuple[DataFrame, DataFrame, Column]:
+    """Both sides with their compared keys, and the join condition. Target rows with a NULL key match
+    nothing; a salt spreads them, so the target is scanned once and they do not meet in one task."""
+
+    def compared(column: Column, key) -> Column:
+        column = column.cast("string") if as_text else column
+        return column.cast(key[2]) if len(key) == 3 and key[2] else column
+
+    n = range(len(join_keys))
+    tkeys = [compared(_q(key[1]), key).alias(f"_tk{i}") for i, key in enumerate(join_keys)]
+    skeys = [compared(F.col(f"_dk{i}"), key).alias(f"_sk{i}") for i, key in enumerate(join_keys)]
+    t = target.select("*", *tkeys)
+    null_key = reduce(lambda a, b: a | b, [F.col(f"_tk{i}").isNull() for i in n])
+    salt = 1 + F.pmod(F.xxhash64(*[_q(c) for c in target.columns]), F.lit(NULL_KEY_SALTS).cast("bigint"))
+    t = t.withColumn("_tsalt", F.when(null_key, salt).otherwise(F.lit(0).cast("bigint")))
+    s = distinct_keys(source, join_keys, as_text).select(*skeys, F.lit(0).cast("bigint").alias("_ssalt"))
+    cond = reduce(lambda a, b: a & b, [F.col(f"_tk{i}") == F.col(f"_sk{i}") for i in n])
+    return t, s, cond & (F.col("_tsalt") == F.col("_ssalt"))
+
+
+def align_target(target: DataFrame, source: DataFrame, target_columns: Sequence[str] | None = None) -> DataFrame:
+    """E3 before a load: the target gains the source's new columns (not with a mapped projection)."""
+    from dimload.operators.schema import align_columns
+
+    return target if target_columns is not None else align_columns(target, source)
 
 
 def mark_deleted(target: DataFrame, as_of, tz: str = C.LOCAL_TZ) -> DataFrame:
@@ -165,7 +178,8 @@ def load(
       text); every other live row is soft-deleted (flag true, local-time stamp); then append.
     * ``refresh``: replace the target with the source.
 
-    ``load_constraint`` filters only the appended rows, never the delete.
+    ``load_constraint`` filters only the appended rows, never the delete. Without mapped columns the
+    target first gains the source's new columns (NULL, or false for flags, on old rows).
     """
     if strategy not in C.STRATEGIES:
         raise ValueError(f"unknown load strategy {strategy!r}; expected one of {C.STRATEGIES}")
@@ -173,6 +187,7 @@ def load(
         raise ValueError("as_of (the batch time) is required")
     if strategy in ("upsert", "refresh_by_keys", "full") and not join_keys:
         raise ValueError(f"join keys are required for the {strategy} strategy")
+    target = align_target(target, source, target_columns)
     ins = insert_rows(target, source, as_of, load_constraint, source_columns, target_columns)
     if strategy == "insert":
         kept = target

@@ -1,90 +1,131 @@
-"""Publishing an SCD batch to storage (D7 publish + Q6 gate + K2/K3 appends + S10 ledger).
+"""Loads on storage: SCD batches, load strategies and keyed loads over Parquet folders.
 
 Layout of a dimension folder, partitioned by the current flag and the load batch::
 
-    <dim>/<current_col>=true/load_batch=<id>/...    the current rows, rewritten every batch
-    <dim>/<current_col>=false/load_batch=<id>/...   rows retired by batch <id>, written once
+    <dim>/<current_col>=true/load_batch=<n>-<id>/...    the current rows, rewritten every batch
+    <dim>/<current_col>=false/load_batch=<n>-<id>/...   rows retired by batch <id>, written once
 
-History only ever grows by the rows a batch retires, so a batch rewrites the current rows and
-appends its retired rows -- it never rewrites the (much larger) history. Readers see the whole
-dimension with ``read_dimension``.
+``n`` counts the batches. A reader takes the current rows of the newest batch and the history up to
+it (:func:`read_dimension`), so the moment a batch takes effect is the commit of its current
+partition, and anything written before it stays unseen until then.
 
 Order of the steps in :func:`run_scd_batch` and why a re-run after a crash is safe:
 
-1. keys and key-map rows are appended first: a re-run looks the same ``bk || start`` up, finds
-   them and reuses their numbers, so no key is handed out twice;
-2. the retired rows replace only their own ``load_batch=<id>`` partition (dynamic overwrite):
-   re-running the batch rewrites the same rows;
-3. the current rows replace the current partition -- the one step that is not atomic on plain
-   files (a table format with atomic overwrite makes it one commit);
-4. the ledger row marks the batch done; a batch found in the ledger is skipped.
+1. keys are appended first: a re-run looks the same ``bk || start`` up, finds them and reuses their
+   numbers, so no key is handed out twice;
+2. key-map rows are whatever the keys table has and the map lacks, so rows lost to a crash between
+   the two appends come with the next run;
+3. the retired rows go to the batch's own partition (a re-run replaces it);
+4. the current rows go to the batch's own partition: the switch;
+5. older current partitions are removed, the ledger row marks the batch done; a batch found in the
+   ledger is skipped.
+
+A crash between 4 and 5 leaves the batch in effect and unmarked; loading it again changes nothing.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from typing import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
 
-from dimload.operators.quality import CheckFailed, run_checks
+from dimload.operators.quality import CheckFailed, combine_checks, run_checks, unique_columns
 from dimload.operators.scd import ScdResult, ScdSpec, scd_checks, scd_load
-from dimload.session import scratch_path
+from dimload.session import remove_path, scratch_path, sub_folders
 from dimload.sources.ledger import LEDGER_SCHEMA, ledger_rows, value_exists
 
 BATCH_COL = "load_batch"
 
 
 def read_or_none(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
-    """A parquet table, or ``None`` when nothing was written there yet."""
+    """A parquet table, or ``None`` when its folder does not exist; other errors are raised."""
     try:
-        reader = spark.read.schema(schema) if schema else spark.read
-        df = reader.parquet(path)
-        return df
-    except AnalysisException:
-        return None
+        reader = spark.read.option("mergeSchema", "true")
+        return (reader.schema(schema) if schema else reader).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def _batches(spark: SparkSession, folder: str) -> list[str]:
+    """The batch partitions below a folder, oldest first."""
+    names = (name.partition("=") for name in sub_folders(spark, folder))
+    return sorted(value for column, _, value in names if column == BATCH_COL)
+
 
+def _batch_name(spark: SparkSession, dim_path: str, spec: ScdSpec, batch_id: str) -> str:
+    """``<n>-<id>`` of a batch: its number from an earlier attempt, or the next one."""
+    current = _batches(spark, f"{dim_path}/{spec.current_col}=true")
+    tried = [b for b in _batches(spark, f"{dim_path}/{spec.current_col}=false") if b > max(current, default="")]
+    same = [b for b in tried if b.partition("-")[2] == str(batch_id)]
+    return same[0] if same else f"{max((int(b[:9]) for b in (*current, *tried)), default=-1) + 1:09d}-{batch_id}"
 
-def read_dimension(spark: SparkSession, path: str, spec: ScdSpec | None = None) -> DataFrame | None:
-    """The dimension stored by :func:`publish_dimension` (the batch partition column dropped,
-    the current flag read back as a boolean)."""
-    df = read_or_none(spark, path)
-    if df is None:
+
+def read_dimension(spark: SparkSession, path: str, spec: ScdSpec) -> DataFrame | None:
+    """The dimension as of its newest complete batch, with the columns of all batches."""
+    current = _batches(spark, f"{path}/{spec.current_col}=true")
+    if not current:
         return None
-    if BATCH_COL in df.columns:
-        df = df.drop(BATCH_COL)
-    cur = spec.current_col if spec else None
-    if cur and cur in df.columns:
-        df = df.withColumn(cur, F.col(f"`{cur}`").cast("boolean"))
-    return df
+    df = spark.read.option("mergeSchema", "true").parquet(path)
+    flag = F.col(f"`{spec.current_col}`").cast("boolean")
+    batch = F.col(BATCH_COL).cast("string")
+    df = df.filter((flag & (batch == current[-1])) | (~flag & (batch <= current[-1])))
+    return df.withColumn(spec.current_col, flag).drop(BATCH_COL)
 
 
-def publish_dimension(result: ScdResult, spec: ScdSpec, dim_path: str, batch_id: str, stage_root: str | None = None) -> None:
-    """Write one SCD batch: retired rows to their batch partition, then the current rows."""
-    spark = result.dimension.sparkSession
-    cur = spec.current_col
-    stage = stage_root or scratch_path(spark, "scd_publish")
-    current = result.dimension.filter(F.coalesce(F.col(f"`{cur}`"), F.lit(False))).drop(cur)
-    retired = result.steps.retired.filter(F.col(f"`{spec.surrogate_key}`") >= 0).drop(cur)
-    # Stage both first: the current rows are computed from the partition they will replace.
-    current.withColumn(BATCH_COL, F.lit(str(batch_id))).write.mode("overwrite").parquet(f"{stage}/current")
-    retired.withColumn(BATCH_COL, F.lit(str(batch_id))).write.mode("overwrite").parquet(f"{stage}/retired")
-    (
-        spark.read.parquet(f"{stage}/retired")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH_COL)
-        .parquet(f"{dim_path}/{cur}=false")
-    )
-    spark.read.parquet(f"{stage}/current").write.mode("overwrite").partitionBy(BATCH_COL).parquet(f"{dim_path}/{cur}=true")
+def _write_batch(rows: DataFrame, folder: str, batch: str) -> None:
+    tagged = rows.withColumn(BATCH_COL, F.lit(batch))
+    tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(folder)
+
+
+def publish_dimension(result: ScdResult, spec: ScdSpec, dim_path: str, batch_id: str) -> None:
+    """Write one SCD batch: retired rows, then the current rows (the switch), then tidy up."""
+    spark, cur = result.dimension.sparkSession, spec.current_col
+    batch = _batch_name(spark, dim_path, spec, batch_id)
+    newest = max(_batches(spark, f"{dim_path}/{cur}=true"), default="")
+    for tried in _batches(spark, f"{dim_path}/{cur}=false"):
+        if tried > newest and tried != batch:  # left by a batch that never took effect
+            remove_path(spark, f"{dim_path}/{cur}=false/{BATCH_COL}={tried}")
+    _write_batch(result.steps.retired.filter(F.col(f"`{spec.surrogate_key}`") >= 0).drop(cur), f"{dim_path}/{cur}=false", batch)
+    _write_batch(result.dimension.filter(F.coalesce(F.col(f"`{cur}`"), F.lit(False))).drop(cur), f"{dim_path}/{cur}=true", batch)
+    for old in _batches(spark, f"{dim_path}/{cur}=true"):
+        if old < batch:
+            remove_path(spark, f"{dim_path}/{cur}=true/{BATCH_COL}={old}")
 
 
 def initialize_dimension(dim: DataFrame, spec: ScdSpec, dim_path: str, batch_id: str = "0") -> None:
     """Write an existing dimension (e.g. just the default member) in the publish layout."""
     cur = spec.current_col
     flag = F.coalesce(F.col(f"`{cur}`"), F.lit(False))
-    tagged = dim.withColumn(BATCH_COL, F.lit(str(batch_id)))
-    tagged.filter(flag).drop(cur).write.mode("overwrite").partitionBy(BATCH_COL).parquet(f"{dim_path}/{cur}=true")
-    tagged.filter(~flag).drop(cur).write.mode("overwrite").partitionBy(BATCH_COL).parquet(f"{dim_path}/{cur}=false")
+    _write_batch(dim.filter(~flag).drop(cur), f"{dim_path}/{cur}=false", f"{0:09d}-{batch_id}")
+    _write_batch(dim.filter(flag).drop(cur), f"{dim_path}/{cur}=true", f"{0:09d}-{batch_id}")
+
+
+def append_keys(spark: SparkSession, new_keys: DataFrame, sk: str, keys_path: str, map_path: str) -> None:
+    """K2 + K3 on storage: append the keys, then the map rows that the map lacks."""
+    from dimload.operators.keys import keys_to_map
+
+    new_keys.write.mode("append").parquet(keys_path)
+    missing = keys_to_map(spark.read.parquet(keys_path), sk)
+    have = read_or_none(spark, map_path)
+    if have is not None:
+        missing = missing.join(have.select(sk), sk, "left_anti")
+    missing.write.mode("append").parquet(map_path)
+
+
+def is_done(spark: SparkSession, ledger_path: str, update_id: str) -> bool:
+    ledger = read_or_none(spark, ledger_path, LEDGER_SCHEMA)
+    return ledger is not None and value_exists(ledger, "update_id", update_id).first()["value_exists"]
+
+
+def record_done(spark: SparkSession, ledger_path: str, update_id: str, as_of, related: str) -> None:
+    done = spark.range(1).select(F.lit(update_id).alias("update_id"))
+    ledger_rows(done, "update_id", as_of, related).write.mode("append").parquet(ledger_path)
 
 
 def run_scd_batch(
@@ -98,33 +139,31 @@ def run_scd_batch(
     map_path: str,
     ledger_path: str,
     checks: bool = True,
-    check_scope: str = "batch",
 ) -> str:
     """D8 end to end on storage: skip if done, load, check, append keys, publish, record.
 
-    Returns ``'skipped'`` or ``'published'``; raises :class:`CheckFailed` (nothing published,
-    keys untouched) when the staged batch breaks a dimension invariant. ``check_scope='batch'``
-    checks key uniqueness on the batch's new versions only (see :func:`scd_checks`);
-    ``'full'`` re-checks the whole dimension as the original does.
+    Returns ``'skipped'`` or ``'published'``; raises :class:`CheckFailed` (nothing published, keys
+    untouched) when the staged batch breaks a dimension invariant, when two current rows would share
+    a surrogate key, or when the dimension has surrogate keys but the keys table is gone.
     """
     update_id = f"scd_{spec.surrogate_key}_{batch_id}"
-    ledger = read_or_none(spark, ledger_path, LEDGER_SCHEMA)
-    if ledger is not None and value_exists(ledger, "update_id", update_id).first()["value_exists"]:
+    if is_done(spark, ledger_path, update_id):
         return "skipped"
+    sk = F.col(f"`{spec.surrogate_key}`")
     dim = read_dimension(spark, dim_path, spec)
     keys = read_or_none(spark, keys_path)
-    result = scd_load(dim, source, spec, as_of, keys=keys, check_source_unique=True)
+    if keys is None and dim is not None and not dim.filter(sk >= 0).isEmpty():
+        raise CheckFailed(f"the dimension has surrogate keys, but there is no keys table at {keys_path}")
+    result = scd_load(dim, source, spec, as_of, keys=keys)
     if checks:
-        new_rows = result.steps.inserted if check_scope == "batch" else None
-        failed = run_checks(scd_checks(result.steps.staged, spec, new_rows))
+        live = result.dimension.filter(F.col(f"`{spec.current_col}`") & (sk >= 0))
+        report = combine_checks([scd_checks(result.steps.staged, spec), unique_columns("unique_current_surrogate_key", live, [spec.surrogate_key])])
+        failed = run_checks(report)
         if failed:
             raise CheckFailed("dimension checks failed: " + ", ".join(f"{r.test} ({r.violations})" for r in failed))
-    new_keys = result.new_keys
-    new_keys.write.mode("append").parquet(keys_path)
-    result.new_map.write.mode("append").parquet(map_path)
+    append_keys(spark, result.new_keys, spec.surrogate_key, keys_path, map_path)
     publish_dimension(result, spec, dim_path, batch_id)
-    done = spark.range(1).select(F.lit(update_id).alias("update_id"))
-    ledger_rows(done, "update_id", as_of, spec.surrogate_key).write.mode("append").parquet(ledger_path)
+    record_done(spark, ledger_path, update_id, as_of, spec.surrogate_key)
     return "published"
 
 
@@ -133,6 +172,16 @@ def run_scd_batch(
 # ------------------------------------------------------------------------------------------------
 
 
+def read_table(spark: SparkSession, path: str, partition_cols, like: T.StructType) -> DataFrame:
+    """A stored table with the columns of all its files. Partition columns have the type that they
+    have in ``like``: read back by inference, a text ``01`` would become the number 1."""
+    stored = spark.read.option("mergeSchema", "true").parquet(path).schema
+    types = {f.name.lower(): f.dataType for f in like.fields}
+    parts = {p.lower() for p in partition_cols}
+    fields = [T.StructField(f.name, types[f.name.lower()]) if f.name.lower() in parts and f.name.lower() in types else f for f in stored.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 def load_into(
     target_path: str,
     source: DataFrame,
@@ -142,65 +191,103 @@ def load_into(
     partition_cols=None,
     delete_condition=None,
     load_constraint=None,
-    stage_root: str | None = None,
+    full_record_comparison_source: DataFrame | None = None,
+    source_columns=None,
+    target_columns=None,
 ) -> DataFrame:
     """L1-L5 applied to a parquet table at ``target_path``; returns the table as read back.
 
     * ``insert`` appends the new rows (nothing is rewritten).
     * ``upsert`` / ``refresh_by_keys`` on a table partitioned by ``partition_cols``: only the
       affected partitions -- those receiving source rows and those holding rows whose keys the
-      source replaces -- are read, recomputed and replaced (dynamic partition overwrite); the
-      partition filter reaches the scan as partition pruning.
+      source replaces, NULL partitions among them -- are read, recomputed and replaced (dynamic
+      partition overwrite). If a partition is left without rows, the table is rewritten as a whole,
+      in one overwrite, since a dynamic overwrite leaves such a partition as it is.
     * ``full`` and ``refresh`` touch every row and rewrite the table.
 
-    Every rewrite goes through a staging copy, so the table is never read and overwritten by the
-    same job.
+    The source is staged once, and every rewrite goes through a staging copy, so the table is never
+    read and overwritten by the same job. Staging folders are removed afterwards.
     """
-    from dimload.operators.loads import distinct_keys, insert_rows, load
+    from dimload.operators.loads import align_target, insert_rows, key_matches, load
 
     spark = source.sparkSession
-    target = spark.read.parquet(target_path)
-    stage = stage_root or scratch_path(spark, "load_into")
+    stage = scratch_path(spark, "load_into")
     parts = list(partition_cols or [])
-    if strategy == "insert":
-        rows = insert_rows(target, source, as_of, load_constraint)
-        writer = rows.write.mode("append")
+
+    def write(rows: DataFrame, mode: str, dynamic: bool = False) -> None:
+        writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         (writer.partitionBy(*parts) if parts else writer).parquet(target_path)
-        return spark.read.parquet(target_path)
-    if strategy in ("upsert", "refresh_by_keys") and parts:
-        incoming = insert_rows(target, source, as_of, load_constraint).select(*parts)
-        keys = distinct_keys(source, join_keys)
-        cond = None
-        for i, key in enumerate(join_keys):
-            term = F.col(f"`{key[1]}`") == F.col(f"_dk{i}")
-            cond = term if cond is None else cond & term
-        holding = target.join(keys, cond, "left_semi").select(*parts)
-        affected = incoming.unionByName(holding).distinct()
-        scope = target.join(affected, parts, "left_semi")
-        new_rows = load(scope, source, strategy, join_keys, as_of, delete_condition, load_constraint)
-        new_rows.write.mode("overwrite").parquet(f"{stage}/rows")
-        staged = spark.read.parquet(f"{stage}/rows")
-        # Affected partitions left without rows get no file from a dynamic overwrite; clear them.
-        # Their number is bounded by the partitions the load touches (values only, no data).
-        emptied = affected.join(staged.select(*parts).distinct(), parts, "left_anti").collect()
-        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(target_path)
-        data_schema = staged.drop(*parts).schema
-        for row in emptied:
-            folder = "/".join(f"{c}={_partition_value(row[c])}" for c in parts)
-            spark.createDataFrame([], data_schema).write.mode("overwrite").parquet(f"{target_path}/{folder}")
-        return spark.read.parquet(target_path)
-    new_rows = load(target, source, strategy, join_keys, as_of, delete_condition, load_constraint)
-    new_rows.write.mode("overwrite").parquet(f"{stage}/rows")
-    writer = spark.read.parquet(f"{stage}/rows").write.mode("overwrite")
-    (writer.partitionBy(*parts) if parts else writer).parquet(target_path)
-    return spark.read.parquet(target_path)
-
-
-def _partition_value(v) -> str:
-    """A partition value as Spark names its folder (Hive escaping, NULL folder)."""
-    from dimload import constants as C
-
-    if v is None:
-        return C.NULL_PARTITION
-    text = str(v)
-    return "".join(f"%{ord(ch):02X}" if ch in C.PARTITION_ESCAPE_CHARS or ord(ch) < 0x20 or ord(ch) == 0x7F else ch for ch in text)
+
+    def staged(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(f"{stage}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{stage}/{name}")
+
+    def inside(rows: DataFrame, some: DataFrame, how: str) -> DataFrame:
+        """Rows whose partition is (left_semi) or isn't (left_anti) among ``some``; NULL is a value."""
+        other = some.select(*[F.col(f"`{p}`").alias(f"_p{i}") for i, p in enumerate(parts)])
+        same = [rows[f"`{p}`"].eqNullSafe(other[f"_p{i}"]) for i, p in enumerate(parts)]
+        return rows.join(other, reduce(lambda a, b: a & b, same), how)
+
+    source = staged(source, "source")
+    target = align_target(read_table(spark, target_path, parts, source.schema), source, target_columns)
+    columns = dict(source_columns=source_columns, target_columns=target_columns)
+    if strategy == "insert":
+        write(insert_rows(target, source, as_of, load_constraint, **columns), "append")
+    elif strategy in ("upsert", "refresh_by_keys") and parts:
+        incoming = insert_rows(target, source, as_of, load_constraint, **columns).select(*parts)
+        holding = key_matches(target, source, join_keys).select(*parts)
+        affected = staged(incoming.unionByName(holding).distinct(), "affected")
+        scope = inside(target, affected, "left_semi")
+        rows = staged(load(scope, source, strategy, join_keys, as_of, delete_condition, load_constraint, **columns), "rows")
+        if inside(affected, rows.select(*parts).distinct(), "left_anti").isEmpty():
+            write(rows, "overwrite", dynamic=True)
+        else:
+            write(staged(rows.unionByName(inside(target, affected, "left_anti")), "table"), "overwrite")
+    else:
+        rows = load(target, source, strategy, join_keys, as_of, delete_condition, load_constraint, full_record_comparison_source, **columns)
+        write(staged(rows, "rows"), "overwrite")
+    out = read_table(spark, target_path, parts, source.schema)
+    remove_path(spark, stage)
+    return out
+
+
+def keyed_load_into(
+    spark: SparkSession,
+    update_id: str,
+    target_path: str,
+    keys_path: str,
+    map_path: str,
+    ledger_path: str,
+    source: DataFrame | None,
+    sk: str,
+    business_key: str,
+    key_name: str,
+    source_system: str,
+    as_of,
+    strategy: str = "upsert",
+    key_source: DataFrame | None = None,
+    load_source: DataFrame | Callable[[DataFrame], DataFrame] | None = None,
+) -> str:
+    """L6-L8 on storage: new keys are appended, then the map rows the map lacks, then the load
+    strategy rewrites the target, then the ledger marks the load done.
+
+    A re-run after a crash finds the appended keys and reuses them, adds missing map rows, and loads
+    again with the same result; a load found in the ledger is skipped. Returns ``'skipped'`` or
+    ``'published'``.
+    """
+    from dimload.operators.keys import empty_keys, generate_keys, with_key
+
+    if is_done(spark, ledger_path, update_id):
+        return "skipped"
+    keys = read_or_none(spark, keys_path)
+    keys = empty_keys(spark, sk) if keys is None else keys
+    candidates = key_source if key_source is not None else source
+    append_keys(spark, generate_keys(candidates, business_key, keys, sk, as_of, key_name, source_system), sk, keys_path, map_path)
+    key_map = spark.read.parquet(map_path)
+    if load_source is None:
+        rows = with_key(source, key_map, sk, business_key, key_name, source_system)
+    else:
+        rows = load_source(key_map) if callable(load_source) else load_source
+    load_into(target_path, rows, strategy, [[sk, sk]], as_of)
+    record_done(spark, ledger_path, update_id, as_of, sk)
+    return "published"

@@ -91,8 +91,9 @@ def assert_no_null_keys(left: DataFrame, right: DataFrame, keys_definition, cond
 
 
 def assert_unique(df: DataFrame, columns: Sequence[str], what: str = "frame") -> None:
-    """Q4 as an assertion: fail fast when ``columns`` repeat in ``df`` (one row fetched at most)."""
-    if duplicate_keys(df, columns).limit(1).count() > 0:
+    """Q4 as an assertion: fail fast when ``columns`` repeat in ``df`` (one row fetched at most).
+    Rows with a NULL in ``columns`` have no key and are not compared."""
+    if duplicate_keys(df.dropna(subset=list(columns)), columns).limit(1).count() > 0:
         raise CheckFailed(f"{what}: columns {list(columns)} are not unique")
 
 
@@ -128,17 +129,17 @@ def gated_publish(
 ) -> DataFrame:
     """Q6 + Q7: stage -> post step -> check -> publish, or leave the target alone and raise.
 
-    ``staged`` is written once to ``stage_path`` (default: under the shared checkpoint folder) so
-    that the checks and the publish read the same rows and never the target being replaced.
+    The rows are written once to ``stage_path`` (default: under the shared checkpoint folder) after
+    the post step, so that the checks and the publish read the same rows and never the target being
+    replaced, also when the post step reads it.
     """
     from dimload.session import scratch_path
 
     spark = staged.sparkSession
     path = stage_path or scratch_path(spark, "gate")
-    staged.write.mode("overwrite").parquet(path)
-    result = spark.read.parquet(path)
-    if post_step is not None:
-        result = post_step(result)
+    rows = staged if post_step is None else post_step(staged)
+    rows.write.mode("overwrite").parquet(path)
+    result = spark.read.schema(rows.schema).parquet(path)
     if checks is not None:
         report = checks(result)
         if report is not None:

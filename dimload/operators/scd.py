@@ -22,13 +22,13 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimload import constants as C
 from dimload.functions.columns import any_differs, default_end, derived_key, next_start, ts_ntz
 from dimload.operators.keys import assign_numbers, keys_to_map, max_key
 
 _S = "_src_"  # prefix of source columns inside the joined frame
-_BROADCAST_KEY_ROWS = 2_000_000  # new versions looked up by broadcast below this checked count
 
 
 def _q(name: str) -> Column:
@@ -168,19 +168,26 @@ class ScdSteps:
         return self.history.unionByName(self.kept).unionByName(self.inserted)
 
 
-def scd_steps(dim: DataFrame, source: DataFrame, spec: ScdSpec, as_of) -> ScdSteps:
-    """D1-D5 for one batch as lazy DataFrames (no action is run)."""
+def scd_steps(dim: DataFrame, source: DataFrame, spec: ScdSpec, as_of, materialize: bool = False) -> ScdSteps:
+    """D1-D5 for one batch as lazy DataFrames. With ``materialize`` the joined rows are checkpointed,
+    so that the join of dimension and source runs once for all of them."""
     bks = list(spec.business_keys)
     dim = prepare_dimension(source, spec, dim)
     dcols = dim.columns
     scols = [c for c in source.columns]
     t1 = [c for c in scd1_columns(scols, spec) if _has(dcols, c)]
-    t2 = [c for c in spec.scd2_columns if _has(scols, c) and _has(dcols, c)]
+    unknown = [c for c in spec.scd2_columns if not (_has(scols, c) and _has(dcols, c))]
+    if unknown:
+        raise ValueError(f"type-2 columns {unknown} are not in the source and the dimension")
+    t2 = list(spec.scd2_columns)
     asof = ts_ntz(as_of)
 
     # Working copy without default rows (all business keys < 0; NULL keys drop out too).
-    not_default = ~reduce(lambda a, b: a & b, [_q(k) < 0 for k in bks])
-    work = dim.filter(not_default)
+    # The sign test only exists for numeric keys; text keys have no default rows to leave out.
+    numeric = [k for k in bks if isinstance(dim.schema[_has(dcols, k)].dataType, T.NumericType)]
+    work = dim.dropna(subset=[k for k in bks if k not in numeric]) if len(numeric) < len(bks) else dim
+    if numeric:
+        work = work.filter(~reduce(lambda a, b: a & b, [_q(k) < 0 for k in numeric]))
     history = work.filter(~F.coalesce(_q(spec.current_col), F.lit(False)))
     cur = work.filter(_q(spec.current_col))
 
@@ -197,6 +204,10 @@ def scd_steps(dim: DataFrame, source: DataFrame, spec: ScdSpec, as_of) -> ScdSte
     c2 = matched & any_differs([(_q(c), F.col(f"`{_S}{c}`")) for c in t2])
     c1 = matched & ~c2 & any_differs([(_q(c), F.col(f"`{_S}{c}`")) for c in t1])
     j = j.select("*", c2.alias("_c2"), c1.alias("_c1"))
+    if materialize:
+        from dimload.session import materialize as _mat
+
+        j = _mat(j)
 
     # D2 + D3 on the current rows.
     t1_low = {c.lower() for c in t1}
@@ -260,25 +271,22 @@ def _insert_columns(dcols: Sequence[str], scols: Sequence[str], spec: ScdSpec, a
 # ------------------------------------------------------------------------------------------------
 
 
-def scd_checks(staged: DataFrame, spec: ScdSpec, new_rows: DataFrame | None = None) -> DataFrame:
-    """``(test, passed, violations)`` for the three dimension invariants of a staged batch.
-
-    The uniqueness of ``(bk, start)`` is checked over ``staged`` (the whole dimension, as the
-    original does) unless ``new_rows`` is given: a new version starts 1 µs after the latest expiry
-    of its key, so it cannot collide with a stored row of a dimension that already met the
-    invariants, and checking the batch's new rows alone avoids shuffling every key of the history.
+def scd_checks(staged: DataFrame, spec: ScdSpec) -> DataFrame:
+    """``(test, passed, violations)`` for the three dimension invariants of a staged batch, over
+    the whole staged dimension. Rows with a NULL business key are never published, so they are not
+    compared with each other.
     """
     from dimload.operators.quality import combine_checks, expect_no_rows, unique_columns
 
     cur = _q(spec.current_col)
     bad_start = staged.filter(cur & (_q(spec.start_col) >= default_end()))
     bad_end = staged.filter(cur & (_q(spec.end_col) != default_end()))
-    scope = staged if new_rows is None else new_rows
+    keyed = staged.dropna(subset=list(spec.business_keys))
     return combine_checks(
         [
             expect_no_rows("current_start_before_default_end", bad_start),
             expect_no_rows("current_end_is_default_end", bad_end),
-            unique_columns(f"unique_{'_'.join(spec.business_keys)}_{spec.start_col}", scope, [*spec.business_keys, spec.start_col]),
+            unique_columns(f"unique_{'_'.join(spec.business_keys)}_{spec.start_col}", keyed, [*spec.business_keys, spec.start_col]),
         ]
     )
 
@@ -296,14 +304,14 @@ def assign_version_keys(
     keys: DataFrame | None,
     spec: ScdSpec,
     as_of,
-    broadcast_rows: int | None = None,
+    floor: DataFrame | None = None,
 ) -> DataFrame:
     """D7 for the new versions: the existing key of ``bk || start`` or the next dense number.
 
-    Rows whose derived key is NULL (NULL business key) are dropped: they never get a key.
-    With ``broadcast_rows`` -- the *counted* size of ``inserted`` -- at or below the limit, the
-    new versions' keys are broadcast into the keys-table scan (a semi-join), so the keys table is
-    never shuffled; otherwise it is an ordinary left join planned by Catalyst / AQE.
+    Rows whose derived key is NULL (NULL business key) are dropped: they never get a key. Numbers
+    start after the largest one of the keys table and of ``floor`` (a frame with the surrogate key,
+    e.g. the dimension), so a number in use is never handed out again. The lookup is a left join
+    planned by Catalyst and AQE.
     """
     sk = spec.surrogate_key
     vkey = derived_key(spec.business_keys, spec.start_col)
@@ -316,10 +324,11 @@ def assign_version_keys(
             (F.col(C.KEYS_KEY_NAME) == F.lit(spec.originating_key_name))
             & (F.col(C.KEYS_SYSTEM) == F.lit(spec.source_system))
         ).select(F.col(C.KEYS_BUSINESS_KEY).alias("_vkey"), F.col(sk).cast("bigint").alias("_old_sk"))
-        if broadcast_rows is not None and broadcast_rows <= _BROADCAST_KEY_ROWS:
-            lookup = lookup.join(F.broadcast(ins.select("_vkey")), "_vkey", "left_semi")
         looked = ins.join(lookup, "_vkey", "left")
         base = max_key(keys, sk)
+    if floor is not None:
+        highest = floor.select(_q(sk)) if keys is None else floor.select(_q(sk)).unionByName(keys.select(_q(sk)))
+        base = max_key(highest, sk)
     numbered = assign_numbers(looked, "_vkey", base, "_new_sk", exclude=F.col("_old_sk").isNotNull())
     return numbered.select("*", F.coalesce(F.col("_old_sk"), F.col("_new_sk")).alias(sk))
 
@@ -331,18 +340,16 @@ def scd_load(
     as_of,
     keys: DataFrame | None = None,
     materialize: bool = True,
-    check_source_unique: bool = False,
-    broadcast_rows: int | None = None,
+    check_source_unique: bool = True,
 ) -> ScdResult:
     """One SCD batch from ``(dimension, source, keys)`` to the new dimension and new keys.
 
-    ``dim=None`` is a first load (D0 builds an empty dimension). With ``materialize`` (default)
-    the new versions are checkpointed once to the shared checkpoint folder before they are
-    numbered: dense numbering reads them twice (bucket sizes, then numbers), and the dimension
-    write, the key appends and the checks read them again, so without the checkpoint the wide join
-    would run once per reader. Their counted size then decides the broadcast of their keys into
-    the keys-table scan. ``materialize=False`` keeps everything lazy (one plan, for inspection);
-    ``broadcast_rows`` passes a count the caller already knows.
+    ``dim=None`` is a first load (D0 builds an empty dimension). With ``materialize`` (default) the
+    joined rows of dimension and source are checkpointed once to the shared folder and feed the
+    retired, kept and new rows, so the wide join runs once for all readers; the new versions are
+    checkpointed as well, since dense numbering reads them twice (bucket sizes, then numbers).
+    ``materialize=False`` keeps everything lazy (one plan, for inspection). Duplicate source keys
+    raise unless ``check_source_unique`` is off.
     """
     if check_source_unique:
         from dimload.operators.quality import assert_unique
@@ -350,17 +357,15 @@ def scd_load(
         assert_unique(source, list(spec.business_keys), what="SCD source")
     if dim is None:
         dim = prepare_dimension(source, spec, None)
-    steps = scd_steps(dim, source, spec, as_of)
+    steps = scd_steps(dim, source, spec, as_of, materialize)
     sk = spec.surrogate_key
-    n = broadcast_rows
     inserted = steps.inserted
     if materialize:
         from dimload.session import materialize as _mat
 
         inserted = _mat(inserted)
-        n = inserted.count()
         steps.inserted = inserted  # later readers (staged view, checks) reuse the checkpoint
-    keyed = assign_version_keys(inserted, keys, spec, as_of, broadcast_rows=n)
+    keyed = assign_version_keys(inserted, keys, spec, as_of, floor=steps.dim)
 
     dcols = steps.dim.columns
     skc = _q(sk)

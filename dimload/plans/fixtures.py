@@ -43,7 +43,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def scd_source_1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch 1: every 4th customer left out, so batch 2 has new keys."""
-    return table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 4 != 0).select(
+    return scd_source_all(spark, sf_dir).filter(F.col("cid") % 4 != 0)
+
+
+def scd_source_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer: a first load."""
+    return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("cid"),
         F.col("c_name").alias("name"),
         F.col("c_mktsegment").alias("seg"),
@@ -52,9 +57,10 @@ def scd_source_1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scd_source_2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch 2: type-2 changes (%7, %17 -> NULL), type-1 changes (%5, %19 -> NULL), %11 absent, %13 re-keyed."""
+    """Batch 2: type-2 changes (%7, %17 -> NULL), type-1 changes (%5, %19 -> NULL), %11 absent (but for those
+    that batch 1 left out), %13 re-keyed. The two batches together read every customer."""
     k = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").filter(k % 11 != 0).select(
+    return table(spark, sf_dir, "customer").filter((k % 11 != 0) | (k % 4 == 0)).select(
         F.when(k % 13 == 0, k + 1000000).otherwise(k).alias("cid"),
         F.col("c_name").alias("name"),
         F.when(k % 17 == 0, F.lit(None).cast("string"))
@@ -122,22 +128,9 @@ LINE_OUT = [
 LINE_TS = ("etl_updated_timestamp", "row_effective_timestamp", "row_expiry_timestamp", "row_update_timestamp")
 
 
-_CORE: dict = {}
-
-
 def line_core(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as a core table: one row per (l_orderkey, l_linenumber), derived from the whole
-    lineitem table (the generated lineitem repeats that pair, a core table may not). Like any core
-    table it is stored once (checkpointed per session) and then read by the batches."""
-    from dimload.session import materialize
-
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _CORE:
-        _CORE[key] = materialize(_line_core(spark, sf_dir))
-    return _CORE[key]
-
-
-def _line_core(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lineitem table (the generated lineitem repeats that pair, a core table may not)."""
     li = table(spark, sf_dir, "lineitem")
     return li.groupBy("l_orderkey", "l_linenumber").agg(
         F.sum("l_quantity").alias("l_quantity"),
@@ -159,9 +152,10 @@ def line_source_1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def line_source_2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch 2: first lines of even orders change return flag (type 2), second lines change
-    quantity (type 1), every etl stamp moves (ignored), orders % 7 = 0 absent."""
+    quantity (type 1), every etl stamp moves (ignored), orders % 7 = 0 absent (but for those that
+    batch 1 left out)."""
     li = line_core(spark, sf_dir)
-    return li.filter(F.col("l_orderkey") % 7 != 0).select(
+    return li.filter((F.col("l_orderkey") % 7 != 0) | (F.col("l_orderkey") % 5 == 0)).select(
         "l_orderkey",
         "l_linenumber",
         F.when(F.col("l_linenumber") == 2, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")).alias("l_quantity"),

@@ -88,7 +88,8 @@ def _keyed_start(spark, sf_dir):
 
 
 def _keyed_source(spark, sf_dir):
-    c = fx.table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 3 != 0)
+    k = F.col("c_custkey")
+    c = fx.table(spark, sf_dir, "customer").filter((k % 3 != 0) | (k % 2 != 0))
     return c.withColumn("c_acctbal", F.col("c_acctbal") + 1).select(*CUST_COLS)
 
 
@@ -110,7 +111,7 @@ def _register_core(spark, sf_dir, *names):
 
 SOURCE_SCRIPT = """
 select c_custkey, c_name, c_nationkey, c_acctbal + :bump as c_acctbal, c_mktsegment
-from {core}_customer where c_custkey % 3 <> 0
+from {core}_customer where c_custkey % 3 <> 0 or c_custkey % 2 <> 0
 """
 
 
@@ -123,14 +124,14 @@ def q_keyed_load_script(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _keyed_out(out)
 
 
-KEY_SCRIPT = "select c_custkey from {core}_customer where c_custkey % 3 <> 0"
+KEY_SCRIPT = "select c_custkey from {core}_customer where c_custkey % 3 <> 0 or c_custkey % 2 <> 0"
 LOAD_SCRIPT = """
 select m.sk, c.c_custkey, c.c_name, c.c_nationkey, c.c_acctbal + :bump as c_acctbal, c.c_mktsegment
 from {core}_customer c
 join {keys}_map_customer m
   on cast(c.c_custkey as string) = m.source_business_key
  and m.source_business_key_name = 'c_custkey' and m.source_system_code = 'core'
-where c.c_custkey % 3 <> 0
+where c.c_custkey % 3 <> 0 or c.c_custkey % 2 <> 0
 """
 
 
@@ -155,7 +156,7 @@ def _snap_base(spark, sf_dir, name):
     c = fx.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
     base = scratch_path(spark, name)
     write_daily_snapshot(c.filter(F.col("c_custkey") % 2 == 0), base, "2024-01-01")
-    write_daily_snapshot(c.filter(F.col("c_custkey") % 3 == 0), base, "2024-01-02")
+    write_daily_snapshot(c.filter((F.col("c_custkey") % 3 == 0) | (F.col("c_custkey") % 2 != 0)), base, "2024-01-02")
     return c, base
 
 
@@ -351,7 +352,7 @@ QUERIES = {
 _KEYED = f"""
 with k0 as (select row_number() over (order by md5(cast(c_custkey as varchar)), cast(c_custkey as varchar)) as sk,
     cast(c_custkey as varchar) as v from customer where c_custkey % 2 = 0),
-s as (select c_custkey, c_name, c_nationkey, c_acctbal + 1 as c_acctbal, c_mktsegment from customer where c_custkey % 3 <> 0),
+s as (select c_custkey, c_name, c_nationkey, c_acctbal + 1 as c_acctbal, c_mktsegment from customer where c_custkey % 3 <> 0 or c_custkey % 2 <> 0),
 nv as (select distinct cast(c_custkey as varchar) as v from s where cast(c_custkey as varchar) not in (select v from k0)),
 k1 as (select (select max(sk) from k0) + row_number() over (order by md5(v), v) as sk, v from nv),
 m as (select * from k0 union all select * from k1),
@@ -366,7 +367,7 @@ select sk, c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, strftime(etl
 
 _SNAP = """
 with snap as (select c_custkey, c_name, c_acctbal, '2024-01-01' as snapshot_date from customer where c_custkey % {d1} = 0
-  union all select c_custkey, c_name, c_acctbal, '2024-01-02' from customer where c_custkey % 3 = 0 {and_d2})
+  union all select c_custkey, c_name, c_acctbal, '2024-01-02' from customer where (c_custkey % 3 = 0 or c_custkey % 2 <> 0) {and_d2})
 select * from snap
 """
 

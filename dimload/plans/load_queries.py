@@ -1,8 +1,9 @@
 """Registered load-strategy queries (L1-L5, A2, P3, P5, P8, P9, J5, J6) and their SQL oracles.
 
 Load fixture over ``orders``: the target holds the orders with ``o_orderkey % 3 <> 0`` (some
-already soft-deleted, some with a NULL flag); the source holds the even orders with a new price,
-plus a second copy of every ``% 10 = 0`` order (duplicates must survive the load).
+already soft-deleted, some with a NULL flag); the source holds the orders divisible by 2 or 3 with a
+new price, plus a second copy of every ``% 10 = 0`` order (duplicates must survive the load). Target
+and source together hold every order; the refresh, which reads no target, loads all orders.
 """
 
 from __future__ import annotations
@@ -33,7 +34,11 @@ def load_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = fx.table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 2 == 0)
+    k = F.col("o_orderkey")
+    return _repriced(fx.table(spark, sf_dir, "orders").filter((k % 2 == 0) | (k % 3 == 0)))
+
+
+def _repriced(o: DataFrame) -> DataFrame:
     o = o.withColumn("o_totalprice", F.col("o_totalprice") + 1).select(*ORDER_COLS)
     return o.unionByName(o.filter(F.col("o_orderkey") % 10 == 0))
 
@@ -45,7 +50,8 @@ def _out(df: DataFrame) -> DataFrame:
 
 def _run(strategy: str, **kw):
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _out(load(load_target(spark, sf_dir), load_source(spark, sf_dir), strategy, KEYS if strategy not in ("insert", "refresh") else None, LOAD_AS_OF, **kw))
+        source = _repriced(fx.table(spark, sf_dir, "orders")) if strategy == "refresh" else load_source(spark, sf_dir)
+        return _out(load(load_target(spark, sf_dir), source, strategy, KEYS if strategy not in ("insert", "refresh") else None, LOAD_AS_OF, **kw))
 
     q.__doc__ = f"L: {strategy} load of the orders fixture"
     return q
@@ -85,7 +91,7 @@ with t as (select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdat
     case when o_orderkey % 7 = 0 then true when o_orderkey % 11 = 0 then null else false end as etl_deleted_flag
   from orders where o_orderkey % 3 <> 0),
 s0 as (select o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 as o_totalprice, o_orderdate, o_orderpriority
-  from orders where o_orderkey % 2 = 0),
+  from orders where o_orderkey % 2 = 0 or o_orderkey % 3 = 0),
 s as (select * from s0 union all select * from s0 where o_orderkey % 10 = 0),
 ins as (select *, date_trunc('second', timestamp '{LOAD_AS_OF}') as etl_updated_timestamp, false as etl_deleted_flag from s)
 """
@@ -109,7 +115,7 @@ ORACLES = {
     "load_upsert": LOAD_CTE + _UPSERT + _SEL + "r",
     "load_refresh_by_keys": LOAD_CTE + _UPSERT + _SEL + "r",
     "load_full": LOAD_CTE + _FULL + _SEL + "r",
-    "load_refresh": LOAD_CTE + _SEL + "ins",
+    "load_refresh": LOAD_CTE.replace("where o_orderkey % 2 = 0 or o_orderkey % 3 = 0", "") + _SEL + "ins",
     "load_upsert_conditional": LOAD_CTE
     + """, r as (select * from t where not (o_orderstatus = 'O' and o_orderkey in (select distinct o_orderkey from s))
         union all select * from ins where o_orderstatus <> 'P') """

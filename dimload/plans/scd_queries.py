@@ -8,13 +8,15 @@ written once per session to the shared checkpoint folder, as a real first load w
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dimload.operators.schema import describe_schema, empty_like
-from dimload.operators.scd import ScdResult, publish_with_keys, scd_checks, scd_load, scd_steps
+from dimload.operators.scd import ScdResult, ScdSpec, publish_with_keys, scd_checks, scd_load, scd_steps
 from dimload.plans import fixtures as fx
 from dimload.session import materialize, materialize_clustered, scratch_path
 from dimload.sources.io import mirror
 
+AS_OF_3 = "2024-09-01 00:00:00"
 _STATE: dict = {}
 
 
@@ -35,8 +37,7 @@ def batch1(spark: SparkSession, sf_dir: str) -> ScdResult:
         r = scd_load(dim0(spark, sf_dir), fx.scd_source_1(spark, sf_dir), fx.SCD_SPEC, fx.AS_OF_1, keys=None)
         # Stored clustered by business key, as a dimension table should be (bucketed on it), so
         # the next batch joins it without shuffling it.
-        parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
-        dim = materialize_clustered(r.dimension, list(fx.SCD_SPEC.business_keys), parts)
+        dim = materialize_clustered(r.dimension, list(fx.SCD_SPEC.business_keys))
         keys = materialize(r.new_keys)
         _STATE[key] = ScdResult(dim, keys, r.new_map, r.steps)
     return _STATE[key]
@@ -52,8 +53,7 @@ def line_batch1(spark: SparkSession, sf_dir: str) -> ScdResult:
     key = _state_key(spark, sf_dir, "line_batch1")
     if key not in _STATE:
         r = scd_load(None, fx.line_source_1(spark, sf_dir), fx.LINE_SPEC, fx.AS_OF_1)
-        parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
-        dim = materialize_clustered(r.dimension, list(fx.LINE_SPEC.business_keys), parts)
+        dim = materialize_clustered(r.dimension, list(fx.LINE_SPEC.business_keys))
         _STATE[key] = ScdResult(dim, materialize(r.new_keys), r.new_map, r.steps)
     return _STATE[key]
 
@@ -79,7 +79,7 @@ def q_scd_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_scd_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D0 + E1 + D5 + D7 from no table: every row starts 1970-01-01, keys 1..n in md5 order."""
-    r = scd_load(None, fx.scd_source_1(spark, sf_dir), fx.SCD_SPEC, fx.AS_OF_1, materialize=False)
+    r = scd_load(None, fx.scd_source_all(spark, sf_dir), fx.SCD_SPEC, fx.AS_OF_1, materialize=False)
     return _out(r.dimension)
 
 
@@ -136,8 +136,9 @@ def q_scd_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_keys_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1 / K2: keys of the first load (value, number), md5 order."""
-    return batch1(spark, sf_dir).new_keys.select("sk", "originating_source_business_key", "originating_business_key_name", "originating_source_system_code", "active_flag")
+    """K1 / K2: keys of a first load of all customers (value, number), md5 order."""
+    r = scd_load(None, fx.scd_source_all(spark, sf_dir), fx.SCD_SPEC, fx.AS_OF_1)
+    return r.new_keys.select("sk", "originating_source_business_key", "originating_business_key_name", "originating_source_system_code", "active_flag")
 
 
 def q_keys_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,7 +158,47 @@ def q_scd_on_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out(read_dimension(spark, paths["dim_path"], fx.SCD_SPEC))
 
 
+EVENT_SPEC = ScdSpec(business_keys=("event_type", "user_id"), scd2_columns=("n",), surrogate_key="sk", current_col="cur", start_col="st", end_col="en", update_col="up")
+EVENT_OUT = ["event_type", "user_id", "n", "last_id", "first_id", "cur", "st", "en", "up", "sk"]
+
+
+def _event_sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Three batches of event counts by a compound key with a text part: new keys come with the
+    second batch, and the third one brings a new column."""
+    e = fx.table(spark, sf_dir, "events").groupBy("event_type", "user_id")
+    core = e.agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last_id"), F.min("event_id").alias("first_id"))
+    user = F.col("user_id")
+    second = core.withColumn("n", F.when(user % 3 == 0, F.col("n") + 1).otherwise(F.col("n"))).withColumn("last_id", F.when(user % 7 == 0, F.col("last_id") + 1).otherwise(F.col("last_id")))
+    return [core.drop("first_id").filter(user % 5 != 0), second.drop("first_id"), second]
+
+
+def _event_batches(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    from dimload.operators.publish import run_scd_batch
+
+    root = scratch_path(spark, "scd_events")
+    paths = dict(dim_path=f"{root}/dim", keys_path=f"{root}/keys", map_path=f"{root}/map", ledger_path=f"{root}/ledger")
+    for k, (source, as_of) in enumerate(zip(_event_sources(spark, sf_dir), (fx.AS_OF_1, fx.AS_OF_2, AS_OF_3))):
+        run_scd_batch(spark, source, EVENT_SPEC, as_of, str(k + 1), **paths)
+    return paths
+
+
+def q_scd_events_on_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D8 / F3 on storage: three batches on a compound key with a text part, one gains a column."""
+    from dimload.operators.publish import read_dimension
+
+    return _out(read_dimension(spark, _event_batches(spark, sf_dir)["dim_path"], EVENT_SPEC), EVENT_OUT)
+
+
+def q_scd_events_keys_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 / K3 on storage: every key of the stored batches with its map row (null: an orphan)."""
+    paths = _event_batches(spark, sf_dir)
+    keys = spark.read.parquet(paths["keys_path"]).select("sk", F.col("originating_source_business_key").alias("k"))
+    return keys.join(spark.read.parquet(paths["map_path"]).select("sk", F.col("source_business_key").alias("mapped")), "sk", "left")
+
+
 QUERIES = {
+    "scd_events_on_storage": q_scd_events_on_storage,
+    "scd_events_keys_map": q_scd_events_keys_map,
     "scd_load": q_scd_load,
     "scd_on_storage": q_scd_on_storage,
     "scd_load_lines": q_scd_load_lines,
@@ -178,6 +219,7 @@ QUERIES = {
 
 _TS = "'%Y-%m-%d %H:%M:%S.%f'"
 AS1 = "timestamp '2024-01-01 00:00:00.000001'"
+AS3 = "timestamp '2024-09-01 00:00:00'"
 AS2 = "timestamp '2024-06-01 12:00:00.123456'"
 
 SCD_CTE = f"""
@@ -185,7 +227,7 @@ with s1 as (select c_custkey as cid, c_name as name, c_mktsegment as seg, c_acct
 s2 as (select case when c_custkey % 13 = 0 then c_custkey + 1000000 else c_custkey end as cid, c_name as name,
   case when c_custkey % 17 = 0 then null when c_custkey % 7 = 0 then concat(c_mktsegment, '_X') else c_mktsegment end as seg,
   case when c_custkey % 5 = 0 then c_acctbal + 1 when c_custkey % 19 = 0 then null else c_acctbal end as bal
-  from customer where c_custkey % 11 <> 0),
+  from customer where c_custkey % 11 <> 0 or c_custkey % 4 = 0),
 d1 as (select *, true as cur, timestamp '1970-01-01' as st, timestamp '2400-01-01' as en, cast(null as timestamp) as up,
   row_number() over (order by md5(cast(cid as varchar) || strftime(timestamp '1970-01-01', {_TS})), cid) as sk from s1),
 j as (select d1.*, s2.cid is not null as m, s2.seg is distinct from d1.seg as x2,
@@ -218,11 +260,12 @@ HIST_CTE = SCD_CTE.replace(
 mx as (select cid, max(en) as m, bool_or(cur) as has from (select * from kept union all select * from h) group by cid),""",
 )
 
+ALL_CTE = SCD_CTE.replace("from customer where c_custkey % 4 <> 0)", "from customer)")
 KEY_COLS = "sk, originating_source_business_key, originating_business_key_name, originating_source_system_code, active_flag"
 
 ORACLES = {
     "scd_load": SCD_CTE + _sel("fin"),
-    "scd_first_load": SCD_CTE + _sel("d1"),
+    "scd_first_load": ALL_CTE + _sel("d1"),
     "mirror_customer": "select * from customer",
     "scd2_retire": SCD_CTE + _sel("kept", where="where not cur"),
     "scd1_update": SCD_CTE + _sel("kept", where="where up is not null"),
@@ -237,7 +280,7 @@ union all select 'current_end_is_default_end', count(*) = 0, count(*) from stage
 union all select 'unique_cid_st', count(*) = 0, count(*) from (select cid, st from staged group by cid, st having count(*) > 1)""",
     "scd_publish": SCD_CTE + _sel("fin"),
     "scd_on_storage": SCD_CTE + _sel("fin"),
-    "keys_generate": SCD_CTE
+    "keys_generate": ALL_CTE
     + f"select sk, cast(cid as varchar) || strftime(st, {_TS}) as originating_source_business_key, 'cid||st' as originating_business_key_name, 'core' as originating_source_system_code, false as active_flag from d1",
     "keys_incremental": SCD_CTE
     + f"select sk, cast(cid as varchar) || strftime(st, {_TS}) as originating_source_business_key, 'cid||st' as originating_business_key_name, 'core' as originating_source_system_code, false as active_flag from insk",
@@ -250,7 +293,7 @@ with core as (select l_orderkey, l_linenumber, sum(l_quantity) as l_quantity, ro
 s1 as (select * from core where l_orderkey % 5 <> 0),
 s2 as (select l_orderkey, l_linenumber, case when l_linenumber = 2 then l_quantity + 1 else l_quantity end as l_quantity, l_extendedprice,
     case when l_linenumber = 1 and l_orderkey % 2 = 0 then 'X' else l_returnflag end as l_returnflag, l_linestatus
-  from core where l_orderkey % 7 <> 0),
+  from core where l_orderkey % 7 <> 0 or l_orderkey % 5 = 0),
 d1 as (select *, {AS1} as etl_updated_timestamp, timestamp '1970-01-01' as st, timestamp '2400-01-01' as en, cast(null as timestamp) as up, true as cur,
     row_number() over (order by md5({_LK} || strftime(timestamp '1970-01-01', {_TS})), {_LK} || strftime(timestamp '1970-01-01', {_TS})) as sk from s1),
 j as (select d1.*, s2.l_orderkey is not null as m,
@@ -273,6 +316,29 @@ select l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag, l_li
 """
 ORACLES["scd_load_lines"] = LINE_SQL
 
+_EK = f"event_type || '|' || cast(user_id as varchar) || strftime(st, {_TS})"
+_EVENTS = f"""
+with core as (select event_type, user_id, count(*) as n, max(event_id) as last_id, min(event_id) as first_id from events group by event_type, user_id),
+s2 as (select event_type, user_id, case when user_id % 3 = 0 then n + 1 else n end as n,
+    case when user_id % 7 = 0 then last_id + 1 else last_id end as last_id, first_id from core),
+d1 as (select event_type, user_id, n, last_id, true as cur, timestamp '1970-01-01' as st, timestamp '2400-01-01' as en, cast(null as timestamp) as up
+  from core where user_id % 5 <> 0),
+k1 as (select *, row_number() over (order by md5({_EK}), {_EK}) as sk from d1),
+kept as (select event_type, user_id, k1.n, case when s2.n = k1.n then s2.last_id else k1.last_id end as last_id, s2.n = k1.n as cur, st,
+    case when s2.n = k1.n then en else {AS2} end as en, case when s2.n = k1.n and s2.last_id <> k1.last_id then {AS2} end as up, sk
+  from k1 join s2 using (event_type, user_id)),
+ins as (select s2.event_type, s2.user_id, s2.n, s2.last_id, true as cur, coalesce(kept.en + interval 1 microsecond, timestamp '1970-01-01') as st,
+    timestamp '2400-01-01' as en, cast(null as timestamp) as up
+  from s2 left join kept on s2.event_type = kept.event_type and s2.user_id = kept.user_id where kept.cur is distinct from true),
+insk as (select *, (select max(sk) from k1) + row_number() over (order by md5({_EK}), {_EK}) as sk from ins),
+d2 as (select * from kept union all select * from insk),
+fin as (select d2.event_type, d2.user_id, d2.n, d2.last_id, case when cur then s2.first_id end as first_id, cur, st, en,
+    case when cur and s2.first_id is not null then {AS3} else up end as up, sk
+  from d2 join s2 on d2.event_type = s2.event_type and d2.user_id = s2.user_id)
+"""
+ORACLES["scd_events_on_storage"] = _EVENTS + _sel("fin", EVENT_OUT)
+ORACLES["scd_events_keys_map"] = _EVENTS + f"select sk, {_EK} as k, {_EK} as mapped from fin"
+
 ORACLES["dim_create_empty"] = """
 with d as (select * from (describe select c_custkey as cid, c_name as name, c_mktsegment as seg, c_acctbal as bal,
     cast(null as timestamp) as etl_updated_timestamp, cast(null as boolean) as etl_deleted_flag,

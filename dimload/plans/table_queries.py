@@ -12,7 +12,7 @@ from dimload.operators.loads import load
 from dimload.operators.multi import for_each_table, row_count, table_stats
 from dimload.operators.predicates import common_projection, join_condition, mapped_projection, row_cap
 from dimload.operators.quality import combine_checks, duplicate_keys, expect_no_rows, expect_rows, null_key_report, unique_columns
-from dimload.operators.schema import add_column, align_columns, clean_names, conform, schema_from_specs
+from dimload.operators.schema import add_column, clean_names, conform, schema_from_specs
 from dimload.plans import fixtures as fx
 from dimload.sources.ledger import value_exists
 
@@ -41,14 +41,13 @@ def q_mapped_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_align_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A narrower target gains the source's missing columns, then takes an upsert."""
+    """E3 in L2: the upsert gives a narrower target the source's missing columns."""
     o = fx.table(spark, sf_dir, "orders")
     target = o.filter(F.col("o_orderkey") % 3 != 0).select(
         "o_orderkey", "o_custkey", "o_orderstatus", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias(C.ETL_UPDATED), F.lit(False).alias(C.ETL_DELETED)
     )
-    source = o.filter(F.col("o_orderkey") % 5 == 0).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
-    aligned = align_columns(target, source)
-    out = load(aligned, source, "upsert", [("o_orderkey", "o_orderkey")], AS_OF)
+    source = o.filter((F.col("o_orderkey") % 5 == 0) | (F.col("o_orderkey") % 3 == 0)).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    out = load(target, source, "upsert", [("o_orderkey", "o_orderkey")], AS_OF)
     return out.withColumn(C.ETL_UPDATED, key_timestamp_text(F.col(C.ETL_UPDATED)))
 
 
@@ -242,7 +241,7 @@ ORACLES = {
     "mapped_projection": "select o_orderkey as order_id, o_totalprice as amount, o_orderstatus as status from orders",
     "align_columns": f"""with t as (select o_orderkey, o_custkey, o_orderstatus, timestamp '2024-01-01 00:00:00' as etl_updated_timestamp,
     false as etl_deleted_flag, cast(null as double) as o_totalprice, cast(null as varchar) as o_orderpriority from orders where o_orderkey % 3 <> 0),
-s as (select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders where o_orderkey % 5 = 0),
+s as (select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders where o_orderkey % 5 = 0 or o_orderkey % 3 = 0),
 r as (select * from t where o_orderkey not in (select o_orderkey from s)
   union all select o_orderkey, o_custkey, o_orderstatus, timestamp '{AS_OF}', false, o_totalprice, o_orderpriority from s)
 select o_orderkey, o_custkey, o_orderstatus, strftime(etl_updated_timestamp, {_TS}) as etl_updated_timestamp, etl_deleted_flag, o_totalprice, o_orderpriority from r""",

@@ -71,22 +71,25 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def materialize_clustered(df: DataFrame, columns, partitions: int | None = None) -> DataFrame:
-    """Hash-partition ``df`` by ``columns`` and checkpoint it so that the partitioning survives.
-
-    A checkpoint taken under adaptive execution reports an unknown partitioning, so later joins
-    and aggregates on ``columns`` would shuffle it again. The upstream plan is therefore
-    checkpointed first with adaptive execution on (its shuffles coalesced, skew handled); only the
-    final repartition-and-checkpoint of those rows runs with adaptive execution paused (a plain
-    scan and one shuffle, nothing to adapt), and the session setting is restored afterwards.
-    """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.checkpoint(eager=True)
-    key = "spark.sql.adaptive.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        return rows.repartition(n, *columns).checkpoint(eager=True)
-    finally:
-        spark.conf.set(key, before)
+    """``df`` hash-partitioned by ``columns`` and checkpointed: rows of a key lie together."""
+    ensure_checkpoint_dir(df.sparkSession)
+    n = [partitions] if partitions else []
+    return df.repartition(*n, *columns).checkpoint(eager=True)
+
+
+def _folder(spark: SparkSession, path: str):
+    """Hadoop's file system and path of a folder."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def sub_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path`` (none when it does not exist)."""
+    fs, where = _folder(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory()] if fs.exists(where) else []
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that a load no longer needs (staged copies, replaced partitions)."""
+    fs, where = _folder(spark, path)
+    fs.delete(where, True)
