@@ -140,7 +140,7 @@ def log_chances(model: dict[str, np.ndarray], p: dict[str, np.ndarray], rows: np
     return np.log(np.maximum(chance, 1e-12))
 
 
-def _fit(key, grams: pd.DataFrame) -> pd.DataFrame:
+def _fit(key: tuple[str], grams: pd.DataFrame) -> pd.DataFrame:
     model = fitted(grams)
     names = sorted(model)
     return pd.DataFrame({"lang": [key[0]], **{n: [model[n].tobytes()] for n in names}})
