@@ -8,10 +8,11 @@ between different sets is found or is implied by others; none is lost:
 * Equal sets are one set (grouped by size and a 128-bit signature), so copies never meet in a list.
 * Shingles are ordered from rare to frequent, by counts over all documents in ``2 ** 20`` hash
   buckets (4 MB at any size of the corpus; any order is right, this one keeps lists short). Linked
-  sets share a shingle within their first ``n - ceil(0.8 n) + 1``; index lists are made of those.
+  sets share a shingle within their first ``n - ceil(0.8 n) + 1``; index lists are made of those,
+  with each entry's position, and a pair is only looked at where its first shared shingle can be.
 * A list is ordered by a hash of the set, alike in all lists, and cut into blocks by position. Round
-  by round, the sets of the next block are compared with all sets after them: blocks hold 16, then
-  64, 256, ... sets. A pair is skipped if size or positions rule it out, or if both sets already
+  by round, the sets of the next block are compared with all sets after them: blocks end at 4,
+  64, 1024, ... sets. A pair is skipped if size or positions rule it out, or if both sets already
   belong to one component: a set that is highly similar to another one takes over its answers, so
   a group of near copies costs about a block's comparisons for each set, not all pairs. The rounds
   end when the lists are used up.
@@ -43,7 +44,9 @@ from dimload.session import scratch_path
 
 WIDTH, PERCENT = 5, 80
 BUCKET_BITS, CHUNKS = 20, 256
-FIRST_BLOCK, BLOCK_GROWTH = 16, 4
+FIRST_BLOCK, BLOCK_GROWTH = 4, 16
+BUFFER = 1_000_000  # pairs a task holds to drop repeated ones
+LIST_ROWS = 50_000  # entries of lists of one component that a group of lists may hold
 LOW = 0xFFFFFFFF  # a place holds a set's size above the entry's position
 PARTNERS = 512  # of one set in one verification group
 _TABLE = byte_table(BLANKS, lower=True)
@@ -186,10 +189,11 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _possible(na, pa_, nb, pb):
-    """Whether sets of these sizes that share a shingle at these positions can be linked."""
+    """Whether sets of these sizes can be linked with their first shared shingle at these positions:
+    as many shingles as they need to share must be left in both from there on. A linked pair passes
+    in the list of its first shared shingle, if not in others."""
     need = -(-PERCENT * (na + nb) // (100 + PERCENT))
-    most = np.minimum(pa_, pb) + np.minimum(na - pa_, nb - pb)
-    return (100 * np.minimum(na, nb) >= PERCENT * np.maximum(na, nb)) & (most >= need)
+    return (100 * np.minimum(na, nb) >= PERCENT * np.maximum(na, nb)) & (np.minimum(na - pa_, nb - pb) >= need)
 
 
 _PAIR = pa.schema([(c, pa.int64()) for c in ("token", "rank", "sid", "place", "a", "b")])
@@ -199,12 +203,19 @@ def _list_pairs(lo: int, hi: int, keep_long: bool):
     """Pairs of each list's sets of ranks lo to hi with all later sets of other components.
 
     Rows come sorted by list and rank order. With ``keep_long``, entries of lists beyond ``hi`` are
-    returned too (token not null), for the next rounds. Only a block of a list is held.
+    returned too (token not null), for the next rounds. A task holds a block of a list, and pairs up
+    to ``BUFFER``, since lists with common sets repeat them.
     """
 
+    def packed_pairs(both: np.ndarray) -> pa.RecordBatch:
+        none = pa.nulls(both.shape[1], pa.int64())
+        return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(both[0]), pa.array(both[1])], schema=_PAIR)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, rank = None, 0  # the list that is open, and its entries so far
         block: list[np.ndarray] = []  # its entries of ranks below hi: (rank, sid, place, comp)
+        pairs: list[np.ndarray] = []
+        held_pairs = 0
 
         for batch in batches:
             t = batch.column("token").to_numpy(zero_copy_only=False)
@@ -213,7 +224,7 @@ def _list_pairs(lo: int, hi: int, keep_long: bool):
                 continue
             start = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
             stop = np.r_[start[1:], len(t)]
-            pairs, longs = [], []
+            longs = []
             whole = (t[start] != token) & (stop < len(t))  # lists that begin and end here
             if lo == 0:  # most lists hold two sets: all of them at once
                 two = start[whole & (stop - start == 2)]
@@ -245,18 +256,31 @@ def _list_pairs(lo: int, hi: int, keep_long: bool):
                     a, b = np.nonzero(ok)
                     if len(a):
                         pairs.append(np.stack([lead[1][a], later[1][b]]))
-            if pairs:
-                both = np.unique(np.hstack(pairs), axis=1)
-                none = pa.nulls(both.shape[1], pa.int64())
-                yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(both[0]), pa.array(both[1])], schema=_PAIR)
+            if sum(x.shape[1] for x in pairs) > 2 * held_pairs + BUFFER // 4:
+                pairs = [distinct_pairs(np.hstack(pairs))]
+                held_pairs = pairs[0].shape[1]
+                if held_pairs > BUFFER:
+                    yield packed_pairs(pairs[0])
+                    pairs, held_pairs = [], 0
             if longs:
                 rows = np.hstack(longs)
                 none = pa.nulls(rows.shape[1], pa.int64())
                 yield pa.RecordBatch.from_arrays([*map(pa.array, rows), none, none], schema=_PAIR)
+        if pairs:
+            yield packed_pairs(distinct_pairs(np.hstack(pairs)))
 
     return run
 
 
+def distinct_pairs(both: np.ndarray) -> np.ndarray:
+    """The different columns of two rows of ids."""
+    order = np.lexsort(both)
+    both = both[:, order]
+    new = np.ones(both.shape[1], bool)
+    new[1:] = (both[:, 1:] != both[:, :-1]).any(axis=0)
+    return both[:, new]
+
+
 # --- verification ----------------------------------------------------------------------------------
 
 
@@ -321,13 +345,12 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, comp): the smallest node reachable by ``links`` (a, b), for all nodes with a link."""
     edges = saved(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp")).select(F.col("a").alias("node"), "comp")
+    labels = saved(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp")).select(F.col("a").alias("node"), "comp"), "labels")
     while True:
-        labels = saved(labels, "labels")
         near = edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
         lower = labels.join(near, "node").select("node", "comp", F.least("comp", "near").alias("new"))
         jump = labels.select(F.col("node").alias("new"), F.col("comp").alias("root"))
-        step = saved(lower.join(jump, "new").select("node", "comp", F.least("new", "root").alias("new")), "steps")
+        step = saved(lower.join(jump, "new").select("node", "comp", F.least("new", "root").alias("new")), "labels")
         if step.where("new <> comp").isEmpty():
             return labels
         labels = step.select("node", F.col("new").alias("comp"))
@@ -360,15 +383,20 @@ def groups(docs: DataFrame) -> DataFrame:
     lo, hi = FIRST_BLOCK, FIRST_BLOCK * BLOCK_GROWTH
     while True:
         labelled = long_lists.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
-        mixed = labelled.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max("rank").alias("r"))
-        mixed = saved(mixed.where((F.col("x") != F.col("y")) & (F.col("r") > lo)).select("token"), "open-lists")
+        mixed = labelled.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max("rank").alias("r"), F.count("*").alias("m"))
+        mixed = saved(mixed.where((F.col("x") != F.col("y")) & (F.col("r") > lo)).select("token", "x", "m"), "open-lists")
         if mixed.isEmpty():
             break
-        left = labelled.join(mixed, "token").repartition("token").sortWithinPartitions("token", "rank")
+        # lists of one component have many sets in common: together, they yield a pair once
+        parts = mixed.groupBy("x").agg(F.ceil(F.sum("m") / LIST_ROWS).alias("_parts"))
+        mixed = mixed.join(parts, "x").select("token", "x", F.pmod(F.xxhash64("token"), F.col("_parts")).alias("part"))
+        left = labelled.join(mixed, "token").repartition("x", "part").sortWithinPartitions("token", "rank")
         pairs = saved(left.mapInArrow(_list_pairs(lo, hi, False), schema).select("a", "b").distinct(), "pairs")
         if not pairs.isEmpty():
-            links = links.unionByName(saved(verify(pairs, texts), "links"))
-            labels = components(links)
+            more = saved(verify(pairs, texts), "links")
+            if not more.isEmpty():
+                links = links.unionByName(more)
+                labels = components(links)
         lo, hi = hi, hi * BLOCK_GROWTH
     of_set = sets.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select(*keys, "sid", F.coalesce("comp", "sid").alias("comp"))
     of_doc = one.join(of_set, keys).select("doc_id", F.col("comp").alias("component_id"))
