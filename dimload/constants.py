@@ -69,7 +69,7 @@ BACKFILL_DAYS_OTHER = 2
 # --- fixed values: delimited unload format and single-file size cap (bytes) ---------------------
 UNLOAD_DELIMITER = ","
 UNLOAD_ESCAPE = "/"
-SINGLE_FILE_MAX_BYTES = 5_000_000_000
+UNLOAD_NULL = "\\N"
 
 # --- fixed values: compressed-file pattern (the dot is deliberately unescaped) -------------------
 COMPRESSED_PATTERN = ".*(.gz)\\d*$"

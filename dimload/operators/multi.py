@@ -33,8 +33,8 @@ def catalog_tables(spark: SparkSession, databases: str | list[str] | None = None
     out = {}
     for db in dbs:
         for t in spark.catalog.listTables(db):
-            name = f"{db}.{t.name}" if not t.isTemporary else t.name
-            out[name] = spark.table(name)
+            if not t.isTemporary:  # session views are listed with every database
+                out[f"{db}.{t.name}"] = spark.table(f"{db}.{t.name}")
     return out
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimload import constants as C
 from dimload.functions.columns import truncate_to_second, ts_ntz
@@ -56,12 +58,17 @@ def row_cap(df: DataFrame, n: int | None, order_by: Sequence[str] | None = None)
 
 
 def not_default_rows(df: DataFrame, business_keys: Sequence[str]) -> DataFrame:
-    """Drop rows whose business keys are all negative (default / unknown members)."""
-    cond = None
-    for k in business_keys:
-        term = _q(k) < 0
-        cond = term if cond is None else cond & term
-    return df.filter(~cond)
+    """Drop rows whose business keys are all negative (default / unknown members).
+
+    The sign test only exists for numeric keys; text keys have no default rows to leave out, but a
+    NULL text key drops its row as a NULL number does.
+    """
+    numeric = [k for k in business_keys if isinstance(df.select(_q(k)).schema[0].dataType, T.NumericType)]
+    text = [k for k in business_keys if k not in numeric]
+    rows = df.dropna(subset=text) if text else df
+    if not numeric:
+        return rows
+    return rows.filter(~reduce(lambda a, b: a & b, [_q(k) < 0 for k in numeric]))
 
 
 def default_rows(df: DataFrame, surrogate_key: str) -> DataFrame:

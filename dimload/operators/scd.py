@@ -22,11 +22,11 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from dimload import constants as C
 from dimload.functions.columns import any_differs, default_end, derived_key, next_start, ts_ntz
 from dimload.operators.keys import assign_numbers, keys_to_map, max_key
+from dimload.operators.predicates import not_default_rows
 
 _S = "_src_"  # prefix of source columns inside the joined frame
 
@@ -183,11 +183,7 @@ def scd_steps(dim: DataFrame, source: DataFrame, spec: ScdSpec, as_of, materiali
     asof = ts_ntz(as_of)
 
     # Working copy without default rows (all business keys < 0; NULL keys drop out too).
-    # The sign test only exists for numeric keys; text keys have no default rows to leave out.
-    numeric = [k for k in bks if isinstance(dim.schema[_has(dcols, k)].dataType, T.NumericType)]
-    work = dim.dropna(subset=[k for k in bks if k not in numeric]) if len(numeric) < len(bks) else dim
-    if numeric:
-        work = work.filter(~reduce(lambda a, b: a & b, [_q(k) < 0 for k in numeric]))
+    work = not_default_rows(dim, bks)
     history = work.filter(~F.coalesce(_q(spec.current_col), F.lit(False)))
     cur = work.filter(_q(spec.current_col))
 

@@ -112,32 +112,36 @@ def clean_names(df: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------------------------------------
 
 
-def spec_field(column: Mapping | str, kind: str | None = None) -> T.StructField:
+#: How the entry of each kind of spec is read; any other kind names the entry's own key.
+_ENTRY = {
+    None: lambda column: column,
+    "target": lambda column: column["target_column"],
+    "name_only": lambda column: {"name": column},
+    "use_spec_file": lambda column: column["source_column"],
+    "use_spec_file_but_ignoreheader": lambda column: column["source_column"],
+}
+#: Kinds whose declared types describe the file, not the table: the table takes the default type.
+_FILE_KINDS = ("use_spec_file", "use_spec_file_but_ignoreheader")
+
+
+def spec_type(entry: Mapping, kind: str | None = None, default_type: str = C.DEFAULT_SPEC_TYPE) -> str:
+    """The type of a column spec's entry: declared (by alias), told by its name, or the default."""
+    declared = None if kind in _FILE_KINDS else entry.get("datatype")
+    if declared:
+        return C.TYPE_ALIASES.get(declared, declared)
+    flag = kind == "name_only" and any(part in entry["name"] for part in C.BOOLEAN_NAME_FRAGMENTS)
+    return "boolean" if flag else default_type
+
+
+def spec_field(column: Mapping | str, kind: str | None = None, default_type: str = C.DEFAULT_SPEC_TYPE) -> T.StructField:
     """One column spec -> ``StructField``.
 
     ``kind``: ``'target'`` / ``'use_spec_file'`` / ``'use_spec_file_but_ignoreheader'`` / ``'name_only'``
     or a custom key; the entry is ``{'name', 'datatype'?, 'mandatory'?}``.
     """
-    spec_file = kind in ("use_spec_file", "use_spec_file_but_ignoreheader")
-    if kind == "target":
-        column = column["target_column"]
-    elif kind == "name_only":
-        column = {"name": column}
-    elif spec_file:
-        column = column["source_column"]
-    elif kind:
-        column = column[kind]
-    name = column["name"]
-    dtype = column.get("datatype")
-    if dtype and not spec_file:
-        dtype = C.TYPE_ALIASES.get(dtype, dtype)
-    elif kind == "name_only" and any(frag in name for frag in C.BOOLEAN_NAME_FRAGMENTS):
-        dtype = "boolean"
-    elif not dtype or spec_file:
-        dtype = column.get("datatype") or C.DEFAULT_SPEC_TYPE
-    dtype = _spark_type_name(dtype)
-    nullable = not bool(column.get("mandatory"))
-    return T.StructField(name, T._parse_datatype_string(dtype), nullable)
+    entry = _ENTRY[kind](column) if kind in _ENTRY else column[kind]
+    data_type = T._parse_datatype_string(_spark_type_name(spec_type(entry, kind, default_type)))
+    return T.StructField(entry["name"], data_type, not entry.get("mandatory"))
 
 
 def _spark_type_name(dtype: str) -> str:
@@ -155,9 +159,11 @@ def _spark_type_name(dtype: str) -> str:
     return d
 
 
-def schema_from_specs(columns: Sequence, kind: str | None = None, add_etl_metadata: bool = True) -> T.StructType:
+def schema_from_specs(
+    columns: Sequence, kind: str | None = None, add_etl_metadata: bool = True, default_type: str = C.DEFAULT_SPEC_TYPE
+) -> T.StructType:
     """The table schema a list of column specs describes (+ etl metadata)."""
-    fields = [spec_field(c, kind) for c in columns]
+    fields = [spec_field(c, kind, default_type) for c in columns]
     if add_etl_metadata:
         fields += [
             T.StructField(C.ETL_UPDATED, T.TimestampNTZType()),

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimload import constants as C
-from dimload.sources.ledger import pending_only
+from dimload.sources.ledger import LEDGER_SCHEMA, ledger_rows, pending_only
 
 SNAPSHOT_COL = "snapshot_date"
 
@@ -99,3 +99,47 @@ def backfill(
     rows = data.withColumn("day", day_of.cast("date"))
     days = F.broadcast(pending.select("day").distinct())
     return daily_load(rows.join(days, "day", "left_semi"))
+
+
+def backfill_into(
+    spark: SparkSession,
+    data: DataFrame,
+    day_of: Column,
+    daily_load: Callable[..., DataFrame],
+    base_path: str,
+    ledger_path: str,
+    prefix: str,
+    today,
+    days_back: int,
+    as_of,
+    ordered: bool = False,
+) -> DataFrame:
+    """L10 on storage: load every pending day into its partition ``day=<d>`` and mark it done.
+
+    By default one job loads all pending days; a day without rows gets no partition. With
+    ``ordered``, for loads that read the day before, days run one after the other, oldest first:
+    ``daily_load(rows, before)`` gets the table as of the day before (``None`` when nothing is
+    stored). Days are marked after their rows are written, so a crash repeats a day and never skips
+    one; a repeated day replaces its partition. Returns the days that were loaded.
+    """
+    from dimload.operators.publish import read_or_none
+
+    ledger = read_or_none(spark, ledger_path, LEDGER_SCHEMA)
+    if ledger is None:
+        ledger = spark.createDataFrame([], LEDGER_SCHEMA)
+    rows = pending_days(spark, today, days_back, ledger, prefix).orderBy("day").collect()  # days_back rows at most
+    pending = spark.createDataFrame([(r["day"], r["update_id"]) for r in rows], "day date, update_id string")
+
+    def write(out: DataFrame, days: DataFrame) -> None:
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(base_path)
+        ledger_rows(days, "update_id", as_of, prefix).write.mode("append").parquet(ledger_path)
+
+    if not ordered:
+        write(backfill(data, day_of, pending, daily_load), pending)
+        return pending
+    for r in rows:
+        one = pending.filter(F.col("day") == F.lit(r["day"]))
+        stored = read_or_none(spark, base_path)
+        before = None if stored is None else stored.filter(F.col("day") < F.lit(r["day"]))
+        write(backfill(data, day_of, one, lambda day_rows, before=before: daily_load(day_rows, before)), one)
+    return pending

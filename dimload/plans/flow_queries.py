@@ -3,21 +3,24 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimload import constants as C
-from dimload.functions.columns import is_compressed, key_timestamp_text, ts_ntz
+from dimload.functions.columns import bucket_of_url, directory_of_key, file_of_key, is_compressed, key_timestamp_text, path_of_url, table_of_name, ts_ntz
 from dimload.operators.keys import empty_keys, generate_keys, keys_to_map, with_key
 from dimload.operators.loads import keyed_load, load
 from dimload.operators.quality import CheckFailed, expect_no_rows, expect_rows, combine_checks, unique_columns
-from dimload.operators.snapshots import backfill, pending_days, write_daily_snapshot
+from dimload.operators.publish import keyed_load_into, load_into
+from dimload.operators.snapshots import backfill, backfill_into, pending_days, write_daily_snapshot
 from dimload.plans import fixtures as fx
 from dimload.plans import load_queries as lq
 from dimload.session import materialize, scratch_path
 from dimload.sources.io import file_manifest, load_delimited, manifest_names, mirror, unload
 from dimload.sources.ledger import ledger_rows
-from dimload.sources.scripts import overwrite_via_staging, refresh_table, run_script, view_from_script
+from dimload.sources.scripts import overwrite_via_staging, refresh_into, refresh_table, run_script, view_from_script
 
 AS_OF = "2024-03-15 08:30:45"
 _TS = "'%Y-%m-%d %H:%M:%S.%f'"
@@ -271,6 +274,112 @@ def q_unload_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "n_regionkey", "r_name")
 
 
+DOC_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def q_unload_reload_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 + S2 on whole texts with line ends, quotes, delimiters, padding, '' and NULL."""
+    d = fx.table(spark, sf_dir, "documents")
+    k = F.col("doc_id") % 10
+    hard = F.when(k == 1, F.lit("")).when(k == 2, F.concat(F.lit(' "/", \\N'), "text", F.lit('/" '))).when(k == 3, F.lit(None).cast("string")).otherwise(F.col("text"))
+    path = scratch_path(spark, "unload_documents")
+    unload(d.select("doc_id", hard.alias("text"), "lang", "source", "n_chars"), path)
+    return load_delimited(spark, path, DOC_SCHEMA, scratch_path(spark, "documents_t"), truncate=True)
+
+
+def q_url_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F9-F12 over the pages' urls and table names derived from them."""
+    p = fx.table(spark, sf_dir, "pages")
+    path = F.concat(path_of_url(F.col("url")), F.when(F.col("page_id") % 2 == 0, F.lit(".gz")).otherwise(F.lit(".txt")))
+    name = F.concat(F.lit("core."), F.regexp_replace(bucket_of_url(F.col("url")), r"\.", "_"))
+    return p.select(
+        "page_id",
+        bucket_of_url(F.col("url")).alias("bucket"),
+        path_of_url(F.col("url")).alias("path"),
+        directory_of_key(path).alias("directory"),
+        file_of_key(path).alias("file"),
+        is_compressed(path).alias("compressed"),
+        table_of_name(name).alias("table_name"),
+    )
+
+
+STEPS_SCRIPT = """
+create or replace temporary view steps_orders as
+  select o_orderstatus, o_totalprice from {core}_orders where o_totalprice >= :least;
+create or replace temporary view steps_sums as
+  select o_orderstatus, count(*) as n, max(o_totalprice) as top from steps_orders group by o_orderstatus;
+select o_orderstatus, n, top from steps_sums where n > 0
+"""
+
+
+def q_script_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A script of three statements, the last one's rows."""
+    _register_core(spark, sf_dir, "orders")
+    return run_script(spark, STEPS_SCRIPT.replace(":least", "1000"), None, {"core": "core"})
+
+
+def q_permanent_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A permanent view over a stored catalog table."""
+    name = "stored_" + uuid.uuid4().hex[:12]
+    fx.table(spark, sf_dir, "customer").write.saveAsTable(name)
+    script = "select c_mktsegment, count(*) as n, min(c_custkey) as least from {table} group by c_mktsegment"
+    return view_from_script(spark, f"default.v_{name}", script, layers={"table": name}, permanent=True)
+
+
+def q_refresh_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table of the old orders refreshed with all orders, in its own columns."""
+    o = fx.table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "refresh_existing")
+    mirror(o.filter(F.col("o_orderkey") % 2 == 0).select("o_orderkey", F.col("o_totalprice").cast("float").alias("o_totalprice")), path)
+    return refresh_into(o.select("O_TOTALPRICE", "o_orderkey", "o_custkey").withColumn("O_TOTALPRICE", F.lit(2.5)), path, scratch_path(spark, "refresh_stage"))
+
+
+def q_keyed_load_on_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L6 on storage: keys and map appended, target rewritten, ledger marked; a re-run is skipped."""
+    keys0, map0, target0 = _keyed_start(spark, sf_dir)
+    root = scratch_path(spark, "keyed_storage")
+    for name, df in (("keys", keys0), ("map", map0), ("target", target0)):
+        df.write.parquet(f"{root}/{name}")
+    for _ in range(2):
+        keyed_load_into(
+            spark, "customers_1", f"{root}/target", f"{root}/keys", f"{root}/map", f"{root}/ledger",
+            _keyed_source(spark, sf_dir), "sk", "c_custkey", "c_custkey", "core", AS_OF,
+        )
+    return _keyed_out(spark.read.parquet(f"{root}/target"))
+
+
+def q_load_into_text_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2 on storage over a nullable text partition with leading zeros, matched on a cast key."""
+    e = fx.table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    part = F.when(k % 7 == 0, F.lit(None).cast("string")).otherwise(F.lpad((k % 5).cast("string"), 2, "0"))
+    old = e.filter(k % 3 != 0).select("event_id", "ts", "value", part.alias("part"), ts_ntz(AS_OF).alias(C.ETL_UPDATED), F.lit(False).alias(C.ETL_DELETED))
+    path = scratch_path(spark, "events_by_part")
+    old.write.partitionBy("part").parquet(path)
+    new = e.filter((k % 2 == 0) | (k % 3 == 0)).select(F.col("event_id").cast("string").alias("event_id"), "ts", (k % 100).cast("double").alias("value"), part.alias("part"))
+    new = new.withColumn("part", F.when(k % 4 == 0, F.lit("09")).otherwise(F.col("part")))
+    out = load_into(path, new, "upsert", [("event_id", "event_id", "bigint")], AS_OF, partition_cols=["part"])
+    return out.select("event_id", "value", "part")
+
+
+def q_backfill_on_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L10 on storage, ordered: each pending day carries the running count of the days before."""
+    e = fx.table(spark, sf_dir, "events")
+    root = scratch_path(spark, "backfill_storage")
+    today = e.agg(F.date_add(F.max(F.to_date("ts")), 1).alias("today"))
+    _events_ledger(spark, sf_dir)[1].write.parquet(f"{root}/ledger")
+
+    def daily(rows: DataFrame, before: DataFrame | None) -> DataFrame:
+        day = rows.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+        if before is None:
+            return day.withColumn("running", F.col("n"))
+        return day.crossJoin(before.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_n"))).select("day", "n", (F.col("n") + F.col("_n")).alias("running"))
+
+    for _ in range(2):  # the second run finds nothing pending
+        backfill_into(spark, e, F.to_date("ts"), daily, f"{root}/days", f"{root}/ledger", "daily_events", today, 5, AS_OF, ordered=True)
+    return spark.read.parquet(f"{root}/days").select(F.date_format("day", "yyyy-MM-dd").alias("day"), "n", "running")
+
+
 def q_file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest of the data folder filtered on '.parquet', file names only."""
     m = file_manifest(spark, [sf_dir], ".parquet")
@@ -341,6 +450,14 @@ QUERIES = {
     "script_view": q_script_view,
     "refresh_table": q_refresh_table,
     "unload_reload": q_unload_reload,
+    "unload_reload_documents": q_unload_reload_documents,
+    "url_parts": q_url_parts,
+    "script_statements": q_script_statements,
+    "permanent_view": q_permanent_view,
+    "refresh_existing": q_refresh_existing,
+    "keyed_load_on_storage": q_keyed_load_on_storage,
+    "load_into_text_partitions": q_load_into_text_partitions,
+    "backfill_on_storage": q_backfill_on_storage,
     "file_manifest": q_file_manifest,
     "gated_load_ok": q_gated_load_ok,
     "gated_load_rejected": q_gated_load_rejected,
@@ -409,6 +526,24 @@ where o_orderdate >= timestamp '1996-01-01 00:00:00' group by o_orderstatus""",
   regexp_matches(parse_filename(file), '.*(.gz)\\d*$') as compressed
 from glob('/root/testdata/sf0.01/*') where file like '%.parquet%'""",
     "unload_reload": "select n.n_nationkey, n.n_name, n.n_regionkey, r.r_name from nation n join region r on n.n_regionkey = r.r_regionkey",
+    "unload_reload_documents": """select doc_id, case doc_id % 10 when 1 then '' when 2 then ' "/", \\N' || text || '/" ' when 3 then null else text end as text,
+  lang, source, n_chars from documents""",
+    "url_parts": """with u as (select page_id, regexp_extract(url, '(?i)^[a-z0-9]+://([^/]+)/(.*)$', 1) as bucket,
+    regexp_extract(url, '(?i)^[a-z0-9]+://([^/]+)/(.*)$', 2) as path from pages),
+k as (select *, path || case when page_id % 2 = 0 then '.gz' else '.txt' end as key from u)
+select page_id, bucket, path, regexp_extract(key, '^(.*/)(.*)$', 1) as directory,
+  case when contains(key, '/') then regexp_extract(key, '^(.*/)(.*)$', 2) else key end as file,
+  regexp_matches(key, '.*(.gz)\\d*$') as compressed, replace(bucket, '.', '_') as table_name from k""",
+    "script_statements": "select o_orderstatus, count(*) as n, max(o_totalprice) as top from orders where o_totalprice >= 1000 group by o_orderstatus",
+    "permanent_view": "select c_mktsegment, count(*) as n, min(c_custkey) as least from customer group by c_mktsegment",
+    "refresh_existing": "select o_orderkey, cast(2.5 as float) as o_totalprice from orders",
+    "keyed_load_on_storage": _KEYED,
+    "load_into_text_partitions": """with e as (select event_id, value, case when event_id % 7 = 0 then null else lpad(cast(event_id % 5 as varchar), 2, '0') end as part from events),
+s as (select event_id, cast(event_id % 100 as double) as value, case when event_id % 4 = 0 then '09' else part end as part from e where event_id % 2 = 0 or event_id % 3 = 0)
+select * from e where event_id % 3 <> 0 and event_id not in (select event_id from s) union all select * from s""",
+    "backfill_on_storage": _PENDING
+    + """, d as (select day, count(*) as n from ev where day in (select day from pending where day > (select max(day) from ev) - interval 5 day) group by day)
+select strftime(day, '%Y-%m-%d') as day, n, cast(sum(n) over (order by day) as bigint) as running from d""",
     "gated_load_ok": lq.LOAD_CTE + lq._UPSERT + lq._SEL + "r",
     "gated_load_rejected": lq.LOAD_CTE + lq._SEL + "t",
     "load_with_post_step": lq.LOAD_CTE

@@ -66,6 +66,7 @@ SPECS = [
     {"name": "o_orderdate", "datatype": "epochsec"},
     {"name": "o_orderstatus", "datatype": "VARCHAR(1)"},
 ]
+FILE_SPECS = [{"source_column": {"name": "o_extra", "datatype": "bigint"}}]  # a file's declared type is not the table's
 NAME_ONLY = ["o_orderpriority", "o_ship_ok"]
 
 
@@ -75,8 +76,10 @@ def q_conform_to_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
     s2 = schema_from_specs(NAME_ONLY, "name_only", add_etl_metadata=True)
     from pyspark.sql.types import StructType
 
-    schema = StructType(s1.fields + s2.fields)
-    out = conform(fx.table(spark, sf_dir, "orders"), schema, as_of=AS_OF)
+    s3 = schema_from_specs(FILE_SPECS, "use_spec_file", add_etl_metadata=False)
+    schema = StructType(s1.fields + s3.fields + s2.fields)
+    orders = fx.table(spark, sf_dir, "orders").withColumn("o_extra", F.col("o_custkey"))
+    out = conform(orders, schema, as_of=AS_OF)
     return out.withColumn("o_orderdate", key_timestamp_text(F.col("o_orderdate"))).withColumn(
         C.ETL_UPDATED, key_timestamp_text(F.col(C.ETL_UPDATED))
     )
@@ -247,7 +250,7 @@ r as (select * from t where o_orderkey not in (select o_orderkey from s)
 select o_orderkey, o_custkey, o_orderstatus, strftime(etl_updated_timestamp, {_TS}) as etl_updated_timestamp, etl_deleted_flag, o_totalprice, o_orderpriority from r""",
     "add_column_default": "select *, false as p_is_valid, 'n/a' as p_note, cast(null as integer) as p_rank from part",
     "conform_to_spec": f"""select o_orderkey, cast(o_custkey as varchar) as o_custkey, cast(o_totalprice as decimal(18,2)) as o_totalprice,
-  strftime(o_orderdate, {_TS}) as o_orderdate, o_orderstatus, o_orderpriority, false as o_ship_ok,
+  strftime(o_orderdate, {_TS}) as o_orderdate, o_orderstatus, cast(o_custkey as varchar) as o_extra, o_orderpriority, false as o_ship_ok,
   strftime(timestamp '{AS_OF}', {_TS}) as etl_updated_timestamp, false as etl_deleted_flag from orders""",
     "clean_names": 'select o_orderkey as order_key, o_custkey as cust_key, o_orderstatus as "user", o_totalprice as total_price from orders',
     "join_with_cast": "select o.o_orderkey, o.o_custkey, c.c_custkey, c.c_name from orders o join customer c on cast(o.o_custkey as varchar) = cast(c.c_custkey as varchar)",

@@ -89,6 +89,12 @@ def sub_folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory()] if fs.exists(where) else []
 
 
+def sub_folders_or_files(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there and holds anything."""
+    fs, where = _folder(spark, path)
+    return fs.exists(where) and len(fs.listStatus(where)) > 0
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a folder that a load no longer needs (staged copies, replaced partitions)."""
     fs, where = _folder(spark, path)

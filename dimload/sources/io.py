@@ -1,7 +1,6 @@
 """Sources and sinks (S1-S4): mirror, delimited load, file manifest, unload.
 
-All reads are Spark scans (parallel per file split); all writes are parallel unless a single file
-is explicitly asked for, which is allowed only below a checked byte size.
+All reads are Spark scans; all writes are parallel unless a single file is explicitly asked for.
 """
 
 from __future__ import annotations
@@ -15,8 +14,6 @@ from pyspark.sql import types as T
 from dimload import constants as C
 from dimload.functions.columns import file_of_key
 
-SINGLE_FILE_MAX_BYTES = C.SINGLE_FILE_MAX_BYTES
-
 
 def mirror(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     """Replace ``path`` with a copy of ``df`` (drop + create-as-select) and read it back."""
@@ -24,6 +21,22 @@ def mirror(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     return df.sparkSession.read.format(fmt).load(path)
 
 
+def _format(delimiter: str, header: bool, quote: str, escape: str, null_value: str) -> dict[str, str]:
+    """Options that both sides share, so that text comes back as it was: NULL and the empty text have
+    markers of their own, blanks at the ends stay, and quoted values may hold line ends."""
+    return {
+        "sep": delimiter,
+        "header": str(header).lower(),
+        "quote": quote,
+        "escape": escape,
+        "charToEscapeQuoteEscaping": escape,
+        "nullValue": null_value,
+        "emptyValue": quote * 2,
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    }
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -32,22 +45,21 @@ def read_delimited(
     header: bool = False,
     quote: str = '"',
     escape: str = C.UNLOAD_ESCAPE,
-    null_value: str = "",
+    null_value: str = C.UNLOAD_NULL,
     compression: str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """S2 read side: delimited text with an explicit schema (no inference; splits read in parallel)."""
-    reader = (
-        spark.read.schema(schema)
-        .option("sep", delimiter)
-        .option("header", str(header).lower())
-        .option("quote", quote)
-        .option("escape", escape)
-        .option("nullValue", null_value)
-        .option("mode", "FAILFAST")
-    )
+    """S2 read side: delimited text with an explicit schema (no inference).
+
+    A text that equals the NULL marker ``null_value`` reads as NULL; choose a marker that no text
+    equals. With ``multi_line`` (default) values may hold line ends; a file is then one split, so unload in
+    parallel. Without it files are split and read in parallel.
+    """
+    options = _format(delimiter, header, quote, escape, null_value) | {"mode": "FAILFAST", "multiLine": str(multi_line).lower(), "lineSep": "\n"}
+    options["emptyValue"] = ""
     if compression:
-        reader = reader.option("compression", compression)
-    return reader.csv(path)
+        options["compression"] = compression
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def load_delimited(
@@ -76,35 +88,19 @@ def unload(
     delimiter: str = C.UNLOAD_DELIMITER,
     single: bool = False,
     header: bool = False,
-    max_single_bytes: int = SINGLE_FILE_MAX_BYTES,
+    quote: str = '"',
     escape: str = C.UNLOAD_ESCAPE,
+    null_value: str = C.UNLOAD_NULL,
 ) -> None:
-    """Write ``df`` as uncompressed delimited text.
+    """Write ``df`` as uncompressed delimited text, every text value quoted.
 
-    Parallel by default (one file per partition). ``single=True`` writes one file, which is one
-    task: it is only done after checking that the text is at most ``max_single_bytes``.
+    Parallel by default (one file per partition). ``single=True`` writes one file: only that write
+    is one task, the plan before it stays parallel. A single file is meant for small extracts; its
+    size is not limited here.
     """
-    writer_df = df
-    if single:
-        size = text_bytes(df, delimiter)
-        if size > max_single_bytes:
-            raise ValueError(f"single-file unload of {size} bytes exceeds {max_single_bytes}; unload in parallel")
-        writer_df = df.coalesce(1)
-    (
-        writer_df.write.mode("overwrite")
-        .option("sep", delimiter)
-        .option("header", str(header).lower())
-        .option("compression", "none")
-        .option("escape", escape)
-        .option("nullValue", "")
-        .csv(path)
-    )
-
-
-def text_bytes(df: DataFrame, delimiter: str = ",") -> int:
-    """Exact byte size of ``df`` as delimited text (one distributed pass, one number back)."""
-    line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"sep": delimiter})
-    return int(df.agg(F.coalesce(F.sum(F.octet_length(line) + 1), F.lit(0)).alias("b")).first()["b"])
+    rows = df.repartition(1) if single else df
+    options = _format(delimiter, header, quote, escape, null_value) | {"compression": "none", "quoteAll": "true", "lineSep": "\n"}
+    rows.write.mode("overwrite").options(**options).csv(path)
 
 
 def file_manifest(spark: SparkSession, folders: Iterable[str], substring: str | None = None, recursive: bool = True) -> DataFrame:

@@ -30,6 +30,12 @@ def render_script(text: str, layers: Mapping[str, str] | None = None, positional
     return text.format(*positional, **layers)
 
 
+def statements(text: str) -> list[str]:
+    """A script's statements: each ends with a ``;`` at the end of a line, the last one may omit it."""
+    parts = (p.strip() for p in re.split(r";[ \t]*(?:\r?\n|$)", text))
+    return [p for p in parts if p]
+
+
 def run_script(
     spark: SparkSession,
     text: str,
@@ -37,9 +43,15 @@ def run_script(
     layers: Mapping[str, str] | None = None,
     positional: tuple = (),
 ) -> DataFrame:
-    """Run a SQL script's query with layer names substituted and values bound as parameters."""
-    sql = render_script(text, layers, positional)
-    return spark.sql(sql, args=dict(args or {})) if args else spark.sql(sql)
+    """Run a SQL script with layer names substituted and values bound as parameters. All of its
+    statements run in order; the result of the last one is returned."""
+    out = None
+    for sql in statements(render_script(text, layers, positional)):
+        used = {k: v for k, v in (args or {}).items() if re.search(rf":{re.escape(k)}\b", sql)}
+        out = spark.sql(sql, args=used) if used else spark.sql(sql)
+    if out is None:
+        raise ValueError("the script has no statement")
+    return out
 
 
 def view_from_script(
@@ -49,10 +61,23 @@ def view_from_script(
     args: Mapping[str, object] | None = None,
     layers: Mapping[str, str] | None = None,
     drop_first: bool = False,
+    permanent: bool = False,
 ) -> DataFrame:
-    """Create-or-replace a (temporary) view from a script; returns the view's DataFrame."""
-    if not _IDENT.match(name):
+    """Create-or-replace a view from a script; returns the view's DataFrame.
+
+    Temporary by default. A ``permanent`` view is stored in the catalog (``name`` may be
+    ``database.view``); its script is one query over catalog tables and takes no bound values.
+    """
+    if not all(_IDENT.match(part) for part in name.split(".")) or ("." in name and not permanent):
         raise ValueError(f"not an identifier: {name!r}")
+    if permanent:
+        body = statements(render_script(text, layers))
+        if args or len(body) != 1:
+            raise ValueError("a permanent view is one query without bound values")
+        if drop_first:
+            spark.sql(f"DROP VIEW IF EXISTS {name}")
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS {body[0]}")
+        return spark.table(name)
     if drop_first:
         spark.catalog.dropTempView(name)
     df = run_script(spark, text, args, layers)
@@ -79,7 +104,20 @@ def overwrite_via_staging(df: DataFrame, target_path: str, stage_path: str, fmt:
     """Publish ``df`` over ``target_path`` without reading and overwriting one path at once:
     write the staging copy, then replace the target from it. Readers may see the target missing
     between the two steps (plain files have no transactions)."""
+    from dimload.session import remove_path
+
     spark = df.sparkSession
     df.write.mode("overwrite").format(fmt).save(stage_path)
     spark.read.format(fmt).load(stage_path).write.mode("overwrite").format(fmt).save(target_path)
+    remove_path(spark, stage_path)
     return spark.read.format(fmt).load(target_path)
+
+
+def refresh_into(source: DataFrame, target_path: str, stage_path: str, fmt: str = "parquet") -> DataFrame:
+    """S8 on storage: the table at ``target_path`` emptied and filled with the source's rows in its
+    own columns, or created from the source when there is none."""
+    from dimload.session import sub_folders_or_files
+
+    spark = source.sparkSession
+    target = spark.read.format(fmt).load(target_path) if sub_folders_or_files(spark, target_path) else None
+    return overwrite_via_staging(refresh_table(target, source), target_path, stage_path, fmt)

@@ -73,3 +73,166 @@ def test_load_into_clears_partition_emptied_by_a_moved_key(spark, tmp_out):
     src = spark.createDataFrame([(1, "a2", "p2")], "k bigint, v string, part string")
     out = load_into(path, src, "upsert", [("k", "k")], "2024-01-01 00:00:00", partition_cols=["part"])
     assert sorted((r.k, r.v, r.part) for r in out.collect()) == [(1, "a2", "p2"), (2, "b", "p2")]
+
+
+def stamped(df):
+    return df.withColumns({"etl_updated_timestamp": F.lit(None).cast("timestamp_ntz"), "etl_deleted_flag": F.lit(False)})
+
+
+def test_load_into_null_and_zero_padded_partitions_with_a_cast_key(spark, tmp_out):
+    from dimload.operators.publish import load_into
+
+    path = f"{tmp_out}/t3"
+    rows = [("2024-01-01 10:00:00", "a", None), ("2024-01-02 10:00:00", "b", None), ("2024-01-03 10:00:00", "c", "01"), ("2024-01-04 10:00:00", "d", "1")]
+    stamped(spark.createDataFrame(rows, "k string, v string, p string")).write.partitionBy("p").parquet(path)
+    source = spark.createDataFrame([("2024-01-01 23:00:00", "a2", None), ("2024-01-03 23:00:00", "c2", "01"), ("2024-01-05 00:00:00", "e", "02")], "k string, v string, p string")
+    out = load_into(path, source, "upsert", [("k", "k", "date")], "2024-02-01 00:00:00", partition_cols=["p"])
+    assert sorted((r.v, r.p or "-") for r in out.collect()) == [("a2", "-"), ("b", "-"), ("c2", "01"), ("d", "1"), ("e", "02")]
+
+
+def test_load_into_keeps_new_columns_and_maps_columns(spark, tmp_out):
+    from dimload.operators.publish import load_into
+
+    path = f"{tmp_out}/t4"
+    stamped(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")).write.parquet(path)
+    load_into(path, spark.createDataFrame([(2, "b2", 7)], "k int, v string, extra int"), "upsert", [("k", "k")], "2024-02-01 00:00:00")
+    out = load_into(path, spark.createDataFrame([(3, "c", 8)], "k int, v string, other int"), "insert", None, "2024-02-02 00:00:00")
+    assert sorted((r.k, r.v, r.extra or 0, r.other or 0) for r in out.collect()) == [(1, "a", 0, 0), (2, "b2", 7, 0), (3, "c", 0, 8)]
+    mapped = spark.createDataFrame([(1, "z")], "key int, value string")
+    out = load_into(path, mapped, "upsert", [("key", "k")], "2024-02-03 00:00:00", source_columns=["key", "value"], target_columns=["k", "v"])
+    assert {r.k: r.v for r in out.collect()} == {1: "z", 2: "b2", 3: "c"}
+    kept = load_into(path, spark.createDataFrame([(9, "n")], "k int, v string"), "full", [("k", "k")], "2024-02-04 00:00:00", full_record_comparison_source=spark.createDataFrame([(1,), (2,)], "k int"))
+    assert sorted((r.k, r.etl_deleted_flag) for r in kept.collect()) == [(3, True), (9, False)]
+
+
+def storage(tmp_out):
+    return dict(dim_path=f"{tmp_out}/dim", keys_path=f"{tmp_out}/keys", map_path=f"{tmp_out}/map", ledger_path=f"{tmp_out}/ledger")
+
+
+def batches(spark):
+    one = src(spark, [(i, f"n{i}", f"s{i % 3}") for i in range(10)])
+    two = src(spark, [(i, f"n{i}", f"s{(i + (i % 2)) % 3}") for i in range(5, 15)])
+    return one, two
+
+
+def test_a_crash_after_any_step_is_mended_by_the_next_run(spark, tmp_path, monkeypatch):
+    from dimload.operators import publish
+
+    one, two = batches(spark)
+    want = None
+    steps = [None, "append_keys", "keys only", "retired only", "publish_dimension", "record_done"]
+    for k, step in enumerate(steps):
+        paths = storage(tmp_path / str(k))
+        assert run_scd_batch(spark, one, SPEC, "2024-01-01 00:00:00", "1", **paths) == "published"
+        before = canon(read_dimension(spark, paths["dim_path"], SPEC))
+        with monkeypatch.context() as m:
+
+            def crash(*a, **kw):
+                raise RuntimeError("lost")
+
+            if step == "keys only":
+                real = publish.read_or_none
+                m.setattr(publish, "read_or_none", lambda s, p, *a: crash() if p == paths["map_path"] else real(s, p, *a))
+            elif step == "retired only":
+                real_write = publish._write_batch
+                m.setattr(publish, "_write_batch", lambda rows, folder, b: crash() if "=true" in folder else real_write(rows, folder, b))
+            elif step:
+                m.setattr(publish, step, crash)
+            if step:
+                try:
+                    run_scd_batch(spark, two, SPEC, "2024-02-01 00:00:00", "2", **paths)
+                    raise AssertionError("no crash")
+                except RuntimeError:
+                    pass
+        if step not in (None, "record_done"):
+            assert canon(read_dimension(spark, paths["dim_path"], SPEC)) == before
+        run_scd_batch(spark, two, SPEC, "2024-02-01 00:00:00", "2", **paths)
+        now = canon(read_dimension(spark, paths["dim_path"], SPEC))
+        want = want or now
+        assert now == want
+        keys, key_map = (spark.read.parquet(paths[p]) for p in ("keys_path", "map_path"))
+        assert keys.count() == keys.select("sk").distinct().count() == key_map.count() == len(now)
+
+
+def test_history_of_a_batch_that_never_took_effect_stays_unseen(spark, tmp_path, monkeypatch):
+    from dimload.operators import publish
+
+    one, two = batches(spark)
+    paths = storage(tmp_path)
+    run_scd_batch(spark, one, SPEC, "2024-01-01 00:00:00", "1", **paths)
+    real = publish._write_batch
+    with monkeypatch.context() as m:
+        m.setattr(publish, "_write_batch", lambda rows, folder, b: (_ for _ in ()).throw(RuntimeError()) if "=true" in folder else real(rows, folder, b))
+        try:
+            run_scd_batch(spark, two, SPEC, "2024-02-01 00:00:00", "2", **paths)
+        except RuntimeError:
+            pass
+    run_scd_batch(spark, one, SPEC, "2024-02-01 00:00:00", "other", **paths)
+    stored = read_dimension(spark, paths["dim_path"], SPEC)
+    assert stored.count() == 10 and stored.filter("not row_current_flag").isEmpty()
+
+
+def test_a_missing_keys_table_is_refused(spark, tmp_path):
+    import pytest
+
+    from dimload.operators.quality import CheckFailed
+
+    one, two = batches(spark)
+    paths = storage(tmp_path)
+    run_scd_batch(spark, one, SPEC, "2024-01-01 00:00:00", "1", **paths)
+    with pytest.raises(CheckFailed):
+        run_scd_batch(spark, two, SPEC, "2024-02-01 00:00:00", "2", **(paths | {"keys_path": f"{tmp_path}/mistyped"}))
+
+
+def test_a_column_that_comes_later_is_kept(spark, tmp_path):
+    paths = storage(tmp_path)
+    one, _ = batches(spark)
+    run_scd_batch(spark, one, SPEC, "2024-01-01 00:00:00", "1", **paths)
+    two = one.withColumns({"seg": F.concat("seg", F.lit("x")), "extra": F.col("id") + 100})
+    run_scd_batch(spark, two, SPEC, "2024-02-01 00:00:00", "2", **paths)
+    run_scd_batch(spark, two, SPEC, "2024-03-01 00:00:00", "3", **paths)
+    stored = read_dimension(spark, paths["dim_path"], SPEC)
+    assert stored.filter("row_current_flag and extra = id + 100").count() == 10 and stored.filter("not row_current_flag and extra is null").count() == 10
+
+
+def test_text_keys_and_null_keys_on_storage(spark, tmp_path):
+    spec = ScdSpec(business_keys=("a", "b"), scd2_columns=("v",), surrogate_key="sk")
+    paths = storage(tmp_path)
+    rows = [("x|y", "z", 1), ("x", "y|z", 1), ("x\\", "|z", 1), ("gone", "g", 1), (None, "n", 1), (None, "n", 2)]
+    run_scd_batch(spark, spark.createDataFrame(rows, "a string, b string, v int"), spec, "2024-01-01 00:00:00", "1", **paths)
+    two = spark.createDataFrame([("x|y", "z", 2), ("x", "y|z", 1)], "a string, b string, v int")
+    run_scd_batch(spark, two, spec, "2024-02-01 00:00:00", "2", **paths)
+    got = sorted((r.a, r.b, r.v, r.row_current_flag) for r in read_dimension(spark, paths["dim_path"], spec).collect())
+    assert got == [("gone", "g", 1, True), ("x", "y|z", 1, True), ("x\\", "|z", 1, True), ("x|y", "z", 1, False), ("x|y", "z", 2, True)]
+    keys = spark.read.parquet(paths["keys_path"])
+    assert keys.count() == keys.select("sk").distinct().count() == 5
+
+
+def test_faulty_batches_are_refused(spark):
+    import pytest
+
+    from dimload.operators.quality import CheckFailed
+
+    twice = src(spark, [(1, "a", "x"), (1, "b", "y")])
+    with pytest.raises(CheckFailed):
+        scd_load(None, twice, SPEC, "2024-01-01 00:00:00")
+    with pytest.raises(ValueError):
+        scd_load(None, src(spark, [(1, "a", "x")]), ScdSpec(business_keys=("id",), scd2_columns=("sge",), surrogate_key="sk"), "2024-01-01 00:00:00")
+
+
+def test_keyed_load_on_storage_after_a_crash(spark, tmp_path, monkeypatch):
+    from dimload.operators import publish
+
+    root = str(tmp_path)
+    stamped(spark.createDataFrame([], "sk bigint, id bigint, v string")).write.parquet(f"{root}/target")
+    source = spark.createDataFrame([(i, f"v{i}") for i in range(6)], "id bigint, v string")
+    args = ("u1", f"{root}/target", f"{root}/keys", f"{root}/map", f"{root}/ledger", source, "sk", "id", "id", "core", "2024-01-01 00:00:00")
+    with monkeypatch.context() as m:
+        m.setattr(publish, "load_into", lambda *a, **kw: (_ for _ in ()).throw(RuntimeError()))
+        try:
+            publish.keyed_load_into(spark, *args)
+        except RuntimeError:
+            pass
+    assert [publish.keyed_load_into(spark, *args) for _ in range(2)] == ["published", "skipped"]
+    out = spark.read.parquet(f"{root}/target")
+    assert out.count() == 6 and spark.read.parquet(f"{root}/map").count() == 6 and out.select("sk").distinct().count() == 6

@@ -107,7 +107,7 @@ def test_key_with_only_expired_rows_comes_back(spark):
     rows = by_id(r.dimension)
     assert len(rows) == 2
     assert rows[1]["row_effective_timestamp"] == dt.datetime(1969, 12, 31, 0, 0, 0, 1)
-    assert rows[1]["row_current_flag"] and rows[1]["sk"] == 1
+    assert rows[1]["row_current_flag"] and rows[1]["sk"] == 6
 
 
 def test_default_row_kept_and_null_key_dropped(spark):

@@ -72,3 +72,31 @@ def test_gated_publish_rejects_and_keeps_target(spark, tmp_out):
     ok = spark.createDataFrame([(2,), (3,)], "id int")
     gated_publish(ok, lambda d: d.write.mode("overwrite").parquet(target), lambda d: unique_columns("u", d, ["id"]), post_step=lambda d: d.withColumn("id", F.col("id") * 10), stage_path=f"{tmp_out}/stage2")
     assert sorted(r.id for r in spark.read.parquet(target).collect()) == [20, 30]
+
+
+def test_spec_file_types_are_the_tables_default():
+    from dimload.operators.schema import spec_field
+
+    entry = {"source_column": {"name": "n", "datatype": "bigint", "mandatory": True}}
+    for kind in ("use_spec_file", "use_spec_file_but_ignoreheader"):
+        assert spec_field(entry, kind).dataType.simpleString() == "string"
+        assert spec_field(entry, kind, default_type="double").dataType.simpleString() == "double"
+    assert spec_field({"mine": {"name": "n", "datatype": "bigint"}}, "mine").dataType.simpleString() == "bigint"
+
+
+def test_catalog_tables_leaves_session_views_out(spark):
+    from dimload.operators.multi import catalog_tables
+
+    spark.sql("create database if not exists only_views")
+    spark.range(3).createOrReplaceTempView("a_view")
+    assert catalog_tables(spark, "only_views") == {}
+
+
+def test_post_step_runs_once_and_may_read_the_target(spark, tmp_out):
+    from dimload.operators.quality import expect_rows, gated_publish
+
+    path = f"{tmp_out}/target"
+    spark.range(5).write.parquet(path)
+    rows = spark.range(3)
+    gated_publish(rows, lambda df: df.write.mode("overwrite").parquet(path), lambda df: expect_rows("r", df), lambda df: df.unionByName(spark.read.parquet(path)))
+    assert spark.read.parquet(path).count() == 8

@@ -70,8 +70,15 @@ def test_unload_reload_single_and_parallel(spark, tmp_out):
     a = load_delimited(spark, f"{tmp_out}/single", "id int, name string", f"{tmp_out}/ta", truncate=True, delimiter="|")
     b = load_delimited(spark, f"{tmp_out}/par", "id int, name string", f"{tmp_out}/tb", truncate=True)
     assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in df.collect()) == sorted(tuple(r) for r in b.collect())
-    with pytest.raises(ValueError):
-        unload(df, f"{tmp_out}/big", single=True, max_single_bytes=10)
+
+
+def test_delimited_text_comes_back_as_it_was(spark, tmp_out):
+    hard = ["a\nb", "", None, " pad ", 'say "hi"', "a,b", "/", '/"', '"/', "//", "\\Nx", "\\", "\r\n", '""', "/,\n\"", " "]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(hard)], "id int, name string")
+    for k, kw in enumerate(({}, {"delimiter": "|"}, {"header": True})):
+        unload(df, f"{tmp_out}/u{k}", single=True, **kw)
+        back = load_delimited(spark, f"{tmp_out}/u{k}", "id int, name string", f"{tmp_out}/t{k}", truncate=True, **kw)
+        assert {r.id: r.name for r in back.collect()} == dict(enumerate(hard))
 
 
 def test_file_manifest_filters(spark, tmp_out):
@@ -88,9 +95,10 @@ def test_file_manifest_filters(spark, tmp_out):
 def test_catalog_tables_and_for_each(spark):
     from dimload.operators.multi import catalog_tables, for_each_table, row_count
 
-    spark.createDataFrame([(1,), (2,)], "x int").createOrReplaceTempView("m1_a")
-    spark.createDataFrame([(1,)], "y int").createOrReplaceTempView("m1_b")
-    tables = {k: v for k, v in catalog_tables(spark).items() if k.startswith("m1_")}
+    spark.sql("create database if not exists m1_tables")
+    spark.createDataFrame([(1,), (2,)], "x int").write.mode("overwrite").saveAsTable("m1_tables.m1_a")
+    spark.createDataFrame([(1,)], "y int").write.mode("overwrite").saveAsTable("m1_tables.m1_b")
+    tables = {k.partition(".")[2]: v for k, v in catalog_tables(spark, "m1_tables").items()}
     got = {r.table_name: r.row_count for r in for_each_table(tables, row_count).collect()}
     assert got == {"m1_a": 2, "m1_b": 1}
 
@@ -120,9 +128,11 @@ def test_script_file_manifest_writer_and_is_done(spark, tmp_out):
 def test_for_each_catalog_table_with_pre_sql(spark):
     from dimload.operators.multi import for_each_catalog_table, row_count
 
-    spark.createDataFrame([(1,), (2,), (3,)], "x int").createOrReplaceTempView("m1_src")
+    spark.sql("create database if not exists m1_pre")
+    spark.createDataFrame([(1,), (2,), (3,)], "x int").write.mode("overwrite").saveAsTable("m1_pre.m1_src")
+    spark.sql("drop table if exists m1_pre.m1_c")
     out = for_each_catalog_table(
-        spark, None, lambda n, df: row_count(n, df), pre_sql="create or replace temporary view m1_c as select * from m1_src where x > 1"
+        spark, "m1_pre", lambda n, df: row_count(n, df), pre_sql="create table m1_pre.m1_c using parquet as select * from m1_pre.m1_src where x > 1"
     )
-    got = {r.table_name: r.row_count for r in out.collect()}
+    got = {r.table_name.partition(".")[2]: r.row_count for r in out.collect()}
     assert got["m1_c"] == 2 and got["m1_src"] == 3
