@@ -18,10 +18,10 @@ from dimload.sources.ledger import LEDGER_SCHEMA, ledger_rows, value_exists
 
 
 def _ledger(spark, ledger_path: str) -> DataFrame:
-    try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
-    except Exception:  # noqa: BLE001 - no ledger written yet
-        return spark.createDataFrame([], LEDGER_SCHEMA)
+    from dimload.operators.publish import read_or_none
+
+    ledger = read_or_none(spark, ledger_path, LEDGER_SCHEMA)
+    return spark.createDataFrame([], LEDGER_SCHEMA) if ledger is None else ledger
 
 
 def ledger_guarded(
