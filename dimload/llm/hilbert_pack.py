@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from dimload.llm.textbatch import mix, slices
 from dimload.llm.token_store import binaries
-from dimload.llm.tokens import ids_crc32, tokenizer_at, with_end
+from dimload.llm.tokens import TOKEN_SLICE, ids_crc32, tokenizer_at, with_end
 from dimload.session import scratch_path
 
 DIMS, GRID_BITS, HASHED = 4, 12, 64
@@ -78,7 +78,7 @@ def vector_keys(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def _keyed(tokenizer: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=TOKEN_SLICE):
             ids, bounds = with_end(*tokenizer_at(tokenizer).encode(batch.column("text")), end_id)
             keys = vector_keys(ids, bounds)
             yield pa.RecordBatch.from_arrays(

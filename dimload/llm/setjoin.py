@@ -45,7 +45,7 @@ from dimload.session import scratch_path
 WIDTH, PERCENT = 5, 80
 BUCKET_BITS, CHUNKS = 20, 256
 FIRST_BLOCK, BLOCK_GROWTH = 4, 16
-BUFFER = 1_000_000  # pairs a task holds to drop repeated ones
+BUFFER = 400_000  # pairs a task holds to drop repeated ones
 LIST_ROWS = 50_000  # entries of lists of one component that a group of lists may hold
 LOW = 0xFFFFFFFF  # a place holds a set's size above the entry's position
 PARTNERS = 512  # of one set in one verification group
@@ -356,6 +356,16 @@ def components(links: DataFrame) -> DataFrame:
         labels = step.select("node", F.col("new").alias("comp"))
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after more links: only the components that they join are looked at."""
+    ends = links.select(F.col("a").alias("u"), F.col("b").alias("v"), F.explode(F.array("a", "b")).alias("node"))
+    ends = saved(ends.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "link-ends")
+    joined = components(ends.groupBy("u", "v").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("a", "b").distinct())
+    known = labels.unionByName(ends.select("node", "comp").distinct()).distinct()
+    new = joined.select(F.col("node").alias("comp"), F.col("comp").alias("lower"))
+    return saved(known.join(new, "comp", "left").select("node", F.coalesce("lower", "comp").alias("comp")), "labels")
+
+
 # --- the join --------------------------------------------------------------------------------------
 
 
@@ -378,8 +388,7 @@ def groups(docs: DataFrame) -> DataFrame:
     found = saved(listed.mapInArrow(_list_pairs(0, FIRST_BLOCK, True), schema), "lists")
     long_lists = found.where("token is not null").select("token", "rank", "sid", "place")
     pairs = found.where("token is null").select("a", "b").distinct()
-    links = saved(verify(saved(pairs, "pairs"), texts), "links")
-    labels = components(links)
+    labels = components(saved(verify(saved(pairs, "pairs"), texts), "links"))
     lo, hi = FIRST_BLOCK, FIRST_BLOCK * BLOCK_GROWTH
     while True:
         labelled = long_lists.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
@@ -395,8 +404,7 @@ def groups(docs: DataFrame) -> DataFrame:
         if not pairs.isEmpty():
             more = saved(verify(pairs, texts), "links")
             if not more.isEmpty():
-                links = links.unionByName(more)
-                labels = components(links)
+                labels = merged(labels, more)
         lo, hi = hi, hi * BLOCK_GROWTH
     of_set = sets.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select(*keys, "sid", F.coalesce("comp", "sid").alias("comp"))
     of_doc = one.join(of_set, keys).select("doc_id", F.col("comp").alias("component_id"))

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 #: Word separators of `[^\x20\x09-\x0D]+`; every other byte belongs to a word.
 BLANKS = bytes([0x20, *range(0x09, 0x0E)])
@@ -51,6 +51,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
         cuts = np.flatnonzero(np.diff(block)) + 1
         for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
             yield batch.slice(int(lo), int(hi - lo))
+    pa.default_memory_pool().release_unused()  # workers serve many tasks and would keep it
 
 
 def buffers(text: pa.Array) -> tuple[np.ndarray, bytes]:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from dimload.llm import rans
 from dimload.llm.textbatch import slices
-from dimload.llm.tokens import ids_crc32, tokenizer_at, with_end
+from dimload.llm.tokens import TOKEN_SLICE, ids_crc32, tokenizer_at, with_end
 from dimload.session import scratch_path
 
 BLOCK_TOKENS = 1 << 19
@@ -47,7 +47,7 @@ def binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
 def _encoded(tokenizer: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
-        for batch in slices(batches):
+        for batch in slices(batches, limit=TOKEN_SLICE):
             ids, bounds = with_end(*tokenizer_at(tokenizer).encode(batch.column("text")), end_id)
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(

@@ -18,6 +18,8 @@ import pyarrow.compute as pc
 from dimload.llm.textbatch import Words, as_string, buffers, rebuilt
 
 WORDS_A_CALL = 200
+#: Text bytes encoded together: distinct words are encoded once in each slice.
+TOKEN_SLICE = 2 << 20
 #: Distinct words whose ids a worker keeps; those met later are encoded again in each slice.
 KNOWN_WORDS = 400_000
 #: ASCII punctuation without the apostrophe, which opens contractions: after letters, one piece.
