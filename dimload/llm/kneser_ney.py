@@ -11,28 +11,35 @@ that the best language beats the second, from the difference of their cross-entr
 text's length; its steepness is calibrated on training documents. ``rejected`` marks documents
 whose cross-entropy lies beyond what ``REJECT`` of the training documents of that language reach.
 
-A language keeps at most ``max_grams`` longest n-grams, the most frequent ones (the rest back off),
-which bounds the models' size. A text that is null or has no letter is ``und`` with score 0. Without
+Models hold all n-grams of the training documents. Spark computes them and writes them to the shared
+folder in shards by ranges of hashes, and nothing but two numbers a language comes to the driver.
+Tasks score ``GROUP_BYTES`` of text at a time: they read one shard after the other and keep what
+those texts' n-grams need, so a task holds no more of a model than that and one shard (``CACHE_BYTES``
+of shards stay in memory, which saves reading them again). A text that is null or has no letter is ``und`` with score 0. Without
 training rows all documents are ``und``. Languages tied in cross-entropy are taken in alphabetical
 order; repeated rows count as often as they occur; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimload.llm.textbatch import Words, as_string, mix, slices
 from dimload.session import scratch_path
 
 ORDER = 4
-MAX_GRAMS = 300_000
+SHARD_ROWS = 1 << 20  # entries of a shard
+GROUP_BYTES, CACHE_BYTES = 8 << 20, 64 << 20
 REJECT = 0.999
 STEEPNESS = (0.003, 0.01, 0.03, 0.1, 0.3, 1.0, 3.0)
 #: gK: hash of the K characters up to here; cK: of the K characters before; depth: the longest.
@@ -125,6 +132,8 @@ def fitted(grams: pd.DataFrame) -> dict[str, np.ndarray]:
 
 
 def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: float) -> np.ndarray:
+    if not len(keys):
+        return np.full(len(wanted), missing)
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
     return np.where(keys[at] == wanted, values[at], missing)
 
@@ -140,70 +149,200 @@ def log_chances(model: dict[str, np.ndarray], p: dict[str, np.ndarray], rows: np
     return np.log(np.maximum(chance, 1e-12))
 
 
-def _fit(key: tuple[str], grams: pd.DataFrame) -> pd.DataFrame:
-    model = fitted(grams)
-    names = sorted(model)
-    return pd.DataFrame({"lang": [key[0]], **{n: [model[n].tobytes()] for n in names}})
-
-
-_KINDS = {"characters": np.float64, "contexts": np.uint64, "context_values": np.float32, "grams": np.uint64, "gram_values": np.float32, "root": np.float64}
+# --- models of all n-grams, in shards ---------------------------------------------------------------
+
+_ENTRY = "lang string, kind string, key long, value float"
+
+
+@dataclass(frozen=True, eq=False)
+class Models(Mapping):
+    """Models by language. ``files`` are the shards; ``heads`` has each language's number of
+    characters and the weight that an empty context leaves to unseen ones. Looking a language up
+    brings its whole arrays to the caller, which scoring never does."""
+
+    table: DataFrame
+    files: tuple[str, ...]
+    heads: dict[str, tuple[float, float]]
+
+    def __getitem__(self, lang: str) -> dict[str, np.ndarray]:
+        characters, root = self.heads[lang]
+        rows = self.table.where(F.col("lang") == lang).select("kind", "key", "value").toPandas()
+        out = {"characters": np.array([characters]), "root": np.array([root])}
+        for kind in ("grams", "contexts"):
+            of_kind = rows[rows["kind"] == kind]
+            keys = of_kind["key"].to_numpy(np.int64).view(np.uint64)
+            order = np.argsort(keys)
+            out[kind], out[kind[:-1] + "_values"] = keys[order], of_kind["value"].to_numpy(np.float32)[order]
+        return out
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(sorted(self.heads))
+
+    def __len__(self) -> int:
+        return len(self.heads)
+
+
+def _saved(df: DataFrame, name: str) -> DataFrame:
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _level(grams: DataFrame, k: int) -> DataFrame:
+    """The n-grams of ``k`` characters with their contexts: how often they occur where no longer one
+    does, and the number of different characters seen before them elsewhere."""
+    same = [F.col(f"g{k}").alias("key"), (F.col(f"c{k - 1}") if k > 1 else F.lit(0).cast("long")).alias("context")]
+    here = grams.where(F.col("depth") == k).select("lang", *same, "n")
+    if k < ORDER:
+        longer = grams.where(F.col("depth") > k).select("lang", f"g{k + 1}", *same).distinct()
+        here = here.unionByName(longer.select("lang", "key", "context", F.lit(1).cast("long").alias("n")))
+    counts = here.groupBy("lang", "key").agg(F.first("context").alias("context"), F.sum("n").alias("n"))
+    return counts.select("lang", F.lit(k).alias("k"), "key", "context", "n")
+
+
+def fit(training: DataFrame) -> Models:
+    """Models by language, from all n-grams of ``training`` (text, lang)."""
+    spark = training.sparkSession
+    grams = _saved(gram_counts(training), "gram-counts")
+    levels = _saved(reduce(DataFrame.unionByName, (_level(grams, k) for k in range(1, ORDER + 1))), "gram-levels")
+    n, once, twice = F.col("n"), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+    discount = F.least(F.lit(0.95), F.greatest(F.lit(0.1), once / F.greatest(once + 2 * twice, F.lit(1))))
+    discounts = levels.groupBy("lang", "k").agg(discount.alias("discount"))  # ORDER rows for each language
+    contexts = levels.groupBy("lang", "k", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+    weight = F.least(F.lit(1.0), F.col("discount") * F.col("kinds") / F.col("total"))
+    contexts = _saved(contexts.join(F.broadcast(discounts), ["lang", "k"]).withColumn("weight", weight), "contexts")
+    share = (n - F.least(F.col("discount"), n.cast("double"))) / F.col("total")
+    entries = levels.join(contexts, ["lang", "k", "context"]).select("lang", F.lit("grams").alias("kind"), "key", share.cast("float").alias("value"))
+    backs = contexts.where("k > 1").select("lang", F.lit("contexts").alias("kind"), F.col("context").alias("key"), F.col("weight").cast("float").alias("value"))
+    shards = -(-(levels.count() + contexts.count()) // SHARD_ROWS)
+    path = scratch_path(spark, "language-models")
+    entries.unionByName(backs).repartitionByRange(max(shards, 1), "key").write.parquet(path)
+    table = spark.read.schema(_ENTRY).parquet(path)
+    heads = {r["lang"]: (r["kinds"] + 1.0, r["weight"]) for r in contexts.where("k = 1").collect()}  # a row for each language
+    return Models(table, tuple(sorted(table.inputFiles())), heads)
+
+
+_cached: dict[str, dict[tuple[str, str], tuple[np.ndarray, np.ndarray]]] = {}
+
+
+def _shard(file: str, model: frozenset[str]) -> dict[tuple[str, str], tuple[np.ndarray, np.ndarray]]:
+    """The sorted hashes and values of each language and kind in one of the files of ``model``."""
+    for other in _cached.keys() - model:
+        del _cached[other]
+    if file in _cached:
+        return _cached[file]
+    import pyarrow.fs
+    import pyarrow.parquet as pq
+
+    system, path = pyarrow.fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", file))
+    rows = pq.read_table(path, filesystem=system).to_pandas()
+    out = {}
+    for name, part in rows.groupby(["lang", "kind"]):
+        keys = part["key"].to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(keys)
+        out[name] = keys[order], part["value"].to_numpy(np.float32)[order]
+    if sum(k.nbytes + v.nbytes for shard in (out, *_cached.values()) for k, v in shard.values()) <= CACHE_BYTES:
+        _cached[file] = out
+    return out
 
 
-def fit(training: DataFrame, max_grams: int = MAX_GRAMS) -> dict[str, dict[str, np.ndarray]]:
-    """Models by language, from ``training`` (text, lang). A language's model has at most
-    ``max_grams`` longest n-grams, so a few MB come to the driver for each language."""
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    kept = gram_counts(training).withColumn("_rank", rank).where(F.col("_rank") <= max_grams).drop("_rank")
-    schema = "lang string, " + ", ".join(f"{n} binary" for n in sorted(_KINDS))
-    rows = kept.groupBy("lang").applyInPandas(_fit, schema).collect()
-    return {r["lang"]: {n: np.frombuffer(r[n], kind) for n, kind in _KINDS.items()} for r in sorted(rows, key=lambda r: r["lang"])}
+def _needed(files: tuple[str, ...], langs: list[str], wanted: dict[str, np.ndarray]) -> dict[str, dict[str, np.ndarray]]:
+    """What the models hold of the ``wanted`` sorted hashes of each kind."""
+    found: dict[tuple[str, str], list[tuple[np.ndarray, np.ndarray]]] = {(lang, kind): [] for lang in langs for kind in wanted}
+    model = frozenset(files)
+    for file in files:
+        for name, (keys, values) in _shard(file, model).items():
+            some = wanted[name[1]]
+            some = some[np.searchsorted(some, keys[0]) : np.searchsorted(some, keys[-1], "right")]
+            at = np.searchsorted(keys, some)
+            hit = at[keys[at] == some]
+            found[name].append((keys[hit], values[hit]))
+    out: dict[str, dict[str, np.ndarray]] = {lang: {} for lang in langs}
+    for (lang, kind), parts in found.items():
+        keys = np.concatenate([np.empty(0, np.uint64), *(k for k, _ in parts)])
+        order = np.argsort(keys)
+        out[lang][kind] = keys[order]
+        out[lang][kind[:-1] + "_values"] = np.concatenate([np.empty(0, np.float32), *(v for _, v in parts)])[order]
+    return out
 
 
-def _scored(models: dict[str, dict[str, np.ndarray]]):
-    langs = sorted(models)
+class _Placed:
+    """A slice's words and the distinct n-grams of their places."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            text = as_string(batch.column("text"))
-            words = _lowered(text)
-            n = batch.num_rows
-            entropy = np.full((len(langs), n), np.inf)
-            length = np.zeros(n)
-            if len(words.codes):
-                p = positions(words.vocabulary)
-                _, first, inverse = np.unique(p["gram"], return_index=True, return_inverse=True)
-                size = np.bincount(p["word"], minlength=len(words.vocabulary))
-                owner = words.owners()
-                length = np.bincount(owner, weights=size[words.codes], minlength=n)
-                for k, lang in enumerate(langs):
-                    at_place = log_chances(models[lang], p, first)[inverse]
-                    of_word = np.bincount(p["word"], weights=at_place, minlength=len(words.vocabulary))
-                    entropy[k] = -np.bincount(owner, weights=of_word[words.codes], minlength=n) / np.maximum(length, 1)
-            letters = pc.match_substring_regex(text, r"\p{L}").to_numpy(zero_copy_only=False) & (length > 0)
+    def __init__(self, batch: pa.RecordBatch):
+        self.batch = batch.drop_columns(["text"])
+        text = as_string(batch.column("text"))
+        words = _lowered(text)
+        self.codes, self.counts, self.size = words.codes, words.counts, len(words.vocabulary)
+        self.letters = pc.match_substring_regex(text, r"\p{L}").to_numpy(zero_copy_only=False)
+        self.grams: dict[str, np.ndarray] = {}
+        if len(words.codes):
+            p = positions(words.vocabulary)
+            _, first, self.inverse = np.unique(p["gram"], return_index=True, return_inverse=True)
+            self.word, self.grams = p["word"], {c: p[c][first] for c in ("depth", *_CHAIN)}
+
+    def entropies(self, models: list[dict[str, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        """Cross-entropies by model and text, and the texts' numbers of places."""
+        n = len(self.counts)
+        entropy, length = np.full((len(models), n), np.inf), np.zeros(n)
+        if self.grams:
+            owner = np.repeat(np.arange(n), self.counts)
+            rows = np.arange(len(self.grams["depth"]))
+            length = np.bincount(owner, weights=np.bincount(self.word, minlength=self.size)[self.codes], minlength=n)
+            for k, model in enumerate(models):
+                at_place = log_chances(model, self.grams, rows)[self.inverse]
+                of_word = np.bincount(self.word, weights=at_place, minlength=self.size)
+                entropy[k] = -np.bincount(owner, weights=of_word[self.codes], minlength=n) / np.maximum(length, 1)
+        return entropy, length
+
+
+def _scored(files: tuple[str, ...], heads: dict[str, tuple[float, float]]):
+    langs = sorted(heads)
+
+    def group_rows(group: list[_Placed]) -> Iterator[pa.RecordBatch]:
+        wanted = {}
+        for kind, columns in (("grams", _CHAIN[:ORDER]), ("contexts", _CHAIN[ORDER:])):
+            wanted[kind] = np.unique(np.concatenate([np.empty(0, np.uint64), *(np.unique(s.grams[c]) for s in group if s.grams for c in columns)]))
+        parts = _needed(files, langs, wanted) if langs else {}
+        for lang, (characters, root) in heads.items():
+            parts[lang] |= {"characters": np.array([characters]), "root": np.array([root])}
+        for s in group:
+            n = s.batch.num_rows
+            entropy, length = s.entropies([parts[lang] for lang in langs])
             best = entropy.argmin(axis=0) if langs else np.zeros(n, np.int64)
             ordered = np.sort(entropy, axis=0)
             own = ordered[0] if langs else np.zeros(n)
             gap = (ordered[1] - ordered[0]) * length if len(langs) > 1 else np.full(n, 1e3)
-            known = letters & bool(langs)
+            known = s.letters & (length > 0) & bool(langs)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([langs[b] if ok else None for b, ok in zip(best, known, strict=True)], pa.string())]
-                + [pa.array(np.where(known, own, 0.0)), pa.array(np.where(known, gap, 0.0)), batch.column("lang")],
+                [s.batch.column("doc_id"), pa.array([langs[b] if ok else None for b, ok in zip(best, known, strict=True)], pa.string())]
+                + [pa.array(np.where(known, own, 0.0)), pa.array(np.where(known, gap, 0.0)), s.batch.column("lang")],
                 names=["doc_id", "best", "entropy", "gap", "lang"],
             )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = [], 0
+        for batch in slices(batches):
+            group.append(_Placed(batch))
+            held += batch.column("text").nbytes
+            if held >= GROUP_BYTES:
+                yield from group_rows(group)
+                group, held = [], 0
+        yield from group_rows(group)
+
     return run
 
 
-def predict(docs: DataFrame, models: dict[str, dict[str, np.ndarray]], calibration) -> DataFrame:
+def predict(docs: DataFrame, models: Models | dict, calibration) -> DataFrame:
     """doc_id, lang_pred, score, cross_entropy and rejected of all ``docs`` (doc_id, text, lang).
 
-    ``calibration`` is a condition on doc_id and lang that selects training documents; their lang
+    ``models`` may be an empty dict. ``calibration`` is a condition on doc_id and lang that selects training documents; their lang
     serves only to set the score's steepness and the rejection bounds.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     path = scratch_path(spark, "language-scores")
-    scored = rows.mapInArrow(_scored(models), "doc_id long, best string, entropy double, gap double, lang string")
+    scored = rows.mapInArrow(_scored(models.files, models.heads) if models else _scored((), {}), "doc_id long, best string, entropy double, gap double, lang string")
     scored.write.parquet(path)  # numbers only: calibration and the result read them again
     scored = spark.read.schema("doc_id long, best string, entropy double, gap double, lang string").parquet(path)
     seen = scored.where(calibration).where("best is not null")

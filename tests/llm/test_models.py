@@ -57,6 +57,24 @@ def test_model_does_not_depend_on_partitions(spark):
             assert np.array_equal(a[lang][name], b[lang][name])
 
 
+def test_models_hold_all_grams(spark, monkeypatch):
+    """Shards in Spark equal one fit in memory over all n-grams, and score alike."""
+    assert "max_grams" not in kneser_ney.fit.__code__.co_varnames
+    monkeypatch.setattr(kneser_ney, "SHARD_ROWS", 40_000)
+    rng = random.Random(8)
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(8)) for _ in range(4_000)] + ["abab abba bab"]
+    rows = spark.createDataFrame([(i, t, "zh") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(4)
+    models, want = kneser_ney.fit(rows), model_of(texts)
+    assert len(models.files) > 1 and sorted(models["zh"]) == sorted(want)
+    for name, values in models["zh"].items():
+        assert np.array_equal(values, want[name]), name
+    got = kneser_ney.predict(rows.where("doc_id < 50 or doc_id = 4000"), models, F.lit(True)).collect()
+    for r in got:
+        p = kneser_ney.positions(kneser_ney._lowered(pa.array([texts[r["doc_id"]]])).vocabulary)
+        assert r["cross_entropy"] == pytest.approx(-kneser_ney.log_chances(want, p, np.arange(len(p["depth"]))).mean())
+    assert len(got) == 51
+
+
 def test_languages_are_told_apart(spark):
     rows = spark.createDataFrame(corpus(), "doc_id long, text string, lang string").repartition(3)
     models = kneser_ney.fit(rows.where("doc_id % 5 <> 0"))
