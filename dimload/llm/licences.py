@@ -7,6 +7,11 @@ follow each other in the text, within ``GAP`` words, and in the template cover a
 template whose span covers ``COVER`` of its words gives its label to the text. Base phrases are
 found wherever their words stand consecutively.
 
+Templates are whole licence texts (``licence_texts``, one file for each label) and notices:
+``TEMPLATES`` and the variants of the GNU and Creative Commons families. ``scan`` takes any other
+table of (label, text). No body of AGPL, EPL or Creative Commons licences but CC0 is at hand: these
+are known by their notices.
+
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z. Only runs of words that the
 templates use are streamed, since no match can leave such a run. A null or empty text has no words,
 empty labels and score 0. Repeated rows get a row each; an empty table gives no rows; other columns
@@ -17,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
+from importlib.resources import files
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +32,8 @@ from pyspark.sql import functions as F
 from dimload.llm.textbatch import NON_ALNUM, Words, byte_table, slices
 
 LEAST, GAP, COVER = 3, 10, 0.8
-# The base phrases of the contract, and opening or notice sentences of public licences.
+# The base phrases of the contract, and opening or notice sentences of public licences,
+# which stand in files without the licence's text.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 TEMPLATES = [
     ("mit", "Released under the MIT License."),
@@ -40,7 +47,46 @@ TEMPLATES = [
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("epl-1.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0"),
+    ("epl-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    ("cc0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
+    ("cc0-1.0", "This work is licensed under CC0 1.0 Universal"),
+    ("cc0-1.0", "This work is marked with CC0 1.0 Universal"),
 ]
+_GNU = {"gpl": ("", ["1", "2", "3"]), "lgpl": ("Lesser ", ["2.1", "3"]), "agpl": ("Affero ", ["3"])}
+_CC = {"by": "Attribution", "by-sa": "Attribution-ShareAlike", "by-nc": "Attribution-NonCommercial", "by-nd": "Attribution-NoDerivatives"}
+_CC |= {"by-nc-sa": "Attribution-NonCommercial-ShareAlike", "by-nc-nd": "Attribution-NonCommercial-NoDerivatives"}
+_CC_FORMS = {"2.0": "Generic", "2.5": "Generic", "3.0": "Unported", "4.0": "International"}
+
+
+def notices() -> list[tuple[str, str]]:
+    """Notices of the GNU and Creative Commons licences in all versions."""
+    out = []
+    for family, (word, versions) in {**_GNU, "lgpl-2.0": ("Library ", ["2"])}.items():
+        free = [f"This {x} is free software: you can redistribute it and/or modify it under the terms of the GNU {word}General Public License" for x in ("program", "library")]
+        out += [(family, x) for x in free]
+        for v in versions:
+            label = f"{family.split('-')[0]}-{v if '.' in v else v + '.0'}"
+            out += [(label, f"This {x} is licensed under the GNU {word}General Public License, version {v}") for x in ("work", "program", "library")]
+            out += [(label, f"licensed under the GNU {word}General Public License v{v}")]
+            out += [(label, f"{x} as published by the Free Software Foundation, either version {v} of the License, or (at your option) any later version") for x in free]
+            out += [(label, f"{x} version {v} as published by the Free Software Foundation") for x in free]
+    for kind, name in _CC.items():
+        for v, form in _CC_FORMS.items():
+            names = {name, name.replace("NoDerivatives", "NoDerivs")}
+            out += [(f"cc-{kind}-{v}", f"This work is licensed under {x} Creative Commons {n} {v} {form} License") for n in sorted(names) for x in ("a", "the")]
+            out += [(f"cc-{kind}-{v}", f"Licensed under CC {kind} {v}"), (f"cc-{kind}-{v}", f"creativecommons.org/licenses/{kind}/{v}")]
+    return out
+
+
+def default_templates() -> list[tuple[str, str]]:
+    """Whole licence texts, named by label, and all notices."""
+    texts = sorted(files("dimload.llm").joinpath("licence_texts").iterdir(), key=lambda f: f.name)
+    bodies = [(f.name.removesuffix(".txt"), f.read_text("utf-8", "replace")) for f in texts if f.name.endswith(".txt")]
+    return [*bodies, *TEMPLATES, *notices()]
+
+
 _TABLE = byte_table(NON_ALNUM, lower=True)
 _SPAN = "array<struct<label:string,first:long,last:long,cover:double>>"
 _ROW = f"doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans {_SPAN}"
@@ -119,18 +165,19 @@ class SuffixAutomaton:
 
 
 @cache
-def _templates() -> tuple[dict[str, int], list[tuple[str, int]], SuffixAutomaton, list[tuple[str, list[int]]]]:
+def _templates(templates: tuple[tuple[str, str], ...] | None = None) -> tuple[dict[str, int], list[tuple[str, int]], SuffixAutomaton, list[tuple[str, list[int]]]]:
     """The templates' words by number, labels with lengths, the automaton, and base phrases."""
     numbers: dict[str, int] = {}
-    sequences = [[numbers.setdefault(w, len(numbers)) for w in words_of(text)] for _, text in TEMPLATES]
+    table = default_templates() if templates is None else templates
+    sequences = [[numbers.setdefault(w, len(numbers)) for w in words_of(text)] for _, text in table]
     phrases = [(label, [numbers.setdefault(w, len(numbers)) for w in words_of(text)]) for text, label in PHRASES.items()]
-    return numbers, [(label, len(s)) for (label, _), s in zip(TEMPLATES, sequences, strict=True)], SuffixAutomaton(sequences), phrases
+    return numbers, [(label, len(s)) for (label, _), s in zip(table, sequences, strict=True)], SuffixAutomaton(sequences), phrases
 
 
-def spans(codes: np.ndarray) -> tuple[list[tuple[str, int, int, float]], float]:
+def spans(codes: np.ndarray, templates: tuple[tuple[str, str], ...] | None = None) -> tuple[list[tuple[str, int, int, float]], float]:
     """Covered template spans (label, first and last word, share) of one text's template-word
     numbers (-1: another word), and the largest share of any template."""
-    _, labels, automaton, _ = _templates()
+    _, labels, automaton, _ = _templates(templates)
     inside = np.flatnonzero(codes >= 0)
     if len(inside) < LEAST:
         return [], 0.0
@@ -173,8 +220,8 @@ def spans(codes: np.ndarray) -> tuple[list[tuple[str, int, int, float]], float]:
     return sorted(out, key=lambda x: (x[1], x[2], x[0])), best
 
 
-def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    numbers, _, _, phrases = _templates()
+def _scanned(batches: Iterator[pa.RecordBatch], templates: tuple[tuple[str, str], ...] | None = None) -> Iterator[pa.RecordBatch]:
+    numbers, _, _, phrases = _templates(templates)
     for batch in slices(batches):
         words = Words(batch.column("text"), _TABLE)
         of_word = np.fromiter((numbers.get(w, -1) for w in words.vocabulary.to_pylist()), np.int64, len(words.vocabulary))
@@ -197,7 +244,7 @@ def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 found[d].add(label)
         out = []
         for d, doc_id in enumerate(batch.column("doc_id").to_pylist()):
-            covered, share = spans(codes[words.bounds[d] : words.bounds[d + 1]])
+            covered, share = spans(codes[words.bounds[d] : words.bounds[d + 1]], templates)
             hit = n_base[d] > 0
             out.append(
                 {
@@ -222,7 +269,11 @@ _ARROW = pa.schema(
 )
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """n_words, base phrases' places, labels, score and covered spans of all ``docs``."""
+def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None) -> DataFrame:
+    """n_words, base phrases' places, labels, score and covered spans of all ``docs``.
+
+    ``templates`` are (label, text) in place of ``default_templates()``.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_scanned, _ROW)
+    table = None if templates is None else tuple(map(tuple, templates))
+    return rows.mapInArrow(lambda batches: _scanned(batches, table), _ROW)

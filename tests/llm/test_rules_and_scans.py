@@ -106,6 +106,21 @@ def test_licence_rows(spark, hard):
     assert licences.scan(hard).count() == len(HARD)
 
 
+def labels_of(spark, texts, **more):
+    rows = licences.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), **more).collect()
+    return {r["doc_id"]: {x["label"] for x in r["spans"]} for r in rows}
+
+
+def test_whole_licence_texts(spark):
+    bodies = dict(licences.default_templates()[:18])
+    assert {"mit", "bsd-2-clause", "bsd-3-clause", "apache-2.0", "gpl-2.0", "gpl-3.0", "lgpl-2.1", "cc0-1.0"} <= set(bodies)
+    late = [" ".join(text.split()[15:]) for text in bodies.values()]  # without the opening words
+    got = labels_of(spark, late)
+    for k, label in enumerate(bodies):
+        assert label in got[k], label
+    assert labels_of(spark, ["one own template of words"], templates=[("own", "own template of words")]) == {0: {"own"}}
+
+
 def test_phrases_equal_brute_force(spark):
     rng = random.Random(6)
     pool = "cc by general public license all rights reserved CC BY other x.".split()
