@@ -3,9 +3,10 @@
 One automaton holds all suffixes of all templates' words. A text's words are streamed through it:
 the matching statistics give, for each word, the longest run of words ending there that occurs in
 some template. Runs of ``LEAST`` words or more that can't be extended are chained: matches that
-follow each other in the text, within ``GAP`` words, and in the template cover a span of it. A
-template whose span covers ``COVER`` of its words gives its label to the text. Base phrases are
-found wherever their words stand consecutively.
+follow each other in the text, within ``GAP`` words, and in the template cover a span of it. Words of
+the span that match nothing are subtracted from the covered ones. A template of which ``COVER`` is
+left gives its label to the text, unless its span overlaps that of a template with more words left
+(or as many, and a larger share). Base phrases are found wherever their words stand consecutively.
 
 Templates are whole licence texts (``licence_texts``, one file for each label) and notices:
 ``TEMPLATES`` and the variants of the GNU and Creative Commons families. ``scan`` takes any other
@@ -20,6 +21,7 @@ are not looked at. The longest text needs memory in proportion to its words only
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import cache
 from importlib.resources import files
@@ -50,6 +52,7 @@ TEMPLATES = [
     ("apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
     ("epl-1.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0"),
     ("epl-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
     ("cc0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
     ("cc0-1.0", "This work is licensed under CC0 1.0 Universal"),
     ("cc0-1.0", "This work is marked with CC0 1.0 Universal"),
@@ -183,8 +186,8 @@ def spans(codes: np.ndarray, templates: tuple[tuple[str, str], ...] | None = Non
         return [], 0.0
     cut = np.flatnonzero(np.diff(inside) > 1) + 1
     first, stop = inside[np.r_[0, cut]], inside[np.r_[cut - 1, len(inside) - 1]] + 1
-    chains: dict[int, list[int]] = {}  # template: text's first and last word, template's last, covered
-    out, best = [], 0.0
+    chains: dict[int, list[int]] = {}  # template: text's first and last word, template's last, covered less unmatched
+    found, best = [], 0.0
 
     def close(number: int) -> None:
         nonlocal best
@@ -192,7 +195,7 @@ def spans(codes: np.ndarray, templates: tuple[tuple[str, str], ...] | None = Non
         label, size = labels[number]
         best = max(best, covered / size)
         if covered >= COVER * size:
-            out.append((label, start, end, covered / size))
+            found.append((covered, covered / size, label, start, end))
 
     for a, b in zip(first.tolist(), stop.tolist(), strict=True):
         if b - a < LEAST:
@@ -210,14 +213,19 @@ def spans(codes: np.ndarray, templates: tuple[tuple[str, str], ...] | None = Non
                 chain = chains.get(number)
                 if chain and place > chain[2] and end - size + 1 - chain[1] <= GAP + 1:
                     fresh = min(size, place - chain[2], end - chain[1])
-                    chains[number] = [chain[0], end, place, chain[3] + fresh]
+                    chains[number] = [chain[0], end, place, chain[3] + fresh - (end - chain[1] - fresh)]
                 else:
                     if chain:
                         close(number)
                     chains[number] = [end - size + 1, end, place, size]
     for number in list(chains):
         close(number)
-    return sorted(out, key=lambda x: (x[1], x[2], x[0])), best
+    out: list[tuple[str, int, int, float]] = []  # disjoint spans in the order of the text
+    for _, share, label, start, end in sorted(found, key=lambda x: (-x[0], -x[1], *x[2:])):
+        at = bisect_left(out, start, key=lambda x: x[2])  # the first span that ends there or later
+        if at == len(out) or out[at][1] > end:
+            out.insert(at, (label, start, end, share))
+    return out, best
 
 
 def _scanned(batches: Iterator[pa.RecordBatch], templates: tuple[tuple[str, str], ...] | None = None) -> Iterator[pa.RecordBatch]:

@@ -121,6 +121,22 @@ def test_whole_licence_texts(spark):
     assert labels_of(spark, ["one own template of words"], templates=[("own", "own template of words")]) == {0: {"own"}}
 
 
+def test_words_in_gaps_and_overlapping_templates(spark):
+    work = "This work is licensed under "
+    texts = {
+        work + "a Creative Commons Attribution-ShareAlike 4.0 International License": {"cc-by-sa-4.0"},
+        work + "a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License": {"cc-by-nc-nd-4.0"},
+        work + "the GNU Lesser General Public License, version 3": {"lgpl-3.0"},
+        work + "the GNU Affero General Public License, version 3": {"agpl-3.0"},
+        work + "the GNU General Public License, version 3": {"gpl-3.0"},
+        work + "the GNU General Public License, version 2. Released under the MIT License.": {"gpl-2.0", "mit"},
+    }
+    assert list(labels_of(spark, list(texts)).values()) == list(texts.values())
+    two = [("plain", "a b c d e f g h i j"), ("odd", "a b c d e x y z f g h i j")]
+    mixed = ["a b c d e f g h i j", "a b c d e x y z f g h i j", "a b c d e q r s f g h i j", "a b c d e f q g h i j a b c d e x y z f g h i j"]
+    assert labels_of(spark, mixed, templates=two) == {0: {"plain"}, 1: {"odd"}, 2: set(), 3: {"plain", "odd"}}
+
+
 def test_phrases_equal_brute_force(spark):
     rng = random.Random(6)
     pool = "cc by general public license all rights reserved CC BY other x.".split()
