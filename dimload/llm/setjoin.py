@@ -48,6 +48,7 @@ FIRST_BLOCK, BLOCK_GROWTH = 4, 16
 BUFFER = 400_000  # pairs a task holds to drop repeated ones
 LIST_ROWS = 50_000  # entries of lists of one component that a group of lists may hold
 LOW = 0xFFFFFFFF  # a place holds a set's size above the entry's position
+LEAD, LATER = 256, 4096  # entries of a list compared with each other at once
 PARTNERS = 512  # of one set in one verification group
 _TABLE = byte_table(BLANKS, lower=True)
 
@@ -203,8 +204,9 @@ def _list_pairs(lo: int, hi: int, keep_long: bool):
     """Pairs of each list's sets of ranks lo to hi with all later sets of other components.
 
     Rows come sorted by list and rank order. With ``keep_long``, entries of lists beyond ``hi`` are
-    returned too (token not null), for the next rounds. A task holds a block of a list, and pairs up
-    to ``BUFFER``, since lists with common sets repeat them.
+    returned too (token not null), for the next rounds. A task holds a block of a list, compares
+    ``LEAD`` of its entries with ``LATER`` others at once, and holds pairs up to ``BUFFER``, since lists
+    with common sets repeat them.
     """
 
     def packed_pairs(both: np.ndarray) -> pa.RecordBatch:
@@ -217,6 +219,16 @@ def _list_pairs(lo: int, hi: int, keep_long: bool):
         pairs: list[np.ndarray] = []
         held_pairs = 0
 
+        def overflow() -> list[pa.RecordBatch]:
+            nonlocal pairs, held_pairs
+            if sum(x.shape[1] for x in pairs) > 2 * held_pairs + BUFFER // 4:
+                pairs = [distinct_pairs(np.hstack(pairs))]
+                held_pairs = pairs[0].shape[1]
+                if held_pairs > BUFFER:
+                    out, pairs, held_pairs = packed_pairs(pairs[0]), [], 0
+                    return [out]
+            return []
+
         for batch in batches:
             t = batch.column("token").to_numpy(zero_copy_only=False)
             cols = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("sid", "place", "comp")])
@@ -249,19 +261,17 @@ def _list_pairs(lo: int, hi: int, keep_long: bool):
                     longs.append(np.vstack([np.full(kept.shape[1], token), kept[:3]]))
                 if not lead.shape[1]:
                     continue
-                for i in range(0, rows.shape[1], 4096):
-                    later = rows[:, i : i + 4096]
-                    ok = (lead[0][:, None] < later[0]) & (lead[3][:, None] != later[3])
-                    ok &= _possible(lead[2][:, None] >> 32, lead[2][:, None] & LOW, later[2] >> 32, later[2] & LOW)
-                    a, b = np.nonzero(ok)
-                    if len(a):
-                        pairs.append(np.stack([lead[1][a], later[1][b]]))
-            if sum(x.shape[1] for x in pairs) > 2 * held_pairs + BUFFER // 4:
-                pairs = [distinct_pairs(np.hstack(pairs))]
-                held_pairs = pairs[0].shape[1]
-                if held_pairs > BUFFER:
-                    yield packed_pairs(pairs[0])
-                    pairs, held_pairs = [], 0
+                for i in range(0, rows.shape[1], LATER):
+                    later = rows[:, i : i + LATER]
+                    for j in range(0, lead.shape[1], LEAD):
+                        some = lead[:, j : j + LEAD]
+                        ok = (some[0][:, None] < later[0]) & (some[3][:, None] != later[3])
+                        ok &= _possible(some[2][:, None] >> 32, some[2][:, None] & LOW, later[2] >> 32, later[2] & LOW)
+                        a, b = np.nonzero(ok)
+                        if len(a):
+                            pairs.append(np.stack([some[1][a], later[1][b]]))
+                            yield from overflow()
+            yield from overflow()
             if longs:
                 rows = np.hstack(longs)
                 none = pa.nulls(rows.shape[1], pa.int64())

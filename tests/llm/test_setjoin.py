@@ -2,7 +2,10 @@
 
 import random
 import re
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from dimload.llm import setjoin
@@ -77,6 +80,28 @@ def test_lists_longer_than_a_block(spark, monkeypatch):
     assert found(setjoin.groups(df)) == brute(rows)
 
 
+@pytest.mark.parametrize("mixed", [False, True])
+def test_long_list_in_bounded_memory(mixed):
+    """One list of 8,000 sets: one component and a single other set, or no two sets of one component."""
+    n, odd, lo = 8000, 5000, 1024
+    comp = np.arange(n) if mixed else np.where(np.arange(n) == odd, odd, 0)
+    columns = {"token": np.zeros(n, np.int64), "sid": np.arange(n), "place": np.full(n, 10 << 32), "comp": comp}
+    batches = pa.table(columns).to_batches(max_chunksize=4000)
+    got, seen = 0, set()
+    tracemalloc.start()
+    for out in setjoin._list_pairs(lo, 16_384, False)(iter(batches)):
+        got += out.num_rows
+        if not mixed:
+            seen |= set(zip(out.column("a").to_pylist(), out.column("b").to_pylist(), strict=True))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+    if mixed:
+        assert got == sum(n - 1 - i for i in range(lo, n))
+    else:
+        assert seen == {(odd, i) for i in range(odd + 1, n)} | {(i, odd) for i in range(lo, odd)}
+
+
 def test_hard_rows(spark, hard):
     rows = setjoin.groups(hard).collect()
     assert len(rows) == len(HARD)
