@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimload.llm import bradley_terry, containment, hilbert_pack, hypergeometric, kneser_ney, licences, rule_ledger, setjoin, token_store, warc
+from dimload.llm import bradley_terry, containment, hilbert_pack, hypergeometric, kneser_ney, licences, merkle, rule_ledger, setjoin, token_store, warc
 from dimload.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -166,6 +166,56 @@ def op10_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and the root folded from it, a seventh of them tampered with."""
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    return merkle.manifest(table(spark, sf_dir, "documents"), remainder(7) == 0, {"n_chars": more})
+
+
+_OP12_FIELDS = "concat({})".format(", ".join(f"coalesce(strlen({c}::varchar) || ':' || {c}::varchar, '-')" for c in ("doc_id", "source", "lang", "chars", "text")))
+_OP12_SQL = f"""
+with recursive d as (
+  select doc_id, coalesce('+' || lang, '') as tree, source, lang, n_chars, text,
+    xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint)),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, k: xor(x >> 1, (x & 1) * 3988292384)))) % 7 = 0 as tampered
+  from documents
+), h as (
+  select doc_id, tree, sha256({_OP12_FIELDS.replace("chars", "n_chars")}) as leaf,
+    sha256({_OP12_FIELDS.replace("chars", "(n_chars::hugeint + case when tampered then 1 else 0 end)")}) as changed
+  from d
+), f as (
+  select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as i, count(*) over (partition by tree) as n from h
+), t(level, tree, i, h, n) as (
+  select 0, tree, i, leaf, n from f
+  union all
+  select level + 1, tree, i // 2, sha256(string_agg(h, '' order by i)), (any_value(n) + 1) // 2 from t where n > 1 group by level, tree, i // 2
+), s as (
+  select tree, h as subroot, row_number() over (order by tree) - 1 as i, count(*) over () as n from t where n = 1
+), u(level, i, h, n) as (
+  select 0, i, subroot, n from s
+  union all
+  select level + 1, i // 2, sha256(string_agg(h, '' order by i)), (any_value(n) + 1) // 2 from u where n > 1 group by level, i // 2
+), ways as (
+  select tree, i, 0 as part, unnest(range((select max(level) from t where t.tree = f.tree))) as level from f
+  union all
+  select f.tree, f.i, 1, unnest(range((select max(level) from u))) from f
+), steps as (
+  select w.*, case when x.h is null then 'N' when w.at % 2 = 1 then 'L' || x.h else 'R' || x.h end as step
+  from (select *, i >> level as at from ways where part = 0) w left join t x on x.tree = w.tree and x.level = w.level and x.i = xor(w.at, 1)
+  union all
+  select w.*, case when x.h is null then 'N' when w.at % 2 = 1 then 'L' || x.h else 'R' || x.h end
+  from (select w.*, s.i >> level as at from ways w join s using (tree) where part = 1) w left join u x on x.level = w.level and x.i = xor(w.at, 1)
+), paths as (
+  select tree, i, list(step order by part, level) as steps, sha256(string_agg(substr(step, 2), '' order by part, level)) as proof from steps group by tree, i
+)
+select f.doc_id, f.leaf, s.subroot, r.h as root, coalesce(p.proof, sha256('')) as proof_sha256,
+  coalesce(list_reduce(list_prepend(f.changed, p.steps),
+    lambda x, y: sha256(case y[1] when 'L' then substr(y, 2) || x when 'R' then x || substr(y, 2) else x end)), f.changed) as folded_root,
+  folded_root = r.h as verified
+from f join s using (tree) left join paths p on p.tree = f.tree and p.i = f.i cross join (select h from u where n = 1) r
+"""
+
+
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_jaccard_groups": op2_jaccard_groups,
@@ -177,6 +227,7 @@ QUERIES = {
     "op8_minhash_containment": op8_minhash_containment,
     "op9_bradley_terry": op9_bradley_terry,
     "op10_hypergeometric_shards": op10_hypergeometric_shards,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
-ORACLES = {"op5_rule_ledger": _OP5_SQL, "op7_warc_index": _OP7_SQL, "op8_minhash_containment": _OP8_SQL}
+ORACLES = {"op5_rule_ledger": _OP5_SQL, "op7_warc_index": _OP7_SQL, "op8_minhash_containment": _OP8_SQL, "op12_merkle_manifest": _OP12_SQL}
