@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimload.llm import bradley_terry, containment, hilbert_pack, hypergeometric, kneser_ney, licences, merkle, rule_ledger, setjoin, token_store, warc
+from dimload.llm import bradley_terry, containment, hilbert_pack, hypergeometric, kneser_ney, licences, merkle, repeats, rule_ledger, setjoin, token_store, warc
 from dimload.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -166,6 +168,24 @@ def op10_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planted_repeats(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """In a tenth of the documents, the words from some place on repeat with some period."""
+    n = len(words)
+    if doc_id is None or not n:
+        return words
+    g, left = divmod(zlib.crc32(str(doc_id).encode()), 10)
+    if left:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's runs of repeated words, and its text without the repetitions."""
+    return repeats.scan(table(spark, sf_dir, "documents"), planted_repeats)
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's leaf, proof and the root folded from it, a seventh of them tampered with."""
     more = F.col("n_chars").cast("decimal(20,0)") + 1
@@ -227,6 +247,7 @@ QUERIES = {
     "op8_minhash_containment": op8_minhash_containment,
     "op9_bradley_terry": op9_bradley_terry,
     "op10_hypergeometric_shards": op10_hypergeometric_shards,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_merkle_manifest": op12_merkle_manifest,
 }
 
