@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimload.llm import bradley_terry, containment, hilbert_pack, hypergeometric, kneser_ney, licences, merkle, repeats, rule_ledger, setjoin, token_store, warc
+from dimload.llm import bitminhash, bradley_terry, containment, hilbert_pack, hypergeometric, kneser_ney, licences, merkle, repeats, rule_ledger, setjoin, token_store, warc
 from dimload.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -236,6 +236,11 @@ from f join s using (tree) left join paths p on p.tree = f.tree and p.i = f.i cr
 """
 
 
+def op13_bit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shingle count, near-duplicate group, and whether it stays."""
+    return bitminhash.groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_jaccard_groups": op2_jaccard_groups,
@@ -249,6 +254,7 @@ QUERIES = {
     "op10_hypergeometric_shards": op10_hypergeometric_shards,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_bit_minhash": op13_bit_minhash,
 }
 
 ORACLES = {"op5_rule_ledger": _OP5_SQL, "op7_warc_index": _OP7_SQL, "op8_minhash_containment": _OP8_SQL, "op12_merkle_manifest": _OP12_SQL}
