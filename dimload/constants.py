@@ -70,6 +70,10 @@ BACKFILL_DAYS_OTHER = 2
 UNLOAD_DELIMITER = ","
 UNLOAD_ESCAPE = "/"
 UNLOAD_NULL = "\\N"
+UNLOAD_MAX_BYTES = 5_000_000_000
+
+# --- fixed values: characters that a column name may hold -----------------------------------------
+NAME_PATTERN = r'[^a-zA-Z0-9_"]'
 
 # --- fixed values: compressed-file pattern (the dot is deliberately unescaped) -------------------
 COMPRESSED_PATTERN = ".*(.gz)\\d*$"

@@ -120,6 +120,7 @@ def generate_keys(
     source_system: str | Column,
     bucket_hex: int = DEFAULT_BUCKET_HEX,
     materialize: bool = True,
+    highest: int | None = None,
 ) -> DataFrame:
     """K1: rows to append to the keys table for keys of ``candidates`` it does not hold yet.
 
@@ -129,8 +130,10 @@ def generate_keys(
     keys never change.
 
     Ranking reads the new identities twice (bucket sizes, then numbers). With ``materialize``
-    (default) they are checkpointed first, so the candidates are read and deduplicated once; the
-    join with the keys table is left to Catalyst and AQE.
+    (default) they are checkpointed first, so the candidates are read and deduplicated once. The join
+    with the keys table is on the value alone where name and system are constants, so that a keys table
+    bucketed on it (:func:`add_keys`) is not shuffled. ``highest`` is the largest number in use, where it
+    is known: nothing is scanned for it.
     """
     ident = [C.KEYS_BUSINESS_KEY, C.KEYS_KEY_NAME, C.KEYS_SYSTEM]
     cand = candidates.select(
@@ -148,13 +151,18 @@ def generate_keys(
     if isinstance(source_system, str):
         existing = existing.filter(F.col(C.KEYS_SYSTEM) == F.lit(source_system))
     distinct_cand = cand.dropDuplicates(ident)
-    new_ids = distinct_cand.join(existing, ident, "left_anti")
+    constant = {C.KEYS_KEY_NAME: isinstance(key_name, str), C.KEYS_SYSTEM: isinstance(source_system, str)}
+    new_ids = distinct_cand.join(existing, [c for c in ident if not constant.get(c)], "left_anti")
     if materialize:
         from dimload.session import materialize as _mat
 
         new_ids = _mat(new_ids)
+    if highest is None:
+        base = max_key(keys, sk)
+    else:
+        base = candidates.sparkSession.range(1).select(F.lit(highest).cast("bigint").alias("max_sk"))
     numbered = assign_numbers(
-        new_ids, C.KEYS_BUSINESS_KEY, max_key(keys, sk), sk, (C.KEYS_KEY_NAME, C.KEYS_SYSTEM), bucket_hex
+        new_ids, C.KEYS_BUSINESS_KEY, base, sk, (C.KEYS_KEY_NAME, C.KEYS_SYSTEM), bucket_hex
     )
     return numbered.select(
         F.col(sk),
@@ -167,6 +175,54 @@ def generate_keys(
     )
 
 
+KEYS_BUCKETS = 64
+_HIGHEST = "dimload.highest_key"
+
+
+def highest_key(spark: SparkSession, table: str) -> int | None:
+    """The largest number of a keys table by its property (``None``: not known)."""
+    held = {r["key"]: r["value"] for r in spark.sql(f"show tblproperties {table}").collect()}
+    return int(held[_HIGHEST]) if _HIGHEST in held else None
+
+
+def add_keys(
+    candidates: DataFrame,
+    key_col: str,
+    table: str,
+    sk: str,
+    as_of,
+    key_name: str | Column,
+    source_system: str | Column,
+    buckets: int = KEYS_BUCKETS,
+) -> DataFrame:
+    """K1 and K2 on a catalog table: the keys that ``table`` lacks are numbered and appended to it;
+    returns their rows.
+
+    The table is bucketed on the key's value (``buckets`` of them when it is made), so old keys are not
+    shuffled when a batch is looked up, and its property holds the largest number handed out, so none
+    are scanned for it. The property is raised before the keys are appended: a crash in between leaves a
+    gap in the numbers and never a number twice.
+    """
+    from dimload.session import materialize
+
+    spark = candidates.sparkSession
+    stored = spark.catalog.tableExists(table)
+    keys = spark.table(table) if stored else empty_keys(spark, sk)
+    highest = highest_key(spark, table) if stored else 0
+    new = materialize(generate_keys(candidates, key_col, keys, sk, as_of, key_name, source_system, highest=highest))
+    newest = new.agg(F.max(sk)).head()[0]
+
+    def append(rows: DataFrame) -> None:
+        rows.write.mode("append").bucketBy(buckets, C.KEYS_BUSINESS_KEY).saveAsTable(table)
+
+    if not stored:
+        append(new.limit(0))
+    if newest is not None:
+        spark.sql(f"alter table {table} set tblproperties ('{_HIGHEST}' = '{newest}')")
+        append(new)
+    return new
+
+
 def keys_to_map(new_keys: DataFrame, sk: str) -> DataFrame:
     """K3: the key map rows that go with newly generated keys."""
     return new_keys.select(

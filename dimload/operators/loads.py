@@ -110,9 +110,12 @@ def delete_matches(
     return t.join(s, cond, "left_anti").select(*[_q(c) for c in target.columns])
 
 
-def key_matches(target: DataFrame, source: DataFrame, join_keys: JoinKeys) -> DataFrame:
-    """The target rows whose keys occur in the source, by the comparison of :func:`delete_matches`."""
+def key_matches(target: DataFrame, source: DataFrame, join_keys: JoinKeys, delete_condition: Column | str | None = None) -> DataFrame:
+    """The target rows that :func:`delete_matches` would delete."""
     t, s, cond = _matched_sides(target, source, join_keys, False)
+    dc = _expr(delete_condition)
+    if dc is not None:
+        cond = cond & dc
     return t.join(s, cond, "left_semi").select(*[_q(c) for c in target.columns])
 
 

@@ -1,13 +1,12 @@
-"""Loads on storage: SCD batches, load strategies and keyed loads over Parquet folders.
+"""Loads on storage: SCD batches, load strategies and keyed loads over versioned Parquet tables.
 
-Layout of a dimension folder, partitioned by the current flag and the load batch::
+All of them write through :mod:`dimload.sources.versions`: the files of a load count from the moment its
+commit is there, and a load that fails at any step leaves the table as it was.
 
-    <dim>/<current_col>=true/load_batch=<n>-<id>/...    the current rows, rewritten every batch
-    <dim>/<current_col>=false/load_batch=<n>-<id>/...   rows retired by batch <id>, written once
-
-``n`` counts the batches. A reader takes the current rows of the newest batch and the history up to
-it (:func:`read_dimension`), so the moment a batch takes effect is the commit of its current
-partition, and anything written before it stays unseen until then.
+A dimension is partitioned by the current flag and by a hash of the business key into buckets
+(``dim_bucket``; their number is kept with the table). A batch reads the buckets that its keys fall
+into, and replaces only files of current rows that it changed: their other rows are written again, with
+the retired rows and the new versions. History files are never replaced.
 
 Order of the steps in :func:`run_scd_batch` and why a re-run after a crash is safe:
 
@@ -15,95 +14,83 @@ Order of the steps in :func:`run_scd_batch` and why a re-run after a crash is sa
    numbers, so no key is handed out twice;
 2. key-map rows are whatever the keys table has and the map lacks, so rows lost to a crash between
    the two appends come with the next run;
-3. the retired rows go to the batch's own partition (a re-run replaces it);
-4. the current rows go to the batch's own partition: the switch;
-5. older current partitions are removed, the ledger row marks the batch done; a batch found in the
-   ledger is skipped.
+3. the batch's rows are written and committed: the switch;
+4. the ledger row marks the batch done; a batch found in the ledger is skipped.
 
-A crash between 4 and 5 leaves the batch in effect and unmarked; loading it again changes nothing.
+A crash between 3 and 4 leaves the batch in effect and unmarked; loading it again changes nothing.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from typing import Callable
+from typing import Callable, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimload.operators.quality import CheckFailed, combine_checks, run_checks, unique_columns
+from dimload.operators.schema import align_columns
 from dimload.operators.scd import ScdResult, ScdSpec, scd_checks, scd_load
-from dimload.session import remove_path, scratch_path, sub_folders
+from dimload.session import materialize, remove_path, scratch_path
 from dimload.sources.ledger import LEDGER_SCHEMA, ledger_rows, value_exists
+from dimload.sources.versions import FILE_COL, MAX_REPLACED, Version, commit_load, current_version, read_or_none, read_table, read_version
 
-BATCH_COL = "load_batch"
-
+BUCKET_COL, BUCKETS = "dim_bucket", 64
 
-def read_or_none(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
-    """A parquet table, or ``None`` when its folder does not exist; other errors are raised."""
-    try:
-        reader = spark.read.option("mergeSchema", "true")
-        return (reader.schema(schema) if schema else reader).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
 
+def bucket_of(spec: ScdSpec, types: dict[str, T.DataType], buckets: int) -> Column:
+    """The bucket of a business key, as the dimension's types write it."""
+    keys = [F.col(f"`{k}`").cast(types[k.lower()]).cast("string") for k in spec.business_keys]
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
-def _batches(spark: SparkSession, folder: str) -> list[str]:
-    """The batch partitions below a folder, oldest first."""
-    names = (name.partition("=") for name in sub_folders(spark, folder))
-    return sorted(value for column, _, value in names if column == BATCH_COL)
 
-
-def _batch_name(spark: SparkSession, dim_path: str, spec: ScdSpec, batch_id: str) -> str:
-    """``<n>-<id>`` of a batch: its number from an earlier attempt, or the next one."""
-    current = _batches(spark, f"{dim_path}/{spec.current_col}=true")
-    tried = [b for b in _batches(spark, f"{dim_path}/{spec.current_col}=false") if b > max(current, default="")]
-    same = [b for b in tried if b.partition("-")[2] == str(batch_id)]
-    return same[0] if same else f"{max((int(b[:9]) for b in (*current, *tried)), default=-1) + 1:09d}-{batch_id}"
+def _types(schema: T.StructType) -> dict[str, T.DataType]:
+    return {f.name.lower(): f.dataType for f in schema.fields}
 
 
 def read_dimension(spark: SparkSession, path: str, spec: ScdSpec) -> DataFrame | None:
-    """The dimension as of its newest complete batch, with the columns of all batches."""
-    current = _batches(spark, f"{path}/{spec.current_col}=true")
-    if not current:
-        return None
-    df = spark.read.option("mergeSchema", "true").parquet(path)
-    flag = F.col(f"`{spec.current_col}`").cast("boolean")
-    batch = F.col(BATCH_COL).cast("string")
-    df = df.filter((flag & (batch == current[-1])) | (~flag & (batch <= current[-1])))
-    return df.withColumn(spec.current_col, flag).drop(BATCH_COL)
-
-
-def _write_batch(rows: DataFrame, folder: str, batch: str) -> None:
-    tagged = rows.withColumn(BATCH_COL, F.lit(batch))
-    tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(folder)
-
-
-def publish_dimension(result: ScdResult, spec: ScdSpec, dim_path: str, batch_id: str) -> None:
-    """Write one SCD batch: retired rows, then the current rows (the switch), then tidy up."""
-    spark, cur = result.dimension.sparkSession, spec.current_col
-    batch = _batch_name(spark, dim_path, spec, batch_id)
-    newest = max(_batches(spark, f"{dim_path}/{cur}=true"), default="")
-    for tried in _batches(spark, f"{dim_path}/{cur}=false"):
-        if tried > newest and tried != batch:  # left by a batch that never took effect
-            remove_path(spark, f"{dim_path}/{cur}=false/{BATCH_COL}={tried}")
-    _write_batch(result.steps.retired.filter(F.col(f"`{spec.surrogate_key}`") >= 0).drop(cur), f"{dim_path}/{cur}=false", batch)
-    _write_batch(result.dimension.filter(F.coalesce(F.col(f"`{cur}`"), F.lit(False))).drop(cur), f"{dim_path}/{cur}=true", batch)
-    for old in _batches(spark, f"{dim_path}/{cur}=true"):
-        if old < batch:
-            remove_path(spark, f"{dim_path}/{cur}=true/{BATCH_COL}={old}")
-
-
-def initialize_dimension(dim: DataFrame, spec: ScdSpec, dim_path: str, batch_id: str = "0") -> None:
-    """Write an existing dimension (e.g. just the default member) in the publish layout."""
-    cur = spec.current_col
-    flag = F.coalesce(F.col(f"`{cur}`"), F.lit(False))
-    _write_batch(dim.filter(~flag).drop(cur), f"{dim_path}/{cur}=false", f"{0:09d}-{batch_id}")
-    _write_batch(dim.filter(flag).drop(cur), f"{dim_path}/{cur}=true", f"{0:09d}-{batch_id}")
+    """The dimension as of its newest batch, with the columns of all batches."""
+    dim = read_or_none(spark, path)
+    return None if dim is None else dim.drop(BUCKET_COL)
+
+
+def _write_dimension(rows: DataFrame, spec: ScdSpec, path: str, before: Version | None, replaced: Sequence[str] | None, buckets: int, highest: int | None) -> None:
+    """Commit rows of a dimension, each bucket's current rows and history rows by one task."""
+    flag = F.coalesce(F.col(f"`{spec.current_col}`"), F.lit(False))
+    types = _types(before.schema if before else rows.schema)
+    rows = rows.withColumn(spec.current_col, flag).withColumn(BUCKET_COL, bucket_of(spec, types, buckets))
+    parts = [spec.current_col, BUCKET_COL]
+    commit_load(rows.repartition(*parts), path, before, parts, replaced, {"buckets": buckets, "highest": highest})
+
+
+def initialize_dimension(dim: DataFrame, spec: ScdSpec, dim_path: str, buckets: int = BUCKETS) -> None:
+    """Write an existing dimension (e.g. just the default member) as a stored one."""
+    _write_dimension(dim, spec, dim_path, current_version(dim.sparkSession, dim_path), None, buckets, None)
+
+
+def publish_dimension(result: ScdResult, spec: ScdSpec, dim_path: str, before: Version | None, buckets: int, highest: int | None = None) -> None:
+    """Write one SCD batch over version ``before``: the files that hold rows the batch changed are
+    replaced by their other rows, and the retired rows and new versions come with them."""
+    steps = result.steps
+    if before is None or not before.notes or FILE_COL not in steps.dim.columns:
+        _write_dimension(result.dimension.drop(FILE_COL), spec, dim_path, before, None, buckets, highest)
+        return
+    spark = result.dimension.sparkSession
+    names = steps.joined.filter(F.col("_c1") | F.col("_c2")).select(FILE_COL).distinct()
+    names = [r[0] for r in names.limit(MAX_REPLACED + 1).collect()]
+    if len(names) > MAX_REPLACED:  # so many that the table's rows are written once more, all of them
+        whole = read_version(spark, dim_path, before, files=True).join(steps.dim.select(FILE_COL).distinct(), FILE_COL, "left_anti")
+        rows = result.dimension.drop(FILE_COL)
+        rows = rows.unionByName(align_columns(whole.drop(BUCKET_COL, FILE_COL), rows, exclude=()))
+        _write_dimension(rows, spec, dim_path, before, None, buckets, highest)
+        return
+    sk = F.col(f"`{spec.surrogate_key}`")
+    inside = F.col(FILE_COL).isin(names) if names else F.lit(False)
+    defaults = steps.dim.filter(((sk < 0) | sk.isNull()) & inside)
+    current = steps.kept.filter((sk >= 0) & F.col(f"`{spec.current_col}`") & inside)
+    retired = steps.retired.filter(sk >= 0)
+    rows = defaults.unionByName(current).unionByName(retired).unionByName(result.versions)
+    _write_dimension(rows.drop(FILE_COL), spec, dim_path, before, names, buckets, highest)
 
 
 def append_keys(spark: SparkSession, new_keys: DataFrame, sk: str, keys_path: str, map_path: str) -> None:
@@ -139,49 +126,71 @@ def run_scd_batch(
     map_path: str,
     ledger_path: str,
     checks: bool = True,
+    buckets: int = BUCKETS,
 ) -> str:
     """D8 end to end on storage: skip if done, load, check, append keys, publish, record.
 
-    Returns ``'skipped'`` or ``'published'``; raises :class:`CheckFailed` (nothing published, keys
-    untouched) when the staged batch breaks a dimension invariant, when two current rows would share
-    a surrogate key, or when the dimension has surrogate keys but the keys table is gone.
+    ``buckets`` is the number of buckets of a dimension that is stored for the first time. Returns
+    ``'skipped'`` or ``'published'``; raises :class:`CheckFailed` (nothing published, keys untouched)
+    when the batch breaks a dimension invariant, when a new version would share a surrogate key, or
+    when the dimension has surrogate keys but the keys table is gone.
     """
     update_id = f"scd_{spec.surrogate_key}_{batch_id}"
     if is_done(spark, ledger_path, update_id):
         return "skipped"
     sk = F.col(f"`{spec.surrogate_key}`")
-    dim = read_dimension(spark, dim_path, spec)
+    before = current_version(spark, dim_path)
     keys = read_or_none(spark, keys_path)
+    dim = None if before is None else read_version(spark, dim_path, before, files=True)
     if keys is None and dim is not None and not dim.filter(sk >= 0).isEmpty():
         raise CheckFailed(f"the dimension has surrogate keys, but there is no keys table at {keys_path}")
-    result = scd_load(dim, source, spec, as_of, keys=keys)
+    source = materialize(source)
+    highest = _highest(spec, before, dim, keys)
+    if before is not None and before.notes:
+        buckets = before.notes["buckets"]
+        bucket = bucket_of(spec, _types(before.schema), buckets)
+        read = [r[0] for r in source.select(bucket.alias("b")).distinct().collect()]  # as many as buckets at most
+        dim = dim.filter(F.col(BUCKET_COL).isin(read)) if read else dim.filter(F.lit(False))
+    dim = None if dim is None else dim.drop(BUCKET_COL)
+    result = scd_load(dim, source, spec, as_of, keys=keys, highest=highest, source_staged=True)
+    result.versions = materialize(result.versions)
     if checks:
-        live = result.dimension.filter(F.col(f"`{spec.current_col}`") & (sk >= 0))
-        report = combine_checks([scd_checks(result.steps.staged, spec), unique_columns("unique_current_surrogate_key", live, [spec.surrogate_key])])
-        failed = run_checks(report)
-        if failed:
-            raise CheckFailed("dimension checks failed: " + ", ".join(f"{r.test} ({r.violations})" for r in failed))
+        _check_batch(result, spec)
     append_keys(spark, result.new_keys, spec.surrogate_key, keys_path, map_path)
-    publish_dimension(result, spec, dim_path, batch_id)
+    newest = result.versions.agg(F.max(sk)).head()[0]
+    publish_dimension(result, spec, dim_path, before, buckets, max(highest or 0, newest or 0))
     record_done(spark, ledger_path, update_id, as_of, spec.surrogate_key)
     return "published"
 
 
+def _highest(spec: ScdSpec, before: Version | None, dim: DataFrame | None, keys: DataFrame | None) -> int | None:
+    """The largest surrogate key handed out: of the keys table, and of the dimension where no earlier
+    batch has left it with the table."""
+    sk = F.col(f"`{spec.surrogate_key}`")
+    known = (before.notes or {}).get("highest") if before else None
+    frames = [keys] if keys is not None else []
+    frames += [dim] if dim is not None and known is None else []
+    found = [f.agg(F.max(sk)).head()[0] for f in frames]
+    values = [v for v in (known, *found) if v is not None]
+    return max(0, *values) if values else None
+
+
+def _check_batch(result: ScdResult, spec: ScdSpec) -> None:
+    """The dimension's invariants over what the batch can have broken."""
+    touched = materialize(result.steps.touched)
+    sk = F.col(f"`{spec.surrogate_key}`")
+    live = touched.filter(F.col(f"`{spec.current_col}`") & (sk >= 0)).select(sk).unionByName(result.versions.select(sk))
+    report = combine_checks([scd_checks(touched, spec), unique_columns("unique_current_surrogate_key", live, [spec.surrogate_key])])
+    failed = run_checks(report)
+    if failed:
+        raise CheckFailed("dimension checks failed: " + ", ".join(f"{r.test} ({r.violations})" for r in failed))
+
+
 # ------------------------------------------------------------------------------------------------
 # Load strategies on storage: rewrite only what a load touches
 # ------------------------------------------------------------------------------------------------
 
 
-def read_table(spark: SparkSession, path: str, partition_cols, like: T.StructType) -> DataFrame:
-    """A stored table with the columns of all its files. Partition columns have the type that they
-    have in ``like``: read back by inference, a text ``01`` would become the number 1."""
-    stored = spark.read.option("mergeSchema", "true").parquet(path).schema
-    types = {f.name.lower(): f.dataType for f in like.fields}
-    parts = {p.lower() for p in partition_cols}
-    fields = [T.StructField(f.name, types[f.name.lower()]) if f.name.lower() in parts and f.name.lower() in types else f for f in stored.fields]
-    return spark.read.schema(T.StructType(fields)).parquet(path)
-
-
 def load_into(
     target_path: str,
     source: DataFrame,
@@ -197,58 +206,47 @@ def load_into(
 ) -> DataFrame:
     """L1-L5 applied to a parquet table at ``target_path``; returns the table as read back.
 
-    * ``insert`` appends the new rows (nothing is rewritten).
-    * ``upsert`` / ``refresh_by_keys`` on a table partitioned by ``partition_cols``: only the
-      affected partitions -- those receiving source rows and those holding rows whose keys the
-      source replaces, NULL partitions among them -- are read, recomputed and replaced (dynamic
-      partition overwrite). If a partition is left without rows, the table is rewritten as a whole,
-      in one overwrite, since a dynamic overwrite leaves such a partition as it is.
+    * ``insert`` adds the new rows in files of their own (nothing is rewritten).
+    * ``upsert`` / ``refresh_by_keys``: the files that hold a row whose key the source replaces are
+      found first; only their rows are read whole, and only those files are replaced. A partition
+      whose rows all move away is gone with its files.
     * ``full`` and ``refresh`` touch every row and rewrite the table.
 
-    The source is staged once, and every rewrite goes through a staging copy, so the table is never
-    read and overwritten by the same job. Staging folders are removed afterwards.
+    The load counts from its commit on; if it fails before, the table is as it was. Columns that only
+    the source has come with the load: rows of older files read NULL, or false for flags. The source
+    is staged once; staging folders are removed afterwards.
     """
     from dimload.operators.loads import align_target, insert_rows, key_matches, load
 
     spark = source.sparkSession
     stage = scratch_path(spark, "load_into")
+    source.write.parquet(f"{stage}/source")
+    source = spark.read.schema(source.schema).parquet(f"{stage}/source")
     parts = list(partition_cols or [])
+    before = current_version(spark, target_path, parts, source.schema)
+    if before is None:
+        raise FileNotFoundError(f"no table at {target_path}")
+    columns = dict(source_columns=source_columns, target_columns=target_columns)
 
-    def write(rows: DataFrame, mode: str, dynamic: bool = False) -> None:
-        writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-        (writer.partitionBy(*parts) if parts else writer).parquet(target_path)
-
-    def staged(rows: DataFrame, name: str) -> DataFrame:
-        rows.write.parquet(f"{stage}/{name}")
-        return spark.read.schema(rows.schema).parquet(f"{stage}/{name}")
-
-    def inside(rows: DataFrame, some: DataFrame, how: str) -> DataFrame:
-        """Rows whose partition is (left_semi) or isn't (left_anti) among ``some``; NULL is a value."""
-        other = some.select(*[F.col(f"`{p}`").alias(f"_p{i}") for i, p in enumerate(parts)])
-        same = [rows[f"`{p}`"].eqNullSafe(other[f"_p{i}"]) for i, p in enumerate(parts)]
-        return rows.join(other, reduce(lambda a, b: a & b, same), how)
+    def aligned(rows: DataFrame) -> DataFrame:
+        return align_target(rows, source, target_columns)
 
-    source = staged(source, "source")
-    target = align_target(read_table(spark, target_path, parts, source.schema), source, target_columns)
-    columns = dict(source_columns=source_columns, target_columns=target_columns)
+    target = aligned(read_version(spark, target_path, before))
+    replaced: list[str] | None = None
     if strategy == "insert":
-        write(insert_rows(target, source, as_of, load_constraint, **columns), "append")
-    elif strategy in ("upsert", "refresh_by_keys") and parts:
-        incoming = insert_rows(target, source, as_of, load_constraint, **columns).select(*parts)
-        holding = key_matches(target, source, join_keys).select(*parts)
-        affected = staged(incoming.unionByName(holding).distinct(), "affected")
-        scope = inside(target, affected, "left_semi")
-        rows = staged(load(scope, source, strategy, join_keys, as_of, delete_condition, load_constraint, **columns), "rows")
-        if inside(affected, rows.select(*parts).distinct(), "left_anti").isEmpty():
-            write(rows, "overwrite", dynamic=True)
-        else:
-            write(staged(rows.unionByName(inside(target, affected, "left_anti")), "table"), "overwrite")
+        rows, replaced = insert_rows(target, source, as_of, load_constraint, **columns), []
+    elif strategy in ("upsert", "refresh_by_keys"):
+        holding = key_matches(read_version(spark, target_path, before, files=True), source, join_keys, delete_condition)
+        names = [r[0] for r in holding.select(FILE_COL).distinct().limit(MAX_REPLACED + 1).collect()]
+        if len(names) <= MAX_REPLACED:
+            replaced = names
+            target = aligned(read_version(spark, target_path, before, only=names))
+        rows = load(target, source, strategy, join_keys, as_of, delete_condition, load_constraint, **columns)
     else:
         rows = load(target, source, strategy, join_keys, as_of, delete_condition, load_constraint, full_record_comparison_source, **columns)
-        write(staged(rows, "rows"), "overwrite")
-    out = read_table(spark, target_path, parts, source.schema)
+    commit_load(rows, target_path, before, parts, replaced)
     remove_path(spark, stage)
-    return out
+    return read_table(spark, target_path)
 
 
 def keyed_load_into(

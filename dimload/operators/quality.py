@@ -122,7 +122,7 @@ def standard_checks(
 
 def gated_publish(
     staged: DataFrame,
-    publish: Callable[[DataFrame], object],
+    publish: Callable[[DataFrame], object] | str,
     checks: Callable[[DataFrame], DataFrame | None] | None = None,
     post_step: Callable[[DataFrame], DataFrame] | None = None,
     stage_path: str | None = None,
@@ -131,9 +131,11 @@ def gated_publish(
 
     The rows are written once to ``stage_path`` (default: under the shared checkpoint folder) after
     the post step, so that the checks and the publish read the same rows and never the target being
-    replaced, also when the post step reads it.
+    replaced, also when the post step reads it. ``publish`` is a function of the rows, or the path of the
+    stored table that they replace: then a publish that fails leaves the table as it was.
     """
     from dimload.session import scratch_path
+    from dimload.sources.versions import replace_table
 
     spark = staged.sparkSession
     path = stage_path or scratch_path(spark, "gate")
@@ -146,5 +148,8 @@ def gated_publish(
             failed = run_checks(report)
             if failed:
                 raise CheckFailed("checks failed: " + ", ".join(f"{r.test} ({r.violations})" for r in failed))
-    publish(result)
+    if callable(publish):
+        publish(result)
+    else:
+        replace_table(result, publish)
     return result

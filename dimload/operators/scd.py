@@ -149,6 +149,7 @@ class ScdSteps:
     kept: DataFrame  # current rows after D2 (retire) and D3 (type-1 overwrite)
     remaining: DataFrame  # source rows not consumed by D4
     inserted: DataFrame  # D5: new versions, surrogate key NULL
+    joined: DataFrame  # current rows and source rows side by side; _c2: retired, _c1: overwritten
 
     @property
     def retired(self) -> DataFrame:
@@ -167,6 +168,17 @@ class ScdSteps:
         """Working dimension before keys: history ∪ kept ∪ inserted."""
         return self.history.unionByName(self.kept).unionByName(self.inserted)
 
+    @property
+    def touched(self) -> DataFrame:
+        """The rows of ``staged`` that this batch wrote, and all other versions of the keys that got a
+        new one: what the batch can have broken. The history is reduced to those keys first."""
+        bks = list(self.spec.business_keys)
+        keys = self.inserted.select(*bks).dropna().distinct()
+        written = self.joined.filter(F.col("_c2") | F.col("_c1")).select(*[_q(k) for k in bks]).unionByName(keys).distinct()
+        kept = self.kept.join(written, bks, "left_semi")
+        history = self.history.join(keys, bks, "left_semi")
+        return history.select(*self.dim.columns).unionByName(kept.select(*self.dim.columns)).unionByName(self.inserted)
+
 
 def scd_steps(dim: DataFrame, source: DataFrame, spec: ScdSpec, as_of, materialize: bool = False) -> ScdSteps:
     """D1-D5 for one batch as lazy DataFrames. With ``materialize`` the joined rows are checkpointed,
@@ -228,14 +240,16 @@ def scd_steps(dim: DataFrame, source: DataFrame, spec: ScdSpec, as_of, materiali
     remaining_keyed = rem.select(*[F.col(f"`{_S}{c}`").alias(c) for c in scols], retired_at)
     remaining = remaining_keyed.drop("_retired_at").unionByName(src_nullkey)
 
-    # A1 + J1: latest expiry of each key over history, then the retired row's new expiry.
-    hist_max = history.groupBy(*bks).agg(F.max(_q(spec.end_col)).alias("_hist_max"))
+    # A1 + J1: latest expiry over history, of the keys that need a version only (the history is reduced
+    # to them before it is aggregated), then the retired row's new expiry.
+    wanted = remaining_keyed.select(*[_q(k) for k in bks])
+    hist_max = history.join(wanted, bks, "left_semi").groupBy(*bks).agg(F.max(_q(spec.end_col)).alias("_hist_max"))
     cand = remaining_keyed.join(hist_max, bks, "left")
     latest = F.greatest(F.col("_hist_max"), F.col("_retired_at"))
     ins_keyed = cand.select(*[_q(c) for c in scols], next_start(latest).alias("_start"))
     ins_null = src_nullkey.select(*[_q(c) for c in scols], next_start(F.lit(None).cast("timestamp_ntz")).alias("_start"))
     inserted = ins_keyed.unionByName(ins_null).select(*_insert_columns(dcols, scols, spec, asof))
-    return ScdSteps(spec, as_of, dim, history, kept, remaining, inserted)
+    return ScdSteps(spec, as_of, dim, history, kept, remaining, inserted, j)
 
 
 def _insert_columns(dcols: Sequence[str], scols: Sequence[str], spec: ScdSpec, asof: Column) -> list[Column]:
@@ -268,9 +282,10 @@ def _insert_columns(dcols: Sequence[str], scols: Sequence[str], spec: ScdSpec, a
 
 
 def scd_checks(staged: DataFrame, spec: ScdSpec) -> DataFrame:
-    """``(test, passed, violations)`` for the three dimension invariants of a staged batch, over
-    the whole staged dimension. Rows with a NULL business key are never published, so they are not
-    compared with each other.
+    """``(test, passed, violations)`` for the three dimension invariants of staged rows: of a whole
+    dimension (:attr:`ScdSteps.staged`), or of what a batch can have broken (:attr:`ScdSteps.touched`),
+    the rest having been checked by the batches that wrote it. Rows with a NULL business key are never
+    published, so they are not compared with each other.
     """
     from dimload.operators.quality import combine_checks, expect_no_rows, unique_columns
 
@@ -293,6 +308,7 @@ class ScdResult:
     new_keys: DataFrame  # rows to append to the keys table (K2)
     new_map: DataFrame  # rows to append to the key map table (K3)
     steps: ScdSteps
+    versions: DataFrame | None = None  # the new versions with their keys, part of ``dimension``
 
 
 def assign_version_keys(
@@ -301,13 +317,15 @@ def assign_version_keys(
     spec: ScdSpec,
     as_of,
     floor: DataFrame | None = None,
+    highest: int | None = None,
 ) -> DataFrame:
     """D7 for the new versions: the existing key of ``bk || start`` or the next dense number.
 
     Rows whose derived key is NULL (NULL business key) are dropped: they never get a key. Numbers
     start after the largest one of the keys table and of ``floor`` (a frame with the surrogate key,
-    e.g. the dimension), so a number in use is never handed out again. The lookup is a left join
-    planned by Catalyst and AQE.
+    e.g. the dimension), so a number in use is never handed out again; ``highest`` gives that number
+    where it is known, and nothing is scanned for it. The lookup is a left join planned by Catalyst
+    and AQE.
     """
     sk = spec.surrogate_key
     vkey = derived_key(spec.business_keys, spec.start_col)
@@ -321,8 +339,10 @@ def assign_version_keys(
             & (F.col(C.KEYS_SYSTEM) == F.lit(spec.source_system))
         ).select(F.col(C.KEYS_BUSINESS_KEY).alias("_vkey"), F.col(sk).cast("bigint").alias("_old_sk"))
         looked = ins.join(lookup, "_vkey", "left")
-        base = max_key(keys, sk)
-    if floor is not None:
+        base = max_key(keys, sk) if highest is None else None
+    if highest is not None:
+        base = ins.sparkSession.range(1).select(F.lit(highest).cast("bigint").alias("max_sk"))
+    elif floor is not None:
         highest = floor.select(_q(sk)) if keys is None else floor.select(_q(sk)).unionByName(keys.select(_q(sk)))
         base = max_key(highest, sk)
     numbered = assign_numbers(looked, "_vkey", base, "_new_sk", exclude=F.col("_old_sk").isNotNull())
@@ -337,16 +357,24 @@ def scd_load(
     keys: DataFrame | None = None,
     materialize: bool = True,
     check_source_unique: bool = True,
+    highest: int | None = None,
+    source_staged: bool = False,
 ) -> ScdResult:
     """One SCD batch from ``(dimension, source, keys)`` to the new dimension and new keys.
 
     ``dim=None`` is a first load (D0 builds an empty dimension). With ``materialize`` (default) the
-    joined rows of dimension and source are checkpointed once to the shared folder and feed the
-    retired, kept and new rows, so the wide join runs once for all readers; the new versions are
+    source is computed once and checkpointed to the shared folder, for the check of its keys, the join
+    and the rows without a key; the joined rows of dimension and source are checkpointed once and feed
+    the retired, kept and new rows, so the wide join runs once for all readers; the new versions are
     checkpointed as well, since dense numbering reads them twice (bucket sizes, then numbers).
     ``materialize=False`` keeps everything lazy (one plan, for inspection). Duplicate source keys
-    raise unless ``check_source_unique`` is off.
+    raise unless ``check_source_unique`` is off. ``highest`` is the largest surrogate key handed out,
+    where it is known. A source that is stored already (``source_staged``) is read as it is.
     """
+    if materialize:
+        from dimload.session import materialize as _mat
+
+        source = source if source_staged else _mat(source)
     if check_source_unique:
         from dimload.operators.quality import assert_unique
 
@@ -357,11 +385,9 @@ def scd_load(
     sk = spec.surrogate_key
     inserted = steps.inserted
     if materialize:
-        from dimload.session import materialize as _mat
-
         inserted = _mat(inserted)
         steps.inserted = inserted  # later readers (staged view, checks) reuse the checkpoint
-    keyed = assign_version_keys(inserted, keys, spec, as_of, floor=steps.dim)
+    keyed = assign_version_keys(inserted, keys, spec, as_of, floor=steps.dim, highest=highest)
 
     dcols = steps.dim.columns
     skc = _q(sk)
@@ -383,7 +409,7 @@ def scd_load(
         )
         .dropDuplicates([C.KEYS_BUSINESS_KEY])
     )
-    return ScdResult(dimension, new_keys, keys_to_map(new_keys, sk), steps)
+    return ScdResult(dimension, new_keys, keys_to_map(new_keys, sk), steps, new_versions)
 
 
 def publish_with_keys(dim: DataFrame, staged: DataFrame, keys: DataFrame, spec: ScdSpec) -> DataFrame:

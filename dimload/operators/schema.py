@@ -93,7 +93,7 @@ def clean_name(name: str) -> str:
     Spark quotes with backticks, so a reserved name comes back unchanged (Spark accepts it as a
     column name); :func:`clean_names` therefore only rewrites characters.
     """
-    return re.sub(r'[^a-zA-Z0-9_"]', "_", name.strip())
+    return re.sub(C.NAME_PATTERN, "_", name.strip())
 
 
 def quoted_name(name: str) -> str:

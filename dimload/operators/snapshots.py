@@ -1,8 +1,8 @@
 """Daily snapshots (L9) and date-range backfill.
 
-A snapshot day is one static partition ``snapshot_date=<d>``: re-running a day replaces exactly
-that partition, and an empty source clears it (a *dynamic* partition overwrite would leave the
-old rows of a day with no new rows, so it is not used).
+A snapshot day is one partition ``snapshot_date=<d>`` of a versioned table: re-running a day replaces
+exactly that partition, and an empty source clears it (a dynamic partition overwrite would leave the
+old rows of a day with no new rows, so it is not used). A run that fails leaves the day as it was.
 
 A backfill is one job over all missing days, not one job per day: the day list is generated by
 ``sequence`` (at most ``days_back`` rows -- bounded by the parameter, so it is broadcast), days
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimload import constants as C
+from dimload.sources.versions import read_or_none, replace_partitions
 from dimload.sources.ledger import LEDGER_SCHEMA, ledger_rows, pending_only
 
 SNAPSHOT_COL = "snapshot_date"
@@ -45,10 +46,10 @@ def daily_snapshot(snapshots: DataFrame | None, source: DataFrame, day) -> DataF
     return snapshots.filter(~F.col(SNAPSHOT_COL).eqNullSafe(_date_lit(day))).unionByName(new)
 
 
-def write_daily_snapshot(source: DataFrame, base_path: str, day, fmt: str = "parquet") -> None:
-    """L9 on files: overwrite the static partition ``<base>/snapshot_date=<day>`` (empty source -> empty day)."""
+def write_daily_snapshot(source: DataFrame, base_path: str, day) -> None:
+    """L9 on storage: the partition ``snapshot_date=<day>`` replaced (empty source -> no rows of the day)."""
     d = day.strftime("%Y-%m-%d") if isinstance(day, (_dt.date, _dt.datetime)) else str(day)
-    source.write.mode("overwrite").format(fmt).save(f"{base_path.rstrip('/')}/{SNAPSHOT_COL}={d}")
+    replace_partitions(snapshot_rows(source, day), base_path, SNAPSHOT_COL, [_dt.date.fromisoformat(d[:10])])
 
 
 def backfill_window(spark: SparkSession, today, days_back: int) -> DataFrame:
@@ -116,30 +117,29 @@ def backfill_into(
 ) -> DataFrame:
     """L10 on storage: load every pending day into its partition ``day=<d>`` and mark it done.
 
-    By default one job loads all pending days; a day without rows gets no partition. With
-    ``ordered``, for loads that read the day before, days run one after the other, oldest first:
+    By default one job loads all pending days and commits them together. With ``ordered``, for loads
+    that read the day before, days run and commit one after the other, oldest first:
     ``daily_load(rows, before)`` gets the table as of the day before (``None`` when nothing is
-    stored). Days are marked after their rows are written, so a crash repeats a day and never skips
-    one; a repeated day replaces its partition. Returns the days that were loaded.
+    stored). Days are marked after their commit, so a crash repeats a day and never skips one; a
+    repeated day replaces its rows, also by none. Returns the days that were loaded.
     """
-    from dimload.operators.publish import read_or_none
-
     ledger = read_or_none(spark, ledger_path, LEDGER_SCHEMA)
     if ledger is None:
         ledger = spark.createDataFrame([], LEDGER_SCHEMA)
     rows = pending_days(spark, today, days_back, ledger, prefix).orderBy("day").collect()  # days_back rows at most
     pending = spark.createDataFrame([(r["day"], r["update_id"]) for r in rows], "day date, update_id string")
 
-    def write(out: DataFrame, days: DataFrame) -> None:
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(base_path)
+    def write(out: DataFrame, days: DataFrame, of: list) -> None:
+        replace_partitions(out, base_path, "day", of)
         ledger_rows(days, "update_id", as_of, prefix).write.mode("append").parquet(ledger_path)
 
     if not ordered:
-        write(backfill(data, day_of, pending, daily_load), pending)
+        if rows:
+            write(backfill(data, day_of, pending, daily_load), pending, [r["day"] for r in rows])
         return pending
     for r in rows:
         one = pending.filter(F.col("day") == F.lit(r["day"]))
         stored = read_or_none(spark, base_path)
         before = None if stored is None else stored.filter(F.col("day") < F.lit(r["day"]))
-        write(backfill(data, day_of, one, lambda day_rows, before=before: daily_load(day_rows, before)), one)
+        write(backfill(data, day_of, one, lambda day_rows, before=before: daily_load(day_rows, before)), one, [r["day"]])
     return pending

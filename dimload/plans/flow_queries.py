@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from dimload import constants as C
 from dimload.functions.columns import bucket_of_url, directory_of_key, file_of_key, is_compressed, key_timestamp_text, path_of_url, table_of_name, ts_ntz
-from dimload.operators.keys import empty_keys, generate_keys, keys_to_map, with_key
+from dimload.operators.keys import add_keys, empty_keys, generate_keys, highest_key, keys_to_map, with_key
 from dimload.operators.loads import keyed_load, load
 from dimload.operators.quality import CheckFailed, expect_no_rows, expect_rows, combine_checks, unique_columns
 from dimload.operators.publish import keyed_load_into, load_into
@@ -20,7 +20,8 @@ from dimload.plans import load_queries as lq
 from dimload.session import materialize, scratch_path
 from dimload.sources.io import file_manifest, load_delimited, manifest_names, mirror, unload
 from dimload.sources.ledger import ledger_rows
-from dimload.sources.scripts import overwrite_via_staging, refresh_into, refresh_table, run_script, view_from_script
+from dimload.sources.versions import read_table, replace_table
+from dimload.sources.scripts import refresh_into, refresh_table, run_script, view_from_script
 
 AS_OF = "2024-03-15 08:30:45"
 _TS = "'%Y-%m-%d %H:%M:%S.%f'"
@@ -59,22 +60,34 @@ def _lineitem_keys(spark, sf_dir):
 _STATE: dict = {}
 
 
-def _lineitem_keys0(spark, sf_dir):
-    """The keys table after a first batch (even orders), stored once per session."""
+def _lineitem_keys0(spark, sf_dir) -> str:
+    """The bucketed keys table after a first batch (even orders), stored once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STATE:
         cand = _lineitem_keys(spark, sf_dir).filter(F.col("l_orderkey") % 2 == 0)
-        keys0 = generate_keys(cand, "k", empty_keys(spark, "sk"), "sk", "2024-01-01 00:00:00", "l_orderkey|l_linenumber", "core")
-        _STATE[key] = materialize(keys0)
+        _STATE[key] = table = "line_keys_" + uuid.uuid4().hex[:12]
+        add_keys(cand, "k", table, "sk", "2024-01-01 00:00:00", "l_orderkey|l_linenumber", "core")
     return _STATE[key]
 
 
 def q_keys_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1 on a compound key (l_orderkey | l_linenumber): a second batch numbered after the first."""
-    new = generate_keys(_lineitem_keys(spark, sf_dir), "k", _lineitem_keys0(spark, sf_dir), "sk", AS_OF, "l_orderkey|l_linenumber", "core")
+    """K1 on a compound key (l_orderkey | l_linenumber): a second batch numbered after the first, whose
+    keys lie in a bucketed table."""
+    table = _lineitem_keys0(spark, sf_dir)
+    highest = highest_key(spark, table)
+    new = generate_keys(_lineitem_keys(spark, sf_dir), "k", spark.table(table), "sk", AS_OF, "l_orderkey|l_linenumber", "core", highest=highest)
     return new.select("sk", F.col("originating_source_business_key").alias("k"))
 
 
+def q_keys_lineitem_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 / K2 on a bucketed catalog table: both batches numbered and appended, all keys read back."""
+    table = "line_keys_" + uuid.uuid4().hex[:12]
+    every = _lineitem_keys(spark, sf_dir)
+    for cand, as_of in ((every.filter(F.col("l_orderkey") % 2 == 0), "2024-01-01 00:00:00"), (every, AS_OF)):
+        add_keys(cand, "k", table, "sk", as_of, "l_orderkey|l_linenumber", "core")
+    return spark.table(table).select("sk", F.col("originating_source_business_key").alias("k"))
+
+
 # --------------------------------------------------------------------------- L6 / L7 / L8
 
 
@@ -164,7 +177,7 @@ def _snap_base(spark, sf_dir, name):
 
 
 def _snap_read(spark, base):
-    df = spark.read.parquet(base)
+    df = read_table(spark, base)
     return df.select("c_custkey", "c_name", "c_acctbal", F.date_format("snapshot_date", "yyyy-MM-dd").alias("snapshot_date"))
 
 
@@ -258,7 +271,7 @@ def q_refresh_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     target = spark.createDataFrame([], "o_orderstatus string, order_count bigint, total_price double")
     rows = refresh_table(target, summary)
-    return overwrite_via_staging(rows, scratch_path(spark, "refresh_target"), scratch_path(spark, "refresh_stage"))
+    return replace_table(rows, scratch_path(spark, "refresh_target"))
 
 
 # --------------------------------------------------------------------------- S2 / S4 / S3
@@ -287,6 +300,16 @@ def q_unload_reload_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_delimited(spark, path, DOC_SCHEMA, scratch_path(spark, "documents_t"), truncate=True)
 
 
+def q_unload_reload_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 + S2 with encoded line ends: the same texts in one file, read back in parallel splits."""
+    d = fx.table(spark, sf_dir, "documents")
+    k = F.col("doc_id") % 10
+    hard = F.when(k == 1, F.lit("")).when(k == 2, F.concat(F.lit(' "/", \\N%0A'), "text", F.lit('/" \r%'))).when(k == 3, F.lit(None).cast("string")).otherwise(F.col("text"))
+    path = scratch_path(spark, "unload_split")
+    unload(d.select("doc_id", hard.alias("text"), "lang", "source", "n_chars"), path, single=True, encode_line_ends=True)
+    return load_delimited(spark, path, DOC_SCHEMA, scratch_path(spark, "documents_s"), truncate=True, encode_line_ends=True)
+
+
 def q_url_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F9-F12 over the pages' urls and table names derived from them."""
     p = fx.table(spark, sf_dir, "pages")
@@ -315,7 +338,7 @@ select o_orderstatus, n, top from steps_sums where n > 0
 def q_script_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A script of three statements, the last one's rows."""
     _register_core(spark, sf_dir, "orders")
-    return run_script(spark, STEPS_SCRIPT.replace(":least", "1000"), None, {"core": "core"})
+    return run_script(spark, STEPS_SCRIPT, {"least": 1000}, {"core": "core"})
 
 
 def q_permanent_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,7 +354,7 @@ def q_refresh_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = fx.table(spark, sf_dir, "orders")
     path = scratch_path(spark, "refresh_existing")
     mirror(o.filter(F.col("o_orderkey") % 2 == 0).select("o_orderkey", F.col("o_totalprice").cast("float").alias("o_totalprice")), path)
-    return refresh_into(o.select("O_TOTALPRICE", "o_orderkey", "o_custkey").withColumn("O_TOTALPRICE", F.lit(2.5)), path, scratch_path(spark, "refresh_stage"))
+    return refresh_into(o.select("O_TOTALPRICE", "o_orderkey", "o_custkey").withColumn("O_TOTALPRICE", F.lit(2.5)), path)
 
 
 def q_keyed_load_on_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -345,7 +368,7 @@ def q_keyed_load_on_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark, "customers_1", f"{root}/target", f"{root}/keys", f"{root}/map", f"{root}/ledger",
             _keyed_source(spark, sf_dir), "sk", "c_custkey", "c_custkey", "core", AS_OF,
         )
-    return _keyed_out(spark.read.parquet(f"{root}/target"))
+    return _keyed_out(read_table(spark, f"{root}/target"))
 
 
 def q_load_into_text_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -377,7 +400,22 @@ def q_backfill_on_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     for _ in range(2):  # the second run finds nothing pending
         backfill_into(spark, e, F.to_date("ts"), daily, f"{root}/days", f"{root}/ledger", "daily_events", today, 5, AS_OF, ordered=True)
-    return spark.read.parquet(f"{root}/days").select(F.date_format("day", "yyyy-MM-dd").alias("day"), "n", "running")
+    return read_table(spark, f"{root}/days").select(F.date_format("day", "yyyy-MM-dd").alias("day"), "n", "running")
+
+
+def q_backfill_repeated_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L10 on storage: pending days loaded, then loaded again (their marks were lost) from events without
+    those of every second day: the repeated days without rows have none, the others are as they were."""
+    e = fx.table(spark, sf_dir, "events")
+    root = scratch_path(spark, "backfill_repeated")
+    today = e.agg(F.date_add(F.max(F.to_date("ts")), 1).alias("today"))
+
+    def daily(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("day", "event_type").agg(F.count(F.lit(1)).alias("n"))
+
+    for k, events in enumerate((e, e.filter(F.dayofmonth("ts") % 2 == 0))):
+        backfill_into(spark, events, F.to_date("ts"), daily, f"{root}/days", f"{root}/ledger{k}", "daily_events", today, 10, AS_OF)
+    return read_table(spark, f"{root}/days").select(F.date_format("day", "yyyy-MM-dd").alias("day"), "event_type", "n")
 
 
 def q_file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -400,15 +438,11 @@ def _gate(spark, sf_dir, name, checks, post_step=None):
 
     path, target = _stored_target(spark, sf_dir, name)
     new = load(target, lq.load_source(spark, sf_dir), "upsert", lq.KEYS, lq.LOAD_AS_OF)
-
-    def publish(rows: DataFrame) -> None:
-        rows.write.mode("overwrite").parquet(path)
-
     try:
-        gated_publish(new, publish, checks, post_step)
+        gated_publish(new, path, checks, post_step)
     except CheckFailed:
         pass
-    return lq._out(spark.read.parquet(path))
+    return lq._out(read_table(spark, path))
 
 
 def q_gated_load_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -438,6 +472,7 @@ QUERIES = {
     "keyed_view_single": q_keyed_view_single,
     "keyed_view_multi": q_keyed_view_multi,
     "keys_lineitem": q_keys_lineitem,
+    "keys_lineitem_stored": q_keys_lineitem_stored,
     "keyed_load": q_keyed_load,
     "keyed_load_script": q_keyed_load_script,
     "keyed_load_two_scripts": q_keyed_load_two_scripts,
@@ -451,6 +486,7 @@ QUERIES = {
     "refresh_table": q_refresh_table,
     "unload_reload": q_unload_reload,
     "unload_reload_documents": q_unload_reload_documents,
+    "unload_reload_split": q_unload_reload_split,
     "url_parts": q_url_parts,
     "script_statements": q_script_statements,
     "permanent_view": q_permanent_view,
@@ -458,6 +494,7 @@ QUERIES = {
     "keyed_load_on_storage": q_keyed_load_on_storage,
     "load_into_text_partitions": q_load_into_text_partitions,
     "backfill_on_storage": q_backfill_on_storage,
+    "backfill_repeated_day": q_backfill_repeated_day,
     "file_manifest": q_file_manifest,
     "gated_load_ok": q_gated_load_ok,
     "gated_load_rejected": q_gated_load_rejected,
@@ -508,6 +545,8 @@ select k.sk, u.cid, u.name, u.sys from u join k on cast(u.cid as varchar) = k.v
     "keys_lineitem": """with c as (select distinct cast(l_orderkey as varchar) || '|' || cast(l_linenumber as varchar) as k, l_orderkey % 2 = 0 as first_batch from lineitem),
 k0 as (select row_number() over (order by md5(k), k) as sk, k from c where first_batch)
 select (select max(sk) from k0) + row_number() over (order by md5(k), k) as sk, k from c where k not in (select k from k0)""",
+    "keys_lineitem_stored": """with c as (select distinct cast(l_orderkey as varchar) || '|' || cast(l_linenumber as varchar) as k, l_orderkey % 2 = 0 as first_batch from lineitem)
+select row_number() over (order by first_batch desc, md5(k), k) as sk, k from c""",
     "keyed_load": _KEYED,
     "keyed_load_script": _KEYED,
     "keyed_load_two_scripts": _KEYED,
@@ -527,6 +566,8 @@ where o_orderdate >= timestamp '1996-01-01 00:00:00' group by o_orderstatus""",
 from glob('/root/testdata/sf0.01/*') where file like '%.parquet%'""",
     "unload_reload": "select n.n_nationkey, n.n_name, n.n_regionkey, r.r_name from nation n join region r on n.n_regionkey = r.r_regionkey",
     "unload_reload_documents": """select doc_id, case doc_id % 10 when 1 then '' when 2 then ' "/", \\N' || text || '/" ' when 3 then null else text end as text,
+  lang, source, n_chars from documents""",
+    "unload_reload_split": """select doc_id, case doc_id % 10 when 1 then '' when 2 then ' "/", \\N%0A' || text || '/" ' || chr(13) || '%' when 3 then null else text end as text,
   lang, source, n_chars from documents""",
     "url_parts": """with u as (select page_id, regexp_extract(url, '(?i)^[a-z0-9]+://([^/]+)/(.*)$', 1) as bucket,
     regexp_extract(url, '(?i)^[a-z0-9]+://([^/]+)/(.*)$', 2) as path from pages),
@@ -544,6 +585,9 @@ select * from e where event_id % 3 <> 0 and event_id not in (select event_id fro
     "backfill_on_storage": _PENDING
     + """, d as (select day, count(*) as n from ev where day in (select day from pending where day > (select max(day) from ev) - interval 5 day) group by day)
 select strftime(day, '%Y-%m-%d') as day, n, cast(sum(n) over (order by day) as bigint) as running from d""",
+    "backfill_repeated_day": """with e as (select cast(ts as date) as day, event_type from events)
+select strftime(day, '%Y-%m-%d') as day, event_type, count(*) as n from e
+where day > (select max(day) from e) - interval 10 day and dayofmonth(day) % 2 = 0 group by all""",
     "gated_load_ok": lq.LOAD_CTE + lq._UPSERT + lq._SEL + "r",
     "gated_load_rejected": lq.LOAD_CTE + lq._SEL + "t",
     "load_with_post_step": lq.LOAD_CTE

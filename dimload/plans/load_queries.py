@@ -73,7 +73,46 @@ def q_load_upsert_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out(out)
 
 
+def q_load_into_new_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E2 / E3 / L1 / L2 on storage: orders partitioned by status; an upsert brings a flag and a text that
+    the table lacks, a column is added with a default, and an insert follows. Rows that no load has
+    written again read the defaults."""
+    from dimload.operators.publish import load_into
+    from dimload.session import scratch_path
+    from dimload.sources.versions import add_stored_column, read_table
+
+    path = scratch_path(spark, "orders_new_flag")
+    load_target(spark, sf_dir).write.partitionBy("o_orderstatus").parquet(path)
+    k = F.col("o_orderkey")
+    source = load_source(spark, sf_dir)
+    some = source.filter(k % 4 != 1).withColumns({"is_big": F.col("o_totalprice") > 200000, "remark": F.lit("seen")})
+    load_into(path, some, "upsert", KEYS, LOAD_AS_OF, partition_cols=["o_orderstatus"])
+    add_stored_column(spark, path, "priority", "int", 5)
+    late = source.filter(k % 4 == 1).withColumns({"is_big": F.lit(None).cast("boolean"), "priority": F.lit(1)})
+    load_into(path, late, "insert", None, LOAD_AS_OF)
+    return read_table(spark, path).select("o_orderkey", "o_orderstatus", "o_totalprice", C.ETL_DELETED, "is_big", "remark", "priority")
+
+
+def q_load_upsert_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3 on storage: all orders in files by the parity of their key; a batch of odd keys replaces the
+    files that hold them. Returns the rows, and of each whether its file is an old one."""
+    from dimload.operators.publish import load_into
+    from dimload.session import scratch_path
+    from dimload.sources.versions import FILE_COL, current_version, read_version
+
+    path = scratch_path(spark, "orders_by_range")
+    o = fx.table(spark, sf_dir, "orders").select(*ORDER_COLS, ts_ntz(TARGET_STAMP).alias(C.ETL_UPDATED), F.lit(False).alias(C.ETL_DELETED))
+    odd = (F.col("o_orderkey") % 2 == 1).alias("odd")
+    o.select("*", odd).repartition("odd").write.partitionBy("odd").parquet(path)
+    source = fx.table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 50 == 1).withColumn("o_totalprice", F.lit(1.5))
+    load_into(path, source.select(*ORDER_COLS, odd), "refresh_by_keys", KEYS, LOAD_AS_OF, partition_cols=["odd"])
+    rows = read_version(spark, path, current_version(spark, path), files=True)
+    return rows.select("o_orderkey", "o_totalprice", F.col(FILE_COL).startswith("odd=").alias("old_file"))
+
+
 QUERIES = {
+    "load_into_new_flag": q_load_into_new_flag,
+    "load_upsert_files": q_load_upsert_files,
     "load_insert": _run("insert"),
     "load_upsert": _run("upsert"),
     "load_refresh_by_keys": _run("refresh_by_keys"),
@@ -123,4 +162,12 @@ ORACLES = {
     + "r",
     "exclude_deleted": LOAD_CTE + _FULL + _SEL + "r where etl_deleted_flag = false",
     "load_upsert_partitioned": LOAD_CTE + _UPSERT + _SEL + "r",
+    "load_into_new_flag": LOAD_CTE
+    + """, r as (select *, false as is_big, cast(null as varchar) as remark, 5 as priority from t
+    where o_orderkey not in (select o_orderkey from s where o_orderkey % 4 <> 1)
+  union all select *, o_totalprice > 200000, 'seen', 5 from ins where o_orderkey % 4 <> 1
+  union all select *, null, null, 1 from ins where o_orderkey % 4 = 1)
+select o_orderkey, o_orderstatus, o_totalprice, etl_deleted_flag, is_big, remark, priority from r""",
+    "load_upsert_files": """select o_orderkey, case when o_orderkey % 50 = 1 then 1.5 else o_totalprice end as o_totalprice,
+  o_orderkey % 2 = 0 as old_file from orders""",
 }

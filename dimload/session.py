@@ -58,6 +58,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+def fresh_name(columns, name: str) -> str:
+    """``name``, with underscores added until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for staged tables written by a job."""
     base = ensure_checkpoint_dir(spark)

@@ -1,18 +1,23 @@
 """Sources and sinks (S1-S4): mirror, delimited load, file manifest, unload.
 
 All reads are Spark scans; all writes are parallel unless a single file is explicitly asked for.
+
+Values may hold line ends. Written as they are, a file can only be read by one task; with
+``encode_line_ends`` on both sides no value holds one, and files are read in parallel: text columns have
+``%`` written as ``%25``, line feed as ``%0A`` and carriage return as ``%0D``.
 """
 
 from __future__ import annotations
 
 from typing import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimload import constants as C
 from dimload.functions.columns import file_of_key
+from dimload.session import fresh_name, remove_path, scratch_path
 
 
 def mirror(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
@@ -37,6 +42,26 @@ def _format(delimiter: str, header: bool, quote: str, escape: str, null_value: s
     }
 
 
+_ENCODED = (("%", "%25"), ("\n", "%0A"), ("\r", "%0D"))
+
+
+def _text_columns(schema: T.StructType, change) -> list[Column]:
+    """All columns, text ones changed."""
+    return [(change(F.col(f"`{f.name}`")) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")).alias(f.name) for f in schema.fields]
+
+
+def _without_line_ends(c: Column) -> Column:
+    for raw, code in _ENCODED:
+        c = F.replace(c, F.lit(raw), F.lit(code))
+    return c
+
+
+def _with_line_ends(c: Column) -> Column:
+    for raw, code in reversed(_ENCODED):
+        c = F.replace(c, F.lit(code), F.lit(raw))
+    return c
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -48,18 +73,21 @@ def read_delimited(
     null_value: str = C.UNLOAD_NULL,
     compression: str | None = None,
     multi_line: bool = True,
+    encode_line_ends: bool = False,
 ) -> DataFrame:
     """S2 read side: delimited text with an explicit schema (no inference).
 
     A text that equals the NULL marker ``null_value`` reads as NULL; choose a marker that no text
-    equals. With ``multi_line`` (default) values may hold line ends; a file is then one split, so unload in
-    parallel. Without it files are split and read in parallel.
+    equals. With ``multi_line`` (default) values may hold line ends; a file is then one split. Without it,
+    or with ``encode_line_ends`` (if the files were unloaded so), files are split and read in parallel.
     """
+    multi_line = multi_line and not encode_line_ends
     options = _format(delimiter, header, quote, escape, null_value) | {"mode": "FAILFAST", "multiLine": str(multi_line).lower(), "lineSep": "\n"}
     options["emptyValue"] = ""
     if compression:
         options["compression"] = compression
-    return spark.read.schema(schema).options(**options).csv(path)
+    rows = spark.read.schema(schema).options(**options).csv(path)
+    return rows.select(*_text_columns(rows.schema, _with_line_ends)) if encode_line_ends else rows
 
 
 def load_delimited(
@@ -71,13 +99,14 @@ def load_delimited(
     delimiter: str = C.UNLOAD_DELIMITER,
     header: bool = False,
     fmt: str = "parquet",
+    encode_line_ends: bool = False,
 ) -> DataFrame:
     """Bulk-load delimited files into a table at ``target_path``.
 
     The table is created when missing (first write), emptied first when ``truncate``, otherwise
     appended to. Returns the table as read back.
     """
-    rows = read_delimited(spark, path, schema, delimiter, header)
+    rows = read_delimited(spark, path, schema, delimiter, header, encode_line_ends=encode_line_ends)
     rows.write.mode("overwrite" if truncate else "append").format(fmt).save(target_path)
     return spark.read.format(fmt).load(target_path)
 
@@ -91,16 +120,49 @@ def unload(
     quote: str = '"',
     escape: str = C.UNLOAD_ESCAPE,
     null_value: str = C.UNLOAD_NULL,
+    encode_line_ends: bool = False,
+    max_bytes: int = C.UNLOAD_MAX_BYTES,
 ) -> None:
     """Write ``df`` as uncompressed delimited text, every text value quoted.
 
-    Parallel by default (one file per partition). ``single=True`` writes one file: only that write
-    is one task, the plan before it stays parallel. A single file is meant for small extracts; its
-    size is not limited here.
+    Parallel by default (one file per partition). ``single=True`` writes one file of at most
+    ``max_bytes``, in the order of the rows; what goes beyond comes in further files, each written by a
+    task of its own. A row longer than that raises.
     """
-    rows = df.repartition(1) if single else df
+    rows = df.select(*_text_columns(df.schema, _without_line_ends)) if encode_line_ends else df
     options = _format(delimiter, header, quote, escape, null_value) | {"compression": "none", "quoteAll": "true", "lineSep": "\n"}
-    rows.write.mode("overwrite").options(**options).csv(path)
+    if not single:
+        rows.write.mode("overwrite").options(**options).csv(path)
+        return
+    stage = scratch_path(df.sparkSession, "unload")
+    head = sum(2 * len(c.encode()) + 3 for c in df.columns) if header else 0
+    _in_files(rows, options, max_bytes - head, stage).write.mode("overwrite").options(**options).csv(path)
+    remove_path(df.sparkSession, stage)
+
+
+def _in_files(rows: DataFrame, options: dict[str, str], limit: int, stage: str) -> DataFrame:
+    """``rows`` in partitions of at most ``limit`` bytes as delimited text, by a running byte total.
+
+    Rows are staged with their sizes; the totals of the staged pieces give each piece its start, so
+    that no task sees more than a piece to add up. A file's rows begin within ``limit`` less the largest
+    row, so that the last of them ends within ``limit``.
+    """
+    names = [fresh_name(rows.columns, n) for n in ("_size", "_at", "_piece", "_file")]
+    size, at, piece, file = names
+    text = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), {k: v for k, v in options.items() if k not in ("header", "compression")})
+    sized = rows.withColumns({size: F.octet_length(text).cast("long") + 1, at: F.monotonically_increasing_id(), piece: F.spark_partition_id()})
+    sized.write.parquet(stage)
+    sized = rows.sparkSession.read.schema(sized.schema).parquet(stage)
+    total, largest = sized.agg(F.coalesce(F.sum(size), F.lit(0)), F.coalesce(F.max(size), F.lit(0))).head()
+    if largest > limit:
+        raise ValueError(f"a row takes {largest} bytes, a file {limit} at most")
+    width = total if total <= limit else limit - largest + 1
+    pieces = sized.groupBy(piece).agg(F.sum(size).alias("_total"))
+    pieces = pieces.select(piece, (F.sum("_total").over(Window.orderBy(piece)) - F.col("_total")).alias("_before"))
+    start = F.sum(size).over(Window.partitionBy(piece).orderBy(at)) - F.col(size) + F.col("_before")
+    placed = sized.join(pieces, piece).withColumn(file, F.floor(start / F.lit(max(width, 1))).cast("int"))
+    files = max(1, -(-total // max(width, 1)))
+    return placed.repartitionById(files, F.col(file)).sortWithinPartitions(at).select(*[F.col(f"`{c}`") for c in rows.columns])
 
 
 def file_manifest(spark: SparkSession, folders: Iterable[str], substring: str | None = None, recursive: bool = True) -> DataFrame:

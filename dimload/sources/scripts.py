@@ -30,10 +30,32 @@ def render_script(text: str, layers: Mapping[str, str] | None = None, positional
     return text.format(*positional, **layers)
 
 
+#: What a statement is made of: quoted text and names (a doubled quote stays inside, a backslash takes
+#: the next character along), comments to the line's end, bracketed ones, the end of it, anything else.
+_PIECES = re.compile(
+    r"""'(?:[^'\\]|\\.|'')*' | "(?:[^"\\]|\\.|"")*" | `(?:[^`]|``)*` | --[^\n]* | /\*.*?\*/ | (?P<end>;) | .""",
+    re.DOTALL | re.VERBOSE,
+)
+
+
 def statements(text: str) -> list[str]:
-    """A script's statements: each ends with a ``;`` at the end of a line, the last one may omit it."""
-    parts = (p.strip() for p in re.split(r";[ \t]*(?:\r?\n|$)", text))
-    return [p for p in parts if p]
+    """A script's statements, separated by ``;`` outside of quotes and comments; the last one may omit it.
+    A statement of comments only is none."""
+    out, bare, start = [], "", 0
+    for piece in _PIECES.finditer(text):
+        if piece["end"]:
+            out.append((bare, text[start : piece.start()]))
+            bare, start = "", piece.end()
+        elif not piece[0].startswith(("--", "/*")):
+            bare += piece[0]
+    out.append((bare, text[start:]))
+    return [body.strip() for code, body in out if code.strip()]
+
+
+def _parameters(sql: str) -> set[str]:
+    """The names after ``:`` outside of quotes and comments."""
+    code = "".join(" " if piece[0][0] in "'\"`" or piece[0].startswith(("--", "/*")) else piece[0] for piece in _PIECES.finditer(sql))
+    return set(re.findall(r":(\w+)", code))
 
 
 def run_script(
@@ -47,7 +69,7 @@ def run_script(
     statements run in order; the result of the last one is returned."""
     out = None
     for sql in statements(render_script(text, layers, positional)):
-        used = {k: v for k, v in (args or {}).items() if re.search(rf":{re.escape(k)}\b", sql)}
+        used = {k: v for k, v in (args or {}).items() if k in _parameters(sql)}
         out = spark.sql(sql, args=used) if used else spark.sql(sql)
     if out is None:
         raise ValueError("the script has no statement")
@@ -100,24 +122,10 @@ def refresh_table(target: DataFrame | None, source: DataFrame) -> DataFrame:
     return source.select(*cols)
 
 
-def overwrite_via_staging(df: DataFrame, target_path: str, stage_path: str, fmt: str = "parquet") -> DataFrame:
-    """Publish ``df`` over ``target_path`` without reading and overwriting one path at once:
-    write the staging copy, then replace the target from it. Readers may see the target missing
-    between the two steps (plain files have no transactions)."""
-    from dimload.session import remove_path
-
-    spark = df.sparkSession
-    df.write.mode("overwrite").format(fmt).save(stage_path)
-    spark.read.format(fmt).load(stage_path).write.mode("overwrite").format(fmt).save(target_path)
-    remove_path(spark, stage_path)
-    return spark.read.format(fmt).load(target_path)
-
-
-def refresh_into(source: DataFrame, target_path: str, stage_path: str, fmt: str = "parquet") -> DataFrame:
+def refresh_into(source: DataFrame, target_path: str) -> DataFrame:
     """S8 on storage: the table at ``target_path`` emptied and filled with the source's rows in its
-    own columns, or created from the source when there is none."""
-    from dimload.session import sub_folders_or_files
+    own columns, or created from the source when there is none. If it fails, the table is as it was."""
+    from dimload.sources.versions import read_or_none, replace_table
 
-    spark = source.sparkSession
-    target = spark.read.format(fmt).load(target_path) if sub_folders_or_files(spark, target_path) else None
-    return overwrite_via_staging(refresh_table(target, source), target_path, stage_path, fmt)
+    target = read_or_none(source.sparkSession, target_path)
+    return replace_table(refresh_table(target, source), target_path)

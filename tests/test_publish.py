@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from dimload.operators.publish import read_dimension, run_scd_batch
 from dimload.operators.scd import ScdSpec, scd_load
+from dimload.sources.versions import FILE_COL, current_version, read_table, read_version
 
 SPEC = ScdSpec(business_keys=("id",), scd2_columns=("seg",), surrogate_key="sk")
 
@@ -17,6 +18,11 @@ def canon(df):
     return sorted(tuple(r) for r in df.select(*cols).collect())
 
 
+def history_files(spark, path):
+    rows = read_version(spark, path, current_version(spark, path), files=True).filter("not row_current_flag")
+    return {r[0] for r in rows.select(FILE_COL).distinct().collect()}
+
+
 def test_three_batches_and_rerun(spark, tmp_out):
     paths = dict(dim_path=f"{tmp_out}/dim", keys_path=f"{tmp_out}/keys", map_path=f"{tmp_out}/map", ledger_path=f"{tmp_out}/ledger")
     b1 = src(spark, [(i, f"n{i}", f"s{i % 3}") for i in range(20)])
@@ -31,13 +37,14 @@ def test_three_batches_and_rerun(spark, tmp_out):
     d1, k1 = r1.dimension.cache(), r1.new_keys.cache()
     r2 = scd_load(d1, b2, SPEC, "2024-02-01 00:00:00", keys=k1)
     assert stored_rows == canon(r2.dimension)
-    # history written once per batch, current rows only in the current partition
-    assert spark.read.parquet(f"{paths['dim_path']}/row_current_flag=false").select("load_batch").distinct().count() == 1
+    before = history_files(spark, paths["dim_path"])
+    assert before
     assert spark.read.parquet(paths["keys_path"]).count() == stored_n
     # a third batch with the same source changes nothing (idempotent), keys unchanged
     assert run_scd_batch(spark, b2, SPEC, "2024-03-01 00:00:00", "3", **paths) == "published"
     assert canon(read_dimension(spark, paths["dim_path"], SPEC)) == stored_rows
     assert spark.read.parquet(paths["keys_path"]).count() == stored_n
+    assert history_files(spark, paths["dim_path"]) == before  # written once
 
 
 def test_load_into_partitioned_upsert_rewrites_only_touched_partitions(spark, tmp_out):
@@ -59,7 +66,7 @@ def test_load_into_partitioned_upsert_rewrites_only_touched_partitions(spark, tm
     assert sorted(tuple(r) for r in out.select("k", "v", "part", "etl_deleted_flag").collect()) == want
     assert sorted(os.listdir(f"{path}/part=p3")) == untouched  # partition without changes not rewritten
     load_into(path, spark.createDataFrame([(9, "z", "p3")], "k bigint, v string, part string"), "insert", None, "2024-01-02 00:00:00", partition_cols=["part"])
-    assert spark.read.parquet(path).filter("k = 9").count() == 1
+    assert read_table(spark, path).filter("k = 9").count() == 1
 
 
 def test_load_into_clears_partition_emptied_by_a_moved_key(spark, tmp_out):
@@ -117,10 +124,11 @@ def batches(spark):
 
 def test_a_crash_after_any_step_is_mended_by_the_next_run(spark, tmp_path, monkeypatch):
     from dimload.operators import publish
+    from dimload.sources import versions
 
     one, two = batches(spark)
     want = None
-    steps = [None, "append_keys", "keys only", "retired only", "publish_dimension", "record_done"]
+    steps = [None, "append_keys", "keys only", "written only", "publish_dimension", "record_done"]
     for k, step in enumerate(steps):
         paths = storage(tmp_path / str(k))
         assert run_scd_batch(spark, one, SPEC, "2024-01-01 00:00:00", "1", **paths) == "published"
@@ -133,9 +141,8 @@ def test_a_crash_after_any_step_is_mended_by_the_next_run(spark, tmp_path, monke
             if step == "keys only":
                 real = publish.read_or_none
                 m.setattr(publish, "read_or_none", lambda s, p, *a: crash() if p == paths["map_path"] else real(s, p, *a))
-            elif step == "retired only":
-                real_write = publish._write_batch
-                m.setattr(publish, "_write_batch", lambda rows, folder, b: crash() if "=true" in folder else real_write(rows, folder, b))
+            elif step == "written only":
+                m.setattr(versions._Folder, "create", crash)
             elif step:
                 m.setattr(publish, step, crash)
             if step:
@@ -155,14 +162,13 @@ def test_a_crash_after_any_step_is_mended_by_the_next_run(spark, tmp_path, monke
 
 
 def test_history_of_a_batch_that_never_took_effect_stays_unseen(spark, tmp_path, monkeypatch):
-    from dimload.operators import publish
+    from dimload.sources import versions
 
     one, two = batches(spark)
     paths = storage(tmp_path)
     run_scd_batch(spark, one, SPEC, "2024-01-01 00:00:00", "1", **paths)
-    real = publish._write_batch
     with monkeypatch.context() as m:
-        m.setattr(publish, "_write_batch", lambda rows, folder, b: (_ for _ in ()).throw(RuntimeError()) if "=true" in folder else real(rows, folder, b))
+        m.setattr(versions._Folder, "create", lambda *a: (_ for _ in ()).throw(RuntimeError()))
         try:
             run_scd_batch(spark, two, SPEC, "2024-02-01 00:00:00", "2", **paths)
         except RuntimeError:
@@ -234,5 +240,5 @@ def test_keyed_load_on_storage_after_a_crash(spark, tmp_path, monkeypatch):
         except RuntimeError:
             pass
     assert [publish.keyed_load_into(spark, *args) for _ in range(2)] == ["published", "skipped"]
-    out = spark.read.parquet(f"{root}/target")
+    out = read_table(spark, f"{root}/target")
     assert out.count() == 6 and spark.read.parquet(f"{root}/map").count() == 6 and out.select("sk").distinct().count() == 6

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from dimload.operators.snapshots import backfill, backfill_window, daily_snapshot, pending_days, write_daily_snapshot
 from dimload.sources.io import file_manifest, load_delimited, unload
 from dimload.sources.ledger import empty_ledger, ledger_rows, mark_done, pending_only, value_exists
-from dimload.sources.scripts import render_script, run_script, view_from_script
+from dimload.sources.scripts import render_script, run_script, statements, view_from_script
+from dimload.sources.versions import read_table
 
 
 def test_daily_snapshot_frames_rerun_safe(spark):
@@ -25,7 +26,7 @@ def test_daily_snapshot_files_empty_source_clears_day(spark, tmp_out):
     write_daily_snapshot(s1, tmp_out, "2024-01-01")
     write_daily_snapshot(s1, tmp_out, "2024-01-02")
     write_daily_snapshot(s1.filter(F.lit(False)), tmp_out, "2024-01-02")
-    got = sorted((r.id, str(r.snapshot_date)) for r in spark.read.parquet(tmp_out).collect())
+    got = sorted((r.id, str(r.snapshot_date)) for r in read_table(spark, tmp_out).collect())
     assert got == [(1, "2024-01-01"), (2, "2024-01-01")]
 
 
@@ -53,6 +54,21 @@ def test_ledger_append_and_pending(spark, tmp_out):
     assert value_exists(empty_ledger(spark), "update_id", "a").first().value_exists is False
 
 
+def test_statements_end_outside_of_quotes_and_comments():
+    assert statements("select 'a;\nb' as x; -- note;") == ["select 'a;\nb' as x"]
+    assert statements("/* one; two */ select 1; select `a;b`, 'it''s;', 'c\\';d' -- end; \n from t;\n;;") == [
+        "/* one; two */ select 1",
+        "select `a;b`, 'it''s;', 'c\\';d' -- end; \n from t",
+    ]
+    assert statements('select 1;select "x;""y";\r\nselect 2') == ["select 1", 'select "x;""y"', "select 2"]
+    assert statements(" ; -- nothing\n") == []
+
+
+def test_a_value_is_bound_where_its_name_is_not_quoted(spark):
+    sql = "create or replace temporary view bound_v as select id from range(9) where id > :m; select id, ':n' as t from bound_v where id < :top -- :other"
+    assert [(r.id, r.t) for r in run_script(spark, sql, {"m": 5, "top": 8, "n": 1, "other": 2}).collect()] == [(6, ":n"), (7, ":n")]
+
+
 def test_scripts_bind_values_and_check_identifiers(spark):
     spark.createDataFrame([(1,), (5,)], "x int").createOrReplaceTempView("core_t")
     assert run_script(spark, "select x from {core}_t where x > :m", {"m": 2}, {"core": "core"}).collect()[0].x == 5
