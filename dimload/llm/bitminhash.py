@@ -17,9 +17,11 @@ A bucket (the sets of a band's key) may hold a large group of near copies, so it
 pairs. Its sets are ordered by a hash that is alike in all buckets, and their places follow from hash
 and bucket size, without sorting a bucket; round by round the sets of the next places (up to 4, 64,
 1024, ...) meet all later ones of other components, in pieces of about ``LEAD`` by ``LATER`` sets,
-which Spark deals to tasks one by one. Sets that earlier links have joined
-never meet again, and a bucket of one component is done. The rounds end when no bucket is open, so
-every candidate pair has been estimated or lies in one component.
+which Spark deals to tasks one by one. Of the leading sets that look similar to a later one, the most
+similar is compared first; those that are left in other components after its links come next (``STEPS``
+at a time, then all). Sets that links have joined never meet again, and a bucket of one component is
+done. The rounds end when no bucket is open, so every candidate pair has been estimated and, if it looks
+similar, compared, or lies in one component.
 
 Each row is a document, also if rows repeat a doc_id. A null or empty text has an empty set,
 n_shingles 0, and is linked with nothing: it stays. A row without a doc_id takes part, but names no
@@ -45,6 +47,7 @@ WIDTH, PERCENT = 2, 80
 BANDS, ROWS, BITS = 45, 6, 2
 SURE = 0.6
 FIRST, GROWTH = 4, 16
+STEPS = (1, 16, None)  # leading sets that a set is compared with in one step of a round, all at last
 LEAD, LATER = 128, 2048  # sets of a bucket that meet at once
 PARTNERS = 512  # of one set in one verification group
 _TABLE = byte_table(BLANKS, lower=True)
@@ -159,32 +162,45 @@ def sets_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 # --- candidates ------------------------------------------------------------------------------------
 
 
-def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _near(most: int | None):
     """Pairs of sets of other components that look similar, from pieces of buckets: rows come sorted by
-    piece. A pair is looked at by its set with the smaller hash (of equal hashes, the smaller number)."""
-    piece, lead, later = None, [], []
-
-    def met() -> list[pa.RecordBatch]:
-        if not lead or not later:
-            return []
-        (a, ha, ca, na), (b, hb, cb, nb) = (np.array([x[:4] for x in side], np.int64).T for side in (lead, later))
-        ok = (ca[:, None] != cb) & ((ha[:, None] < hb) | ((ha[:, None] == hb) & (a[:, None] < b)))
-        ok &= 100 * np.minimum(na[:, None], nb) >= PERCENT * np.maximum(na[:, None], nb)
-        bits = [np.stack([np.frombuffer(x[4], np.uint8) for x in side]) for side in (lead, later)]
-        for lo in range(0, len(later), 256):
-            ok[:, lo : lo + 256] &= estimates(bits[0], bits[1][lo : lo + 256]) >= SURE
-        i, j = np.nonzero(ok)
-        pairs = np.sort(np.stack([a[i], b[j]]), axis=0)
-        return [pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])] if len(i) else []
-
-    for batch in batches:
-        names = ("key", "x", "y", "leads", "sid", "h", "comp", "n", "bits")
-        for key, x, y, leads, *row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
-            if (key, x, y) != piece:
-                yield from met()
-                piece, lead, later = (key, x, y), [], []
-            (lead if leads else later).append(row)
-    yield from met()
+    piece. ``a`` is the set with the smaller hash (of equal hashes, the smaller number); of a set ``b``
+    and its piece there are ``most`` pairs at most, the most similar ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece, lead, later = None, [], []
+        for batch in batches:
+            names = ("key", "x", "y", "leads", "sid", "h", "comp", "n", "bits")
+            for key, x, y, leads, *row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                if (key, x, y) != piece:
+                    yield from _met(lead, later, most)
+                    piece, lead, later = (key, x, y), [], []
+                (lead if leads else later).append(row)
+        yield from _met(lead, later, most)
+
+    return run
+
+
+def _met(lead: list, later: list, most: int | None) -> Iterator[pa.RecordBatch]:
+    if not lead or not later:
+        return
+    (a, ha, ca, na), (b, hb, cb, nb) = (np.array([x[:4] for x in side], np.int64).T for side in (lead, later))
+    ok = (ca[:, None] != cb) & ((ha[:, None] < hb) | ((ha[:, None] == hb) & (a[:, None] < b)))
+    ok &= 100 * np.minimum(na[:, None], nb) >= PERCENT * np.maximum(na[:, None], nb)
+    bits = [np.stack([np.frombuffer(x[4], np.uint8) for x in side]) for side in (lead, later)]
+    likely = np.empty(ok.shape, np.float32)
+    for lo in range(0, len(later), 256):
+        likely[:, lo : lo + 256] = estimates(bits[0], bits[1][lo : lo + 256])
+    likely[~ok] = -1
+    if most is not None and most < len(lead):
+        rank = np.argsort(-likely, axis=0, kind="stable")[:most]
+        i, j = rank.ravel(), np.tile(np.arange(len(later)), most)
+    else:
+        i, j = np.indices(ok.shape).reshape(2, -1)
+    hit = likely[i, j] >= SURE
+    i, j = i[hit], j[hit]
+    if len(i):
+        yield pa.RecordBatch.from_arrays([pa.array(a[i]), pa.array(b[j]), pa.array(likely[i, j])], names=["a", "b", "likely"])
 
 
 def _pieces(members: DataFrame, lo: int, hi: int) -> DataFrame:
@@ -254,18 +270,31 @@ def groups(docs: DataFrame) -> DataFrame:
     wanted = saved(whole.join(placed.select("sid").distinct(), "sid", "left_semi").select("sid", *keys, "bits"), "bucketed")
     contents = saved(sets_of(texts, wanted.drop("bits")), "shingles")
     labels = wanted.select(F.col("sid").alias("node"), F.col("sid").alias("comp"))
+    apart = None  # pairs that were compared and don't link
     lo, hi = 0, FIRST
     while True:
-        labelled = placed.join(labels.withColumnRenamed("node", "sid"), "sid")
-        still = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max("m").alias("m"))
-        still = saved(still.where((F.col("x") != F.col("y")) & (F.col("m") > lo)).select("key"), "open-buckets")
+        for most in STEPS:
+            labelled = placed.join(labels.withColumnRenamed("node", "sid"), "sid")
+            still = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max("m").alias("m"))
+            still = saved(still.where((F.col("x") != F.col("y")) & (F.col("m") > lo)).select("key"), "open-buckets")
+            if still.isEmpty():
+                break
+            members = labelled.join(still, "key").join(wanted.select("sid", "n", "bits"), "sid")
+            pairs = _pieces(members, lo, hi).mapInArrow(_near(most), "a long, b long, likely float")
+            if most == 1:
+                pairs = pairs.groupBy("b").agg(F.max(F.struct("likely", "a")).alias("best")).select("best.a", "b")
+            else:
+                pairs = pairs.select("a", "b").distinct()
+            pairs = saved(pairs if apart is None else pairs.join(apart, ["a", "b"], "left_anti"), "pairs")
+            if pairs.isEmpty():
+                continue  # what is left of this step was compared before
+            links = saved(verify(pairs, contents), "links")
+            no = pairs.join(links, ["a", "b"], "left_anti")
+            apart = saved(no if apart is None else apart.unionByName(no), "apart")
+            if not links.isEmpty():
+                labels = merged(labels, links)
         if still.isEmpty():
             break
-        members = labelled.join(still, "key").join(wanted.select("sid", "n", "bits"), "sid")
-        pairs = saved(_pieces(members, lo, hi).mapInArrow(_near, "a long, b long").distinct(), "pairs")
-        links = saved(verify(pairs, contents), "links")
-        if not links.isEmpty():
-            labels = merged(labels, links)
         lo, hi = hi, hi * GROWTH
     of_set = sets.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     least = of_set.groupBy("comp").agg(F.min("least").alias("component_id"))

@@ -94,32 +94,32 @@ class Block:
         return out
 
 
-def _block(rows: pd.DataFrame) -> Block:
-    return Block(rows["hash"].tolist(), min(HEIGHT, levels_above(int(rows["n"].iloc[0]))))
+def _block(rows: pd.DataFrame, height: int) -> Block:
+    return Block(rows["hash"].tolist(), min(height, levels_above(int(rows["n"].iloc[0]))))
 
 
-def _blocked(nodes: DataFrame):
-    return nodes.groupBy("tree", F.expr(f"idx div {ARITY**HEIGHT}").alias("block"))
+def _blocked(nodes: DataFrame, height: int):
+    return nodes.groupBy("tree", F.expr(f"idx div {ARITY**height}").alias("block"))
 
 
-def _top(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _top(height: int, key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("idx")
-    n = -(-int(rows["n"].iloc[0]) // ARITY**HEIGHT)
-    return pd.DataFrame([(key[0], n, key[1], _block(rows).top)], columns=["tree", "n", "idx", "hash"])
+    n = -(-int(rows["n"].iloc[0]) // ARITY**height)
+    return pd.DataFrame([(key[0], n, key[1], _block(rows, height).top)], columns=["tree", "n", "idx", "hash"])
 
 
-def _paths(key: tuple, rows: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
+def _paths(height: int, key: tuple, rows: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
     """The whole paths of a block's nodes: their own, then the block's."""
     rows, up = rows.sort_values("idx"), above.iloc[0]
-    block, rest = _block(rows), [dict(x) for x in up["path"]]
+    block, rest = _block(rows, height), [dict(x) for x in up["path"]]
     paths = [[{"before": b, "after": a} for b, a in block.path(i)] + rest for i in range(len(rows))]
     return pd.DataFrame({"tree": key[0], "idx": rows["idx"], "path": paths, "subroot": up["subroot"], "root": up["root"]})
 
 
-def _folded(key: tuple, rows: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
+def _folded(height: int, key: tuple, rows: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
     """Proofs and folded roots of a block's leaves."""
     rows, up = rows.sort_values("idx"), above.iloc[0]
-    block = _block(rows)
+    block = _block(rows, height)
     states = [(sha256(x["before"].encode()), x["after"].encode()) for x in up["path"]]
     upper = "".join(x["before"] + x["after"] for x in up["path"])
     proofs, roots = [], []
@@ -150,26 +150,32 @@ def numbered(rows: DataFrame, tree: str, *order: Column) -> DataFrame:
     return placed.join(pieces, [tree, "piece"]).withColumn("idx", F.col("at") + F.col("base")).drop("at", "piece", "base")
 
 
-def stages(nodes: DataFrame) -> list[DataFrame]:
+def _by_block(function, height: int):
+    """``function`` of a block's key and rows (and path), for ``applyInPandas``."""
+    return lambda key, *frames: function(height, key, *frames)
+
+
+def stages(nodes: DataFrame, height: int = HEIGHT) -> list[DataFrame]:
     """The nodes, then the tops of their blocks, and so on, until every tree has one node."""
     out = [nodes]
     while out[-1].agg(F.max("n")).head()[0] > 1:
-        out.append(saved(_blocked(out[-1]).applyInPandas(_top, _NODE), "merkle-nodes"))
+        out.append(saved(_blocked(out[-1], height).applyInPandas(_by_block(_top, height), _NODE), "merkle-nodes"))
     return out
 
 
-def _handed_down(below: list[DataFrame], tops: DataFrame) -> DataFrame:
+def _handed_down(below: list[DataFrame], tops: DataFrame, height: int) -> DataFrame:
     """The paths of the nodes of the first stage, given those of the last one."""
     for nodes in reversed(below[:-1]):
         above = tops.groupBy("tree", F.col("idx").alias("block"))
-        tops = saved(_blocked(nodes).cogroup(above).applyInPandas(_paths, _PATH), "merkle-paths")
+        tops = saved(_blocked(nodes, height).cogroup(above).applyInPandas(_by_block(_paths, height), _PATH), "merkle-paths")
     return tops
 
 
-def manifest(docs: DataFrame, tampered: Column | None = None, changed: dict[str, Column] | None = None) -> DataFrame:
+def manifest(docs: DataFrame, tampered: Column | None = None, changed: dict[str, Column] | None = None, height: int = HEIGHT) -> DataFrame:
     """doc_id, leaf, subroot, root, proof_sha256, folded_root and verified of all rows of ``docs``.
 
-    Where ``tampered`` holds, the folded root comes from a leaf whose fields are ``changed``."""
+    Where ``tampered`` holds, the folded root comes from a leaf whose fields are ``changed``. ``height``
+    is that of a block; results do not depend on it."""
     columns = {c: F.col(f"`{c}`") for c in FIELDS}
     other = F.when(tampered, leaf({**columns, **(changed or {})})) if tampered is not None else F.lit(None).cast("string")
     tree = F.coalesce(F.concat(F.lit("+"), columns["lang"]), F.lit(""))
@@ -178,15 +184,15 @@ def manifest(docs: DataFrame, tampered: Column | None = None, changed: dict[str,
     leaves = saved(leaves, "leaves")
     if leaves.isEmpty():
         return leaves.sparkSession.createDataFrame([], _OUT.replace("doc_id string", "doc_id long") + ", verified boolean")
-    trees = stages(leaves)
+    trees = stages(leaves, height)
     subroots = trees[-1].select(F.lit("").alias("above"), F.col("tree").alias("lang"), "hash")
     subroots = saved(numbered(subroots, "above", F.col("lang")), "subroots")
-    upper = stages(subroots.select(F.col("above").alias("tree"), "n", "idx", "hash"))
+    upper = stages(subroots.select(F.col("above").alias("tree"), "n", "idx", "hash"), height)
     none = F.array().cast("array<struct<before:string,after:string>>")
     top = upper[-1].select("tree", "idx", none.alias("path"), F.col("hash").alias("subroot"), F.col("hash").alias("root"))
-    paths = _handed_down(upper, top).drop("subroot", "tree")
+    paths = _handed_down(upper, top, height).drop("subroot", "tree")
     of_tree = subroots.join(paths, "idx").select(F.col("lang").alias("tree"), F.lit(0).cast("long").alias("idx"), "path", F.col("hash").alias("subroot"), "root")
-    of_block = _handed_down(trees[1:], saved(of_tree, "tree-paths")) if len(trees) > 1 else of_tree
+    of_block = _handed_down(trees[1:], saved(of_tree, "tree-paths"), height) if len(trees) > 1 else of_tree
     above = of_block.groupBy("tree", F.col("idx").alias("block"))
-    out = _blocked(leaves).cogroup(above).applyInPandas(_folded, _OUT)
+    out = _blocked(leaves, height).cogroup(above).applyInPandas(_by_block(_folded, height), _OUT)
     return out.withColumns({"doc_id": F.col("doc_id").cast("long"), "verified": F.col("folded_root") == F.col("root")})

@@ -97,8 +97,10 @@ def test_every_pair_of_a_bucket_meets_once(spark, monkeypatch):
     members = members.withColumns({"h": h, "place": place, "n": F.lit(9), "bits": F.unhex(F.lit("00" * 68))})
     pairs = []
     for lo, hi in ((0, 4), (4, 16), (16, 64)):
-        pairs += [(r["a"], r["b"]) for r in bitminhash._pieces(members, lo, hi).mapInArrow(bitminhash._near, "a long, b long").collect()]
-    assert sorted(pairs) == [(a, b) for a in range(m) for b in range(a + 1, m)]
+        pairs += [(r["a"], r["b"]) for r in bitminhash._pieces(members, lo, hi).mapInArrow(bitminhash._near(None), "a long, b long, likely float").collect()]
+        best = bitminhash._pieces(members, lo, hi).mapInArrow(bitminhash._near(2), "a long, b long, likely float").groupBy("b", "likely").count()
+        assert {r["likely"] for r in best.collect()} == {1.0}
+    assert sorted(map(sorted, pairs)) == [[a, b] for a in range(m) for b in range(a + 1, m)]
 
 
 def test_hard_rows(spark, hard):
