@@ -116,7 +116,7 @@ def _paths(height: int, key: tuple, rows: pd.DataFrame, above: pd.DataFrame) ->
     return pd.DataFrame({"tree": key[0], "idx": rows["idx"], "path": paths, "subroot": up["subroot"], "root": up["root"]})
 
 
-def _folded(height: int, key: tuple, rows: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
+def _folded(height: int, rows: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
     """Proofs and folded roots of a block's leaves."""
     rows, up = rows.sort_values("idx"), above.iloc[0]
     block = _block(rows, height)
@@ -150,16 +150,11 @@ def numbered(rows: DataFrame, tree: str, *order: Column) -> DataFrame:
     return placed.join(pieces, [tree, "piece"]).withColumn("idx", F.col("at") + F.col("base")).drop("at", "piece", "base")
 
 
-def _by_block(function, height: int):
-    """``function`` of a block's key and rows (and path), for ``applyInPandas``."""
-    return lambda key, *frames: function(height, key, *frames)
-
-
 def stages(nodes: DataFrame, height: int = HEIGHT) -> list[DataFrame]:
     """The nodes, then the tops of their blocks, and so on, until every tree has one node."""
     out = [nodes]
     while out[-1].agg(F.max("n")).head()[0] > 1:
-        out.append(saved(_blocked(out[-1], height).applyInPandas(_by_block(_top, height), _NODE), "merkle-nodes"))
+        out.append(saved(_blocked(out[-1], height).applyInPandas(lambda key, rows: _top(height, key, rows), _NODE), "merkle-nodes"))
     return out
 
 
@@ -167,7 +162,7 @@ def _handed_down(below: list[DataFrame], tops: DataFrame, height: int) -> DataFr
     """The paths of the nodes of the first stage, given those of the last one."""
     for nodes in reversed(below[:-1]):
         above = tops.groupBy("tree", F.col("idx").alias("block"))
-        tops = saved(_blocked(nodes, height).cogroup(above).applyInPandas(_by_block(_paths, height), _PATH), "merkle-paths")
+        tops = saved(_blocked(nodes, height).cogroup(above).applyInPandas(lambda key, rows, above: _paths(height, key, rows, above), _PATH), "merkle-paths")
     return tops
 
 
@@ -194,5 +189,5 @@ def manifest(docs: DataFrame, tampered: Column | None = None, changed: dict[str,
     of_tree = subroots.join(paths, "idx").select(F.col("lang").alias("tree"), F.lit(0).cast("long").alias("idx"), "path", F.col("hash").alias("subroot"), "root")
     of_block = _handed_down(trees[1:], saved(of_tree, "tree-paths"), height) if len(trees) > 1 else of_tree
     above = of_block.groupBy("tree", F.col("idx").alias("block"))
-    out = _blocked(leaves, height).cogroup(above).applyInPandas(_by_block(_folded, height), _OUT)
+    out = _blocked(leaves, height).cogroup(above).applyInPandas(lambda rows, above: _folded(height, rows, above), _OUT)
     return out.withColumns({"doc_id": F.col("doc_id").cast("long"), "verified": F.col("folded_root") == F.col("root")})
