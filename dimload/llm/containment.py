@@ -13,14 +13,17 @@ their sizes when it picks the joins: small ones are broadcast below its threshol
 shuffled. Documents' shingles meet nothing but sketches in the first pass, so they are not shuffled
 while the sketches are small.
 
-A null or empty text holds nothing, and an item without a word is found nowhere. Rows that repeat a
-doc_id (or an item_id) are one document (item) with the shingles of all of them; rows without an id
-are passed over. Empty tables give no rows. Other columns are not looked at.
+A null or empty text holds nothing, and an item without a word is found nowhere. Very long texts are
+read whole. Rows that repeat a doc_id (or an item_id) are one document (item) with the shingles of all
+of them. ``contaminated`` reports pairs of ids, so it passes over rows without one; ``keep`` searches
+them too: rows without an id and of the same text are one document (item) of their own, by a 64-bit hash
+in place of the id. Empty tables give no rows. Other columns are not looked at.
 """
 
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +48,17 @@ def shingles(rows: DataFrame, width: int, *keep: str) -> DataFrame:
     return rows.where(F.size("w") >= width).select(*keep, F.inline(windows).alias(*names)).where(F.col(names[-1]).isNotNull())
 
 
+def all_shingles(rows: DataFrame, widths: list[int], shingle: Callable[[list[str]], Column], *keep: str) -> DataFrame:
+    """The shingles of all ``widths`` (of the words of columns w1, w2, ...) in one pass over ``rows``."""
+    names = [f"w{k + 1}" for k in range(max(widths))]
+    windows = F.arrays_zip(*(F.slice("w", k + 1, F.greatest(F.size("w"), F.lit(1))).alias(n) for k, n in enumerate(names)))
+    places = rows.select(*keep, F.inline(windows).alias(*names))
+    if len(widths) == 1:
+        return places.where(F.col(names[-1]).isNotNull()).select(*keep, F.lit(widths[0]).alias("width"), shingle(names).alias("shingle"))
+    of = [F.when(F.col(names[w - 1]).isNotNull(), F.struct(F.lit(w).alias("width"), shingle(names[:w]).alias("shingle"))) for w in widths]
+    return places.select(*keep, F.explode(F.array(*of)).alias("s")).where("s is not null").select(*keep, "s.width", "s.shingle")
+
+
 def slack(n: Column) -> Column:
     """Shingles that a document may lack of an item of ``n``."""
     return n - F.ceil(n * PERCENT / 100).cast("int")
@@ -70,38 +84,31 @@ def item_shingles(items: DataFrame) -> DataFrame:
 
 
 def sketches(grams: DataFrame) -> DataFrame:
-    """item_id, width, h and least (hits that a document holding the item has) of all sketches."""
+    """item_id, width, shingle (its hash) and least (hits that a document holding the item has) of all sketches."""
     n = F.col("n")
     upper = F.expr("shiftleft(1, length(bin(n))) - 1")  # the largest size of the item's partition
     size = F.least(n, 2 * slack(upper) + 1)
     hashes = grams.groupBy("item_id", "n").agg(F.sort_array(F.collect_set(F.struct("h", "width"))).alias("s"))
     cut = hashes.select("item_id", (size - slack(n)).alias("least"), F.explode(F.slice("s", F.lit(1), size)).alias("x"))
-    return cut.select("item_id", "least", "x.h", "x.width")
+    return cut.select("item_id", "least", F.col("x.h").alias("shingle"), "x.width")
 
 
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id, n_shingles, n_found and containment of all items found in ``docs``."""
     rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text")).alias("w"))
     grams = _saved(item_shingles(items), "item-shingles")
-    sketch = _saved(sketches(grams).coalesce(1), "sketches")
+    sketch = _saved(sketches(grams), "sketches")
     widths = sorted(r["width"] for r in grams.select("width").distinct().collect())  # five values at most
-    hits = found = None
-    for width in widths:
-        names = [f"w{k + 1}" for k in range(width)]
-        seen = shingles(rows, width, "doc_id").select("doc_id", F.xxhash64(*names).alias("h"))
-        part = seen.join(sketch.where(F.col("width") == width).drop("width"), "h").select("doc_id", "item_id", "least", "h")
-        hits = part if hits is None else hits.unionByName(part)
-    if hits is None:
+    if not widths:
         return rows.sparkSession.createDataFrame([], "doc_id long, item_id long, n_shingles long, n_found long, containment double")
+    hashed = all_shingles(rows, widths, lambda names: F.xxhash64(*names), "doc_id")
+    hits = hashed.join(sketch, ["width", "shingle"]).select("doc_id", "item_id", "least", "shingle")
     pairs = hits.distinct().groupBy("doc_id", "item_id", "least").agg(F.count("*").alias("k")).where("k >= least").select("doc_id", "item_id")
     pairs = _saved(pairs, "candidates")
     again = rows.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
-    for width in widths:
-        names = [f"w{k + 1}" for k in range(width)]
-        seen = shingles(again, width, "doc_id").select("doc_id", F.concat_ws(" ", *names).alias("gram"))
-        part = seen.join(grams.where(F.col("width") == width), "gram").join(pairs, ["doc_id", "item_id"], "left_semi")
-        part = part.select("doc_id", "item_id", "n", "gram")
-        found = part if found is None else found.unionByName(part)
+    seen = all_shingles(again, widths, lambda names: F.concat_ws(" ", *names), "doc_id")
+    found = seen.join(grams.select("item_id", "n", "width", F.col("gram").alias("shingle")), ["width", "shingle"])
+    found = found.join(pairs, ["doc_id", "item_id"], "left_semi").select("doc_id", "item_id", "n", "width", "shingle")
     exact = found.distinct().groupBy("doc_id", "item_id", "n").agg(F.count("*").alias("n_found")).where(F.col("n_found") * 100 >= F.col("n") * PERCENT)
     return exact.select("doc_id", "item_id", F.col("n").cast("long").alias("n_shingles"), "n_found", (F.col("n_found") / F.col("n")).alias("containment"))
 
@@ -109,5 +116,11 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 def keep(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no item is found, with all their columns."""
     name = fresh_name(docs.columns, "_found")
-    found = _saved(contaminated(docs, items).select(F.col("doc_id").alias(name)).distinct(), "contaminated")
-    return docs.join(found, F.col("doc_id").cast("long") == F.col(name), "left_anti")
+
+    def key(column: str) -> Column:
+        return F.coalesce(F.col(column).cast("long"), F.xxhash64(F.col("text").cast("string"), F.lit("without an id")))
+
+    rows = docs.select(key("doc_id").alias("doc_id"), "text")
+    found = contaminated(rows, items.select(key("item_id").alias("item_id"), "text"))
+    found = _saved(found.select(F.col("doc_id").alias(name)).distinct(), "contaminated")
+    return docs.join(found, key("doc_id") == F.col(name), "left_anti")

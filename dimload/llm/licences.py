@@ -2,9 +2,10 @@
 
 One automaton holds all suffixes of all templates' words. A text's words are streamed through it:
 the matching statistics give, for each word, the longest run of words ending there that occurs in
-some template. Runs of ``LEAST`` words or more that can't be extended are chained: matches that
-follow each other in the text, within ``GAP`` words, and in the template cover a span of it. Words of
-the span that match nothing are subtracted from the covered ones. A template of which ``COVER`` is
+some template. Runs of ``LEAST`` words or more that can't be extended are chained by dynamic programming
+over all their places in a template: matches that follow each other in the text, within ``GAP`` words,
+and in the template cover a span of it. Words of the span that add nothing are subtracted from the
+covered ones, and words of the template that a chain leaves out aren't covered. A template of which ``COVER`` is
 left gives its label to the text, unless its span overlaps that of a template with more words left
 (or as many, and a larger share). Base phrases are found wherever their words stand consecutively.
 
@@ -25,6 +26,8 @@ from bisect import bisect_left
 from collections.abc import Iterator
 from functools import cache
 from importlib.resources import files
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 
 from dimload.llm.textbatch import NON_ALNUM, Words, byte_table, slices
 
-LEAST, GAP, COVER = 3, 10, 0.8
+LEAST, GAP, COVER = 3, 30, 0.8
 # The base phrases of the contract, and opening or notice sentences of public licences,
 # which stand in files without the licence's text.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -118,6 +121,7 @@ class SuffixAutomaton:
         for v in sorted(range(1, len(self.next)), key=lambda v: -self.length[v]):
             self.places[self.link[v]].extend(self.places[v])
         self.places = [sorted(set(p)) for p in self.places]
+        self.grouped: dict[int, dict[int, list[int]]] = {}
 
     def _state(self, length: int, link: int, after: dict[int, int], own: list) -> int:
         self.next.append(dict(after))
@@ -149,6 +153,12 @@ class SuffixAutomaton:
             self.link[new] = self._split(v, word, self.next[v][word], own)
         return new
 
+    def by_template(self, state: int) -> dict[int, list[int]]:
+        """The places of a state by sequence."""
+        if state not in self.grouped:
+            self.grouped[state] = {n: [end for _, end in some] for n, some in groupby(self.places[state], key=itemgetter(0))}
+        return self.grouped[state]
+
     def matches(self, run: list[int], least: int) -> Iterator[tuple[int, int, int]]:
         """(end, length, state) of runs of ``least`` words or more that the next word doesn't extend."""
         state = size = 0
@@ -177,6 +187,34 @@ def _templates(templates: tuple[tuple[str, str], ...] | None = None) -> tuple[di
     return numbers, [(label, len(s)) for (label, _), s in zip(table, sequences, strict=True)], SuffixAutomaton(sequences), phrases
 
 
+def best_chains(matches: list[tuple[int, int, int, list[int]]]) -> Iterator[tuple[int, int, int]]:
+    """(covered, first word, last word) of the best chain that ends in each place of each match.
+
+    ``matches`` are a template's (start, end, size, places of the end in the template), by their ends. A
+    chain goes from match to match, at most ``GAP`` words further in the text and to a later place in the
+    template; it covers the template words that its matches add, less the text's words that add none. A
+    jump ahead in the template costs the words that it leaves out, so the chain through a stray match
+    loses to the one that passes it by.
+    """
+    done: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []  # end, places, covered, first words
+    for start, end, size, ends_at in matches:
+        places = np.array(ends_at, np.int64)
+        covered, first = np.full(len(places), size, np.int64), np.full(len(places), start, np.int64)
+        for before, theirs, so_far, began in reversed(done):
+            if start - before > GAP + 1:
+                break
+            step = end - before
+            ahead = places[:, None] - theirs
+            value = np.where(ahead > 0, so_far + 2 * np.minimum(ahead, min(size, step)) - step, -1)
+            at = value.argmax(axis=1)
+            value = value[np.arange(len(at)), at]
+            better = (value > covered) | (value == covered) & (began[at] > first)
+            covered, first = np.where(better, value, covered), np.where(better, began[at], first)
+        done.append((end, places, covered, first))
+        for value, began in zip(covered.tolist(), first.tolist(), strict=True):
+            yield value, began, end
+
+
 def spans(codes: np.ndarray, templates: tuple[tuple[str, str], ...] | None = None) -> tuple[list[tuple[str, int, int, float]], float]:
     """Covered template spans (label, first and last word, share) of one text's template-word
     numbers (-1: another word), and the largest share of any template."""
@@ -186,40 +224,23 @@ def spans(codes: np.ndarray, templates: tuple[tuple[str, str], ...] | None = Non
         return [], 0.0
     cut = np.flatnonzero(np.diff(inside) > 1) + 1
     first, stop = inside[np.r_[0, cut]], inside[np.r_[cut - 1, len(inside) - 1]] + 1
-    chains: dict[int, list[int]] = {}  # template: text's first and last word, template's last, covered less unmatched
-    found, best = [], 0.0
-
-    def close(number: int) -> None:
-        nonlocal best
-        start, end, _, covered = chains.pop(number)
-        label, size = labels[number]
-        best = max(best, covered / size)
-        if covered >= COVER * size:
-            found.append((covered, covered / size, label, start, end))
-
+    of_template: dict[int, list[tuple[int, int, int, list[int]]]] = {}
     for a, b in zip(first.tolist(), stop.tolist(), strict=True):
         if b - a < LEAST:
             continue
         for end, size, state in automaton.matches(codes[a:b].tolist(), LEAST):
-            end += a
-            nearest: dict[int, int] = {}
-            for number, place in automaton.places[state]:
-                chain = chains.get(number)
-                if chain and place > chain[2] and end - size + 1 - chain[1] <= GAP + 1:
-                    nearest[number] = min(place, nearest[number]) if nearest.get(number, -1) > chain[2] else place
-                else:
-                    nearest.setdefault(number, place)
-            for number, place in nearest.items():
-                chain = chains.get(number)
-                if chain and place > chain[2] and end - size + 1 - chain[1] <= GAP + 1:
-                    fresh = min(size, place - chain[2], end - chain[1])
-                    chains[number] = [chain[0], end, place, chain[3] + fresh - (end - chain[1] - fresh)]
-                else:
-                    if chain:
-                        close(number)
-                    chains[number] = [end - size + 1, end, place, size]
-    for number in list(chains):
-        close(number)
+            for number, places in automaton.by_template(state).items():
+                of_template.setdefault(number, []).append((a + end - size + 1, a + end, size, places))
+    found, best = [], 0.0
+    most = {number: sum(m[2] for m in matches) / labels[number][1] for number, matches in of_template.items()}
+    for number in sorted(most, key=lambda n: (-most[n], n)):
+        label, size = labels[number]
+        if most[number] < COVER and most[number] <= best:
+            break  # none of the rest is covered, or the best
+        for covered, start, end in best_chains(of_template[number]):
+            best = max(best, covered / size)
+            if covered >= COVER * size:
+                found.append((covered, covered / size, label, start, end))
     out: list[tuple[str, int, int, float]] = []  # disjoint spans in the order of the text
     for _, share, label, start, end in sorted(found, key=lambda x: (-x[0], -x[1], *x[2:])):
         at = bisect_left(out, start, key=lambda x: x[2])  # the first span that ends there or later

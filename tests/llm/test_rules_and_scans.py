@@ -137,6 +137,76 @@ def test_words_in_gaps_and_overlapping_templates(spark):
     assert labels_of(spark, mixed, templates=two) == {0: {"plain"}, 1: {"odd"}, 2: set(), 3: {"plain", "odd"}}
 
 
+def test_edited_licences_keep_their_labels(spark):
+    """A sentence that repeats the licence's last words in its middle, or a footer on every page."""
+    bodies = dict(licences.default_templates()[:18])
+    texts, want = [], []
+    for label in ("apache-2.0", "gpl-3.0", "mpl-2.0"):
+        w = bodies[label].split()
+        texts.append(" ".join([*w[: len(w) // 2], "see also", *w[-4:], *w[len(w) // 2 :]]))
+        texts.append(" ".join(" ".join([*w[i : i + 300], "page of the license"]) for i in range(0, len(w), 300)))
+        want += [label, label]
+    got = labels_of(spark, texts)
+    assert [label in got[k] for k, label in enumerate(want)] == [True] * 6
+
+
+def brute_spans(text, table):
+    """The best chains of all maximal matches, place by place, and the disjoint spans of the best ones."""
+    words = [licences.words_of(t) for _, t in table]
+    known = {w for t in words for w in t}
+    runs = {tuple(t[i:j]) for t in words for i in range(len(t)) for j in range(i + 1, len(t) + 1)}
+    w = licences.words_of(text)
+    longest = [max(n for n in range(i + 2) if n == 0 or tuple(w[i + 1 - n : i + 1]) in runs) for i in range(len(w))]
+    ends = [i for i, n in enumerate(longest) if n >= licences.LEAST and (i + 1 == len(w) or longest[i + 1] <= n)]
+    found, best = [], 0.0
+    for (label, _), t in zip(table, words, strict=True):
+        chains = []  # (text end, template end, covered, first word)
+        for i in ends:
+            n = longest[i]
+            fresh = []
+            for place in range(n - 1, len(t)):
+                if t[place + 1 - n : place + 1] != w[i + 1 - n : i + 1]:
+                    continue
+                options = [(n, i - n + 1)]
+                for before, theirs, covered, first in chains:
+                    if before < i and theirs < place and i - n + 1 - before <= licences.GAP + 1:
+                        added = min(n, place - theirs, i - before)
+                        options.append((covered + added - (i - before - added), first))
+                fresh.append((i, place, *max(options)))
+            chains += fresh
+        for end, _, covered, first in chains:
+            best = max(best, covered / len(t))
+            if covered >= licences.COVER * len(t):
+                found.append((covered, covered / len(t), label, first, end))
+    out = []
+    for _, share, label, start, end in sorted(found, key=lambda x: (-x[0], -x[1], *x[2:])):
+        if all(end < a or start > b for _, a, b, _ in out):
+            out.append((label, start, end, share))
+    assert known
+    return sorted(out, key=lambda x: x[1]), best
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_chains_equal_brute_force(seed):
+    rng = random.Random(seed)
+    letters = [f"w{i}" for i in range(rng.choice([3, 8, 40]))]
+    table = tuple((f"t{k}", " ".join(rng.choice(letters) for _ in range(rng.randrange(4, 30)))) for k in range(5))
+    numbers, _, _, _ = licences._templates(table)
+    for _ in range(60):
+        text = []
+        for _ in range(rng.randrange(1, 4)):
+            w = rng.choice(table)[1].split()
+            for _ in range(rng.randrange(4)):
+                at = rng.randrange(len(w) + 1)
+                w[at : at + rng.randrange(3)] = [rng.choice([*letters, "other"]) for _ in range(rng.randrange(4))]
+            text += w + ["foreign"] * rng.randrange(14)
+        codes = np.array([numbers.get(x, -1) for x in licences.words_of(" ".join(text))], np.int64)
+        got, best = licences.spans(codes, table)
+        want, most = brute_spans(" ".join(text), table)
+        assert got == want
+        assert best == pytest.approx(most) if most >= licences.COVER else best <= most + 1e-9
+
+
 def test_phrases_equal_brute_force(spark):
     rng = random.Random(6)
     pool = "cc by general public license all rights reserved CC BY other x.".split()
@@ -209,6 +279,14 @@ def test_containment_on_hard_rows(spark, hard):
     assert kept.columns == hard.columns and sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 3, 4, 5, 8, 9, 10, 11]
 
 
+def test_rows_without_an_id_are_searched_too(spark):
+    leak = "x " * 9 + "one two three four five six seven"
+    docs = spark.createDataFrame([(None, leak), (None, "a clean text of some words"), (1, leak), (2, "fine words here"), (None, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "one two three four five six seven"), (None, None), (5, "not in any of them at all")], "item_id long, text string")
+    kept = sorted((r["doc_id"] or 0, r["text"] or "") for r in containment.keep(docs, items).collect())
+    assert kept == [(0, ""), (0, "a clean text of some words"), (2, "fine words here")]
+
+
 def test_no_python_runs_in_containment(hard, spark):
     items = spark.createDataFrame([(1, "seven eight nine ten eleven twelve")], "item_id long, text string")
     plan = containment.contaminated(hard, items)._jdf.queryExecution().toString()
