@@ -6,7 +6,8 @@ multivariate hypergeometric. The matrix is never held: the range of partitions i
 again, each half's share of every target is drawn with a seed of its own, and a task walks only the
 path to its own partition. Partitions deal their rows to targets in a random order (permute
 locally), rows move to their targets (exchange), and each target orders its rows at random (permute
-again). A target is a run of slots of one shard, bounded in rows, so no task ever holds a shard.
+again). A target is a run of slots of one shard, of about ``TARGET_BYTES`` of text or ``TARGET_ROWS``
+rows, and goes to a task of its own, so no task ever holds a shard.
 
 ``shuffle_into_shards`` returns all columns of its input with ``shard`` and ``slot`` (replaced if
 the input has such columns). Shard counts are at most one apart and slots are gapless from 0. Null
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +30,7 @@ from dimload.llm.textbatch import fresh_name
 from dimload.session import scratch_path
 
 NUMPY_LIMIT = 500_000_000  # numpy draws hypergeometric numbers up to twice this population
+TARGET_BYTES, TARGET_ROWS = 32 << 20, 50_000
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
@@ -53,21 +55,35 @@ def hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) ->
 
 def split(rng: np.random.Generator, targets: np.ndarray, draws: int) -> np.ndarray:
     """Of each target's open slots, how many fall to the ``draws`` rows of one half."""
-    total = int(targets.sum())
-    if total <= NUMPY_LIMIT:
-        return rng.multivariate_hypergeometric(targets, draws, method="marginals")
+    ends = np.cumsum(targets)
     out = np.zeros_like(targets)
-    for k, open_slots in enumerate(targets.tolist()):
-        total -= open_slots
-        out[k] = hypergeometric(rng, open_slots, total, draws)
-        draws -= int(out[k])
+    todo = [(0, len(targets), draws)]  # runs of targets, halved until numpy can draw a run at once
+    while todo:
+        lo, hi, draws = todo.pop()
+        before = int(ends[lo - 1]) if lo else 0
+        total = int(ends[hi - 1]) - before
+        if draws in (0, total):
+            out[lo:hi] = targets[lo:hi] if draws else 0
+        elif total <= NUMPY_LIMIT:
+            out[lo:hi] = rng.multivariate_hypergeometric(targets[lo:hi], draws, method="marginals")
+        elif hi - lo == 1:
+            out[lo] = draws
+        else:
+            mid = int(np.clip(np.searchsorted(ends, before + total // 2), lo + 1, hi - 1))
+            good = int(ends[mid - 1]) - before
+            left = hypergeometric(rng, good, total - good, draws)
+            todo += [(lo, mid, left), (mid, hi, draws - left)]
     return out
 
 
 def matrix_row(counts: np.ndarray, targets: np.ndarray, partition: int, seed: int) -> np.ndarray:
-    """The row of ``partition``: drawn down the path of halves that leads to it."""
+    """The row of ``partition``: drawn down the path of halves that leads to it. Targets that have no
+    room left in a half are left out below it, so the work follows the rows that are still to deal."""
     before = np.concatenate([[0], np.cumsum(counts)])
     lo, hi = 0, len(counts)
+    row = np.zeros_like(targets)
+    live = np.flatnonzero(targets)
+    targets = targets[live]
     while hi - lo > 1:
         mid = (lo + hi) // 2
         left = split(np.random.default_rng([seed, lo, hi]), targets, int(before[mid] - before[lo]))
@@ -75,7 +91,10 @@ def matrix_row(counts: np.ndarray, targets: np.ndarray, partition: int, seed: in
             hi, targets = mid, left
         else:
             lo, targets = mid, targets - left
-    return targets
+        some = targets > 0
+        live, targets = live[some], targets[some]
+    row[live] = targets
+    return row
 
 
 def shard_targets(rows: int, shards: int, target_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -112,24 +131,32 @@ def _dealt(counts: dict[int, int], shards: int, target_rows: int, seed: int, tar
     return run
 
 
-def shuffle_into_shards(docs: DataFrame, shards: int = 16, seed: int = 1, target_rows: int = 50_000) -> DataFrame:
-    """``docs`` shuffled uniformly into ``shards``; see the module's text."""
+def shuffle_into_shards(docs: DataFrame, shards: int = 16, seed: int = 1, target_rows: int | None = None) -> DataFrame:
+    """``docs`` shuffled uniformly into ``shards``; see the module's text. ``target_rows`` is the size of
+    a target, if not told by the rows' text."""
     spark = docs.sparkSession
     docs = docs.drop("shard", "slot")
     target, order = (fresh_name(docs.columns, c) for c in ("_target", "_order"))
     path = scratch_path(spark, "shuffle-input")
     docs.write.parquet(path)  # fixed files: both passes see the same partitions
     fixed = spark.read.schema(docs.schema).parquet(path)
-    counted = fixed.select(F.spark_partition_id().alias("p")).groupBy("p").count()
-    counts = {r["p"]: r["count"] for r in counted.collect()}  # a number for each input split
+    text = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)).cast("long") for f in docs.schema.fields if isinstance(f.dataType, T.StringType)]
+    size = sum(text, F.lit(8 * len(docs.columns)).cast("long"))
+    counted = fixed.select(F.spark_partition_id().alias("p"), size.alias("b")).groupBy("p").agg(F.count("*").alias("n"), F.sum("b").alias("b"))
+    counted = counted.collect()  # two numbers for each input split
+    counts = {r["p"]: r["n"] for r in counted}
     n = sum(counts.values())
+    mean = sum(r["b"] for r in counted) / max(n, 1)
+    target_rows = target_rows or max(1, min(TARGET_ROWS, int(TARGET_BYTES / max(mean, 1))))
     schema = T.StructType([*docs.schema.fields, T.StructField(target, T.LongType()), T.StructField(order, T.LongType())])
     dealt = fixed.mapInArrow(_dealt(counts, shards, target_rows, seed, target, order), schema)
-    rank = F.row_number().over(Window.partitionBy(target).orderBy(order))
     per, rest = n // shards, n % shards
     small = max(1, -(-per // target_rows)) if per else 0
     large = -(-(per + 1) // target_rows)
     t = F.col(target)
     shard = F.when(t < rest * large, F.floor(t / large)).otherwise(rest + F.floor((t - rest * large) / max(small, 1)))
     first = F.when(t < rest * large, t % large).otherwise((t - rest * large) % max(small, 1)) * target_rows
-    return dealt.withColumn("slot", (first + rank - 1).cast("long")).withColumn("shard", shard.cast("int")).drop(target, order)
+    targets = rest * large + (shards - rest) * small
+    dealt = dealt.repartitionById(max(targets, 1), t.cast("int")).sortWithinPartitions(order)  # a partition is a target
+    rank = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    return dealt.withColumn("slot", (first + rank).cast("long")).withColumn("shard", shard.cast("int")).drop(target, order)

@@ -9,7 +9,8 @@ Of the pages with equal payloads of at least ``min_bytes`` bytes the one with th
 a ``response``, the others are ``revisit`` records that refer to it and hold no payload; all other
 pages are responses. A null html counts as an empty payload. Rows that repeat the largest page_id of
 their payload are all responses; rows without a page_id never serve as the one referred to unless
-the whole group has none, and are then responses. A null url leaves the target field out. An empty
+the whole group has none, and are then responses. A null url leaves the target field out. Very long
+payloads are records like others, read by one task each. Other columns are not looked at. An empty
 table gives an empty index and no archives.
 
 Archives are written by the tasks through ``pyarrow.fs`` under names of their own attempt, and the
@@ -28,12 +29,13 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SALTS = 16
 FILE_BYTES = 256 << 20
 GAP_BYTES, READ_BYTES = 64 << 10, 8 << 20
+TASK_BYTES = 16 << 20  # of records that a task reads back
 _INDEX = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, file string, offset long, length long"
 _RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, html string"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -187,6 +189,15 @@ def _records(folder: str):
 
 
 def read_archive(selected: DataFrame, path: str) -> DataFrame:
-    """The records that rows of an index name, read by sorted, coalesced byte ranges."""
-    places = selected.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    """The records that rows of an index name, read by sorted, coalesced byte ranges.
+
+    Files are strung together and cut every ``TASK_BYTES``: tasks follow the bytes that the rows stand
+    for, not the rows."""
+    places = selected.select("file", "offset", "length")
+    sizes = places.groupBy("file").agg(F.max(F.col("offset") + F.col("length")).alias("_end"))  # a row for each file
+    sizes = sizes.withColumn("_base", F.sum("_end").over(Window.orderBy("file")) - F.col("_end"))
+    total = sizes.agg(F.sum("_end")).head()[0] or 0
+    places = places.join(sizes, "file").withColumn("_piece", F.floor((F.col("_base") + F.col("offset")) / TASK_BYTES).cast("int"))
+    places = places.repartitionById(max(1, -(-total // TASK_BYTES)), F.col("_piece"))
+    places = places.sortWithinPartitions("file", "offset").select("file", "offset", "length")
     return places.mapInArrow(_records(f"{path}/archives"), _RECORD)

@@ -80,6 +80,21 @@ def test_damage_is_found():
         warc.parse_record(raw.replace(b"payload\r\n\r\n", b"pAyload\r\n\r\n"))
 
 
+def test_reading_follows_the_bytes(spark, tmp_out, monkeypatch):
+    """Pieces of bounded bytes are read by tasks of their own, whatever the rows are."""
+    monkeypatch.setattr(warc, "TASK_BYTES", 2_000)
+    rng = np.random.default_rng(0)
+    rows = [(i, f"http://x/{i}", rng.bytes(int(rng.integers(1, 900))).hex()) for i in range(120)]
+    warc.write_archive(spark.createDataFrame(rows, SCHEMA).repartition(4), tmp_out)
+    index = warc.read_index(spark, tmp_out)
+    out = warc.read_archive(index, tmp_out)
+    per_task = out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()
+    total = index.agg(F.sum("length")).head()[0]
+    assert len(per_task) > total / 2_000 / 2 and max(r["n"] for r in per_task) < 30
+    assert {r["page_id"]: r["html"] for r in out.collect()} == {i: h for i, _, h in rows}
+    assert warc.read_archive(index.where("page_id % 40 = 3"), tmp_out).count() == 3
+
+
 def test_empty_archive(spark, tmp_out):
     warc.write_archive(spark.createDataFrame([], SCHEMA), tmp_out)
     assert warc.read_archive(warc.read_index(spark, tmp_out), tmp_out).collect() == []
@@ -108,6 +123,40 @@ def test_draws_have_the_right_mean_and_spread(monkeypatch, limit):
     assert sum(hypergeometric.split(rng, np.array([5, 0, 7, 8]), 9)) == 9
 
 
+def test_rows_of_large_matrices_are_drawn_quickly():
+    """8,000 partitions by 400,000 targets of 50,000 rows each."""
+    import time
+
+    targets = np.full(400_000, 50_000)
+    counts = np.full(8_000, 400_000 * 50_000 // 8_000)
+    t0 = time.time()
+    row = hypergeometric.matrix_row(counts, targets, 5_432, 1)
+    assert row.sum() == counts[0] and time.time() - t0 < 5
+    assert row.var() == pytest.approx(6.25, rel=0.05)  # nearly Poisson
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 40), min_size=1, max_size=20), st.integers(0, 99), st.integers(1, 30))
+def test_splits_in_halves_are_exact(targets, seed, limit):
+    targets = np.array(targets)
+    draws = int(np.random.default_rng(seed).integers(0, targets.sum() + 1))
+    old, hypergeometric.NUMPY_LIMIT = hypergeometric.NUMPY_LIMIT, limit
+    try:
+        got = hypergeometric.split(np.random.default_rng(seed), targets, draws)
+    finally:
+        hypergeometric.NUMPY_LIMIT = old
+    assert got.sum() == draws and (got >= 0).all() and (got <= targets).all()
+
+
+def test_targets_hold_bounded_text(spark, monkeypatch):
+    monkeypatch.setattr(hypergeometric, "TARGET_BYTES", 10_000)
+    df = spark.range(500).select(F.col("id").alias("doc_id"), F.lit("x" * 990).alias("text")).repartition(4)
+    out = hypergeometric.shuffle_into_shards(df, shards=4)
+    per_task = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(per_task) <= 10 and sum(per_task) == 500
+    assert sorted((r["shard"], r["slot"]) for r in out.collect()) == [(k, i) for k in range(4) for i in range(125)]
+
+
 def test_huge_populations_are_drawn():
     got = hypergeometric.hypergeometric(np.random.default_rng(2), 6 * 10**10, 4 * 10**10, 10**9)
     assert abs(got - 6 * 10**8) < 10**6
