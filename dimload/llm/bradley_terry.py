@@ -2,21 +2,25 @@
 
 Documents are features; a preferred document (label 1) beats another (label 0) with the logistic of
 the difference of their scores. Scores are linear in the features and are fitted by logistic loss
-on feature differences of preference pairs. A score's threshold is a quantile of the sampled
-documents' scores, the one that tells the labels apart best (highest balanced accuracy). The
-reported score is the chance of beating a document at the threshold, so 0.5 is the threshold.
-
-``fit`` takes at most ``max_rows`` documents of each label (those with the smallest hashes of their
-doc_id, so the choice does not depend on order) and draws ``pairs`` preference pairs from them.
-``score`` reads whole texts. A null text counts as empty and has features like any other. Repeated
-label rows count once. Without labels of both kinds nothing can be learned: every document then
-scores 0.5 and is predicted 1. Empty tables give no rows.
+on feature differences of preference pairs. A score's threshold is a quantile of the scores of all
+documents: of ``CUTS`` quantiles the one that tells the labels apart best (highest balanced accuracy
+over all labelled documents, counted by Spark; the middle one of several). The reported score is the
+chance of beating a document at the threshold, so 0.5 is the threshold.
+
+Only the weights come from a sample: ``fit`` takes at most ``max_rows`` documents of each label (those
+with the smallest hashes of their doc_id, so the choice does not depend on order) and draws ``pairs``
+preference pairs from them. Whole texts are read, very long ones too; a task holds one slice of them.
+A null text counts as empty and has features like any other. Repeated label rows count once, rows that
+repeat a doc_id each count with its label. Documents tied at the threshold score 0.5 and are predicted
+1. Without labels of both kinds nothing can be learned: every document then scores 0.5 and is
+predicted 1. Other columns are not looked at, whatever their names; ``keep`` returns them. Empty tables
+give no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimload.llm.rule_ledger import _class_counts, measured
+from dimload.llm.setjoin import saved
 from dimload.llm.textbatch import Words, as_string, buffers, slices, word_hashes
 
 MAX_ROWS, PAIRS, SHAPES = 4_000, 60_000, 32
+CUTS = 199  # quantiles of all scores that the threshold is chosen from
 
 
 @dataclass(frozen=True)
@@ -95,23 +101,62 @@ def learned(good: np.ndarray, bad: np.ndarray, pairs: int = PAIRS, seed: int = 5
         w = w + step
         if np.abs(step).max() < 1e-6:
             break
-    a, b = ((x - mean) / scale @ w for x in (good, bad))
-    cuts = np.quantile(np.concatenate([a, b]), np.linspace(0.005, 0.995, 199))
-    balanced = [(a >= c).mean() + (b < c).mean() for c in cuts]
-    best = np.flatnonzero(np.isclose(balanced, max(balanced)))
-    return Ranking(mean, scale, w, float(cuts[best].mean()))
-
-
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, pairs: int = PAIRS) -> Ranking | None:
-    """Learn from ``labels`` (doc_id, quality 0 or 1) of ``docs`` (doc_id, text)."""
+    return Ranking(mean, scale, w, 0.0)
+
+
+def threshold(scores: DataFrame, known: DataFrame) -> float:
+    """The best quantile of all ``scores`` (doc_id, score), by the labels ``known`` (doc_id, quality)."""
+    shares = np.linspace(0, 1, CUTS + 2)[1:-1].tolist()
+    cuts = np.array(scores.agg(F.percentile_approx("score", shares, 100_000)).head()[0])
+    passed = F.size(F.filter(F.array(*map(F.lit, cuts.tolist())), lambda c: c <= F.col("score")))
+    counted = scores.join(known, "doc_id").groupBy("quality", passed.alias("passed")).count().collect()  # 2 * (CUTS + 1) rows at most
+    counts = np.zeros((2, CUTS + 1))
+    for r in counted:
+        counts[r["quality"], r["passed"]] += r["count"]
+    above = counts[:, ::-1].cumsum(axis=1)[:, ::-1][:, 1:] / np.maximum(counts.sum(axis=1, keepdims=True), 1)  # shares at or above each cut
+    balanced = above[1] + 1 - above[0]
+    best = np.flatnonzero(np.isclose(balanced, balanced.max()))
+    return float(cuts[best[(len(best) - 1) // 2]])
+
+
+def _learned_from(docs: DataFrame, labels: DataFrame, max_rows: int, pairs: int) -> tuple[Ranking | None, DataFrame]:
+    """The weights from a bounded sample, without a threshold, and all usable labels."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).distinct()
-    known = known.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi")
+    known = known.where("quality in (0, 1)").join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi")
     chosen = [known.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows) for q in (0, 1)]
     sample = chosen[0].unionByName(chosen[1])  # 2 * max_rows rows at most, so broadcasting is safe
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = texts.join(F.broadcast(sample), "doc_id").select("quality", "text").mapInArrow(_featured, "quality int, x array<double>").collect()
     kinds = [np.array([r["x"] for r in rows if r["quality"] == q]) for q in (1, 0)]
-    return learned(*kinds, pairs=pairs) if all(map(len, kinds)) else None
+    return learned(*kinds, pairs=pairs) if all(map(len, kinds)) else None, known
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, pairs: int = PAIRS) -> Ranking | None:
+    """Learn from ``labels`` (doc_id, quality 0 or 1) of ``docs`` (doc_id, text)."""
+    model, known = _learned_from(docs, labels, max_rows, pairs)
+    return model and replace(model, threshold=threshold(saved(_raw(docs, model), "quality-scores"), known))
+
+
+def rank(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, pairs: int = PAIRS) -> DataFrame:
+    """doc_id and score of all ``docs``, learned from ``labels`` of them: texts are scored once."""
+    model, known = _learned_from(docs, labels, max_rows, pairs)
+    if model is None:
+        return score(docs, None)
+    raw = saved(_raw(docs, model), "quality-scores")
+    over = F.least(F.lit(30.0), F.greatest(F.lit(-30.0), F.col("score") - threshold(raw, known)))
+    return raw.select("doc_id", (1 / (1 + F.exp(-over))).alias("score"))
+
+
+def _raw(docs: DataFrame, model: Ranking) -> DataFrame:
+    """doc_id and the linear score of all ``docs``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            s = (features(batch.column("text")) - model.mean) / model.scale @ model.weights
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s)], names=["doc_id", "score"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, score double")
 
 
 def scores(column: pa.Array, model: Ranking | None) -> np.ndarray:

@@ -1,7 +1,9 @@
 """Packing documents into training sequences along a Hilbert curve.
 
-Each document's ids are hashed to a signed vector, projected to four dimensions and scaled to a
-grid; the grid cell's place on the Hilbert curve is its key. Documents are range-sorted by that key
+Each document's ids are hashed to a signed vector and projected to four dimensions; the corpus mean,
+which Spark takes over all ids, is subtracted, and what is left is scaled to length one, so that the
+key depends on content alike at every length and no document lies beyond the grid. The grid cell's
+place on the Hilbert curve is its key. Documents are range-sorted by that key
 (ties by doc_id), so neighbours on the curve share a partition, and each partition strings its
 documents together and cuts the stream into sequences of ``size`` ids. The stream's last, shorter
 sequence is cut into sequences whose lengths are powers of two, which need no padding.
@@ -10,7 +12,8 @@ sequence is cut into sequences whose lengths are powers of two, which need no pa
 it), length, tokens (the piece's ids, 16-bit little-endian), ids_crc32, doc_tokens, sequence_id,
 offset (place in the sequence), and hilbert_key. Documents are cut freely, none is dropped. A null
 text counts as empty and yields its end id alone; repeated rows are packed as often as they occur;
-an empty table gives no rows; other columns are not looked at.
+very long texts are cut over as many sequences as they need, by one task; ties on the curve go by
+doc_id; an empty table gives no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -30,7 +34,8 @@ from dimload.llm.tokens import TOKEN_SLICE, ids_crc32, tokenizer_at, with_end
 from dimload.session import scratch_path
 
 DIMS, GRID_BITS, HASHED = 4, 12, 64
-_KEYED = "hilbert_key long, doc_id long, doc_tokens long, ids binary"
+_SUMS = [f"x{k}" for k in range(DIMS)]
+_SUMMED = "doc_id long, doc_tokens long, ids binary, " + ", ".join(f"{c} double" for c in _SUMS)
 _PIECE = "doc_id long, start long, length long, tokens binary, ids_crc32 long, doc_tokens long, sequence_id long, offset long, hilbert_key long"
 
 
@@ -68,22 +73,35 @@ def hilbert_keys(cells: np.ndarray, bits: int = GRID_BITS) -> np.ndarray:
     return key
 
 
-def vector_keys(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Hilbert keys of documents' id vectors (each document owns one id at least)."""
-    sums = np.add.reduceat(_projection()[ids], bounds[:-1], axis=0)
-    scaled = sums / np.sqrt(np.maximum(np.diff(bounds), 1))[:, None]
-    cells = np.clip((scaled + 8.0) * ((1 << GRID_BITS) / 16.0), 0, (1 << GRID_BITS) - 1)
-    return hilbert_keys(cells.astype(np.int64))
+def vector_sums(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sums of documents' projected id vectors (each document owns one id at least)."""
+    return np.add.reduceat(_projection()[ids].astype(np.float64), bounds[:-1], axis=0)
 
 
-def _keyed(tokenizer: str, end_id: int):
+def cells(sums: np.ndarray, sizes: np.ndarray, mean: np.ndarray) -> np.ndarray:
+    """Grid cells of the directions in which documents' mean vectors lie from the corpus mean."""
+    away = sums / np.maximum(sizes, 1)[:, None] - mean
+    size = np.sqrt((away**2).sum(axis=1))
+    unit = away / np.where(size > 1e-12, size, 1.0)[:, None]
+    return np.minimum((unit + 1.0) * (1 << (GRID_BITS - 1)), (1 << GRID_BITS) - 1).astype(np.int64)
+
+
+def _key_column(mean: np.ndarray):
+    @F.pandas_udf("long")
+    def key(n: pd.Series, *x: pd.Series) -> pd.Series:
+        return pd.Series(hilbert_keys(cells(np.column_stack(x), n.to_numpy(), mean)))
+
+    return key("doc_tokens", *_SUMS)
+
+
+def _summed(tokenizer: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=TOKEN_SLICE):
             ids, bounds = with_end(*tokenizer_at(tokenizer).encode(batch.column("text")), end_id)
-            keys = vector_keys(ids, bounds)
+            sums = vector_sums(ids, bounds)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys), batch.column("doc_id"), pa.array(np.diff(bounds)), binaries(ids, bounds)],
-                names=["hilbert_key", "doc_id", "doc_tokens", "ids"],
+                [batch.column("doc_id"), pa.array(np.diff(bounds)), binaries(ids, bounds), *(pa.array(x) for x in sums.T)],
+                names=["doc_id", "doc_tokens", "ids", *_SUMS],
             )
 
     return run
@@ -150,7 +168,10 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 2) ->
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     path = scratch_path(spark, "hilbert-ids")
-    texts.mapInArrow(_keyed(tokenizer, end_id), _KEYED).write.option("compression", "zstd").parquet(path)
-    keyed = spark.read.schema(_KEYED).parquet(path)
+    texts.mapInArrow(_summed(tokenizer, end_id), _SUMMED).write.option("compression", "zstd").parquet(path)
+    summed = spark.read.schema(_SUMMED).parquet(path)
+    total = summed.agg(F.sum("doc_tokens"), *(F.sum(c) for c in _SUMS)).head()
+    mean = np.round(np.array([x or 0.0 for x in total[1:]]) / max(total[0] or 0, 1), 9)
+    keyed = summed.withColumn("hilbert_key", _key_column(mean)).drop(*_SUMS)
     along = keyed.repartitionByRange("hilbert_key", "doc_id").sortWithinPartitions("hilbert_key", "doc_id")
     return along.mapInArrow(_packed(size), _PIECE)

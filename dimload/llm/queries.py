@@ -148,8 +148,7 @@ group by doc_id, item_id, n having count(*) * 100 >= n * 80
 def op9_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality, ranked by labels of the other folds."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    model = bradley_terry.fit(docs, labels.where(remainder(3) != 1))
-    out = bradley_terry.score(docs, model)
+    out = bradley_terry.rank(docs, labels.where(remainder(3) != 1))
     return out.select("doc_id", (remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 

@@ -1,6 +1,7 @@
 """Language models (op3) and pairwise ranking (op9): probabilities, accuracy, hard rows."""
 
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -132,6 +133,64 @@ def test_quality_of_held_out_documents(spark):
     assert small is not None
 
 
+def test_threshold_is_the_best_quantile_of_all_scores(spark):
+    """Against numpy over all documents; labels cover some of them."""
+    rng = np.random.default_rng(3)
+    s = np.concatenate([rng.normal(0, 1, 3000), rng.normal(3, 1, 1000)])
+    known = {i: int(s[i] + rng.normal(0, 0.5) > 1.2) for i in rng.permutation(4000)[:700].tolist()}
+    scores = spark.createDataFrame([(i, float(x)) for i, x in enumerate(s)], "doc_id long, score double").repartition(3)
+    got = bradley_terry.threshold(scores, spark.createDataFrame(list(known.items()), "doc_id long, quality int"))
+    good, bad = (np.array([s[i] for i, q in known.items() if q == k]) for k in (1, 0))
+    cuts = np.quantile(s, np.linspace(0, 1, bradley_terry.CUTS + 2)[1:-1], method="inverted_cdf")
+    balanced = np.array([(good >= c).mean() + (bad < c).mean() for c in cuts])
+    assert got in cuts and balanced[list(cuts).index(got)] == pytest.approx(balanced.max())
+
+
+def brute_features(text):
+    """Some of the features by plain Python."""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    letters = re.findall(r"[A-Za-z]", text or "")
+    chars = max(sum(map(len, w)), 1)
+    return [
+        np.log1p(len(w)),
+        sum(map(len, w)) / max(len(w), 1),
+        len(re.findall(r"[#*$%&|<>]", text or "")) / chars,
+        len(re.findall(r"[!?]", text or "")) / chars,
+        len(re.findall(r"[A-Z]", text or "")) / max(len(letters), 1),
+        len(letters) / chars,
+    ]
+
+
+def test_features_equal_plain_python():
+    texts = [r[1] for r in HARD] + [t for _, t, _ in labelled(30)]
+    got = bradley_terry.features(pa.array(texts))
+    assert np.allclose(got[:, :6], [brute_features(t) for t in texts])
+    assert np.allclose(got[:, 9], [len(set(re.findall(r"[^\x20\x09-\x0D]+", t or ""))) / max(len(re.findall(r"[^\x20\x09-\x0D]+", t or "")), 1) for t in texts])
+
+
+def test_fit_is_the_minimum_of_the_logistic_loss():
+    """The gradient over the drawn pairs, computed the long way, vanishes at the weights."""
+    rng = np.random.default_rng(7)
+    good, bad = rng.normal(0.4, 1, (80, 3)), rng.normal(0, 1, (60, 3))
+    model = bradley_terry.learned(good, bad, pairs=2000, seed=5)
+    draw = np.random.default_rng(5)
+    a, b = good[draw.integers(0, 80, 2000)], bad[draw.integers(0, 60, 2000)]
+
+    def loss(w):
+        return np.mean([np.log1p(np.exp(-((x - y) / model.scale @ w))) for x, y in zip(a, b, strict=True)]) + 0.5e-2 * (w @ w)
+
+    step = np.eye(3) * 1e-4
+    assert all(abs(loss(model.weights + e) - loss(model.weights - e)) / 2e-4 < 1e-5 for e in step)
+
+
+def test_scoring_once_equals_fit_and_score(spark):
+    rows = spark.createDataFrame(labelled(), "doc_id long, text string, quality int").repartition(3)
+    docs, labels = rows.select("doc_id", "text"), rows.where("doc_id % 2 = 0").select("doc_id", "quality")
+    once = {r["doc_id"]: r["score"] for r in bradley_terry.rank(docs, labels).collect()}
+    twice = {r["doc_id"]: r["score"] for r in bradley_terry.score(docs, bradley_terry.fit(docs, labels)).collect()}
+    assert once.keys() == twice.keys() and all(once[k] == pytest.approx(twice[k]) for k in once)
+
+
 def test_quality_of_hard_rows(spark, hard, empty):
     labels = spark.createDataFrame([(1, 1), (1, 1), (10, 0), (9, 0), (8, 1), (99, 0)], "doc_id long, quality int")
     model = bradley_terry.fit(hard, labels)

@@ -124,6 +124,24 @@ def test_packing_an_empty_table(empty):
     assert hilbert_pack.pack(empty, tokenizer_path()).collect() == []
 
 
+def test_few_documents_lie_on_the_edge_of_the_grid(spark):
+    """At every length the cells spread over the grid, and like documents are neighbours."""
+    rng = np.random.default_rng(2)
+    kinds = rng.dirichlet(np.full(3000, 0.05), 6)
+    sizes = np.repeat([50, 1000, 10_000], 100)
+    ids = [rng.choice(3000, n, p=kinds[i % 6]).astype(np.uint16) for i, n in enumerate(sizes)]
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    sums = hilbert_pack.vector_sums(np.concatenate(ids), bounds)
+    cells = hilbert_pack.cells(sums, sizes, sums.sum(axis=0) / sizes.sum())
+    edge = ((cells <= 0) | (cells >= (1 << hilbert_pack.GRID_BITS) - 1)).any(axis=1)
+    for n in (50, 1000, 10_000):
+        assert edge[sizes == n].mean() < 0.01
+    order = np.argsort(hilbert_pack.hilbert_keys(cells[sizes == 10_000]))
+    assert (np.diff(np.arange(100)[order] % 6) == 0).mean() > 0.8  # one kind after the other
+    middle = hilbert_pack.cells(np.zeros((1, 4)), np.array([1]), np.zeros(4))
+    assert (middle == 1 << (hilbert_pack.GRID_BITS - 1)).all()
+
+
 def test_hilbert_neighbours_are_adjacent_cells():
     bits = 3
     cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * 2, indexing="ij"), -1).reshape(-1, 2)
