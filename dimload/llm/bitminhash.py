@@ -14,19 +14,20 @@ set size, its component (the smallest doc_id reachable by links) and whether it
 * The others are compared on their whole sets, as 64-bit hashes. Only those are links.
 
 A bucket (the sets of a band's key) may hold a large group of near copies, so it isn't opened into all
-pairs. Its sets are ordered by a hash that is alike in all buckets, and their places follow from hash
-and bucket size, without sorting a bucket; round by round the sets of the next places (up to 4, 64,
-1024, ...) meet all later ones of other components, in pieces of about ``LEAD`` by ``LATER`` sets,
-which Spark deals to tasks one by one. Of the leading sets that look similar to a later one, the most
-similar is compared first; those that are left in other components after its links come next (``STEPS``
-at a time, then all). Sets that links have joined never meet again, and a bucket of one component is
-done. The rounds end when no bucket is open, so every candidate pair has been estimated and, if it looks
-similar, compared, or lies in one component.
+pairs. First, each set is compared with one other: of the few leading sets of its buckets (the order is
+by a hash that is alike in all buckets; places follow from hash and bucket size, no bucket is sorted) the
+most similar one. That joins most of what belongs together, and a bucket of one component is done. The
+sets of the others are put into blocks of ``BLOCK``, sets of the same leader together. Round by round,
+the next leading blocks of each open bucket (1, then up to 16, 256, ...) meet its later ones; Spark deals
+pairs of blocks to tasks one by one. A task compares the pairs of sets of different components that look
+similar on their whole sets, the most similar ones first, and returns only links that join components.
+The rounds end when no bucket is open: every pair with a common bucket has then been estimated and, if it
+looks similar, compared, or lies in one component.
 
 Each row is a document, also if rows repeat a doc_id. A null or empty text has an empty set,
 n_shingles 0, and is linked with nothing: it stays. A row without a doc_id takes part, but names no
 component; its component_id is null if no other row of it has an id, and only then it stays. Very
-long texts are read whole, a set takes 8 bytes a shingle. Other columns are not looked at. An empty
+long texts are read whole; a set takes 8 bytes a shingle, and a task holds two blocks of them. Other columns are not looked at. An empty
 table gives no rows.
 """
 
@@ -40,15 +41,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dimload.llm.merkle import numbered
 from dimload.llm.setjoin import _CHUNK, _id_buckets, id_bucket, merged, saved, signature, total_counts
 from dimload.llm.textbatch import BLANKS, Words, byte_table, mix, slices, window_hashes, word_hashes
 
 WIDTH, PERCENT = 2, 80
 BANDS, ROWS, BITS = 45, 6, 2
 SURE = 0.6
-FIRST, GROWTH = 4, 16
-STEPS = (1, 16, None)  # leading sets that a set is compared with in one step of a round, all at last
-LEAD, LATER = 128, 2048  # sets of a bucket that meet at once
+FIRST = 4  # leading sets of a bucket that others are compared with first
+LATER = 2048  # sets of a bucket that meet them at once
+BLOCK, GROWTH = 64, 16
 PARTNERS = 512  # of one set in one verification group
 _TABLE = byte_table(BLANKS, lower=True)
 _SEED = mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -162,60 +164,101 @@ def sets_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 # --- candidates ------------------------------------------------------------------------------------
 
 
-def _near(most: int | None):
-    """Pairs of sets of other components that look similar, from pieces of buckets: rows come sorted by
-    piece. ``a`` is the set with the smaller hash (of equal hashes, the smaller number); of a set ``b``
-    and its piece there are ``most`` pairs at most, the most similar ones."""
+def _similar(a: list, b: list) -> np.ndarray:
+    """Estimates of all pairs of two lists of (sid, n, comp, bits, ...), -1 where they can't or needn't link."""
+    (_, na, ca), (_, nb, cb) = (np.array([x[:3] for x in side], np.int64).T for side in (a, b))
+    bits = [np.stack([np.frombuffer(x[3], np.uint8) for x in side]) for side in (a, b)]
+    likely = np.concatenate([estimates(bits[0], bits[1][lo : lo + 256]) for lo in range(0, len(b), 256)], axis=1)
+    ok = (ca[:, None] != cb) & (100 * np.minimum(na[:, None], nb) >= PERCENT * np.maximum(na[:, None], nb))
+    return np.where(ok & (likely >= SURE), likely, -1.0)
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], key: list[str], columns: list[str]) -> Iterator[list[tuple]]:
+    """The rows of each key, which come together."""
+    last, rows = None, []
+    for batch in batches:
+        keys = zip(*(batch.column(c).to_pylist() for c in key), strict=True)
+        for k, row in zip(keys, zip(*(batch.column(c).to_pylist() for c in columns), strict=True), strict=True):
+            if k != last and rows:
+                yield rows
+                rows = []
+            last = k
+            rows.append(row)
+    if rows:
+        yield rows
+
+
+def _nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each set ``b`` of a piece of a bucket the leading set ``a`` that looks most similar."""
+    for rows in _pieces(batches, ["key", "y"], ["sid", "n", "comp", "bits", "leads"]):
+        lead, later = ([x for x in rows if x[4] is flag] for flag in (True, False))
+        if lead and later:
+            likely = _similar(lead, later)
+            at, j = likely.argmax(axis=0), np.arange(len(later))
+            best = likely[at, j]
+            hit = np.flatnonzero(best >= SURE).tolist()
+            if hit:
+                columns = [pa.array([lead[at[k]][0] for k in hit]), pa.array([later[k][0] for k in hit]), pa.array(best[hit])]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "likely"])
+
+
+def nearest_pairs(members: DataFrame) -> DataFrame:
+    """(a, b): each set with the most similar one of the leading sets of its buckets, if it looks similar.
+    ``members`` are key, sid, n, comp, bits, place and m (the bucket's size)."""
+    chunk = F.floor(F.col("place") / LATER).cast("int")
+    lead = members.where(F.col("place") < FIRST).withColumn("y", F.explode(F.sequence(F.lit(0), F.floor((F.col("m") - 1) / LATER).cast("int"))))
+    columns = ["key", "y", "leads", "sid", "n", "comp", "bits"]
+    both = lead.withColumn("leads", F.lit(True)).select(*columns)
+    both = both.unionByName(members.withColumn("y", chunk).withColumn("leads", F.lit(False)).select(*columns))
+    near = both.repartition("key", "y").sortWithinPartitions("key", "y").mapInArrow(_nearest, "a long, b long, likely double")
+    best = near.groupBy("b").agg(F.max(F.struct("likely", "a")).alias("best"))
+    return best.select(F.least("best.a", "b").alias("a"), F.greatest("best.a", "b").alias("b")).distinct()
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links that join components, of the sets of two blocks (or of one with itself)."""
+    for rows in _pieces(batches, ["x", "y"], ["sid", "n", "comp", "bits", "shingles", "block", "x", "y"]):
+        first, second = ([r for r in rows if r[5] == r[side]] for side in (6, 7))
+        if not first or not second:
+            continue
+        likely = _similar(first, second)
+        i, j = np.nonzero(likely >= SURE)
+        order = np.argsort(-likely[i, j], kind="stable")
+        root: dict[int, int] = {}
+
+        def of(comp: int, root: dict[int, int] = root) -> int:
+            while comp in root:
+                comp = root[comp]
+            return comp
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece, lead, later = None, [], []
-        for batch in batches:
-            names = ("key", "x", "y", "leads", "sid", "h", "comp", "n", "bits")
-            for key, x, y, leads, *row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
-                if (key, x, y) != piece:
-                    yield from _met(lead, later, most)
-                    piece, lead, later = (key, x, y), [], []
-                (lead if leads else later).append(row)
-        yield from _met(lead, later, most)
+        out = []
+        for p, q in zip(i[order].tolist(), j[order].tolist(), strict=True):
+            a, b = first[p], second[q]
+            u, v = of(a[2]), of(b[2])
+            if u == v:
+                continue
+            s, t = np.frombuffer(a[4], np.uint64), np.frombuffer(b[4], np.uint64)
+            at = np.minimum(np.searchsorted(s, t), len(s) - 1)
+            if linked(int((s[at] == t).sum()), len(s), len(t)):
+                root[max(u, v)] = min(u, v)
+                out.append((min(a[0], b[0]), max(a[0], b[0])))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return run
+
+def in_blocks(members: DataFrame) -> DataFrame:
+    """(sid, block): the sets of open buckets, those that have the same leader in one block if it holds them."""
+    leader = members.groupBy("key").agg(F.min(F.struct("h", "sid")).alias("leader"))
+    of = members.join(leader, "key").groupBy("sid").agg(F.min("leader").alias("leader"), F.first("h").alias("h"))
+    rows = of.select(F.lit("").alias("all"), "sid", "h", F.col("leader.h").alias("u"), F.col("leader.sid").alias("v"))
+    return numbered(rows, "all", *(F.col(c) for c in ("u", "v", "h", "sid"))).select("sid", F.expr(f"idx div {BLOCK}").alias("block"))
 
 
-def _met(lead: list, later: list, most: int | None) -> Iterator[pa.RecordBatch]:
-    if not lead or not later:
-        return
-    (a, ha, ca, na), (b, hb, cb, nb) = (np.array([x[:4] for x in side], np.int64).T for side in (lead, later))
-    ok = (ca[:, None] != cb) & ((ha[:, None] < hb) | ((ha[:, None] == hb) & (a[:, None] < b)))
-    ok &= 100 * np.minimum(na[:, None], nb) >= PERCENT * np.maximum(na[:, None], nb)
-    bits = [np.stack([np.frombuffer(x[4], np.uint8) for x in side]) for side in (lead, later)]
-    likely = np.empty(ok.shape, np.float32)
-    for lo in range(0, len(later), 256):
-        likely[:, lo : lo + 256] = estimates(bits[0], bits[1][lo : lo + 256])
-    likely[~ok] = -1
-    if most is not None and most < len(lead):
-        rank = np.argsort(-likely, axis=0, kind="stable")[:most]
-        i, j = rank.ravel(), np.tile(np.arange(len(later)), most)
-    else:
-        i, j = np.indices(ok.shape).reshape(2, -1)
-    hit = likely[i, j] >= SURE
-    i, j = i[hit], j[hit]
-    if len(i):
-        yield pa.RecordBatch.from_arrays([pa.array(a[i]), pa.array(b[j]), pa.array(likely[i, j])], names=["a", "b", "likely"])
-
-
-def _pieces(members: DataFrame, lo: int, hi: int) -> DataFrame:
-    """The sets at places lo to hi - 1 of open buckets and all later ones, in pieces: x numbers the
-    leading sets' parts, y the later ones'."""
-    place = F.col("place")
-    last = -(-(hi - lo) // LEAD) - 1
-    part = F.floor((place - lo) / LEAD).cast("int")
-    chunk = F.floor(place / LATER).cast("int")
-    lead = members.where((place >= lo) & (place < hi)).withColumn("x", part)
-    lead = lead.withColumn("y", F.explode(F.sequence(chunk, F.floor((F.col("m") - 1) / LATER).cast("int"))))
-    later = members.where(place >= lo).withColumn("x", F.explode(F.sequence(F.lit(0), F.least(F.lit(last), part)))).withColumn("y", chunk)
-    columns = ["key", "x", "y", "leads", "sid", "h", "comp", "n", "bits"]
-    both = lead.withColumn("leads", F.lit(True)).select(*columns).unionByName(later.withColumn("leads", F.lit(False)).select(*columns))
-    return both.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+def block_pairs(blocks: DataFrame, lo: int, hi: int) -> DataFrame:
+    """(x, y): of each bucket (key, blocks sorted) its blocks lo to hi - 1 with themselves and all later ones."""
+    lead = blocks.select("blocks", F.posexplode(F.slice("blocks", lo + 1, hi - lo)).alias("i", "x"))
+    later = F.slice("blocks", F.col("i") + F.lit(lo + 1), F.size("blocks"))
+    return lead.select("x", F.explode(later).alias("y")).distinct()
 
 
 # --- verification ----------------------------------------------------------------------------------
@@ -270,32 +313,36 @@ def groups(docs: DataFrame) -> DataFrame:
     wanted = saved(whole.join(placed.select("sid").distinct(), "sid", "left_semi").select("sid", *keys, "bits"), "bucketed")
     contents = saved(sets_of(texts, wanted.drop("bits")), "shingles")
     labels = wanted.select(F.col("sid").alias("node"), F.col("sid").alias("comp"))
-    apart = None  # pairs that were compared and don't link
-    lo, hi = 0, FIRST
-    while True:
-        for most in STEPS:
-            labelled = placed.join(labels.withColumnRenamed("node", "sid"), "sid")
-            still = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max("m").alias("m"))
-            still = saved(still.where((F.col("x") != F.col("y")) & (F.col("m") > lo)).select("key"), "open-buckets")
-            if still.isEmpty():
-                break
-            members = labelled.join(still, "key").join(wanted.select("sid", "n", "bits"), "sid")
-            pairs = _pieces(members, lo, hi).mapInArrow(_near(most), "a long, b long, likely float")
-            if most == 1:
-                pairs = pairs.groupBy("b").agg(F.max(F.struct("likely", "a")).alias("best")).select("best.a", "b")
-            else:
-                pairs = pairs.select("a", "b").distinct()
-            pairs = saved(pairs if apart is None else pairs.join(apart, ["a", "b"], "left_anti"), "pairs")
-            if pairs.isEmpty():
-                continue  # what is left of this step was compared before
-            links = saved(verify(pairs, contents), "links")
-            no = pairs.join(links, ["a", "b"], "left_anti")
-            apart = saved(no if apart is None else apart.unionByName(no), "apart")
+    members = placed.join(wanted.select("sid", "n", "bits"), "sid").withColumn("comp", F.col("sid"))
+    links = saved(verify(saved(nearest_pairs(members), "pairs"), contents), "links")
+    if not links.isEmpty():
+        labels = merged(labels, links)
+
+    def still_open() -> DataFrame:
+        """Members of buckets with sets of different components."""
+        labelled = placed.join(labels.withColumnRenamed("node", "sid"), "sid")
+        mixed = labelled.groupBy("key").agg(F.min("comp").alias("u"), F.max("comp").alias("v")).where("u <> v").select("key")
+        return placed.join(mixed, "key")
+
+    members = saved(still_open(), "open-buckets")
+    if not members.isEmpty():
+        block = saved(in_blocks(members), "block-numbers")
+        blocked = saved(block.join(wanted, "sid").join(contents, "sid").select("block", "sid", "n", "bits", "shingles"), "blocks")
+        blocks = saved(members.join(block, "sid").groupBy("key").agg(F.sort_array(F.collect_set("block")).alias("blocks")), "bucket-blocks")
+        lo, hi, done = 0, 1, None
+        while True:
+            pairs = block_pairs(blocks.where(F.size("blocks") > lo).join(members.select("key").distinct(), "key"), lo, hi)
+            pairs = saved(pairs if done is None else pairs.join(done, ["x", "y"], "left_anti"), "block-pairs")
+            done = pairs if done is None else done.unionByName(pairs)
+            sides = pairs.select("x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("block")).join(blocked, "block")
+            sides = sides.join(labels.withColumnRenamed("node", "sid"), "sid").repartition("x", "y").sortWithinPartitions("x", "y")
+            links = saved(sides.mapInArrow(_linked, "a long, b long").distinct(), "links")
             if not links.isEmpty():
                 labels = merged(labels, links)
-        if still.isEmpty():
-            break
-        lo, hi = hi, hi * GROWTH
+            lo, hi = hi, hi * GROWTH
+            members = saved(still_open().join(blocks.where(F.size("blocks") > lo).select("key"), "key"), "open-buckets")
+            if members.isEmpty():
+                break
     of_set = sets.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     least = of_set.groupBy("comp").agg(F.min("least").alias("component_id"))
     of_set = of_set.join(least, "comp").select(*keys, "component_id")

@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from dimload.llm import bitminhash, queries
 
@@ -76,31 +77,28 @@ def test_groups_against_all_pairs(spark, seed):
 
 
 def test_rounds_and_pieces_lose_nothing(spark, monkeypatch):
-    """Many rounds of small pieces give the same groups."""
-    monkeypatch.setattr(bitminhash, "FIRST", 1)
-    monkeypatch.setattr(bitminhash, "GROWTH", 2)
-    monkeypatch.setattr(bitminhash, "PARTNERS", 3)
+    """Many rounds of small blocks give the same groups."""
+    for name, value in (("FIRST", 1), ("LATER", 7), ("BLOCK", 4), ("GROWTH", 2), ("PARTNERS", 3)):
+        monkeypatch.setattr(bitminhash, name, value)
     rows = corpus(5, groups=5, copies=90)
     df = spark.createDataFrame(rows, SCHEMA)
     assert found(bitminhash.groups(df)) == brute(rows)
 
 
-def test_every_pair_of_a_bucket_meets_once(spark, monkeypatch):
-    from pyspark.sql import functions as F
-
-    monkeypatch.setattr(bitminhash, "LEAD", 3)
-    monkeypatch.setattr(bitminhash, "LATER", 5)
-    m = 40
-    h = F.shiftrightunsigned(F.xxhash64("sid"), 11)
-    place = F.floor(h / F.lit(float(1 << 53)) * m)
-    members = spark.range(m).select(F.col("id").alias("sid"), F.col("id").alias("comp"), F.lit(1).alias("key"), F.lit(m).cast("long").alias("m"))
-    members = members.withColumns({"h": h, "place": place, "n": F.lit(9), "bits": F.unhex(F.lit("00" * 68))})
-    pairs = []
-    for lo, hi in ((0, 4), (4, 16), (16, 64)):
-        pairs += [(r["a"], r["b"]) for r in bitminhash._pieces(members, lo, hi).mapInArrow(bitminhash._near(None), "a long, b long, likely float").collect()]
-        best = bitminhash._pieces(members, lo, hi).mapInArrow(bitminhash._near(2), "a long, b long, likely float").groupBy("b", "likely").count()
-        assert {r["likely"] for r in best.collect()} == {1.0}
-    assert sorted(map(sorted, pairs)) == [[a, b] for a in range(m) for b in range(a + 1, m)]
+def test_blocks_alone_find_all_links(spark, monkeypatch):
+    """Also if no set is compared with a leading one first."""
+    monkeypatch.setattr(bitminhash, "nearest_pairs", lambda members: members.select(F.col("sid").alias("a"), F.col("sid").alias("b")).limit(0))
+    rows = corpus(6, groups=6, copies=70)
+    assert found(bitminhash.groups(spark.createDataFrame(rows, SCHEMA).repartition(3))) == brute(rows)
+
+
+def test_every_pair_of_a_bucket_s_blocks_meets_once(spark):
+    df = spark.createDataFrame([(1, [2, 3, 5, 8, 9, 11]), (2, [4])], "key long, blocks array<long>")
+    got = []
+    for lo, hi in ((0, 1), (1, 4), (4, 16)):
+        got += [(r["x"], r["y"]) for r in bitminhash.block_pairs(df.where(F.size("blocks") > lo), lo, hi).collect()]
+    want = [(a, b) for a in (2, 3, 5, 8, 9, 11) for b in (2, 3, 5, 8, 9, 11) if a <= b] + [(4, 4)]
+    assert sorted(got) == sorted(want)
 
 
 def test_hard_rows(spark, hard):
