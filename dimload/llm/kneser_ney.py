@@ -8,8 +8,11 @@ their discounted shares and contexts with their back-off weights, looked up by b
 
 A document takes the language with the lowest cross-entropy per character. ``score`` is the chance
 that the best language beats the second, from the difference of their cross-entropies times the
-text's length; its steepness is calibrated on training documents. ``rejected`` marks documents
-whose cross-entropy lies beyond what ``REJECT`` of the training documents of that language reach.
+text's length; its steepness is calibrated on all training documents. ``rejected`` marks documents
+whose cross-entropy lies beyond what ``REJECT`` of the training documents of that language reach (of
+all languages, for one of which no training document is told right). The models have seen the training
+documents, so these bounds are somewhat tight; fitting models on halves for them would cost as much
+again as all of the rest.
 
 Models hold all n-grams of the training documents. Spark computes them and writes them to the shared
 folder in shards by ranges of hashes, and nothing but two numbers a language comes to the driver.
@@ -17,7 +20,8 @@ Tasks score ``GROUP_BYTES`` of text at a time: they read one shard after the oth
 those texts' n-grams need, so a task holds no more of a model than that and one shard (``CACHE_BYTES``
 of shards stay in memory, which saves reading them again). A text that is null or has no letter is ``und`` with score 0. Without
 training rows all documents are ``und``. Languages tied in cross-entropy are taken in alphabetical
-order; repeated rows count as often as they occur; an empty table gives no rows.
+order; repeated rows count as often as they occur; very long texts are read whole, a slice by itself;
+other columns than doc_id, text and lang are not looked at; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +32,6 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -99,38 +102,6 @@ def gram_counts(training: DataFrame) -> DataFrame:
     return counts.groupBy("lang", "gram").agg(*same, F.sum("n").alias("n"))
 
 
-def fitted(grams: pd.DataFrame) -> dict[str, np.ndarray]:
-    """The sorted hash arrays of one language from its longest n-grams."""
-    shares, weights = [], []
-    full = grams["depth"].to_numpy()
-    levels = []
-    for k in range(ORDER, 0, -1):
-        here = grams[full == k][[f"g{k}", *([f"c{k - 1}"] if k > 1 else [])]].to_numpy(np.int64)
-        n = grams.loc[full == k, "n"].to_numpy(np.float64)
-        if levels:  # shorter n-grams: the number of different characters seen before them
-            longer = grams[full > k].drop_duplicates(f"g{k + 1}")
-            inner = longer[[f"g{k}", *([f"c{k - 1}"] if k > 1 else [])]].to_numpy(np.int64)
-            here = np.concatenate([here, inner])
-            n = np.concatenate([n, np.ones(len(inner))])
-        keys, first, inverse = np.unique(here[:, 0], return_index=True, return_inverse=True)
-        count = np.bincount(inverse, weights=n, minlength=len(keys))
-        context = here[first, 1] if k > 1 else np.zeros(len(keys), np.int64)
-        once, twice = (count == 1).sum(), (count == 2).sum()
-        discount = min(0.95, max(0.1, once / max(once + 2 * twice, 1)))
-        names, which = np.unique(context, return_inverse=True)
-        total = np.bincount(which, weights=count, minlength=len(names))
-        kinds = np.bincount(which, minlength=len(names))
-        shares.append((keys, (count - np.minimum(discount, count)) / total[which]))
-        weights.append((names, np.minimum(1.0, discount * kinds / total)))
-        levels.append(k)
-    out = {"characters": np.array([float(len(shares[-1][0]) + 1)]), "root": weights[-1][1]}
-    for name, parts in (("grams", shares), ("contexts", weights[:-1])):
-        keys = np.concatenate([p[0] for p in parts]).view(np.uint64)
-        order = np.argsort(keys)
-        out[name], out[name[:-1] + "_values"] = keys[order], np.concatenate([p[1] for p in parts])[order].astype(np.float32)
-    return out
-
-
 def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: float) -> np.ndarray:
     if not len(keys):
         return np.full(len(wanted), missing)
@@ -328,7 +299,8 @@ def _scored(files: tuple[str, ...], heads: dict[str, tuple[float, float]]):
             if held >= GROUP_BYTES:
                 yield from group_rows(group)
                 group, held = [], 0
-        yield from group_rows(group)
+        if group:  # an empty partition reads no model
+            yield from group_rows(group)
 
     return run
 
@@ -351,7 +323,8 @@ def predict(docs: DataFrame, models: Models | dict, calibration) -> DataFrame:
     loss = seen.agg(*(F.avg(-F.log(F.when(right, c).otherwise(1 - c))).alias(f"s{k}") for k, c in enumerate(chance))).head()
     steepness = STEEPNESS[min(range(len(STEEPNESS)), key=lambda k: loss[k] if loss[k] is not None else k)]
     bounds = seen.where(right).groupBy("best").agg(F.percentile_approx("entropy", REJECT, 10_000).alias("bound"))  # a row for each language
-    out = scored.join(F.broadcast(bounds), "best", "left")
+    pooled = seen.where(right).agg(F.percentile_approx("entropy", REJECT, 10_000)).head()[0]
+    out = scored.join(F.broadcast(bounds), "best", "left").withColumn("bound", F.coalesce("bound", F.lit(pooled).cast("double")))
     return out.select(
         "doc_id",
         F.coalesce("best", F.lit("und")).alias("lang_pred"),

@@ -44,7 +44,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, by models learned from the documents of the other folds."""
     docs = table(spark, sf_dir, "documents")
     models = kneser_ney.fit(docs.where((remainder(5) != 0) & F.col("lang").isNotNull()))
-    out = kneser_ney.predict(docs, models, (remainder(5) == 1) & F.col("lang").isNotNull())
+    out = kneser_ney.predict(docs, models, (remainder(5) != 0) & F.col("lang").isNotNull())
     return out.select("doc_id", (remainder(5) == 0).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
 
 

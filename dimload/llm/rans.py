@@ -1,9 +1,9 @@
 """Static range asymmetric numeral coding of 16-bit ids with interleaved lanes (numpy).
 
 One frequency table is shared by all blocks. A block's ids are dealt to ``lanes`` coders in turn
-(id ``i`` goes to lane ``i % lanes``), so one numpy step codes ``lanes`` XX Each block is independent;
-its checkpoints hold the states and the place in the words at some steps, so decoding can begin
-there as well.
+(id ``i`` goes to lane ``i % lanes``), so one numpy step codes ``lanes`` ids. Each block is independent;
+its checkpoints hold the states and the place in the words at some steps, so that what lies between two
+checkpoints is decoded by itself, with a checksum of its own.
 """
 
 from __future__ import annotations
@@ -114,20 +114,48 @@ def decode(block: dict, table: Table, checkpoint: int = 0, steps: int | None = N
 
 
 def packed(block: dict) -> dict:
-    """The block's columns as stored; ``crc32`` covers the words and all checkpoints."""
-    words = block["words"].astype("<u4").tobytes()
-    steps = [s for s, _, _ in block["checkpoints"]]
-    places = [p for _, p, _ in block["checkpoints"]]
-    states = b"".join(x.astype("<i8").tobytes() for _, _, x in block["checkpoints"])
-    crc = zlib.crc32(repr((block["n"], block["lanes"], steps, places)).encode(), zlib.crc32(states, zlib.crc32(words)))
-    return {"n": block["n"], "lanes": block["lanes"], "words": words, "steps": steps, "places": places, "states": states, "crc32": crc}
-
-
-def unpacked(row: dict) -> dict:
-    """The block of stored columns; a ValueError if they are damaged."""
-    crc = zlib.crc32(repr((row["n"], row["lanes"], list(row["steps"]), list(row["places"]))).encode(), zlib.crc32(row["states"], zlib.crc32(row["words"])))
-    if crc != row["crc32"]:
+    """The block's columns as stored; ``crc32`` covers each checkpoint and the words up to the next."""
+    marks = block["checkpoints"]
+    ends = [p for _, p, _ in marks[1:]] + [len(block["words"])]
+    states = [x.astype("<i8").tobytes() for _, _, x in marks]
+    words = [block["words"][p:e].astype("<u4").tobytes() for (_, p, _), e in zip(marks, ends, strict=True)]
+    crc = [checksum(block["n"], block["lanes"], m[0], w, x) for m, w, x in zip(marks, words, states, strict=True)]
+    return {"n": block["n"], "lanes": block["lanes"], "steps": [m[0] for m in marks], "words": words, "states": states, "crc32": crc}
+
+
+def checksum(n: int, lanes: int, step: int, words: bytes, states: bytes) -> int:
+    return zlib.crc32(repr((n, lanes, step)).encode(), zlib.crc32(states, zlib.crc32(words)))
+
+
+def decode_stored(n: int, lanes: int, step: int, words: bytes, states: bytes, crc32: int, table: Table) -> np.ndarray:
+    """The ids from a stored checkpoint up to the next one; a ValueError if it is damaged."""
+    if checksum(n, lanes, step, words, states) != crc32:
         raise ValueError("a block's checksum does not match its bytes")
-    states = np.frombuffer(row["states"], dtype="<i8").reshape(len(row["steps"]), row["lanes"]).astype(np.int64)
-    marks = [(s, p, x) for s, p, x in zip(row["steps"], row["places"], states, strict=True)]
-    return {"n": row["n"], "lanes": row["lanes"], "words": np.frombuffer(row["words"], dtype="<u4"), "checkpoints": marks}
+    block = {"n": n, "lanes": lanes, "words": np.frombuffer(words, "<u4"), "checkpoints": [(step, 0, np.frombuffer(states, "<i8").astype(np.int64))]}
+    return decode(block, table, 0, CHECKPOINT_STEPS)
+
+
+def crc32_joined(first: int, second: int, size: int) -> int:
+    """The crc32 of two byte strings strung together, of theirs and the second one's size: appending a zero
+    bit is a linear map, whose powers of two carry ``first`` over ``size`` bytes."""
+    if not size:
+        return first
+    step = [0xEDB88320, *(1 << k for k in range(31))]  # one zero bit
+
+    def times(m: list[int], x: int) -> int:
+        out, k = 0, 0
+        while x:
+            if x & 1:
+                out ^= m[k]
+            x, k = x >> 1, k + 1
+        return out
+
+    for _ in range(3):
+        step = [times(step, c) for c in step]  # eight bits at last
+    while size:
+        if size & 1:
+            first = times(step, first)
+        size >>= 1
+        if size:
+            step = [times(step, c) for c in step]
+    return first ^ second

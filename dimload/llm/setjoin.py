@@ -24,8 +24,10 @@ driver but the bucket counts. Shingles are 64-bit hashes; a false match would ne
 one compared pair to collide.
 
 A null or empty text has an empty set, n_shingles 0, and is linked with nothing. Rows that repeat a
-doc_id are one document, represented in the join by its largest set; each row is returned. Rows
-without a doc_id take part in nothing and have a null component. An empty table gives no rows.
+doc_id with different texts are documents of their own, told apart by a hash of both. Rows without a
+doc_id take part in nothing and have a null component. Very long texts are read whole, in one task each.
+Ties do not arise: links are exact, and a component's smallest doc_id names it. Other columns are not
+looked at, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -379,9 +381,8 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 # --- the join --------------------------------------------------------------------------------------
 
 
-def groups(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of all rows of ``docs`` (doc_id, text)."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def _groups(texts: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id of all rows of ``texts`` (doc_id, text); a doc_id has one text."""
     signed = saved(texts.mapInArrow(_signed, _SIGNED), "signatures")
     counts = total_counts(signed.where("chunk is not null"))
     levels = (np.log2(np.maximum(counts, 1)) * 4).astype(np.uint8)
@@ -422,15 +423,59 @@ def groups(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def with_nodes(docs: DataFrame, name: str) -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` with a column that tells texts apart: the doc_id, or, for a doc_id that has several texts, a
+    hash of both. And the doc_ids of such hashes (node, id), ``None`` where no doc_id has several texts."""
+    doc_id, text = F.col("doc_id").cast("long"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    ids = docs.select(doc_id.alias("id"), text.alias("t")).where("id is not null").groupBy("id").agg(F.min("t").alias("u"), F.max("t").alias("v"))
+    several = saved(ids.where("u <> v").select(F.col("id").alias(name)), "repeated-ids")
+    if several.isEmpty():
+        return docs.withColumn(name, doc_id), None
+    flag = fresh_name([*docs.columns, name], "_several")
+    marked = docs.withColumn(name, doc_id).join(several.withColumn(flag, F.lit(True)), name, "left")
+    hashed = F.when(F.col(flag), F.xxhash64(F.col(name), text)).otherwise(F.col(name))
+    names = marked.where(F.col(flag)).select(hashed.alias("node"), F.col(name).alias("id")).distinct()
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return marked.select(*columns, hashed.alias(name)), saved(names, "node-names")
+
+
+def _members(noded: DataFrame, name: str, names: DataFrame | None) -> DataFrame:
+    """doc_id, n_shingles, component_id, node and first (the node that stands for the component) of all rows."""
+    rows = _groups(noded.select(F.col(name).alias("doc_id"), F.col("text").cast("string").alias("text")))
+    rows = rows.select(F.col("doc_id").alias("node"), "n_shingles", F.col("component_id").alias("comp"))
+    if names is None:
+        return rows.select(F.col("node").alias("doc_id"), "n_shingles", F.col("comp").alias("component_id"), "node", F.col("comp").alias("first"))
+    rows = rows.join(names, "node", "left").withColumn("doc_id", F.coalesce("id", "node")).drop("id")
+    least = rows.where("comp is not null").groupBy("comp").agg(F.min(F.struct("doc_id", "node")).alias("s"))
+    rows = rows.join(least, "comp", "left")
+    return rows.select("doc_id", "n_shingles", F.col("s.doc_id").alias("component_id"), "node", F.col("s.node").alias("first"))
+
+
+def groups(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id of all rows of ``docs`` (doc_id, text)."""
+    return _members(*_noded(docs)).select("doc_id", "n_shingles", "component_id")
+
+
+def _noded(docs: DataFrame) -> tuple[DataFrame, str, DataFrame | None]:
+    name = fresh_name(docs.columns, "_node")
+    noded, names = with_nodes(docs, name)
+    return noded, name, names
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each group the smallest doc_id stays, of
-    rows that repeat a doc_id one, and all rows without a doc_id. All columns are kept."""
-    member = groups(docs)
-    gone, alone = (fresh_name(docs.columns, c) for c in ("_gone", "_alone"))
-    others = saved(member.where("component_id <> doc_id").select(F.col("doc_id").alias(gone)).distinct(), "duplicates")
-    kept = docs.join(others, F.col("doc_id").cast("long") == F.col(gone), "left_anti")
-    repeated = saved(member.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    """The rows of ``docs`` without near duplicates, with all their columns: of each group a row of its
+    smallest doc_id stays, and all rows without a doc_id. Of rows with the same doc_id and text the one
+    stays whose columns, as JSON, come first."""
+    noded, name, names = _noded(docs)
+    member = saved(_members(noded, name, names), "members")
+    gone = fresh_name(noded.columns, "_gone")
+    others = saved(member.where("node <> first").select(F.col("node").alias(gone)).distinct(), "duplicates")
+    kept = noded.join(others, F.col(name) == F.col(gone), "left_anti")
+    repeated = saved(member.where("node is not null").groupBy("node").count().where("count > 1").select(F.col("node").alias(gone)), "repeated")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     if repeated.isEmpty():
-        return kept
-    kept = kept.withColumn(alone, F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
-    return kept.dropDuplicates(["doc_id", alone]).drop(alone)
+        return kept.select(*columns)
+    whole = F.struct(*columns)
+    some = kept.join(repeated, F.col(name) == F.col(gone), "left_semi").groupBy(name).agg(F.min_by(whole, F.to_json(whole)).alias(gone))
+    rest = kept.join(repeated, F.col(name) == F.col(gone), "left_anti").select(*columns)
+    return rest.unionByName(some.select(*[F.col(f"{gone}.`{c}`").alias(c) for c in docs.columns]))

@@ -6,9 +6,13 @@ again and half-written files are never seen:
 
 * ``table``: the shared frequency table, one row (``freq``, int32 little-endian, summing to 2**20),
   from the counts of all ids of all documents.
-* ``blocks``: one row for each block of whole documents. ``part`` and ``block`` order the blocks;
-  ``doc_ids`` and ``doc_tokens`` list the documents; ``words``, ``steps``, ``places`` and
-  ``states`` are the coded ids with their checkpoints, ``crc32`` their checksum.
+* ``blocks``: one row for each block of ``BLOCK_TOKENS`` ids or fewer. ``part``, ``block`` and ``skip``
+  order the blocks; ``doc_ids`` and ``doc_tokens`` list the documents, of which the first may have begun
+  ``skip`` ids before and the last may go on in the next block. ``steps``, ``words``, ``states`` and
+  ``crc32`` are its checkpoints: the coded ids from each to the next, the states there, a checksum.
+
+A document may lie in many blocks, however long it is. Reading decodes from checkpoint to checkpoint, each
+a row that Spark deals to a task.
 
 Documents are range-sorted by doc_id once; ids are made once and kept, in order, until the table of
 counts is known. A null text counts as empty and gets the end id alone. Rows that repeat a doc_id
@@ -21,9 +25,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dimload.llm import rans
@@ -32,8 +37,8 @@ from dimload.llm.tokens import TOKEN_SLICE, ids_crc32, tokenizer_at, with_end
 from dimload.session import scratch_path
 
 BLOCK_TOKENS = 1 << 19
-_BLOCK = "part int, block long, n long, lanes int, doc_ids array<long>, doc_tokens array<long>, words binary, steps array<long>, places array<long>, states binary, crc32 long"
-_DOC = "part int, block long, doc_id long, local_start long, n_tokens long, ids binary"
+_BLOCK = "part int, block long, skip long, n long, lanes int, doc_ids array<long>, doc_tokens array<long>, steps array<long>, words array<binary>, states array<binary>, crc32 array<long>"
+_PIECE = "part int, seq long, doc_id long, first long, place long, n_tokens long, ids binary"
 
 
 def binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
@@ -68,26 +73,33 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(counts[seen])], names=["id", "n"])
 
 
-def _blocked(freq: bytes):
+def _blocked(freq: bytes, block_tokens: int):
+    """Runs of ids cut into blocks of ``block_tokens``, also inside documents."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = rans.Table(np.frombuffer(freq, "<i4"))
-        held: list[tuple] = []
+        held: list[tuple] = []  # (place in the part, doc_id, ids, the document's ids before them)
         size, part = 0, None
 
         def flush() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(x[2] for x in held), "<u2")
-            row = rans.packed(rans.encode(ids, table))
-            row |= {"part": part, "block": held[0][0], "doc_ids": [x[1] for x in held], "doc_tokens": [len(x[2]) // 2 for x in held]}
+            row = rans.packed(rans.encode(np.concatenate([x[2] for x in held]), table))
+            row |= {"part": part, "block": held[0][0], "skip": held[0][3], "doc_ids": [x[1] for x in held], "doc_tokens": [len(x[2]) for x in held]}
             return pa.RecordBatch.from_pylist([row], schema=_BLOCK_ARROW)
 
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("part", "seq", "doc_id", "ids")]
-            for p, seq, doc, ids in zip(*columns, strict=True):
-                if held and (p != part or seq != held[-1][0] + 1 or size + len(ids) // 2 > BLOCK_TOKENS):
+            for p, seq, doc, raw in zip(*columns, strict=True):
+                if held and (p != part or seq != held[-1][0] + 1):
                     yield flush()
                     held, size = [], 0
-                held.append((seq, doc, ids))
-                size, part = size + len(ids) // 2, p
+                ids, start, part = np.frombuffer(raw, "<u2"), 0, p
+                while start < len(ids):
+                    if size == block_tokens:
+                        yield flush()
+                        held, size = [], 0
+                    some = ids[start : start + block_tokens - size]
+                    held.append((seq, doc, some, start))
+                    start, size = start + len(some), size + len(some)
         if held:
             yield flush()
 
@@ -95,12 +107,13 @@ def _blocked(freq: bytes):
 
 
 _BLOCK_ARROW = pa.schema(
-    [("part", pa.int32()), ("block", pa.int64()), ("n", pa.int64()), ("lanes", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("doc_tokens", pa.list_(pa.int64()))]
-    + [("words", pa.binary()), ("steps", pa.list_(pa.int64())), ("places", pa.list_(pa.int64())), ("states", pa.binary()), ("crc32", pa.int64())]
+    [("part", pa.int32()), ("block", pa.int64()), ("skip", pa.int64()), ("n", pa.int64()), ("lanes", pa.int32())]
+    + [("doc_ids", pa.list_(pa.int64())), ("doc_tokens", pa.list_(pa.int64())), ("steps", pa.list_(pa.int64()))]
+    + [("words", pa.list_(pa.binary())), ("states", pa.list_(pa.binary())), ("crc32", pa.list_(pa.int64()))]
 )
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1) -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, block_tokens: int = BLOCK_TOKENS) -> None:
     """Write the ids of all ``docs`` (doc_id, text) to the store ``path``."""
     spark = docs.sparkSession
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -114,22 +127,26 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1) ->
         counts[row["id"]] = row["n"]
     freq = rans.frequencies(counts).astype("<i4").tobytes()
     spark.createDataFrame([(bytearray(freq),)], "freq binary").coalesce(1).write.parquet(f"{path}/table")
-    ids.mapInArrow(_blocked(freq), _BLOCK).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    ids.mapInArrow(_blocked(freq, block_tokens), _BLOCK).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
 
 
 def _decoded(freq: bytes):
+    """The documents' pieces between two checkpoints: ``seq`` is a document's place in its part, ``first`` the
+    ids of the store before the piece, ``place`` those of its document."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = rans.Table(np.frombuffer(freq, "<i4"))
         for batch in batches:
             for row in batch.to_pylist():
-                ids = rans.decode(rans.unpacked(row), table)
-                n = len(row["doc_ids"])
+                ids = rans.decode_stored(row["n"], row["lanes"], row["step"], row["words"], row["states"], row["crc32"], table)
+                lo = row["step"] * row["lanes"]
                 bounds = np.concatenate([[0], np.cumsum(np.asarray(row["doc_tokens"], np.int64))])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["part"]] * n, pa.int32()), pa.array([row["block"]] * n, pa.int64()), pa.array(row["doc_ids"], pa.int64())]
-                    + [pa.array(bounds[:-1]), pa.array(np.diff(bounds)), binaries(ids, bounds)],
-                    names=["part", "block", "doc_id", "local_start", "n_tokens", "ids"],
-                )
+                docs = np.arange(np.searchsorted(bounds, lo, "right") - 1, np.searchsorted(bounds, lo + len(ids)))
+                cuts = np.concatenate([[lo], bounds[docs[1:]], [lo + len(ids)]])
+                place = cuts[:-1] - bounds[docs] + np.where(docs == 0, row["skip"], 0)
+                columns = [np.full(len(docs), row["part"], np.int32), row["block"] + docs, None, row["base"] + cuts[:-1], place, np.diff(cuts)]
+                arrays = [pa.array([row["doc_ids"][d] for d in docs], pa.int64()) if c is None else pa.array(c) for c in columns]
+                yield pa.RecordBatch.from_arrays([*arrays, binaries(ids, cuts - lo)], names=["part", "seq", "doc_id", "first", "place", "n_tokens", "ids"])
 
     return run
 
@@ -138,27 +155,56 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         crc = [ids_crc32(np.frombuffer(x, "<u2")) for x in batch.column("ids").to_pylist()]
         at = batch.schema.get_field_index("ids")
-        yield batch.set_column(at, "ids_crc32", pa.array(crc, pa.int64()))
+        yield batch.set_column(at, "ids", pa.array(crc, pa.int64()))
+
+
+def _joined(crcs, sizes) -> int:
+    """The crc32 of pieces strung together, of theirs and their numbers of ids."""
+    out = int(crcs[0])
+    for crc, n in zip(crcs[1:], sizes[1:], strict=True):
+        out = rans.crc32_joined(out, int(crc), 4 * int(n))
+    return out
+
+
+def _joined_crc(crcs: str, sizes: str) -> Column:
+    @F.pandas_udf("long")
+    def joined(c: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series([_joined(x, y) for x, y in zip(c, n, strict=True)], dtype="int64")
+
+    return joined(crcs, sizes)
 
 
 def block_starts(blocks: DataFrame) -> DataFrame:
-    """``first``: the ids of all blocks before each block, from sums by part and then within parts."""
-    narrow = blocks.select("part", "block", "n")
+    """``base``: the ids of all blocks before each block, from sums by part and then within parts."""
+    narrow = blocks.select("part", "block", "skip", "n")
     parts = narrow.groupBy("part").agg(F.sum("n").alias("total"))  # a row for each written file
-    parts = parts.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("base"))
-    inside = F.sum("n").over(Window.partitionBy("part").orderBy("block")) - F.col("n")
-    return narrow.withColumn("inside", inside).join(parts, "part").select("part", "block", (F.col("base") + F.col("inside")).alias("first"))
+    parts = parts.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("before"))
+    inside = F.sum("n").over(Window.partitionBy("part").orderBy("block", "skip")) - F.col("n")
+    return narrow.withColumn("inside", inside).join(parts, "part").select("part", "block", "skip", (F.col("before") + F.col("inside")).alias("base"))
 
 
-def read_tokens(spark: SparkSession, path: str, digests: bool = False) -> DataFrame:
-    """The documents of a store: doc_id, start (ids of all documents before), n_tokens and ids
-    (16-bit little-endian), or ids_crc32 in place of ids with ``digests``."""
+def read_pieces(spark: SparkSession, path: str) -> DataFrame:
+    """What lies between two checkpoints of a store, decoded piece by piece: part, seq, doc_id, first, place,
+    n_tokens and ids of each document's share."""
     blocks = spark.read.schema(_BLOCK).parquet(f"{path}/blocks")
     freq = bytes(spark.read.parquet(f"{path}/table").head()["freq"])  # 65,536 numbers
-    docs = blocks.mapInArrow(_decoded(freq), _DOC)
-    last = "ids"
+    marks = F.arrays_zip(F.col("steps").alias("step"), "words", "states", "crc32")
+    whole = blocks.join(block_starts(blocks), ["part", "block", "skip"])
+    return whole.select("part", "block", "skip", "base", "n", "lanes", "doc_ids", "doc_tokens", F.inline(marks)).mapInArrow(_decoded(freq), _PIECE)
+
+
+def read_tokens(spark: SparkSession, path: str, digests: bool = False) -> DataFrame:
+    """The documents of a store: doc_id, start (ids of all documents before), n_tokens and ids
+    (16-bit little-endian), or ids_crc32 in place of ids with ``digests``.
+
+    Only documents that lie in several pieces are put together again; their digests are joined from those
+    of their pieces, so that no task holds more than a piece."""
+    pieces = read_pieces(spark, path)
     if digests:
-        docs = docs.mapInArrow(_digested, _DOC.replace("ids binary", "ids_crc32 long"))
-        last = "ids_crc32"
-    docs = docs.join(block_starts(blocks), ["part", "block"])
-    return docs.select("doc_id", (F.col("first") + F.col("local_start")).alias("start"), "n_tokens", last)
+        pieces = pieces.mapInArrow(_digested, _PIECE.replace("ids binary", "ids long"))
+    piece = F.struct("place", "first", "n_tokens", "ids")
+    whole = pieces.groupBy("part", "seq", "doc_id").agg(F.sort_array(F.collect_list(piece)).alias("p"))
+    last = _joined_crc("p.ids", "p.n_tokens").alias("ids_crc32") if digests else F.array_join(F.transform("p.ids", F.hex), "")
+    last = last if digests else F.unhex(last).alias("ids")
+    size = F.aggregate("p", F.lit(0).cast("long"), lambda n, x: n + x["n_tokens"])
+    return whole.select("doc_id", F.col("p")[0]["first"].alias("start"), size.alias("n_tokens"), last)

@@ -1,7 +1,9 @@
 """Language models (op3) and pairwise ranking (op9): probabilities, accuracy, hard rows."""
 
+import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -26,13 +28,101 @@ def corpus(n=300, seed=3):
     return [(i, sentence(rng, lang), lang) for i, lang in enumerate(langs)]
 
 
+def fitted(grams):
+    """The sorted hash arrays of one language from its longest n-grams, in memory."""
+    ORDER = kneser_ney.ORDER
+    shares, weights = [], []
+    full = grams["depth"].to_numpy()
+    levels = []
+    for k in range(ORDER, 0, -1):
+        here = grams[full == k][[f"g{k}", *([f"c{k - 1}"] if k > 1 else [])]].to_numpy(np.int64)
+        n = grams.loc[full == k, "n"].to_numpy(np.float64)
+        if levels:  # shorter n-grams: the number of different characters seen before them
+            longer = grams[full > k].drop_duplicates(f"g{k + 1}")
+            inner = longer[[f"g{k}", *([f"c{k - 1}"] if k > 1 else [])]].to_numpy(np.int64)
+            here = np.concatenate([here, inner])
+            n = np.concatenate([n, np.ones(len(inner))])
+        keys, first, inverse = np.unique(here[:, 0], return_index=True, return_inverse=True)
+        count = np.bincount(inverse, weights=n, minlength=len(keys))
+        context = here[first, 1] if k > 1 else np.zeros(len(keys), np.int64)
+        once, twice = (count == 1).sum(), (count == 2).sum()
+        discount = min(0.95, max(0.1, once / max(once + 2 * twice, 1)))
+        names, which = np.unique(context, return_inverse=True)
+        total = np.bincount(which, weights=count, minlength=len(names))
+        kinds = np.bincount(which, minlength=len(names))
+        shares.append((keys, (count - np.minimum(discount, count)) / total[which]))
+        weights.append((names, np.minimum(1.0, discount * kinds / total)))
+        levels.append(k)
+    out = {"characters": np.array([float(len(shares[-1][0]) + 1)]), "root": weights[-1][1]}
+    for name, parts in (("grams", shares), ("contexts", weights[:-1])):
+        keys = np.concatenate([p[0] for p in parts]).view(np.uint64)
+        order = np.argsort(keys)
+        out[name], out[name[:-1] + "_values"] = keys[order], np.concatenate([p[1] for p in parts])[order].astype(np.float32)
+    return out
+
+
+def plain_entropies(training, texts):
+    """Interpolated Kneser-Ney by dictionaries of strings: the cross-entropy of each text."""
+
+    def places(text):
+        for word in re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower()):
+            marked = "\0" + word + "\0"
+            for i in range(1, len(marked)):
+                yield marked[max(0, i + 1 - kneser_ney.ORDER) : i + 1]
+
+    longest = Counter(g for t in training for g in places(t))
+    level = {}
+    for k in range(kneser_ney.ORDER, 0, -1):
+        count = Counter({g: n for g, n in longest.items() if len(g) == k})
+        for longer in {g[-k - 1 :] for g in longest if len(g) > k}:
+            count[longer[1:]] += 1
+        once, twice = (sum(n == x for n in count.values()) for x in (1, 2))
+        discount = min(0.95, max(0.1, once / max(once + 2 * twice, 1)))
+        total, kinds = Counter(), Counter()
+        for g, n in count.items():
+            total[g[:-1]] += n
+            kinds[g[:-1]] += 1
+        level[k] = count, discount, total, kinds
+    characters = len(level[1][0]) + 1
+
+    def chance(g):
+        count, discount, total, kinds = level[len(g)]
+        c = g[:-1]
+        share = max(count[g] - discount, 0) / total[c] if g in count else 0.0
+        back = min(1.0, discount * kinds[c] / total[c]) if c in total else 1.0
+        return share + back * (chance(g[1:]) if len(g) > 1 else 1 / characters)
+
+    return [-sum(math.log(chance(g)) for g in places(t)) / max(sum(1 for _ in places(t)), 1) for t in texts]
+
+
+def test_scores_equal_plain_kneser_ney(spark):
+    """Languages and cross-entropies of all documents, against models of strings and dictionaries."""
+    rows = [(i, t if i % 9 else t.upper() + " Zür 12", lang) for i, t, lang in corpus(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = {r["doc_id"]: r for r in kneser_ney.predict(df, kneser_ney.fit(df.where("doc_id % 3 <> 0")), F.col("doc_id") % 3 != 0).collect()}
+    langs = sorted({r[2] for r in rows})
+    by_lang = [plain_entropies([t for i, t, x in rows if x == lang and i % 3], [t for _, t, _ in rows]) for lang in langs]
+    for k, (i, _, _) in enumerate(rows):
+        mine = [e[k] for e in by_lang]
+        assert got[i]["cross_entropy"] == pytest.approx(min(mine), rel=1e-5)
+        assert got[i]["lang_pred"] == langs[mine.index(min(mine))]
+
+
+def test_a_language_without_a_right_document_has_the_pooled_bound(spark):
+    df = spark.createDataFrame([*corpus(120), (900, "ka", "zz")], "doc_id long, text string, lang string")
+    models = kneser_ney.fit(df)
+    odd = spark.createDataFrame([(901, "ka qqqqq wwww xxxx vvvv qqqq", None)], df.schema)
+    out = kneser_ney.predict(df.unionByName(odd), models, F.col("doc_id") < 900).where("doc_id = 901").first()
+    assert out["rejected"]
+
+
 def model_of(texts):
     words = kneser_ney._lowered(pa.array(texts))
     p = kneser_ney.positions(words.vocabulary)
     weight = np.bincount(words.codes, minlength=len(words.vocabulary))[p["word"]]
     rows = pd.DataFrame({c: v.view(np.int64) if v.dtype == np.uint64 else v for c, v in p.items()}).assign(n=weight)
     same = {c: "first" for c in rows.columns if c not in ("gram", "n")}
-    return kneser_ney.fitted(rows.groupby("gram", as_index=False).agg(same | {"n": "sum"}))
+    return fitted(rows.groupby("gram", as_index=False).agg(same | {"n": "sum"}))
 
 
 def test_chances_sum_to_one():

@@ -45,7 +45,7 @@ def test_rans_round_trip_from_every_checkpoint(n):
     ids = np.minimum(rng.zipf(1.3, n) - 1, 49_000).astype(np.uint16)
     table = rans.Table(rans.frequencies(np.bincount(ids, minlength=1 << 16)))
     assert table.freq.sum() == 1 << rans.BITS
-    block = rans.unpacked(rans.packed(rans.encode(ids, table)))
+    block = rans.encode(ids, table)
     assert rans.decode(block, table).tolist() == ids.tolist()
     for k, (step, _, _) in enumerate(block["checkpoints"]):
         assert rans.decode(block, table, k).tolist() == ids[step * block["lanes"] :].tolist()
@@ -58,9 +58,18 @@ def test_rans_keeps_rare_ids_and_finds_damage():
     freq = rans.frequencies(counts)
     assert freq.sum() == 1 << rans.BITS and (freq[:50_000] > 0).all()
     row = rans.packed(rans.encode(np.arange(2000, dtype=np.uint16), rans.Table(freq)))
-    row["words"] = bytes([row["words"][0] ^ 1]) + row["words"][1:]
+    fields = [row[c][0] for c in ("steps", "words", "states", "crc32")]
+    table = rans.Table(freq)
+    assert rans.decode_stored(row["n"], row["lanes"], *fields, table).tolist() == list(range(2000))[: row["lanes"] * rans.CHECKPOINT_STEPS]
+    fields[1] = bytes([fields[1][0] ^ 1]) + fields[1][1:]
     with pytest.raises(ValueError):
-        rans.unpacked(row)
+        rans.decode_stored(row["n"], row["lanes"], *fields, table)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.binary(max_size=300), st.binary(max_size=5000))
+def test_checksums_of_pieces_join(a, b):
+    assert rans.crc32_joined(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
 
 
 def stored(spark, docs, tmp_out, **kw):
@@ -81,10 +90,30 @@ def test_store_returns_all_ids_in_doc_order(spark, hard, tmp_out, monkeypatch):
     assert [r["ids_crc32"] for r in digests] == [crc(whole_ids(t) + [1]) for _, t, *_ in order]
 
 
-def test_store_cuts_blocks_between_documents(spark, tmp_out, monkeypatch):
-    monkeypatch.setattr(token_store, "BLOCK_TOKENS", 50)
+@pytest.mark.parametrize("block_tokens", [1, 50, 7000])
+def test_store_cuts_blocks_inside_documents(spark, hard, tmp_out, block_tokens):
+    """A document of several blocks and checkpoints comes back whole, digests and all."""
+    long = " ".join(f"word{i % 997}" for i in range(9000 if block_tokens > 1 else 30))
+    rows = [(7, "short one"), (8, long), (8, "again"), (9, None), (10, long[::-1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    out = stored(spark, docs, tmp_out, block_tokens=block_tokens).orderBy("start").collect()
+    at = 0
+    order = sorted(rows, key=lambda r: (r[0], r[1] or ""))
+    for row, (doc_id, text) in zip(out, order, strict=True):
+        ids = whole_ids(text) + [1]
+        assert (row["doc_id"], row["start"], np.frombuffer(row["ids"], "<u2").tolist()) == (doc_id, at, ids)
+        at += len(ids)
+    digests = token_store.read_tokens(spark, f"{tmp_out}/store", digests=True).orderBy("start").collect()
+    assert [r["ids_crc32"] for r in digests] == [crc(whole_ids(t) + [1]) for _, t in order]
+    blocks = spark.read.parquet(f"{tmp_out}/store/blocks")
+    assert blocks.where(f"n > {block_tokens}").isEmpty() and blocks.where("skip > 0").count() >= 3
+    pieces = token_store.read_pieces(spark, f"{tmp_out}/store")
+    assert pieces.where("doc_id = 10").count() >= 2
+
+
+def test_store_cuts_blocks_between_documents(spark, tmp_out):
     docs = spark.createDataFrame([(i, f"word number {i} " * (i % 7)) for i in range(200)], "doc_id long, text string").repartition(5)
-    rows = stored(spark, docs, tmp_out).orderBy("start").collect()
+    rows = stored(spark, docs, tmp_out, block_tokens=50).orderBy("start").collect()
     assert [r["doc_id"] for r in rows] == list(range(200))
     assert [r["start"] for r in rows] == list(np.cumsum([0] + [r["n_tokens"] for r in rows[:-1]]))
 
