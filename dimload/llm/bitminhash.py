@@ -10,16 +10,17 @@ set size, its component (the smallest doc_id reachable by links) and whether it
   band with a chance of (1 - 0.8 ** ROWS) ** BANDS, 1.1e-6; that is all the method can miss.
 * Sets with a band in common are candidates. Their similarity is estimated from the packed planes by
   bit counts: of minima that differ, 2 ** -BITS agree by chance, and the estimate is corrected for
-  that. Pairs estimated below ``SURE`` are dropped; 0.8 lies over six standard deviations above it.
+  that. Pairs estimated below ``SURE`` are dropped; 0.8 lies over five standard deviations above it.
 * The others are compared on their whole sets, as 64-bit hashes. Only those are links.
 
 A bucket (the sets of a band's key) may hold a large group of near copies, so it isn't opened into all
 pairs. First, each set is compared with one other: of the few leading sets of its buckets (the order is
 by a hash that is alike in all buckets; places follow from hash and bucket size, no bucket is sorted) the
-most similar one. That joins most of what belongs together, and a bucket of one component is done. The
-sets of the others are put into blocks of ``BLOCK``, sets of the same leader together. Round by round,
-the next leading blocks of each open bucket (1, then up to 16, 256, ...) meet its later ones; Spark deals
-pairs of blocks to tasks one by one. A task compares the pairs of sets of different components that look
+most similar one. That joins most of what belongs together, and a bucket of one component is done. In
+the others that hold ``SMALL`` sets at most, all pairs that look similar are compared. The sets of larger
+ones are put into blocks of ``BLOCK``, sets of the same leader together. Round by round, the next
+leading blocks of each open bucket (1, then up to 16, 256, ...) meet its later ones; Spark deals pairs
+of blocks to tasks one by one. A task compares the pairs of sets of different components that look
 similar on their whole sets, the most similar ones first, and returns only links that join components.
 The rounds end when no bucket is open: every pair with a common bucket has then been estimated and, if it
 looks similar, compared, or lies in one component.
@@ -47,9 +48,10 @@ from dimload.llm.textbatch import BLANKS, Words, byte_table, mix, slices, window
 
 WIDTH, PERCENT = 2, 80
 BANDS, ROWS, BITS = 45, 6, 2
-SURE = 0.6
+SURE = 0.65
 FIRST = 4  # leading sets of a bucket that others are compared with first
 LATER = 2048  # sets of a bucket that meet them at once
+SMALL = 32  # sets of a bucket whose pairs are compared one by one
 BLOCK, GROWTH = 64, 16
 PARTNERS = 512  # of one set in one verification group
 _TABLE = byte_table(BLANKS, lower=True)
@@ -158,7 +160,7 @@ def sets_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     marks = total_counts(wanted.select("sig1").mapInArrow(_id_buckets, _CHUNK)) > 0
     keys = ["n", "sig1", "sig2"]
     found = texts.mapInArrow(_sets_of(zlib.compress(marks.tobytes(), 1)), f"{_KEY}, shingles binary")  # a million marks
-    return wanted.join(found, keys).groupBy("sid").agg(F.any_value("shingles").alias("shingles"))
+    return found.groupBy(*keys).agg(F.any_value("shingles").alias("shingles")).join(wanted, keys).select("sid", "shingles")
 
 
 # --- candidates ------------------------------------------------------------------------------------
@@ -215,6 +217,21 @@ def nearest_pairs(members: DataFrame) -> DataFrame:
     return best.select(F.least("best.a", "b").alias("a"), F.greatest("best.a", "b").alias("b")).distinct()
 
 
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All pairs of sets of a bucket that look similar."""
+    for rows in _pieces(batches, ["key"], ["sid", "n", "comp", "bits"]):
+        i, j = np.nonzero(np.triu(_similar(rows, rows), 1) >= SURE)
+        if len(i):
+            sid = np.array([x[0] for x in rows], np.int64)
+            pairs = np.sort(np.stack([sid[i], sid[j]]), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+
+def alike_pairs(members: DataFrame) -> DataFrame:
+    """(a, b): all pairs of other components that look similar, of buckets that hold a few sets each."""
+    return members.repartition("key").sortWithinPartitions("key").mapInArrow(_alike, "a long, b long").distinct()
+
+
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links that join components, of the sets of two blocks (or of one with itself)."""
     for rows in _pieces(batches, ["x", "y"], ["sid", "n", "comp", "bits", "shingles", "block", "x", "y"]):
@@ -313,18 +330,22 @@ def groups(docs: DataFrame) -> DataFrame:
     wanted = saved(whole.join(placed.select("sid").distinct(), "sid", "left_semi").select("sid", *keys, "bits"), "bucketed")
     contents = saved(sets_of(texts, wanted.drop("bits")), "shingles")
     labels = wanted.select(F.col("sid").alias("node"), F.col("sid").alias("comp"))
-    members = placed.join(wanted.select("sid", "n", "bits"), "sid").withColumn("comp", F.col("sid"))
-    links = saved(verify(saved(nearest_pairs(members), "pairs"), contents), "links")
-    if not links.isEmpty():
-        labels = merged(labels, links)
-
     def still_open() -> DataFrame:
         """Members of buckets with sets of different components."""
         labelled = placed.join(labels.withColumnRenamed("node", "sid"), "sid")
         mixed = labelled.groupBy("key").agg(F.min("comp").alias("u"), F.max("comp").alias("v")).where("u <> v").select("key")
-        return placed.join(mixed, "key")
-
-    members = saved(still_open(), "open-buckets")
+        return labelled.join(mixed, "key")
+
+    compared = None
+    for step in (nearest_pairs, alike_pairs):
+        members = placed.withColumn("comp", F.col("sid")) if compared is None else still_open().where(F.col("m") <= SMALL)
+        pairs = step(members.join(wanted.select("sid", "n", "bits"), "sid"))
+        pairs = saved(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
+        compared = pairs
+        links = saved(verify(pairs, contents), "links")
+        if not links.isEmpty():
+            labels = merged(labels, links)
+    members = saved(still_open().where(F.col("m") > SMALL).drop("comp"), "open-buckets")
     if not members.isEmpty():
         block = saved(in_blocks(members), "block-numbers")
         blocked = saved(block.join(wanted, "sid").join(contents, "sid").select("block", "sid", "n", "bits", "shingles"), "blocks")
@@ -340,7 +361,7 @@ def groups(docs: DataFrame) -> DataFrame:
             if not links.isEmpty():
                 labels = merged(labels, links)
             lo, hi = hi, hi * GROWTH
-            members = saved(still_open().join(blocks.where(F.size("blocks") > lo).select("key"), "key"), "open-buckets")
+            members = saved(still_open().drop("comp").join(blocks.where(F.size("blocks") > lo).select("key"), "key"), "open-buckets")
             if members.isEmpty():
                 break
     of_set = sets.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))

@@ -78,7 +78,7 @@ def test_groups_against_all_pairs(spark, seed):
 
 def test_rounds_and_pieces_lose_nothing(spark, monkeypatch):
     """Many rounds of small blocks give the same groups."""
-    for name, value in (("FIRST", 1), ("LATER", 7), ("BLOCK", 4), ("GROWTH", 2), ("PARTNERS", 3)):
+    for name, value in (("FIRST", 1), ("LATER", 7), ("BLOCK", 4), ("GROWTH", 2), ("PARTNERS", 3), ("SMALL", 5)):
         monkeypatch.setattr(bitminhash, name, value)
     rows = corpus(5, groups=5, copies=90)
     df = spark.createDataFrame(rows, SCHEMA)
@@ -88,6 +88,7 @@ def test_rounds_and_pieces_lose_nothing(spark, monkeypatch):
 def test_blocks_alone_find_all_links(spark, monkeypatch):
     """Also if no set is compared with a leading one first."""
     monkeypatch.setattr(bitminhash, "nearest_pairs", lambda members: members.select(F.col("sid").alias("a"), F.col("sid").alias("b")).limit(0))
+    monkeypatch.setattr(bitminhash, "SMALL", 2)
     rows = corpus(6, groups=6, copies=70)
     assert found(bitminhash.groups(spark.createDataFrame(rows, SCHEMA).repartition(3))) == brute(rows)
 
