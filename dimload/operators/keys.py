@@ -150,9 +150,9 @@ def generate_keys(
         existing = existing.filter(F.col(C.KEYS_KEY_NAME) == F.lit(key_name))
     if isinstance(source_system, str):
         existing = existing.filter(F.col(C.KEYS_SYSTEM) == F.lit(source_system))
-    distinct_cand = cand.dropDuplicates(ident)
     constant = {C.KEYS_KEY_NAME: isinstance(key_name, str), C.KEYS_SYSTEM: isinstance(source_system, str)}
-    new_ids = distinct_cand.join(existing, [c for c in ident if not constant.get(c)], "left_anti")
+    varying = [c for c in ident if not constant.get(c)]
+    new_ids = cand.dropDuplicates(varying).join(existing, varying, "left_anti").select(*ident)
     if materialize:
         from dimload.session import materialize as _mat
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dimload.operators.snapshots import backfill, backfill_window, daily_snapshot, pending_days, write_daily_snapshot
-from dimload.sources.io import file_manifest, load_delimited, unload
+from dimload.sources.io import file_manifest, load_delimited, read_delimited, unload
 from dimload.sources.ledger import empty_ledger, ledger_rows, mark_done, pending_only, value_exists
 from dimload.sources.scripts import render_script, run_script, statements, view_from_script
 from dimload.sources.versions import read_table
@@ -97,6 +97,43 @@ def test_delimited_text_comes_back_as_it_was(spark, tmp_out):
         assert {r.id: r.name for r in back.collect()} == dict(enumerate(hard))
 
 
+def parts(path):
+    import os
+
+    return sorted(os.path.getsize(f"{path}/{n}") for n in os.listdir(path) if n.startswith("part-"))
+
+
+def test_a_single_file_is_cut_at_its_cap(spark, tmp_out):
+    rows = [(i, ("x" * (i % 90)) + '"/,\n' if i % 3 else None, i / 7) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, name string, v double").repartition(7)
+    for k, kw in enumerate(({}, {"header": True}, {"encode_line_ends": True})):
+        unload(df, f"{tmp_out}/whole{k}", single=True, **kw)
+        unload(df, f"{tmp_out}/cut{k}", single=True, max_bytes=10_000, **kw)
+        whole, cut = parts(f"{tmp_out}/whole{k}"), parts(f"{tmp_out}/cut{k}")
+        assert len(whole) == 1 and max(cut) <= 10_000 and len(cut) <= 1.3 * whole[0] / 10_000 + 1
+        assert "header" in kw or sum(cut) == whole[0]
+        back = read_delimited(spark, f"{tmp_out}/cut{k}", "id int, name string, v double", **kw)
+        assert sorted((tuple(r) for r in back.collect()), key=repr) == sorted(rows, key=repr)
+    with pytest.raises(ValueError):
+        unload(df, f"{tmp_out}/none", single=True, max_bytes=50)
+    unload(df.limit(0), f"{tmp_out}/empty", single=True)
+    assert read_delimited(spark, f"{tmp_out}/empty", "id int, name string, v double").count() == 0
+
+
+def test_encoded_line_ends_let_files_be_split(spark, tmp_out):
+    hard = ["a\nb", "%0A", "%", "%25", "\r\n%", None, "", '"\n"', "/\n", "%0\nA"] * 3000
+    df = spark.createDataFrame(list(enumerate(hard)), "id int, name string")
+    unload(df, f"{tmp_out}/u", single=True, encode_line_ends=True)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        back = read_delimited(spark, f"{tmp_out}/u", "id int, name string", encode_line_ends=True)
+        assert back.rdd.getNumPartitions() > 4
+        assert [r.name for r in back.orderBy("id").collect()] == hard
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_file_manifest_filters(spark, tmp_out):
     import os
 
