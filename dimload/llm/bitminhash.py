@@ -42,8 +42,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimload.llm.merkle import numbered
-from dimload.llm.setjoin import _CHUNK, _id_buckets, id_bucket, merged, saved, signature, total_counts
+from dimload.llm.setjoin import _CHUNK, _id_buckets, id_bucket, merged, signature, total_counts
+from dimload.llm.tables import numbered, saved
 from dimload.llm.textbatch import BLANKS, Words, byte_table, mix, slices, window_hashes, word_hashes
 
 WIDTH, PERCENT = 2, 80

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimload.llm.rule_ledger import _class_counts, measured
-from dimload.llm.setjoin import saved
+from dimload.llm.tables import saved
 from dimload.llm.textbatch import Words, as_string, buffers, slices, word_hashes
 
 MAX_ROWS, PAIRS, SHAPES = 4_000, 60_000, 32

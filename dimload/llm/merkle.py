@@ -24,10 +24,10 @@ from __future__ import annotations
 from hashlib import sha256
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimload.llm.setjoin import saved
+from dimload.llm.tables import numbered, saved
 
 ARITY, HEIGHT = 2, 12
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -136,20 +136,6 @@ def _folded(height: int, rows: pd.DataFrame, above: pd.DataFrame) -> pd.DataFram
     )
 
 
-def numbered(rows: DataFrame, tree: str, *order: Column) -> DataFrame:
-    """``rows`` with idx, the place in its tree's order, and n, the tree's size.
-
-    Rows are range-partitioned and sorted; the sizes of a tree's pieces give each piece its base, so
-    no tree is sorted by one task."""
-    ordered = rows.repartitionByRange(F.col(tree), *order).sortWithinPartitions(F.col(tree), *order)
-    placed = saved(ordered.withColumn("at", F.monotonically_increasing_id()).withColumn("piece", F.spark_partition_id()), "ordered")
-    pieces = placed.groupBy(tree, "piece").agg(F.count("*").alias("size"), F.min("at").alias("first"))  # pieces and trees at most
-    whole = Window.partitionBy(tree)
-    base = F.sum("size").over(whole.orderBy("piece")) - F.col("size") - F.col("first")
-    pieces = saved(pieces.select(tree, "piece", base.alias("base"), F.sum("size").over(whole).alias("n")), "pieces")
-    return placed.join(pieces, [tree, "piece"]).withColumn("idx", F.col("at") + F.col("base")).drop("at", "piece", "base")
-
-
 def stages(nodes: DataFrame, height: int = HEIGHT) -> list[DataFrame]:
     """The nodes, then the tops of their blocks, and so on, until every tree has one node."""
     out = [nodes]

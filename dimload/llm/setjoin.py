@@ -10,14 +10,19 @@ between different sets is found or is implied by others; none is lost:
   buckets (4 MB at any size of the corpus; any order is right, this one keeps lists short). Linked
   sets share a shingle within their first ``n - ceil(0.8 n) + 1``; index lists are made of those,
   with each entry's position, and a pair is only looked at where its first shared shingle can be.
-* A list is ordered by a hash of the set, alike in all lists, and cut into blocks by position. Round
-  by round, the sets of the next block are compared with all sets after them: blocks end at 4,
-  64, 1024, ... sets. A pair is skipped if size or positions rule it out, or if both sets already
-  belong to one component: a set that is highly similar to another one takes over its answers, so
-  a group of near copies costs about a block's comparisons for each set, not all pairs. The rounds
-  end when the lists are used up.
-* Compared pairs are verified on the whole sets. Pairs are dealt by their first set; a set with many
-  partners is split into salted groups.
+* A list is ordered by a hash of the set, alike in all lists. First its leading sets (``FIRST_BLOCK``) are
+  compared with all sets after them, then all pairs of lists of ``SMALL`` sets or fewer. A pair is skipped
+  if size or positions rule it out, or if both sets already belong to one component: a set that is highly
+  similar to another one takes over its answers.
+* The sets of longer lists that still hold several components are put into blocks of ``BLOCK``, by leader
+  and size. Round by round, a list's next blocks (1, then up to 16, 256, ...) meet its later ones. A pair of
+  blocks is skipped as a whole if, by the range of their sizes and the most that their positions in the
+  list leave to share, no pair of their sets can link. Spark deals pairs of blocks to tasks one by one. In
+  a task, sets whose first shared shingles come early enough are compared; a set takes over all answers
+  of one that it links with, so that only links between components are looked for and returned. The
+  rounds end when every list is used up or holds one component.
+* Compared pairs are verified on the whole sets. Pairs of short lists are dealt by their first set; a set
+  with many partners is split into salted groups.
 
 Components come from label propagation with pointer jumping in Spark; nothing is gathered in the
 driver but the bucket counts. Shingles are 64-bit hashes; a false match would need two shingles of
@@ -41,12 +46,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dimload.llm.tables import numbered, saved
 from dimload.llm.textbatch import BLANKS, Words, byte_table, fresh_name, mix, slices, window_hashes, word_hashes
-from dimload.session import scratch_path
 
 WIDTH, PERCENT = 5, 80
 BUCKET_BITS, CHUNKS = 20, 256
-FIRST_BLOCK, BLOCK_GROWTH = 4, 16
+FIRST_BLOCK, SMALL = 4, 64
+BLOCK, BLOCK_GROWTH = 64, 16
 BUFFER = 400_000  # pairs a task holds to drop repeated ones
 LIST_ROWS = 50_000  # entries of lists of one component that a group of lists may hold
 LOW = 0xFFFFFFFF  # a place holds a set's size above the entry's position
@@ -343,15 +349,113 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first()).mapInArrow(_verified, "a long, b long")
 
 
-# --- components ------------------------------------------------------------------------------------
+# --- blocks of long lists ----------------------------------------------------------------------------
+
+_OPEN = "doc_id long, n long, prefix binary, shingles binary"
+
+
+def _open_sets(seen: bytes, levels: np.ndarray):
+    """Size, first shingles and all of them, of rows whose doc_id falls in a marked bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = np.frombuffer(zlib.decompress(seen), np.uint8)
+        for batch in batches:
+            batch = batch.filter(pc.is_valid(batch.column("doc_id")))
+            wanted = marks[id_bucket(batch.column("doc_id").to_numpy(zero_copy_only=False))] > 0
+            for part in slices([batch.filter(pa.array(wanted))]):
+                sets = shingle_sets(part.column("text"))
+                first = [s[np.argsort(levels[buckets(s)], kind="stable")[: len(s) - least_overlap(len(s)) + 1]] if len(s) else s for s in sets]
+                columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array([p.tobytes() for p in first]), pa.array([s.tobytes() for s in sets])]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=["doc_id", "n", "prefix", "shingles"])
+
+    return run
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: lineage ends there."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def in_blocks(members: DataFrame) -> DataFrame:
+    """(sid, block): the sets of open lists; those of one leader and of like sizes lie together."""
+    leader = members.groupBy("token").agg(F.min(F.struct(F.xxhash64("sid").alias("h"), "sid")).alias("leader"))
+    of = members.join(leader, "token").groupBy("sid").agg(F.min("leader").alias("leader"), F.max("place").alias("n"))
+    rows = of.select(F.lit("").alias("all"), "sid", F.shiftright("n", 32).alias("n"), F.col("leader.h").alias("u"), F.col("leader.sid").alias("v"))
+    return numbered(rows, "all", *(F.col(c) for c in ("u", "v", "n", "sid"))).select("sid", F.expr(f"idx div {BLOCK}").alias("block"))
+
+
+def list_blocks(members: DataFrame, block: DataFrame) -> DataFrame:
+    """(token, blocks): of each list its blocks in order, with the range of their sets' sizes and the most
+    shingles that a set has left from its position in the list on."""
+    n, place = F.shiftright("place", 32), F.col("place").bitwiseAND(LOW)
+    of = members.join(block, "sid").groupBy("token", "block").agg(F.min(n).alias("least"), F.max(n).alias("most"), F.max(n - place).alias("left"))
+    return of.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("block", "least", "most", "left"))).alias("blocks"))
+
+
+def block_pairs(blocks: DataFrame, lo: int, hi: int) -> DataFrame:
+    """(x, y): of each list its blocks lo to hi - 1 with themselves and all later ones, but for those whose
+    sizes or positions leave no pair that can link."""
+    lead = blocks.select("blocks", F.posexplode(F.slice("blocks", lo + 1, hi - lo)).alias("i", "x"))
+    both = lead.select("x", F.explode(F.slice("blocks", F.col("i") + F.lit(lo + 1), F.size("blocks"))).alias("y"))
+    sizes = 100 * F.least("x.most", "y.most") >= PERCENT * F.greatest("x.least", "y.least")
+    need = F.ceil(PERCENT * (F.col("x.least") + F.col("y.least")) / (100 + PERCENT))
+    return both.where(sizes & (F.least("x.left", "y.left") >= need)).select(F.col("x.block").alias("x"), F.col("y.block").alias("y")).distinct()
+
+
+def _met(first: list[tuple], second: list[tuple]) -> Iterator[tuple[int, int]]:
+    """Indices of pairs of (sid, n, comp, prefix, ...) that can link, by their first shared shingle."""
+    sides = []
+    for rows in (first, second):
+        tokens = [np.frombuffer(r[3], np.uint64) for r in rows]
+        owner = np.repeat(np.arange(len(rows)), [len(t) for t in tokens])
+        place = np.concatenate([np.arange(len(t)) for t in tokens])
+        flat = np.concatenate(tokens)
+        order = np.argsort(flat, kind="stable")
+        sides.append((flat[order], owner[order], place[order], np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64)))
+    (ta, oa, pa_, na, ca), (tb, ob, pb, nb, cb) = sides
+    lo, hi = np.searchsorted(tb, ta), np.searchsorted(tb, ta, "right")
+    i = np.repeat(np.arange(len(ta)), hi - lo)
+    j = np.arange(len(i)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)
+    a, b, x, y = oa[i], ob[j], pa_[i], pb[j]
+    ok = (ca[a] != cb[b]) & _possible(na[a], x, nb[b], y)
+    return zip(*np.unique(np.stack([a[ok], b[ok]]), axis=1).tolist(), strict=True) if ok.any() else iter(())
+
+
+def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links that join components, of the sets of two blocks (or of one with itself); rows of a pair of
+    blocks come together. A set that links with another takes over its component, and its later answers."""
+
+    def links(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        first, second = ([r for r in rows if r[5] == r[side]] for side in (6, 7))
+        root: dict[int, int] = {}
+
+        def of(comp: int) -> int:
+            while comp in root:
+                comp = root[comp]
+            return comp
+
+        out = []
+        for p, q in _met(first, second) if first and second else ():
+            a, b = first[p], second[q]
+            u, v = of(a[2]), of(b[2])
+            if u == v:
+                continue
+            s, t = np.frombuffer(a[4], np.uint64), np.frombuffer(b[4], np.uint64)
+            at = np.minimum(np.searchsorted(s, t), len(s) - 1)
+            if linked(int((s[at] == t).sum()), len(s), len(t)):
+                root[max(u, v)] = min(u, v)
+                out.append((min(a[0], b[0]), max(a[0], b[0])))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    pair, rows = None, []
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("sid", "n", "comp", "prefix", "shingles", "block", "x", "y")]
+        for row in zip(*columns, strict=True):
+            if row[6:] != pair and rows:
+                yield from links(rows)
+                rows = []
+            pair = row[6:]
+            rows.append(row)
+    yield from links(rows)
+
+
+# --- components ------------------------------------------------------------------------------------
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -400,23 +504,47 @@ def _groups(texts: DataFrame) -> DataFrame:
     long_lists = found.where("token is not null").select("token", "rank", "sid", "place")
     pairs = found.where("token is null").select("a", "b").distinct()
     labels = components(saved(verify(saved(pairs, "pairs"), texts), "links"))
-    lo, hi = FIRST_BLOCK, FIRST_BLOCK * BLOCK_GROWTH
-    while True:
+
+    def open_lists(short: bool) -> DataFrame:
+        """Entries of the lists with sets of different components, and their components."""
         labelled = long_lists.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
         mixed = labelled.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max("rank").alias("r"), F.count("*").alias("m"))
-        mixed = saved(mixed.where((F.col("x") != F.col("y")) & (F.col("r") > lo)).select("token", "x", "m"), "open-lists")
-        if mixed.isEmpty():
-            break
-        # lists of one component have many sets in common: together, they yield a pair once
-        parts = mixed.groupBy("x").agg(F.ceil(F.sum("m") / LIST_ROWS).alias("_parts"))
-        mixed = mixed.join(parts, "x").select("token", "x", F.pmod(F.xxhash64("token"), F.col("_parts")).alias("part"))
-        left = labelled.join(mixed, "token").repartition("x", "part").sortWithinPartitions("token", "rank")
-        pairs = saved(left.mapInArrow(_list_pairs(lo, hi, False), schema).select("a", "b").distinct(), "pairs")
-        if not pairs.isEmpty():
-            more = saved(verify(pairs, texts), "links")
+        mixed = mixed.where((F.col("x") != F.col("y")) & ((F.col("r") < SMALL) if short else (F.col("r") >= SMALL)))
+        return labelled.join(mixed.select("token", "x", "m"), "token")
+
+    # short lists of one component have many sets in common: together, they yield a pair once
+    left = open_lists(True)
+    parts = left.groupBy("x").agg(F.ceil(F.count("*") / LIST_ROWS).alias("_parts"))
+    left = left.join(parts, "x").withColumn("part", F.pmod(F.xxhash64("token"), F.col("_parts")))
+    left = left.repartition("x", "part").sortWithinPartitions("token", "rank")
+    pairs = saved(left.mapInArrow(_list_pairs(FIRST_BLOCK, SMALL, False), schema).select("a", "b").distinct(), "pairs")
+    if not pairs.isEmpty():
+        more = saved(verify(pairs, texts), "links")
+        if not more.isEmpty():
+            labels = merged(labels, more)
+    members = saved(open_lists(False).select("token", "sid", "place"), "open-lists")
+    if not members.isEmpty():
+        block = saved(in_blocks(members), "block-numbers")
+        blocks = saved(list_blocks(members, block), "list-blocks")
+        marks = (total_counts(block.select("sid").mapInArrow(_id_buckets, _CHUNK)) > 0).astype(np.uint8)
+        found = texts.mapInArrow(_open_sets(zlib.compress(marks.tobytes(), 1), levels), _OPEN)
+        one_each = found.groupBy(F.col("doc_id").alias("sid")).agg(F.any_value(F.struct("n", "prefix", "shingles")).alias("s"))
+        blocked = saved(one_each.join(block, "sid").select("block", "sid", "s.n", "s.prefix", "s.shingles"), "blocks")
+        lo, hi, done = 0, 1, None
+        while True:
+            pairs = block_pairs(blocks.where(F.size("blocks") > lo).join(members.select("token").distinct(), "token", "left_semi"), lo, hi)
+            pairs = saved(pairs if done is None else pairs.join(done, ["x", "y"], "left_anti"), "block-pairs")
+            done = pairs if done is None else done.unionByName(pairs)
+            sides = pairs.select("x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("block")).join(blocked, "block")
+            sides = sides.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
+            sides = sides.repartition("x", "y").sortWithinPartitions("x", "y")
+            more = saved(sides.mapInArrow(_block_links, "a long, b long").distinct(), "links")
             if not more.isEmpty():
                 labels = merged(labels, more)
-        lo, hi = hi, hi * BLOCK_GROWTH
+            lo, hi = hi, hi * BLOCK_GROWTH
+            members = saved(open_lists(False).join(blocks.where(F.size("blocks") > lo).select("token"), "token").select("token", "sid", "place"), "open-lists")
+            if members.isEmpty():
+                break
     of_set = sets.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select(*keys, "sid", F.coalesce("comp", "sid").alias("comp"))
     of_doc = one.join(of_set, keys).select("doc_id", F.col("comp").alias("component_id"))
     out = rows.join(of_doc, "doc_id", "left")

@@ -7,6 +7,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from dimload.llm import setjoin
 
@@ -71,10 +72,10 @@ def test_components_equal_brute_force(spark, seed):
     assert found(setjoin.groups(df)) == brute(rows)
 
 
-def test_lists_longer_than_a_block(spark, monkeypatch):
-    monkeypatch.setattr(setjoin, "FIRST_BLOCK", 2)
-    monkeypatch.setattr(setjoin, "BLOCK_GROWTH", 2)
-    monkeypatch.setattr(setjoin, "PARTNERS", 3)
+@pytest.mark.parametrize("small", [2, 12])
+def test_lists_longer_than_a_block(spark, monkeypatch, small):
+    for name, value in (("FIRST_BLOCK", 2), ("BLOCK_GROWTH", 2), ("PARTNERS", 3), ("SMALL", small), ("BLOCK", 3)):
+        monkeypatch.setattr(setjoin, name, value)
     rows = corpus(3, groups=5, copies=60)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert found(setjoin.groups(df)) == brute(rows)
@@ -102,6 +103,37 @@ def test_long_list_in_bounded_memory(mixed):
         assert seen == {(odd, i) for i in range(odd + 1, n)} | {(i, odd) for i in range(lo, odd)}
 
 
+def test_blocks_are_skipped_by_size_and_position(spark):
+    """Of pairs of blocks exactly those are left of which some pair of sets can link."""
+    rng = random.Random(4)
+    sets = {sid: rng.choice([rng.randrange(5, 12), rng.randrange(30, 60)]) for sid in range(60)}
+    entries = [(t, sid, (n << 32) | rng.randrange(n - setjoin.least_overlap(n) + 1)) for t in range(4) for sid, n in sets.items() if rng.random() < 0.4]
+    block = {sid: k // 4 for k, sid in enumerate(sorted(sets, key=lambda s: (sets[s], s)))}
+    members = spark.createDataFrame(entries, "token long, sid long, place long")
+    blocks = setjoin.list_blocks(members, spark.createDataFrame(list(block.items()), "sid long, block long"))
+    got = {(r["x"], r["y"]) for lo, hi in ((0, 1), (1, 4), (4, 64)) for r in setjoin.block_pairs(blocks, lo, hi).collect()}
+    can, near = set(), set()
+    for t, a, x in entries:
+        for u, b, y in entries:
+            if t == u and block[a] <= block[b]:
+                near.add((block[a], block[b]))
+                if setjoin._possible(np.int64(x >> 32), np.int64(x & setjoin.LOW), np.int64(y >> 32), np.int64(y & setjoin.LOW)):
+                    can.add((block[a], block[b]))
+    assert can <= got < near
+
+
+def test_repeated_ids_with_different_texts_are_documents_of_their_own(spark):
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    other = text.replace("one", "ten")
+    rows = [(5, "a b c d e f g"), (5, text), (3, text + " x"), (9, "a b c d e f g"), (9, "z y x w v u"), (None, text), (7, other), (7, other)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.monotonically_increasing_id())
+    got = sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"] or 0) for r in setjoin.groups(df).collect())
+    assert got == [(0, 8, 0), (3, 9, 3), (5, 3, 5), (5, 8, 3), (7, 8, 7), (7, 8, 7), (9, 2, 9), (9, 3, 5)]
+    kept = setjoin.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == sorted([(0, text), (3, text + " x"), (5, "a b c d e f g"), (7, other), (9, "z y x w v u")])
+
+
 def test_hard_rows(spark, hard):
     rows = setjoin.groups(hard).collect()
     assert len(rows) == len(HARD)
