@@ -24,6 +24,15 @@ DEFAULT_BUCKET_HEX = 3
 MAX_BUCKET_HEX = 4  # 65,537 offset rows
 
 
+#: A stored keys table is partitioned by the first hex digit of the key's md5; joins that name it read
+#: only the partitions that the new keys fall into.
+KEY_PREFIX = "key_prefix"
+
+
+def key_prefix(key: Column) -> Column:
+    return F.substring(F.md5(key.cast("string")), 1, 1)
+
+
 def keys_schema_columns(sk: str) -> list[str]:
     """K2 column order of a keys table."""
     return [sk, C.KEYS_BUSINESS_KEY, C.KEYS_KEY_NAME, C.KEYS_SYSTEM, C.KEYS_ACTIVE, C.ETL_UPDATED, C.ETL_DELETED]
@@ -145,6 +154,7 @@ def generate_keys(
         F.col(C.KEYS_BUSINESS_KEY),
         F.coalesce(F.col(C.KEYS_KEY_NAME), F.lit("")).alias(C.KEYS_KEY_NAME),
         F.coalesce(F.col(C.KEYS_SYSTEM), F.lit("")).alias(C.KEYS_SYSTEM),
+        *([KEY_PREFIX] if KEY_PREFIX in keys.columns else []),
     )
     if isinstance(key_name, str):
         existing = existing.filter(F.col(C.KEYS_KEY_NAME) == F.lit(key_name))
@@ -152,7 +162,11 @@ def generate_keys(
         existing = existing.filter(F.col(C.KEYS_SYSTEM) == F.lit(source_system))
     constant = {C.KEYS_KEY_NAME: isinstance(key_name, str), C.KEYS_SYSTEM: isinstance(source_system, str)}
     varying = [c for c in ident if not constant.get(c)]
-    new_ids = cand.dropDuplicates(varying).join(existing, varying, "left_anti").select(*ident)
+    new_ids = cand.dropDuplicates(varying)
+    if KEY_PREFIX in keys.columns:
+        new_ids = new_ids.withColumn(KEY_PREFIX, key_prefix(F.col(C.KEYS_BUSINESS_KEY)))
+        varying.append(KEY_PREFIX)
+    new_ids = new_ids.join(existing, varying, "left_anti").select(*ident)
     if materialize:
         from dimload.session import materialize as _mat
 

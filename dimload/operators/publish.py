@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimload import constants as C
+from dimload.operators.keys import KEY_PREFIX, empty_keys, generate_keys, key_prefix, keys_to_map, with_key
 from dimload.operators.quality import CheckFailed, combine_checks, run_checks, unique_columns
 from dimload.operators.schema import align_columns
 from dimload.operators.scd import ScdResult, ScdSpec, scd_checks, scd_load
@@ -93,16 +95,40 @@ def publish_dimension(result: ScdResult, spec: ScdSpec, dim_path: str, before: V
     _write_dimension(rows.drop(FILE_COL), spec, dim_path, before, names, buckets, highest)
 
 
-def append_keys(spark: SparkSession, new_keys: DataFrame, sk: str, keys_path: str, map_path: str) -> None:
-    """K2 + K3 on storage: append the keys, then the map rows that the map lacks."""
-    from dimload.operators.keys import keys_to_map
+def read_keys(spark: SparkSession, path: str, version: Version | None) -> DataFrame | None:
+    """A stored keys table, with the prefix that it is partitioned by if all of its files are."""
+    if version is None:
+        return None
+    keys = read_version(spark, path, version)
+    return keys.drop(KEY_PREFIX) if version.plain else keys
+
+
+def highest_stored(keys: DataFrame | None, version: Version | None, sk: str) -> int:
+    """The largest number of a stored keys table: what its commit says, or by a scan where none does."""
+    if version is not None and version.notes:
+        return version.notes["highest"]
+    return (keys.agg(F.max(sk)).head()[0] or 0) if keys is not None else 0
+
 
-    new_keys.write.mode("append").parquet(keys_path)
-    missing = keys_to_map(spark.read.parquet(keys_path), sk)
-    have = read_or_none(spark, map_path)
-    if have is not None:
-        missing = missing.join(have.select(sk), sk, "left_anti")
-    missing.write.mode("append").parquet(map_path)
+def append_keys(spark: SparkSession, new_keys: DataFrame, sk: str, keys_path: str, map_path: str) -> None:
+    """K2 + K3 on storage: append the keys, then the map rows that the map lacks: those of the keys' loads
+    that the map's last commit doesn't know of, so neither table is read for it."""
+    before = current_version(spark, keys_path)
+    newest = new_keys.agg(F.max(sk)).head()[0]
+    after = before
+    if newest is not None or before is None:
+        highest = max(highest_stored(read_keys(spark, keys_path, before), before, sk), newest or 0)
+        tagged = new_keys.withColumn(KEY_PREFIX, key_prefix(F.col(C.KEYS_BUSINESS_KEY)))
+        after = commit_load(tagged.repartition(KEY_PREFIX), keys_path, before, [KEY_PREFIX], (), {"highest": highest})
+    have = current_version(spark, map_path)
+    if have is not None and have.notes:
+        missing = keys_to_map(read_version(spark, keys_path, after, after=have.notes["keys"]), sk)
+    else:
+        missing = keys_to_map(read_version(spark, keys_path, after), sk)
+        if have is not None:
+            missing = missing.join(read_version(spark, map_path, have).select(sk), sk, "left_anti")
+    if have is None or not have.notes or have.notes["keys"] != after.number:
+        commit_load(missing, map_path, have, (), (), {"keys": after.number})
 
 
 def is_done(spark: SparkSession, ledger_path: str, update_id: str) -> bool:
@@ -140,12 +166,13 @@ def run_scd_batch(
         return "skipped"
     sk = F.col(f"`{spec.surrogate_key}`")
     before = current_version(spark, dim_path)
-    keys = read_or_none(spark, keys_path)
+    stored_keys = current_version(spark, keys_path)
+    keys = read_keys(spark, keys_path, stored_keys)
     dim = None if before is None else read_version(spark, dim_path, before, files=True)
     if keys is None and dim is not None and not dim.filter(sk >= 0).isEmpty():
         raise CheckFailed(f"the dimension has surrogate keys, but there is no keys table at {keys_path}")
     source = materialize(source)
-    highest = _highest(spec, before, dim, keys)
+    highest = _highest(spec, before, dim, keys, stored_keys)
     if before is not None and before.notes:
         buckets = before.notes["buckets"]
         bucket = bucket_of(spec, _types(before.schema), buckets)
@@ -163,16 +190,15 @@ def run_scd_batch(
     return "published"
 
 
-def _highest(spec: ScdSpec, before: Version | None, dim: DataFrame | None, keys: DataFrame | None) -> int | None:
-    """The largest surrogate key handed out: of the keys table, and of the dimension where no earlier
-    batch has left it with the table."""
-    sk = F.col(f"`{spec.surrogate_key}`")
-    known = (before.notes or {}).get("highest") if before else None
-    frames = [keys] if keys is not None else []
-    frames += [dim] if dim is not None and known is None else []
-    found = [f.agg(F.max(sk)).head()[0] for f in frames]
-    values = [v for v in (known, *found) if v is not None]
-    return max(0, *values) if values else None
+def _highest(spec: ScdSpec, before: Version | None, dim: DataFrame | None, keys: DataFrame | None, stored_keys: Version | None) -> int | None:
+    """The largest surrogate key handed out, of keys table and dimension: their commits tell, and a table
+    without one is scanned."""
+    if before is None and stored_keys is None:
+        return None
+    known = (before.notes or {}).get("highest") if before else 0
+    if known is None:
+        known = dim.agg(F.max(F.col(f"`{spec.surrogate_key}`"))).head()[0] or 0
+    return max(0, known, highest_stored(keys, stored_keys, spec.surrogate_key))
 
 
 def _check_batch(result: ScdResult, spec: ScdSpec) -> None:
@@ -273,15 +299,16 @@ def keyed_load_into(
     again with the same result; a load found in the ledger is skipped. Returns ``'skipped'`` or
     ``'published'``.
     """
-    from dimload.operators.keys import empty_keys, generate_keys, with_key
-
     if is_done(spark, ledger_path, update_id):
         return "skipped"
-    keys = read_or_none(spark, keys_path)
+    stored = current_version(spark, keys_path)
+    keys = read_keys(spark, keys_path, stored)
+    highest = highest_stored(keys, stored, sk)
     keys = empty_keys(spark, sk) if keys is None else keys
     candidates = key_source if key_source is not None else source
-    append_keys(spark, generate_keys(candidates, business_key, keys, sk, as_of, key_name, source_system), sk, keys_path, map_path)
-    key_map = spark.read.parquet(map_path)
+    new = materialize(generate_keys(candidates, business_key, keys, sk, as_of, key_name, source_system, highest=highest))
+    append_keys(spark, new, sk, keys_path, map_path)
+    key_map = read_table(spark, map_path)
     if load_source is None:
         rows = with_key(source, key_map, sk, business_key, key_name, source_system)
     else:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from dimload import constants as C
 from dimload.functions.columns import any_differs, default_end, derived_key, next_start, ts_ntz
-from dimload.operators.keys import assign_numbers, keys_to_map, max_key
+from dimload.operators.keys import KEY_PREFIX, assign_numbers, key_prefix, keys_to_map, max_key
 from dimload.operators.predicates import not_default_rows
 
 _S = "_src_"  # prefix of source columns inside the joined frame
@@ -337,8 +337,11 @@ def assign_version_keys(
         lookup = keys.filter(
             (F.col(C.KEYS_KEY_NAME) == F.lit(spec.originating_key_name))
             & (F.col(C.KEYS_SYSTEM) == F.lit(spec.source_system))
-        ).select(F.col(C.KEYS_BUSINESS_KEY).alias("_vkey"), F.col(sk).cast("bigint").alias("_old_sk"))
-        looked = ins.join(lookup, "_vkey", "left")
+        )
+        prefix = [KEY_PREFIX] if KEY_PREFIX in keys.columns else []
+        lookup = lookup.select(F.col(C.KEYS_BUSINESS_KEY).alias("_vkey"), F.col(sk).cast("bigint").alias("_old_sk"), *prefix)
+        tagged = ins.withColumn(KEY_PREFIX, key_prefix(F.col("_vkey"))) if prefix else ins
+        looked = tagged.join(lookup, ["_vkey", *prefix], "left").drop(*prefix)
         base = max_key(keys, sk) if highest is None else None
     if highest is not None:
         base = ins.sparkSession.range(1).select(F.lit(highest).cast("bigint").alias("max_sk"))

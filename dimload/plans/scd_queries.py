@@ -15,6 +15,7 @@ from dimload.operators.scd import ScdResult, ScdSpec, publish_with_keys, scd_che
 from dimload.plans import fixtures as fx
 from dimload.session import materialize, materialize_clustered, scratch_path
 from dimload.sources.io import mirror
+from dimload.sources.versions import read_table
 
 AS_OF_3 = "2024-09-01 00:00:00"
 _STATE: dict = {}
@@ -192,8 +193,8 @@ def q_scd_events_on_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_scd_events_keys_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2 / K3 on storage: every key of the stored batches with its map row (null: an orphan)."""
     paths = _event_batches(spark, sf_dir)
-    keys = spark.read.parquet(paths["keys_path"]).select("sk", F.col("originating_source_business_key").alias("k"))
-    return keys.join(spark.read.parquet(paths["map_path"]).select("sk", F.col("source_business_key").alias("mapped")), "sk", "left")
+    keys = read_table(spark, paths["keys_path"]).select("sk", F.col("originating_source_business_key").alias("k"))
+    return keys.join(read_table(spark, paths["map_path"]).select("sk", F.col("source_business_key").alias("mapped")), "sk", "left")
 
 
 QUERIES = {

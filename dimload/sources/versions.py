@@ -195,9 +195,13 @@ def _settled(folder: _Folder, version: Version) -> bool:
     return not folder.fs.exists(folder.file(version.replaced[-1]))
 
 
-def read_version(spark: SparkSession, path: str, version: Version, only: Iterable[str] | None = None, files: bool = False) -> DataFrame:
-    """The rows of a version; with ``files``, and the file of each in column ``_stored_file``."""
+def read_version(
+    spark: SparkSession, path: str, version: Version, only: Iterable[str] | None = None, files: bool = False, after: int | None = None
+) -> DataFrame:
+    """The rows of a version; with ``files``, and the file of each in column ``_stored_file``. Of the files
+    ``only``, or of the loads ``after`` one, if given."""
     rows = _rows(spark, _Folder(spark, path), version, only)
+    rows = rows if after is None else rows.where(F.col(LOAD_COL) > after)
     return rows.drop(LOAD_COL) if files else rows.drop(LOAD_COL, FILE_COL)
 
 

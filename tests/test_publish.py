@@ -39,11 +39,11 @@ def test_three_batches_and_rerun(spark, tmp_out):
     assert stored_rows == canon(r2.dimension)
     before = history_files(spark, paths["dim_path"])
     assert before
-    assert spark.read.parquet(paths["keys_path"]).count() == stored_n
+    assert read_table(spark, paths["keys_path"]).count() == stored_n
     # a third batch with the same source changes nothing (idempotent), keys unchanged
     assert run_scd_batch(spark, b2, SPEC, "2024-03-01 00:00:00", "3", **paths) == "published"
     assert canon(read_dimension(spark, paths["dim_path"], SPEC)) == stored_rows
-    assert spark.read.parquet(paths["keys_path"]).count() == stored_n
+    assert read_table(spark, paths["keys_path"]).count() == stored_n
     assert history_files(spark, paths["dim_path"]) == before  # written once
 
 
@@ -139,8 +139,8 @@ def test_a_crash_after_any_step_is_mended_by_the_next_run(spark, tmp_path, monke
                 raise RuntimeError("lost")
 
             if step == "keys only":
-                real = publish.read_or_none
-                m.setattr(publish, "read_or_none", lambda s, p, *a: crash() if p == paths["map_path"] else real(s, p, *a))
+                real = publish.current_version
+                m.setattr(publish, "current_version", lambda s, p, *a: crash() if p == paths["map_path"] else real(s, p, *a))
             elif step == "written only":
                 m.setattr(versions._Folder, "create", crash)
             elif step:
@@ -157,7 +157,7 @@ def test_a_crash_after_any_step_is_mended_by_the_next_run(spark, tmp_path, monke
         now = canon(read_dimension(spark, paths["dim_path"], SPEC))
         want = want or now
         assert now == want
-        keys, key_map = (spark.read.parquet(paths[p]) for p in ("keys_path", "map_path"))
+        keys, key_map = (read_table(spark, paths[p]) for p in ("keys_path", "map_path"))
         assert keys.count() == keys.select("sk").distinct().count() == key_map.count() == len(now)
 
 
@@ -210,7 +210,7 @@ def test_text_keys_and_null_keys_on_storage(spark, tmp_path):
     run_scd_batch(spark, two, spec, "2024-02-01 00:00:00", "2", **paths)
     got = sorted((r.a, r.b, r.v, r.row_current_flag) for r in read_dimension(spark, paths["dim_path"], spec).collect())
     assert got == [("gone", "g", 1, True), ("x", "y|z", 1, True), ("x\\", "|z", 1, True), ("x|y", "z", 1, False), ("x|y", "z", 2, True)]
-    keys = spark.read.parquet(paths["keys_path"])
+    keys = read_table(spark, paths["keys_path"])
     assert keys.count() == keys.select("sk").distinct().count() == 5
 
 
@@ -241,4 +241,4 @@ def test_keyed_load_on_storage_after_a_crash(spark, tmp_path, monkeypatch):
             pass
     assert [publish.keyed_load_into(spark, *args) for _ in range(2)] == ["published", "skipped"]
     out = read_table(spark, f"{root}/target")
-    assert out.count() == 6 and spark.read.parquet(f"{root}/map").count() == 6 and out.select("sk").distinct().count() == 6
+    assert out.count() == 6 and read_table(spark, f"{root}/map").count() == 6 and out.select("sk").distinct().count() == 6
