@@ -330,6 +330,7 @@ def groups(docs: DataFrame) -> DataFrame:
     wanted = saved(whole.join(placed.select("sid").distinct(), "sid", "left_semi").select("sid", *keys, "bits"), "bucketed")
     contents = saved(sets_of(texts, wanted.drop("bits")), "shingles")
     labels = wanted.select(F.col("sid").alias("node"), F.col("sid").alias("comp"))
+
     def still_open() -> DataFrame:
         """Members of buckets with sets of different components."""
         labelled = placed.join(labels.withColumnRenamed("node", "sid"), "sid")
