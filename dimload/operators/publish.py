@@ -183,7 +183,7 @@ def run_scd_batch(
     result.versions = materialize(result.versions)
     if checks:
         _check_batch(result, spec)
-    append_keys(spark, result.new_keys, spec.surrogate_key, keys_path, map_path)
+    append_keys(spark, materialize(result.new_keys), spec.surrogate_key, keys_path, map_path)
     newest = result.versions.agg(F.max(sk)).head()[0]
     publish_dimension(result, spec, dim_path, before, buckets, max(highest or 0, newest or 0))
     record_done(spark, ledger_path, update_id, as_of, spec.surrogate_key)
