@@ -82,10 +82,10 @@ def test_stages_of_an_empty_table(spark, sf_dir, empty):
 
 def test_registry():
     names = list(__spark_entry__.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names
-    assert {n for n in __spark_entry__.oracle_sql() if n.startswith("op")} == {"op5_rule_ledger", "op7_warc_index", "op8_minhash_containment"}
+    assert {n for n in __spark_entry__.oracle_sql() if n.startswith("op")} == {"op5_rule_ledger", "op7_warc_index", "op8_minhash_containment", "op12_merkle_manifest"}
 
 
 def test_entry_works_without_the_subpackage(monkeypatch):
