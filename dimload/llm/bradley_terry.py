@@ -23,6 +23,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -33,7 +34,7 @@ from dimload.llm.tables import saved
 from dimload.llm.textbatch import Words, as_string, buffers, slices, word_hashes
 
 MAX_ROWS, PAIRS, SHAPES = 4_000, 60_000, 32
-CUTS = 199  # quantiles of all scores that the threshold is chosen from
+CUTS = 9_999  # quantiles of all scores that the threshold is chosen from
 
 
 @dataclass(frozen=True)
@@ -108,8 +109,12 @@ def threshold(scores: DataFrame, known: DataFrame) -> float:
     """The best quantile of all ``scores`` (doc_id, score), by the labels ``known`` (doc_id, quality)."""
     shares = np.linspace(0, 1, CUTS + 2)[1:-1].tolist()
     cuts = np.array(scores.agg(F.percentile_approx("score", shares, 100_000)).head()[0])
-    passed = F.size(F.filter(F.array(*map(F.lit, cuts.tolist())), lambda c: c <= F.col("score")))
-    counted = scores.join(known, "doc_id").groupBy("quality", passed.alias("passed")).count().collect()  # 2 * (CUTS + 1) rows at most
+
+    @F.pandas_udf("int")
+    def passed(score: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts, score.to_numpy(), "right"), dtype="int32")
+
+    counted = scores.join(known, "doc_id").groupBy("quality", passed("score").alias("passed")).count().collect()  # 2 * (CUTS + 1) rows at most
     counts = np.zeros((2, CUTS + 1))
     for r in counted:
         counts[r["quality"], r["passed"]] += r["count"]
