@@ -23,7 +23,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -110,9 +109,9 @@ def threshold(scores: DataFrame, known: DataFrame) -> float:
     shares = np.linspace(0, 1, CUTS + 2)[1:-1].tolist()
     cuts = np.array(scores.agg(F.percentile_approx("score", shares, 100_000)).head()[0])
 
-    @F.pandas_udf("int")
-    def passed(score: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, score.to_numpy(), "right"), dtype="int32")
+    @F.arrow_udf("int")
+    def passed(score: pa.Array) -> pa.Array:
+        return pa.array(np.searchsorted(cuts, score.to_numpy(zero_copy_only=False), "right"), pa.int32())
 
     counted = scores.join(known, "doc_id").groupBy("quality", passed("score").alias("passed")).count().collect()  # 2 * (CUTS + 1) rows at most
     counts = np.zeros((2, CUTS + 1))

@@ -22,7 +22,6 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -75,7 +74,7 @@ def hilbert_keys(cells: np.ndarray, bits: int = GRID_BITS) -> np.ndarray:
 
 def vector_sums(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sums of documents' projected id vectors (each document owns one id at least)."""
-    return np.add.reduceat(_projection()[ids].astype(np.float64), bounds[:-1], axis=0)
+    return np.add.reduceat(_projection()[ids], bounds[:-1], axis=0, dtype=np.float64)
 
 
 def cells(sums: np.ndarray, sizes: np.ndarray, mean: np.ndarray) -> np.ndarray:
@@ -87,9 +86,10 @@ def cells(sums: np.ndarray, sizes: np.ndarray, mean: np.ndarray) -> np.ndarray:
 
 
 def _key_column(mean: np.ndarray):
-    @F.pandas_udf("long")
-    def key(n: pd.Series, *x: pd.Series) -> pd.Series:
-        return pd.Series(hilbert_keys(cells(np.column_stack(x), n.to_numpy(), mean)))
+    @F.arrow_udf("long")
+    def key(n: pa.Array, x0: pa.Array, x1: pa.Array, x2: pa.Array, x3: pa.Array) -> pa.Array:
+        sums, sizes = (np.column_stack([c.to_numpy(zero_copy_only=False) for c in some]) for some in ((x0, x1, x2, x3), (n,)))
+        return pa.array(hilbert_keys(cells(sums, sizes[:, 0], mean)))
 
     return key("doc_tokens", *_SUMS)
 

@@ -25,7 +25,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -167,9 +166,9 @@ def _joined(crcs, sizes) -> int:
 
 
 def _joined_crc(crcs: str, sizes: str) -> Column:
-    @F.pandas_udf("long")
-    def joined(c: pd.Series, n: pd.Series) -> pd.Series:
-        return pd.Series([_joined(x, y) for x, y in zip(c, n, strict=True)], dtype="int64")
+    @F.arrow_udf("long")
+    def joined(c: pa.Array, n: pa.Array) -> pa.Array:
+        return pa.array([_joined(x, y) for x, y in zip(c.to_pylist(), n.to_pylist(), strict=True)], pa.int64())
 
     return joined(crcs, sizes)
 
