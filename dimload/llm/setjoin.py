@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimload.llm.tables import numbered, saved
-from dimload.llm.textbatch import BLANKS, Words, byte_table, fresh_name, mix, slices, window_hashes, word_hashes
+from dimload.llm.textbatch import BLANKS, Words, byte_table, fresh_name, mix, release_memory, slices, window_hashes, word_hashes
 
 WIDTH, PERCENT = 5, 80
 BUCKET_BITS, CHUNKS = 20, 256
@@ -286,6 +286,8 @@ def _list_pairs(lo: int, hi: int, keep_long: bool):
                 yield pa.RecordBatch.from_arrays([*map(pa.array, rows), none, none], schema=_PAIR)
         if pairs:
             yield packed_pairs(distinct_pairs(np.hstack(pairs)))
+        del block, pairs
+        release_memory()
 
     return run
 
@@ -453,6 +455,7 @@ def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pair = row[6:]
             rows.append(row)
     yield from links(rows)
+    release_memory()
 
 
 # --- components ------------------------------------------------------------------------------------

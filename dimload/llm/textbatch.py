@@ -7,6 +7,7 @@ slice and numpy does the rest. A null text counts as empty everywhere.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -41,6 +42,14 @@ def as_string(column: pa.Array) -> pa.Array:
     return pa.concat_arrays([column]) if column.offset == 0 else pa.concat_arrays([column, column.slice(0, 0)])
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: workers serve many tasks and would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in order, in batches of at most ``limit`` text bytes (one row at least)."""
     for batch in batches:
@@ -51,7 +60,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
         cuts = np.flatnonzero(np.diff(block)) + 1
         for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
             yield batch.slice(int(lo), int(hi - lo))
-    pa.default_memory_pool().release_unused()  # workers serve many tasks and would keep it
+    release_memory()
 
 
 def buffers(text: pa.Array) -> tuple[np.ndarray, bytes]:
