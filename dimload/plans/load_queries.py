@@ -93,9 +93,27 @@ def q_load_into_new_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path).select("o_orderkey", "o_orderstatus", "o_totalprice", C.ETL_DELETED, "is_big", "remark", "priority")
 
 
+FILE_ROWS = 500_000  # of each parity in a file of orders_by_range, about
+
+
+def _by_range(rows: DataFrame, batch: DataFrame) -> DataFrame:
+    """``rows`` in partitions by ranges of o_orderkey, two for each range (odd or not). A range begins with a key
+    of ``batch`` (the first one: with the smallest), so that every file of odd keys holds one of them."""
+    n, least = rows.count(), batch.agg(F.min("o_orderkey")).head()[0]
+    wanted = -(-n // (2 * FILE_ROWS))
+    cuts = []
+    if wanted > 1 and least is not None:
+        shares = [k / wanted for k in range(1, wanted)]
+        at = batch.select("o_orderkey").distinct().agg(F.percentile_approx("o_orderkey", F.array(*map(F.lit, shares)), F.lit(100 * wanted))).head()[0]
+        cuts = sorted({k for k in at if k > least})  # keys of the batch, one for each file
+    key = F.coalesce(F.col("o_orderkey"), F.lit(least))
+    place = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: cut <= key)) if cuts else F.lit(0)
+    return rows.repartitionById(2 * (len(cuts) + 1), 2 * place + F.coalesce(F.col("odd"), F.lit(False)).cast("int"))
+
+
 def q_load_upsert_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L3 on storage: all orders in files by the parity of their key; a batch of odd keys replaces the
-    files that hold them. Returns the rows, and of each whether its file is an old one."""
+    """L3 on storage: all orders in files by the parity and range of their key; a batch of odd keys replaces
+    the files that hold them. Returns the rows, and of each whether its file is an old one."""
     from dimload.operators.publish import load_into
     from dimload.session import scratch_path
     from dimload.sources.versions import FILE_COL, current_version, read_version
@@ -103,8 +121,8 @@ def q_load_upsert_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "orders_by_range")
     o = fx.table(spark, sf_dir, "orders").select(*ORDER_COLS, ts_ntz(TARGET_STAMP).alias(C.ETL_UPDATED), F.lit(False).alias(C.ETL_DELETED))
     odd = (F.col("o_orderkey") % 2 == 1).alias("odd")
-    o.select("*", odd).repartition("odd").write.partitionBy("odd").parquet(path)
     source = fx.table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 50 == 1).withColumn("o_totalprice", F.lit(1.5))
+    _by_range(o.select("*", odd), source).write.partitionBy("odd").parquet(path)
     load_into(path, source.select(*ORDER_COLS, odd), "refresh_by_keys", KEYS, LOAD_AS_OF, partition_cols=["odd"])
     rows = read_version(spark, path, current_version(spark, path), files=True)
     return rows.select("o_orderkey", "o_totalprice", F.col(FILE_COL).startswith("odd=").alias("old_file"))

@@ -6,6 +6,8 @@ import itertools
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from dimload.operators.loads import load
 
 AS_OF = "2024-03-15 08:30:45.9"
@@ -80,3 +82,24 @@ def test_mapped_columns_and_cast_keys(spark):
     s = spark.createDataFrame([(1, "y")], "k bigint, v string")
     out = load(t, s, "upsert", [("k", "id", "string")], AS_OF, source_columns=["k", "v"], target_columns=["id", "val"])
     assert rows(out) == [("1", "y", STAMP, False)]
+
+
+def test_files_by_range_all_hold_a_key_of_the_batch(spark, tmp_path, monkeypatch):
+    """No task takes all rows of a parity, and the batch still replaces every file of odd keys."""
+    from dimload.plans import load_queries as lq
+
+    monkeypatch.setattr(lq, "FILE_ROWS", 400)
+    keys = [*range(3000), *range(1500), *[7] * 50, *[51] * 50, None, None]
+    schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+    orders = spark.createDataFrame([(k, 1, "O", 2.0, None, "x") for k in keys], schema)
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    rows = orders.withColumn("odd", F.col("o_orderkey") % 2 == 1)
+    batch = orders.where("o_orderkey % 50 = 1")
+    placed = lq._by_range(rows, batch).withColumn("part", F.spark_partition_id())
+    sizes = {(r["part"], r["odd"]): (r["n"], r["hits"]) for r in placed.groupBy("part", "odd").agg(F.count("*").alias("n"), F.count_if(F.expr("o_orderkey % 50 = 1")).alias("hits")).collect()}
+    assert sum(n for n, _ in sizes.values()) == len(keys) and max(n for n, _ in sizes.values()) < 700
+    assert sum(odd is True for _, odd in sizes) > 4 and all(hits for (_, odd), (_, hits) in sizes.items() if odd)
+    got = lq.q_load_upsert_files(spark, str(tmp_path)).collect()
+    want = [(k, 1.5 if k is not None and k % 50 == 1 else 2.0, k is None or k % 2 == 0) for k in keys]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    assert lq._by_range(rows, batch.limit(0)).count() == len(keys) and lq._by_range(rows.limit(0), batch).count() == 0
