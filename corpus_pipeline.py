@@ -12,6 +12,8 @@ columns of documents:
 4. ``decontamination`` drops documents in which a benchmark item is found.
 5. ``packing`` cuts what is left into sequences of 4096 ids.
 
+All stages share the executors, whose memory grows with each: Arrow batches are bounded by bytes.
+
 Nulls and empty texts are handled as the operators define; a stage that keeps nothing returns an
 empty table with its columns.
 """
@@ -22,19 +24,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dimload.llm import bradley_terry, containment, hilbert_pack, rule_ledger, setjoin
 from dimload.llm.queries import tokenizer_path
-from dimload.session import scratch_path
+from dimload.session import bound_batches, scratch_path
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return bradley_terry.keep(docs, bradley_terry.fit(docs, labels))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return rule_ledger.keep(docs, rule_ledger.VERSION)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return setjoin.keep_one(docs)
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from dimload.llm.textbatch import mix, slices
 from dimload.llm.token_store import binaries
 from dimload.llm.tokens import TOKEN_SLICE, ids_crc32, tokenizer_at, with_end
-from dimload.session import scratch_path
+from dimload.session import bound_batches, scratch_path
 
 DIMS, GRID_BITS, HASHED = 4, 12, 64
 _SUMS = [f"x{k}" for k in range(DIMS)]
@@ -166,6 +166,7 @@ _PIECE_ARROW = pa.schema(
 def pack(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 2) -> DataFrame:
     """Pieces of all ``docs`` (doc_id, text), packed along the curve; see the module's text."""
     spark = docs.sparkSession
+    bound_batches(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     path = scratch_path(spark, "hilbert-ids")
     texts.mapInArrow(_summed(tokenizer, end_id), _SUMMED).write.option("compression", "zstd").parquet(path)

@@ -18,6 +18,8 @@ import pyarrow.compute as pc
 from dimload.llm.textbatch import Words, as_string, buffers, rebuilt
 
 WORDS_A_CALL = 200
+#: Texts (or blocks of words) encoded in one call: the tokenizer's own rows, far larger than ids, are let go after each.
+TEXTS_A_CALL = 64
 #: Text bytes encoded together: distinct words are encoded once in each slice.
 TOKEN_SLICE = 2 << 20
 #: Distinct words whose ids a worker keeps; those met later are encoded again in each slice.
@@ -72,7 +74,7 @@ class WordTokenizer:
 
     def _full(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts by the tokenizer's whole path, strung together, and their bounds."""
-        done = [e.ids for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+        done = [e.ids for e in _encoded(self.tokenizer, texts.to_pylist())]
         bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, done), np.int64, len(done)))])
         return np.fromiter(chain.from_iterable(done), np.uint16, int(bounds[-1])), bounds
 
@@ -83,8 +85,7 @@ class WordTokenizer:
         cuts = np.append(np.arange(0, len(words), WORDS_A_CALL), len(words)).astype(np.int32)
         blocks = pc.binary_join(pa.ListArray.from_arrays(cuts, words), " ").to_pylist()
         blocks = [x if x.isascii() else x.encode().decode("latin-1").translate(self.chars) for x in blocks]
-        done = self.bare.encode_batch_fast(blocks, add_special_tokens=False)
-        ids = np.concatenate([np.asarray(e.ids, np.uint16) for e in done])
+        ids = np.concatenate([np.asarray(e.ids, np.uint16) for e in _encoded(self.bare, blocks)])
         ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) != len(words):
             return self._full(words)
@@ -122,6 +123,12 @@ class WordTokenizer:
         return ids, ends[words.bounds]
 
 
+def _encoded(tokenizer, texts: list[str]):
+    """The tokenizer's rows of all texts in order, a few at a time."""
+    for lo in range(0, len(texts), TEXTS_A_CALL):
+        yield from tokenizer.encode_batch_fast(texts[lo : lo + TEXTS_A_CALL], add_special_tokens=False)
+
+
 def gathered(flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ranges ``[first, first + size)`` of ``flat`` strung together, and their bounds."""
     bounds = np.concatenate([[0], np.cumsum(size)])

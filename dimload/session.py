@@ -12,6 +12,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_DEFAULTS = {
     "spark.sql.shuffle.partitions": "8",
@@ -58,6 +59,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+#: Bytes of an Arrow batch on its way to or from a Python worker: whole texts take Spark's 10,000 rows far beyond it.
+BATCH_BYTES = 4 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """End Arrow batches at ``BATCH_BYTES``: every running task holds some, in the JVM and in its Python
+    worker. A size that the session names itself stays."""
+    if spark.conf.get(_BATCH_CONF, None) is None:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+
+
 def fresh_name(columns, name: str) -> str:
     """``name``, with underscores added until no column is called so."""
     taken = {c.lower() for c in columns}
@@ -78,6 +91,21 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as Parquet files in the shared folder. Like a checkpoint it is computed once, but its readers
+    read only the columns that they use, and plans know its size. Columns that are NULL without a type are
+    left out and come back; other types that Parquet has not are checkpointed."""
+    spark = df.sparkSession
+    void = {c for c, kind in df.dtypes if kind == "void"}
+    rows = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in void])
+    if not rows.columns or any(word in kind for _, kind in rows.dtypes for word in ("void", "interval", "variant")):
+        return materialize(df)
+    path = scratch_path(spark, name)
+    rows.write.parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+    return rows.select(*[F.lit(None).alias(c) if c in void else F.col(f"`{c}`") for c in df.columns]) if void else rows
+
+
 def materialize_clustered(df: DataFrame, columns, partitions: int | None = None) -> DataFrame:
     """``df`` hash-partitioned by ``columns`` and checkpointed: rows of a key lie together."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__
@@ -106,3 +107,27 @@ def test_entry_works_without_the_subpackage(monkeypatch):
 
 def test_tokenizer_file_is_a_parameter():
     assert zlib.crc32(open(tokenizer_path(), "rb").read()) and tokenizer_path().endswith("word_bpe_49k.json")
+
+
+def test_stages_bound_arrow_batches_by_bytes(spark, sf_dir, empty):
+    conf = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(conf, None)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            if name == "decontamination":  # no Python worker
+                continue
+            spark.conf.unset(conf)
+            stage(spark, empty, sf_dir)
+            assert int(spark.conf.get(conf)) == 4 << 20, name
+        texts = spark.range(0, 5000, 1, 1).selectExpr("repeat('x', 3000) as text")
+        assert texts.mapInArrow(sizes, "n long").agg({"n": "max"}).head()[0] < 5 << 20
+        spark.conf.set(conf, "1000000")  # the session's own
+        corpus_pipeline.packing(spark, empty, sf_dir)
+        assert spark.conf.get(conf) == "1000000"
+    finally:
+        spark.conf.set(conf, before) if before else spark.conf.unset(conf)
