@@ -181,7 +181,7 @@ class ScdSteps:
 
 
 def scd_steps(dim: DataFrame, source: DataFrame, spec: ScdSpec, as_of, materialize: bool = False) -> ScdSteps:
-    """D1-D5 for one batch as lazy DataFrames. With ``materialize`` the joined rows are checkpointed,
+    """D1-D5 for one batch as lazy DataFrames. With ``materialize`` the joined rows are staged,
     so that the join of dimension and source runs once for all of them."""
     bks = list(spec.business_keys)
     dim = prepare_dimension(source, spec, dim)
@@ -213,9 +213,9 @@ def scd_steps(dim: DataFrame, source: DataFrame, spec: ScdSpec, as_of, materiali
     c1 = matched & ~c2 & any_differs([(_q(c), F.col(f"`{_S}{c}`")) for c in t1])
     j = j.select("*", c2.alias("_c2"), c1.alias("_c1"))
     if materialize:
-        from dimload.session import materialize as _mat
+        from dimload.session import staged
 
-        j = _mat(j)
+        j = staged(j, "scd-joined")
 
     # D2 + D3 on the current rows.
     t1_low = {c.lower() for c in t1}
@@ -366,18 +366,19 @@ def scd_load(
     """One SCD batch from ``(dimension, source, keys)`` to the new dimension and new keys.
 
     ``dim=None`` is a first load (D0 builds an empty dimension). With ``materialize`` (default) the
-    source is computed once and checkpointed to the shared folder, for the check of its keys, the join
-    and the rows without a key; the joined rows of dimension and source are checkpointed once and feed
+    source is computed once and staged in the shared folder, for the check of its keys, the join
+    and the rows without a key; the joined rows of dimension and source are staged once and feed
     the retired, kept and new rows, so the wide join runs once for all readers; the new versions are
-    checkpointed as well, since dense numbering reads them twice (bucket sizes, then numbers).
+    staged as well, since dense numbering reads them twice (bucket sizes, then numbers), and so are their
+    numbers, which the dimension and the new keys read. Staged as columns, each reader reads its own.
     ``materialize=False`` keeps everything lazy (one plan, for inspection). Duplicate source keys
     raise unless ``check_source_unique`` is off. ``highest`` is the largest surrogate key handed out,
     where it is known. A source that is stored already (``source_staged``) is read as it is.
     """
     if materialize:
-        from dimload.session import materialize as _mat
+        from dimload.session import staged
 
-        source = source if source_staged else _mat(source)
+        source = source if source_staged else staged(source, "scd-source")
     if check_source_unique:
         from dimload.operators.quality import assert_unique
 
@@ -388,9 +389,11 @@ def scd_load(
     sk = spec.surrogate_key
     inserted = steps.inserted
     if materialize:
-        inserted = _mat(inserted)
-        steps.inserted = inserted  # later readers (staged view, checks) reuse the checkpoint
+        inserted = staged(inserted, "scd-inserted")
+        steps.inserted = inserted  # later readers (staged view, checks) reuse it
     keyed = assign_version_keys(inserted, keys, spec, as_of, floor=steps.dim, highest=highest)
+    if materialize:
+        keyed = staged(keyed.drop("_new_sk"), "scd-keyed")
 
     dcols = steps.dim.columns
     skc = _q(sk)

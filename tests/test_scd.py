@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dimload.operators.quality import CheckFailed
 from dimload.operators.scd import ScdSpec, cluster_by_key, publish_with_keys, scd_checks, scd_load, scd_steps
+from dimload.session import staged
 
 SPEC = ScdSpec(business_keys=("id",), scd2_columns=("seg",), surrogate_key="sk")
 T1 = "2024-01-01 00:00:00"
@@ -170,3 +171,23 @@ def test_lazy_and_materialized_agree_and_match_reference_publish(spark):
     assert by_id(a.dimension) == by_id(b.dimension)
     ref = publish_with_keys(a.steps.dim, a.steps.staged, keys.unionByName(a.new_keys), SPEC)
     assert by_id(ref) == by_id(a.dimension)
+
+
+def test_new_versions_are_numbered_once(spark):
+    """The dimension and the new keys read the same staged numbers, and only the columns that they use."""
+    result = scd_load(None, src(spark, [(i, f"n{i}", "s", None) for i in range(500)]), SPEC, T1)
+    for df in (result.versions, result.new_keys):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Window [" not in plan and "FileScan parquet" in plan
+    read = result.new_keys._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
+    assert "_vkey" in read and "name:" not in read.splitlines()[0]
+    numbers = {r["id"]: r["sk"] for r in result.dimension.collect()}
+    assert sorted(numbers.values()) == list(range(1, 501))
+    assert sorted(r["sk"] for r in result.new_keys.collect()) == list(range(1, 501))
+
+
+def test_staged_types_that_parquet_has_not(spark):
+    df = spark.sql("select 1 as a, null as b, interval '1' day as c")
+    assert [tuple(r) for r in staged(df, "odd").select("a", "b").collect()] == [(1, None)]
+    plain = staged(df.select("b", "a"), "odd")
+    assert plain.dtypes == [("b", "void"), ("a", "int")] and plain.collect() == [(None, 1)]
