@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 from dimload.llm.setjoin import _CHUNK, _id_buckets, id_bucket, merged, signature, total_counts
 from dimload.llm.tables import numbered, saved
 from dimload.llm.textbatch import BLANKS, Words, byte_table, mix, slices, window_hashes, word_hashes
+from dimload.session import remove_path, scratch_path
 
 WIDTH, PERCENT = 2, 80
 BANDS, ROWS, BITS = 45, 6, 2
@@ -314,20 +315,23 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of all rows of ``docs`` (doc_id, text)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = saved(texts.mapInArrow(_signed, _SIGNED).withColumn("row", F.monotonically_increasing_id()), "minhash")
+    path = scratch_path(docs.sparkSession, "minhash")
+    signed = saved(texts.mapInArrow(_signed, _SIGNED).withColumn("row", F.monotonically_increasing_id()), "minhash", path)
     keys = ["n", "sig1", "sig2"]
-    rows = signed.select("doc_id", *keys)
+    rows = saved(signed.select("doc_id", *keys), "keys")
     # a set's number is that of one of its rows: no other set has it
     ids = signed.where("n > 0").groupBy(*keys).agg(F.min("row").alias("sid"), F.min("doc_id").alias("least"))
     sets = saved(ids, "sets")
     whole = signed.join(sets.select(F.col("sid").alias("row")), "row", "left_semi").withColumnRenamed("row", "sid")
-    band = whole.select("sid", F.explode("bands").alias("key"))
-    shared = band.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")  # most keys are alone
+    band = whole.select("sid", F.explode("bands").alias("key")).repartition("key")
+    # most keys are alone; both sides of the join read the same columns, so that the bands are shuffled once
+    shared = band.groupBy("key").agg(F.count("*").alias("m"), F.min("sid").alias("u"), F.max("sid").alias("v")).where("u < v").select("key", "m")
     h = F.shiftrightunsigned(F.xxhash64("sid"), 11)  # 53 bits, exact as a double
     placed = band.join(shared, "key").select("key", "m", "sid", h.alias("h"))
     place = F.least(F.floor(F.col("h") / F.lit(float(1 << 53)) * F.col("m")), F.col("m") - 1)
     placed = saved(placed.withColumn("place", place.cast("long")), "buckets")
     wanted = saved(whole.join(placed.select("sid").distinct(), "sid", "left_semi").select("sid", *keys, "bits"), "bucketed")
+    remove_path(docs.sparkSession, path)
     contents = saved(sets_of(texts, wanted.drop("bits")), "shingles")
     labels = wanted.select(F.col("sid").alias("node"), F.col("sid").alias("comp"))
 

@@ -2,17 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dimload.session import scratch_path
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: lineage ends there."""
+_CLEANUP = "spark.sql.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def without_leftovers(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside remove their shuffle files as they end; else those stay until the driver happens to
+    collect its garbage."""
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
+def saved(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """``df`` as a table in the shared folder (at ``path``, if given): lineage ends there, so the shuffle files
+    behind it are removed."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
+    path = path or scratch_path(spark, name)
+    with without_leftovers(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

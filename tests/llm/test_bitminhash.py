@@ -2,13 +2,15 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from dimload.llm import bitminhash, queries
+from dimload.llm import bitminhash, queries, tables
+from dimload.session import sub_folders_or_files
 
 from .conftest import HARD, LOW
 
@@ -153,3 +155,40 @@ def test_the_query_against_all_pairs(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r["doc_id"], r["text"]) for r in queries.table(spark, sf, "documents").collect()]
     assert found(queries.op13_bit_minhash(spark, sf)) == brute(rows)
+
+
+def _shuffle_files(spark):
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    files = env.blockManager().diskBlockManager().getAllFiles().iterator()
+    count = 0
+    while files.hasNext():
+        count += files.next().getName().startswith("shuffle_")
+    return count
+
+
+def test_a_saved_table_leaves_no_shuffle_files(spark):
+    conf = "spark.sql.shuffleDependency.fileCleanup.enabled"
+    before, files = spark.conf.get(conf), _shuffle_files(spark)
+    got = tables.saved(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert sorted(r["count"] for r in got.collect()) == [142, 143, 143, 143, 143, 143, 143]
+    until = time.time() + 20  # they are removed in the background
+    while _shuffle_files(spark) > files and time.time() < until:
+        time.sleep(0.1)
+    assert _shuffle_files(spark) <= files and spark.conf.get(conf) == before
+
+
+def test_signatures_go_and_bands_are_shuffled_once(spark, monkeypatch):
+    plans = {}
+
+    def saved(df, name, path=None):
+        plans[name] = df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+        out = tables.saved(df, name, path)
+        plans["path"] = path or plans.get("path")
+        return out
+
+    monkeypatch.setattr(bitminhash, "saved", saved)
+    rows = corpus(3, groups=2, copies=20)
+    assert found(bitminhash.groups(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
+    assert plans["buckets"].count("REPARTITION_BY_COL") == 2 and "hashpartitioning(key" in plans["buckets"]
+    assert plans["buckets"].count("Exchange hashpartitioning(key") == 2  # the same one, which runs once
+    assert not sub_folders_or_files(spark, plans["path"])
