@@ -131,6 +131,13 @@ def sub_folders_or_files(spark: SparkSession, path: str) -> bool:
     return fs.exists(where) and len(fs.listStatus(where)) > 0
 
 
+def local_path(spark: SparkSession, path: str) -> str | None:
+    """The plain path of a folder that lies in a ``file:`` file system, else None."""
+    fs, where = _folder(spark, path)
+    uri = fs.makeQualified(where).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a folder that a load no longer needs (staged copies, replaced partitions)."""
     fs, where = _folder(spark, path)

@@ -9,6 +9,8 @@ Values may hold line ends. Written as they are, a file can only be read by one t
 
 from __future__ import annotations
 
+import os
+import shutil
 from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,7 +19,10 @@ from pyspark.sql import types as T
 
 from dimload import constants as C
 from dimload.functions.columns import file_of_key
-from dimload.session import fresh_name, remove_path, scratch_path
+from dimload.session import fresh_name, local_path, remove_path, scratch_path
+
+#: Bytes of delimited text that a task writes of a single file.
+PART_BYTES = 64 << 20
 
 
 def mirror(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
@@ -126,29 +131,40 @@ def unload(
     """Write ``df`` as uncompressed delimited text, every text value quoted.
 
     Parallel by default (one file per partition). ``single=True`` writes one file of at most
-    ``max_bytes``, in the order of the rows; what goes beyond comes in further files, each written by a
-    task of its own. A row longer than that raises.
+    ``max_bytes``, in the order of the rows; what goes beyond comes in further files. A row longer than
+    that raises. In a ``file:`` folder, which all tasks share, a file's parts are written by tasks of their own and
+    copied to their places in it, also by tasks; elsewhere one task writes a file.
     """
     rows = df.select(*_text_columns(df.schema, _without_line_ends)) if encode_line_ends else df
     options = _format(delimiter, header, quote, escape, null_value) | {"compression": "none", "quoteAll": "true", "lineSep": "\n"}
     if not single:
         rows.write.mode("overwrite").options(**options).csv(path)
         return
-    stage = scratch_path(df.sparkSession, "unload")
+    spark = df.sparkSession
+    stage = scratch_path(spark, "unload")
     head = sum(2 * len(c.encode()) + 3 for c in df.columns) if header else 0
-    _in_files(rows, options, max_bytes - head, stage).write.mode("overwrite").options(**options).csv(path)
-    remove_path(df.sparkSession, stage)
-
-
-def _in_files(rows: DataFrame, options: dict[str, str], limit: int, stage: str) -> DataFrame:
-    """``rows`` in partitions of at most ``limit`` bytes as delimited text, by a running byte total.
-
-    Rows are staged with their sizes; the totals of the staged pieces give each piece its start, so
-    that no task sees more than a piece to add up. A file's rows begin within ``limit`` less the largest
-    row, so that the last of them ends within ``limit``.
+    local = local_path(spark, path) is not None and local_path(spark, stage) is not None
+    parts, per_file = _in_parts(rows, options, max_bytes - head, PART_BYTES if local else max_bytes, f"{stage}/rows")
+    if per_file == 1:
+        parts.write.mode("overwrite").options(**options).csv(path)
+    else:
+        parts.write.options(**options | {"header": "false"}).csv(f"{stage}/parts")
+        if header:
+            rows.limit(0).coalesce(1).write.options(**options).csv(f"{stage}/head")
+        remove_path(spark, f"{stage}/rows")
+        _join_parts(spark, stage, per_file, path)
+    remove_path(spark, stage)
+
+
+def _in_parts(rows: DataFrame, options: dict[str, str], limit: int, part_bytes: int, stage: str) -> tuple[DataFrame, int]:
+    """``rows`` in partitions, so many to a file of at most ``limit`` bytes as delimited text, by a running byte
+    total; and that number. A partition's rows begin within ``part_bytes``.
+
+    Rows are staged with their sizes. The totals add up over those sizes alone, staged piece by staged piece;
+    rows move once, to the part that the order of their piece gives them. A file's rows begin within ``limit``
+    less the largest row, so that the last of them ends within ``limit``.
     """
-    names = [fresh_name(rows.columns, n) for n in ("_size", "_at", "_piece", "_file")]
-    size, at, piece, file = names
+    size, at, piece, of, part, low, high = (fresh_name(rows.columns, n) for n in ("_size", "_at", "_piece", "_of", "_part", "_low", "_high"))
     text = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), {k: v for k, v in options.items() if k not in ("header", "compression")})
     sized = rows.withColumns({size: F.octet_length(text).cast("long") + 1, at: F.monotonically_increasing_id(), piece: F.spark_partition_id()})
     sized.write.parquet(stage)
@@ -156,13 +172,56 @@ def _in_files(rows: DataFrame, options: dict[str, str], limit: int, stage: str)
     total, largest = sized.agg(F.coalesce(F.sum(size), F.lit(0)), F.coalesce(F.max(size), F.lit(0))).head()
     if largest > limit:
         raise ValueError(f"a row takes {largest} bytes, a file {limit} at most")
-    width = total if total <= limit else limit - largest + 1
+    width = max(total if total <= limit else limit - largest + 1, 1)
+    files, per_file = max(1, -(-total // width)), -(-width // part_bytes)
     pieces = sized.groupBy(piece).agg(F.sum(size).alias("_total"))
     pieces = pieces.select(piece, (F.sum("_total").over(Window.orderBy(piece)) - F.col("_total")).alias("_before"))
     start = F.sum(size).over(Window.partitionBy(piece).orderBy(at)) - F.col(size) + F.col("_before")
-    placed = sized.join(pieces, piece).withColumn(file, F.floor(start / F.lit(max(width, 1))).cast("int"))
-    files = max(1, -(-total // max(width, 1)))
-    return placed.repartitionById(files, F.col(file)).sortWithinPartitions(at).select(*[F.col(f"`{c}`") for c in rows.columns])
+    starts = sized.select(piece, at, size).join(pieces, piece).select(piece, at, start.alias("_start"))
+    of_file, in_file = F.floor(F.col("_start") / F.lit(width)), F.floor(F.col("_start") % F.lit(width) / F.lit(part_bytes))
+    ranges = starts.groupBy(F.col(piece).alias(of), (of_file * per_file + in_file).cast("int").alias(part)).agg(F.min(at).alias(low), F.max(at).alias(high))
+    placed = sized.join(F.broadcast(ranges), (F.col(piece) == F.col(of)) & F.col(at).between(F.col(low), F.col(high)))  # ranges: as many as pieces and parts
+    parts = placed.repartitionById(files * per_file, F.col(part)).sortWithinPartitions(at)
+    return parts.select(*[F.col(f"`{c}`") for c in rows.columns]), per_file
+
+
+def _join_parts(spark: SparkSession, stage: str, per_file: int, path: str) -> None:
+    """Replace ``path`` by files of ``per_file`` of the parts in ``stage`` each. The driver sees names and sizes; a
+    task copies a part to its place, which a second attempt of it fills with the same bytes. Names that
+    readers skip are given up when all is there."""
+    head = [(f, n) for _, f, n in _part_files(f"{local_path(spark, stage)}/head")]
+    remove_path(spark, path)
+    folder = local_path(spark, path)
+    os.makedirs(folder)
+    copies, ends = [], {}
+    for number, file, n in _part_files(f"{local_path(spark, stage)}/parts"):
+        target = f"part-{number // per_file:05d}-{os.path.basename(stage)}.csv"
+        for source, length in [(file, n)] if target in ends else [*head, (file, n)]:
+            copies.append((source, f"{folder}/_{target}", ends.get(target, 0), length))
+            ends[target] = ends.get(target, 0) + length
+    for target, end in ends.items():
+        with open(f"{folder}/_{target}", "wb") as f:
+            f.truncate(end)
+    spark.sparkContext.parallelize(copies, len(copies)).foreach(_copy)
+    for target in ends:
+        os.rename(f"{folder}/_{target}", f"{folder}/{target}")
+    open(f"{folder}/_SUCCESS", "wb").close()
+
+
+def _part_files(folder: str) -> list[tuple[int, str, int]]:
+    """Number of the partition, file and size of what Spark wrote to a local folder, in the order of the rows."""
+    names = [n for n in os.listdir(folder) if n.startswith("part-")] if os.path.isdir(folder) else []
+    return sorted((int(n.split("-")[1]), f"{folder}/{n}", os.path.getsize(f"{folder}/{n}")) for n in names)
+
+
+def _copy(copy: tuple[str, str, int, int]) -> None:
+    """Copy a whole file into another one, which is there, at a byte of it."""
+    source, target, at, length = copy
+    with open(source, "rb") as a, open(target, "r+b") as b:
+        b.seek(at)
+        shutil.copyfileobj(a, b, 4 << 20)
+        if b.tell() != at + length:
+            raise OSError(f"{source} has {b.tell() - at} bytes, not {length}")
 
 
 def file_manifest(spark: SparkSession, folders: Iterable[str], substring: str | None = None, recursive: bool = True) -> DataFrame:

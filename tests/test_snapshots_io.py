@@ -120,6 +120,37 @@ def test_a_single_file_is_cut_at_its_cap(spark, tmp_out):
     assert read_delimited(spark, f"{tmp_out}/empty", "id int, name string, v double").count() == 0
 
 
+def test_a_single_file_is_written_by_many_tasks(spark, tmp_out, monkeypatch):
+    import os
+
+    from dimload.sources import io
+
+    rows = [(i, ("x" * (i % 90)) + '"/,\n' if i % 3 else None, i / 7) for i in range(3000)]
+    df = spark.createDataFrame(rows, "_piece int, name string, _of double")
+    schema = "_piece int, name string, _of double"
+
+    def unloaded(name, **kw):
+        unload(df, f"{tmp_out}/{name}", single=True, **kw)
+        names = sorted(n for n in os.listdir(f"{tmp_out}/{name}") if not n.endswith(".crc"))
+        assert names[0] == "_SUCCESS" and all(n.startswith("part-") for n in names[1:])
+        return [open(f"{tmp_out}/{name}/{n}", "rb").read() for n in names[1:]]
+
+    kinds = ({}, {"header": True}, {"encode_line_ends": True}, {"max_bytes": 20_000}, {"max_bytes": 20_000, "header": True})
+    by_one = [unloaded(f"one{k}", **kw) for k, kw in enumerate(kinds)]
+    assert [len(f) for f in by_one[:3]] == [1, 1, 1] and len(by_one[3]) > 9 and b"".join(by_one[3]) == by_one[0][0]
+    monkeypatch.setattr(io, "PART_BYTES", 2_000)
+    for k, kw in enumerate(kinds):
+        assert unloaded(f"one{k}", **kw) == by_one[k]  # in place of what was there
+        back = read_delimited(spark, f"{tmp_out}/one{k}", schema, **{x: y for x, y in kw.items() if x != "max_bytes"})
+        assert sorted((tuple(r) for r in back.collect()), key=repr) == sorted(rows, key=repr)
+    options = io._format(",", False, '"', "/", "\\N") | {"quoteAll": "true", "lineSep": "\n"}
+    parts, per_file = io._in_parts(df, options, 10**9, 2_000, f"{tmp_out}/stage")
+    sizes = [r[1] for r in parts.groupBy(F.spark_partition_id()).agg(F.sum(F.octet_length(F.to_csv(F.struct("*"), options)) + 1)).collect()]
+    assert len(sizes) == per_file > 50 and max(sizes) < 2_000 + 150 and sum(sizes) == len(by_one[0][0])
+    monkeypatch.setattr(io, "local_path", lambda *_: None)  # a file system that takes no bytes at a place
+    assert unloaded("elsewhere") == by_one[0]
+
+
 def test_encoded_line_ends_let_files_be_split(spark, tmp_out):
     hard = ["a\nb", "%0A", "%", "%25", "\r\n%", None, "", '"\n"', "/\n", "%0\nA"] * 3000
     df = spark.createDataFrame(list(enumerate(hard)), "id int, name string")
