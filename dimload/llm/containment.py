@@ -13,6 +13,11 @@ their sizes when it picks the joins: small ones are broadcast below its threshol
 shuffled. Documents' shingles meet nothing but sketches in the first pass, so they are not shuffled
 while the sketches are small.
 
+Tables and the result have at most as many files as the inputs' splits call for, however many partitions
+a shuffle has: a file costs its task a process or two (Hadoop without its native library sets modes by
+``chmod``), and many small files seem larger to Spark than their rows are. Splits are counted from the plans
+of the inputs; one that shuffles without being saved is shuffled once more for it.
+
 A null or empty text holds nothing, and an item without a word is found nowhere. Very long texts are
 read whole. Rows that repeat a doc_id (or an item_id) are one document (item) with the shingles of all
 of them. ``contaminated`` reports pairs of ids, so it passes over rows without one; ``keep`` searches
@@ -32,6 +37,8 @@ from dimload.llm.textbatch import fresh_name
 from dimload.session import scratch_path
 
 WIDTH, PERCENT = 5, 80
+#: Files of shingles and of sketches for each split of the items; splits of the documents for each file of pairs.
+FILES_A_SPLIT, SPLITS_A_FILE = 8, 8
 _BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -64,12 +71,23 @@ def slack(n: Column) -> Column:
     return n - F.ceil(n * PERCENT / 100).cast("int")
 
 
-def _saved(df: DataFrame, name: str) -> DataFrame:
+def _splits(df: DataFrame, column: str) -> int:
+    """Tasks that read ``df``."""
+    return max(1, df.select(column).rdd.getNumPartitions())
+
+
+def _saved(df: DataFrame, name: str, files: int) -> DataFrame:
+    """``df`` as a table of at most so many files."""
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.coalesce(files).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _pair_files(docs: DataFrame) -> int:
+    """Files for rows of ids found in ``docs``, far smaller than their texts."""
+    return -(-_splits(docs, "doc_id") // SPLITS_A_FILE)
+
+
 def item_shingles(items: DataFrame) -> DataFrame:
     """item_id, width, n (distinct shingles), h and gram of all shingles of all items."""
     rows = items.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), words(F.col("text")).alias("w"))
@@ -96,21 +114,24 @@ def sketches(grams: DataFrame) -> DataFrame:
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id, n_shingles, n_found and containment of all items found in ``docs``."""
     rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text")).alias("w"))
-    grams = _saved(item_shingles(items), "item-shingles")
-    sketch = _saved(sketches(grams), "sketches")
+    files = _splits(items, "item_id") * FILES_A_SPLIT
+    grams = _saved(item_shingles(items), "item-shingles", files)
+    sketch = _saved(sketches(grams), "sketches", files)
     widths = sorted(r["width"] for r in grams.select("width").distinct().collect())  # five values at most
     if not widths:
         return rows.sparkSession.createDataFrame([], "doc_id long, item_id long, n_shingles long, n_found long, containment double")
+    files = _pair_files(rows)
     hashed = all_shingles(rows, widths, lambda names: F.xxhash64(*names), "doc_id")
     hits = hashed.join(sketch, ["width", "shingle"]).select("doc_id", "item_id", "least", "shingle")
     pairs = hits.distinct().groupBy("doc_id", "item_id", "least").agg(F.count("*").alias("k")).where("k >= least").select("doc_id", "item_id")
-    pairs = _saved(pairs, "candidates")
+    pairs = _saved(pairs, "candidates", files)
     again = rows.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
     seen = all_shingles(again, widths, lambda names: F.concat_ws(" ", *names), "doc_id")
     found = seen.join(grams.select("item_id", "n", "width", F.col("gram").alias("shingle")), ["width", "shingle"])
     found = found.join(pairs, ["doc_id", "item_id"], "left_semi").select("doc_id", "item_id", "n", "width", "shingle")
     exact = found.distinct().groupBy("doc_id", "item_id", "n").agg(F.count("*").alias("n_found")).where(F.col("n_found") * 100 >= F.col("n") * PERCENT)
-    return exact.select("doc_id", "item_id", F.col("n").cast("long").alias("n_shingles"), "n_found", (F.col("n_found") / F.col("n")).alias("containment"))
+    out = exact.select("doc_id", "item_id", F.col("n").cast("long").alias("n_shingles"), "n_found", (F.col("n_found") / F.col("n")).alias("containment"))
+    return out.coalesce(files)
 
 
 def keep(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -122,5 +143,5 @@ def keep(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     rows = docs.select(key("doc_id").alias("doc_id"), "text")
     found = contaminated(rows, items.select(key("item_id").alias("item_id"), "text"))
-    found = _saved(found.select(F.col("doc_id").alias(name)).distinct(), "contaminated")
+    found = _saved(found.select(F.col("doc_id").alias(name)).distinct(), "contaminated", _pair_files(rows))
     return docs.join(found, key("doc_id") == F.col(name), "left_anti")

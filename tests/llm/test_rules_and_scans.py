@@ -287,6 +287,33 @@ def test_rows_without_an_id_are_searched_too(spark):
     assert kept == [(0, ""), (0, "a clean text of some words"), (2, "fine words here")]
 
 
+def test_files_of_containment_follow_the_inputs(spark, tmp_path, monkeypatch):
+    """Not the partitions of a shuffle: each file costs its task a process or two."""
+    run = ["first"]
+    monkeypatch.setattr(containment, "scratch_path", lambda _, name: str(tmp_path / run[0] / name))
+    items = [(i, " ".join(f"i{i}w{k}" for k in range(12))) for i in range(40)]
+    docs = [(d, f"start {items[d % 40][1]} end") for d in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(2)
+    held = {"spark.sql.shuffle.partitions": "50", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        benchmark = spark.createDataFrame(items, "item_id long, text string").coalesce(1)
+        containment.contaminated(df, benchmark).write.parquet(str(tmp_path / "first" / "result"))
+        run[0] = "second"
+        assert containment.keep(df, benchmark.where("item_id > 0")).count() == 10
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    got = spark.read.parquet(str(tmp_path / "first" / "result"))
+    assert {(r["doc_id"], r["item_id"], r["n_shingles"], r["n_found"]) for r in got.collect()} == contained(docs, items)
+    for at, others in (("first", {"candidates": 1, "result": 1}), ("second", {"candidates": 1, "contaminated": 1})):
+        files = {p.name: len([*p.glob("part-*")]) for p in (tmp_path / at).iterdir()}
+        assert files.pop("item-shingles") <= containment.FILES_A_SPLIT and files.pop("sketches") <= containment.FILES_A_SPLIT
+        assert files == others
+
+
 def test_no_python_runs_in_containment(hard, spark):
     items = spark.createDataFrame([(1, "seven eight nine ten eleven twelve")], "item_id long, text string")
     plan = containment.contaminated(hard, items)._jdf.queryExecution().toString()
