@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dimload.llm import bradley_terry, containment, hilbert_pack, rule_ledger, setjoin
 from dimload.llm.queries import tokenizer_path
-from dimload.session import bound_batches, scratch_path
+from dimload.llm.tables import without_leftovers
+from dimload.session import bound_batches, remove_path, scratch_path
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,10 +65,15 @@ ORACLE_SQL = None  # a fitted model and a tokenizer decide: tested against brute
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order, over the whole documents table."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages in order, over the whole documents table. What a stage kept is removed once the next one's is written."""
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        kept = stage(spark, docs, sf_dir)
+        with without_leftovers(spark):
+            kept.write.parquet(path)
         docs = spark.read.parquet(path)
+        if last:
+            remove_path(spark, last)
+        last = path
     return docs

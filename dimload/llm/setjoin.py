@@ -21,8 +21,12 @@ between different sets is found or is implied by others; none is lost:
   a task, sets whose first shared shingles come early enough are compared; a set takes over all answers
   of one that it links with, so that only links between components are looked for and returned. The
   rounds end when every list is used up or holds one component.
+  Pairs of blocks that would move more than a ``ROUND_SHARE``-th of all sets' bytes go in several parts, one after
+  the other, so that a round's disk stays in proportion to the input.
 * Compared pairs are verified on the whole sets. Pairs of short lists are dealt by their first set; a set
-  with many partners is split into salted groups.
+  with many partners is split into salted groups. Before texts move, a pair is dropped if bitmaps of its sets
+  show that they differ by more shingles than linked sets do: each shingle flips a bit, so that two bitmaps
+  differ by no more bits than their sets do by shingles, and no link is lost.
 
 Components come from label propagation with pointer jumping in Spark; nothing is gathered in the
 driver but the bucket counts. Shingles are 64-bit hashes; a false match would need two shingles of
@@ -46,7 +50,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimload.llm.tables import numbered, saved
+from dimload.llm.tables import numbered, saved, without_leftovers
 from dimload.llm.textbatch import BLANKS, Words, byte_table, fresh_name, mix, release_memory, slices, window_hashes, word_hashes
 
 WIDTH, PERCENT = 5, 80
@@ -58,6 +62,8 @@ LIST_ROWS = 50_000  # entries of lists of one component that a group of lists ma
 LOW = 0xFFFFFFFF  # a place holds a set's size above the entry's position
 LEAD, LATER = 256, 4096  # entries of a list compared with each other at once
 PARTNERS = 512  # of one set in one verification group
+MIN_BITS = 64  # of a set's bitmap; larger sets have as many as shingles, up to twice
+ROUND_SHARE, ROUND_BYTES = 4, 64 << 20  # a part of a round moves this share of all sets' bytes, or so many if that is more
 _TABLE = byte_table(BLANKS, lower=True)
 
 
@@ -95,6 +101,29 @@ def signature(hashes: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
+def parities(hashes: np.ndarray) -> bytes:
+    """A bitmap of a set, a power of two bits, of which each shingle flips one."""
+    size = max(MIN_BITS, 1 << max(0, len(hashes) - 1).bit_length())
+    flips = np.bincount((hashes & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    return np.packbits((flips & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(bits: bytes, size: int) -> int:
+    """The bitmap of the same set that has ``size`` bytes, not more than ``bits`` has."""
+    x, n = int.from_bytes(bits, "little"), 8 * len(bits)
+    while n > 8 * size:
+        n //= 2
+        x = (x >> n) ^ (x & ((1 << n) - 1))
+    return x
+
+
+def may_link(n_a: int, n_b: int, bits_a: bytes, bits_b: bytes) -> bool:
+    """Whether sets of these sizes can be linked though they differ by as many shingles as their bitmaps by bits."""
+    size = min(len(bits_a), len(bits_b))
+    differ = (folded(bits_a, size) ^ folded(bits_b, size)).bit_count()
+    return 100 * (n_a + n_b - differ) >= PERCENT * (n_a + n_b + differ)
+
+
 def buckets(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
@@ -124,7 +153,9 @@ def _summed_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def total_counts(rows: DataFrame) -> np.ndarray:
     """The counts of all buckets from rows of chunks; 256 rows of 32 KB come to the driver."""
     out = np.zeros((CHUNKS, (1 << BUCKET_BITS) // CHUNKS), np.int64)
-    for r in rows.select("chunk", "counts").repartition("chunk").mapInArrow(_summed_chunks, _CHUNK).collect():
+    with without_leftovers(rows.sparkSession):
+        sums = rows.select("chunk", "counts").repartition("chunk").mapInArrow(_summed_chunks, _CHUNK).collect()
+    for r in sums:
         out[r["chunk"]] += np.frombuffer(zlib.decompress(r["counts"]), "<i8")
     return out.ravel()
 
@@ -143,7 +174,7 @@ def id_bucket(ids: np.ndarray) -> np.ndarray:
 
 # --- sets and index lists --------------------------------------------------------------------------
 
-_SIGNED = "doc_id long, n int, sig1 long, sig2 long, chunk int, counts binary"
+_SIGNED = "doc_id long, n int, sig1 long, sig2 long, bits binary, chunk int, counts binary"
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,14 +187,14 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         empty = pa.nulls(len(sets))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int32()), pa.array([a for a, _ in signs], pa.int64()), pa.array([b for _, b in signs], pa.int64())]
-            + [empty.cast(pa.int32()), empty.cast(pa.binary())],
-            names=["doc_id", "n", "sig1", "sig2", "chunk", "counts"],
+            + [pa.array([parities(s) for s in sets], pa.binary()), empty.cast(pa.int32()), empty.cast(pa.binary())],
+            names=["doc_id", "n", "sig1", "sig2", "bits", "chunk", "counts"],
         )
     used, raw = _chunk_rows(counts)
     empty = pa.nulls(len(used))
     yield pa.RecordBatch.from_arrays(
-        [empty.cast(pa.int64()), empty.cast(pa.int32()), empty.cast(pa.int64()), empty.cast(pa.int64()), pa.array(used, pa.int32()), pa.array(raw, pa.binary())],
-        names=["doc_id", "n", "sig1", "sig2", "chunk", "counts"],
+        [*(empty.cast(t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())), pa.array(used, pa.int32()), pa.array(raw, pa.binary())],
+        names=["doc_id", "n", "sig1", "sig2", "bits", "chunk", "counts"],
     )
 
 
@@ -304,6 +335,20 @@ def distinct_pairs(both: np.ndarray) -> np.ndarray:
 # --- verification ----------------------------------------------------------------------------------
 
 
+def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("n_a", "n_b", "bits_a", "bits_b")]
+        kept = pa.array([may_link(*row) for row in zip(*columns, strict=True)], pa.bool_())
+        yield batch.select(["a", "b"]).filter(kept)
+
+
+def likely(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+    """The pairs (a, b) that the bitmaps of their sets (doc_id, n, bits) leave possible: all links, and few others."""
+    one = bits.groupBy("doc_id").agg(F.any_value(F.struct("n", "bits")).alias("s")).select("doc_id", "s.n", "s.bits")
+    a, b = (one.select(*(F.col(c).alias(d) for c, d in (("doc_id", x), ("n", f"n_{x}"), ("bits", f"bits_{x}")))) for x in ("a", "b"))
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(_likely, "a long, b long")
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of groups whose first row holds the set that the others are compared with."""
     mine = np.empty(0, np.uint64)
@@ -399,6 +444,15 @@ def block_pairs(blocks: DataFrame, lo: int, hi: int) -> DataFrame:
     return both.where(sizes & (F.least("x.left", "y.left") >= need)).select(F.col("x.block").alias("x"), F.col("y.block").alias("y")).distinct()
 
 
+def in_parts(pairs: DataFrame, weights: DataFrame, room: int) -> Iterator[DataFrame]:
+    """The pairs (x, y) of blocks in parts whose blocks (block, bytes) hold about ``room`` bytes; in one if all do."""
+    both = pairs.select(F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
+    moved = both.join(weights, "block").agg(F.sum("bytes")).first()[0] or 0
+    parts = max(1, -(-moved // room))
+    for part in range(parts):
+        yield pairs.where(F.pmod(F.xxhash64("x", "y"), F.lit(parts)) == part) if parts > 1 else pairs
+
+
 def _met(first: list[tuple], second: list[tuple]) -> Iterator[tuple[int, int]]:
     """Indices of pairs of (sid, n, comp, prefix, ...) that can link, by their first shared shingle."""
     sides = []
@@ -500,13 +554,15 @@ def _groups(texts: DataFrame) -> DataFrame:
     reps = sets.select(F.col("sid").alias("doc_id"), *keys)
     prefixes = texts.mapInArrow(_prefixes(levels), "doc_id long, n int, sig1 long, sig2 long, prefix binary")
     prefixes = prefixes.join(reps, ["doc_id", *keys], "left_semi")
-    entries = prefixes.mapInArrow(_entries, "token long, sid long, place long").withColumn("comp", F.col("sid"))
+    entries = prefixes.mapInArrow(_entries, "token long, sid long, place long")
     schema = "token long, rank long, sid long, place long, a long, b long"
-    listed = entries.repartition("token").sortWithinPartitions("token", F.xxhash64("sid"))
+    listed = entries.repartition("token").sortWithinPartitions("token", F.xxhash64("sid")).withColumn("comp", F.col("sid"))
     found = saved(listed.mapInArrow(_list_pairs(0, FIRST_BLOCK, True), schema), "lists")
     long_lists = found.where("token is not null").select("token", "rank", "sid", "place")
     pairs = found.where("token is null").select("a", "b").distinct()
-    labels = components(saved(verify(saved(pairs, "pairs"), texts), "links"))
+    bits = signed.where("chunk is null and doc_id is not null").select("doc_id", "n", "bits")
+    pairs = saved(likely(saved(pairs, "pairs"), bits), "likely-pairs")
+    labels = components(saved(verify(pairs, texts), "links"))
 
     def open_lists(short: bool) -> DataFrame:
         """Entries of the lists with sets of different components, and their components."""
@@ -522,6 +578,7 @@ def _groups(texts: DataFrame) -> DataFrame:
     left = left.repartition("x", "part").sortWithinPartitions("token", "rank")
     pairs = saved(left.mapInArrow(_list_pairs(FIRST_BLOCK, SMALL, False), schema).select("a", "b").distinct(), "pairs")
     if not pairs.isEmpty():
+        pairs = saved(likely(pairs, bits), "likely-pairs")
         more = saved(verify(pairs, texts), "links")
         if not more.isEmpty():
             labels = merged(labels, more)
@@ -533,17 +590,20 @@ def _groups(texts: DataFrame) -> DataFrame:
         found = texts.mapInArrow(_open_sets(zlib.compress(marks.tobytes(), 1), levels), _OPEN)
         one_each = found.groupBy(F.col("doc_id").alias("sid")).agg(F.any_value(F.struct("n", "prefix", "shingles")).alias("s"))
         blocked = saved(one_each.join(block, "sid").select("block", "sid", "s.n", "s.prefix", "s.shingles"), "blocks")
+        weights = saved(blocked.groupBy("block").agg(F.sum(F.length("prefix") + F.length("shingles")).alias("bytes")), "block-bytes")
+        room = max(ROUND_BYTES, 8 * (sets.agg(F.sum("n")).first()[0] or 0) // ROUND_SHARE)
         lo, hi, done = 0, 1, None
         while True:
             pairs = block_pairs(blocks.where(F.size("blocks") > lo).join(members.select("token").distinct(), "token", "left_semi"), lo, hi)
             pairs = saved(pairs if done is None else pairs.join(done, ["x", "y"], "left_anti"), "block-pairs")
             done = pairs if done is None else done.unionByName(pairs)
-            sides = pairs.select("x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("block")).join(blocked, "block")
-            sides = sides.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
-            sides = sides.repartition("x", "y").sortWithinPartitions("x", "y")
-            more = saved(sides.mapInArrow(_block_links, "a long, b long").distinct(), "links")
-            if not more.isEmpty():
-                labels = merged(labels, more)
+            for part in in_parts(pairs, weights, room):
+                sides = part.select("x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("block")).join(blocked, "block")
+                sides = sides.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
+                sides = sides.repartition("x", "y").sortWithinPartitions("x", "y")
+                more = saved(sides.mapInArrow(_block_links, "a long, b long").distinct(), "links")
+                if not more.isEmpty():
+                    labels = merged(labels, more)
             lo, hi = hi, hi * BLOCK_GROWTH
             members = saved(open_lists(False).join(blocks.where(F.size("blocks") > lo).select("token"), "token").select("token", "sid", "place"), "open-lists")
             if members.isEmpty():

@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 from dimload.session import scratch_path
 
 
-_CLEANUP = "spark.sql.shuffleDependency.fileCleanup.enabled"
+#: Since Spark 4.1 the name without "classic" is one of Spark Connect alone and does nothing here.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextmanager
 def without_leftovers(spark: SparkSession) -> Iterator[None]:
     """Queries run inside remove their shuffle files as they end; else those stay until the driver happens to
     collect its garbage."""
-    before = spark.conf.get(_CLEANUP)
+    before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
         yield

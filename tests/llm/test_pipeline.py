@@ -11,6 +11,8 @@ import pytest
 import __spark_entry__
 import corpus_pipeline
 from dimload.llm import bradley_terry, rule_ledger
+from dimload.llm.tables import without_leftovers
+from dimload.session import ensure_checkpoint_dir, sub_folders
 
 from .conftest import HARD, SCHEMA, tokenizer_path, whole_ids
 from .test_rules_and_scans import contained, failed, measures
@@ -131,3 +133,19 @@ def test_stages_bound_arrow_batches_by_bytes(spark, sf_dir, empty):
         assert spark.conf.get(conf) == "1000000"
     finally:
         spark.conf.set(conf, before) if before else spark.conf.unset(conf)
+
+
+def test_a_stage_is_removed_once_the_next_is_written(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(f"try{k}", lambda spark, docs, sf_dir: docs.repartition("doc_id")) for k in range(3)])
+    rows = sorted(map(str, corpus_pipeline.run(spark, sf_dir).collect()))
+    assert rows == sorted(map(str, spark.read.parquet(f"{sf_dir}/documents.parquet").collect()))
+    left = sub_folders(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged")
+    assert [name[:10] for name in left if name.startswith("stage-try")] == ["stage-try2"]
+
+
+def test_the_setting_that_removes_shuffle_files_is_one_that_spark_obeys(spark):
+    conf = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(conf)
+    with without_leftovers(spark):
+        assert spark.conf.get(conf) == "true"
+    assert spark.conf.get(conf) == before

@@ -159,3 +159,54 @@ def test_components_of_a_long_chain(spark):
     links = spark.range(1, n).selectExpr("id as a", "id + 1 as b")
     got = {r["node"]: r["comp"] for r in setjoin.components(links).collect()}
     assert got == {i: 1 for i in range(1, n + 1)}
+
+
+def test_bitmaps_rule_out_no_link():
+    """Whatever their sizes, linked sets stay and most others go; the smaller of two sizes of bitmaps counts."""
+    rng, kept, others = np.random.default_rng(5), 0, 0
+    for n in (1, 2, 5, 30, 63, 64, 65, 120, 200, 500, 3000):
+        for share in (0.0, 0.3, 0.5, 0.78, 0.8, 0.82, 0.9, 1.0):
+            for m in {n, max(1, int(0.85 * n)), int(1.2 * n) + 1}:
+                both = rng.integers(0, 1 << 63, n + m, dtype=np.uint64)
+                same = int(share * (n + m) / (1 + share))
+                a, b = both[:n], np.r_[both[: min(same, n, m)], both[n : n + m - min(same, n, m)]]
+                may = setjoin.may_link(len(a), len(b), setjoin.parities(a), setjoin.parities(b))
+                assert may == setjoin.may_link(len(b), len(a), setjoin.parities(b), setjoin.parities(a))
+                if setjoin.linked(len(np.intersect1d(a, b)), len(a), len(b)):
+                    assert may
+                    kept += 1
+                elif share <= 0.5 and n >= 30:
+                    assert not may
+                    others += 1
+    assert kept > 50 and others > 50
+
+
+def test_texts_move_for_likely_pairs_only(spark, monkeypatch):
+    """Sets that share their rarest shingles only are candidates, but are dropped before their texts move."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(40):
+        shared = [f"s{i // 2}x{k}" for k in range(12)]
+        own = [f"o{rng.randrange(10**9)}" for _ in range(40)] if i < 30 else [f"z{i // 2}y{k}" for k in range(40)]
+        rows.append((i + 1, " ".join([*shared, *own, f"e{i}"])))
+    seen, verify = [], setjoin.verify
+    monkeypatch.setattr(setjoin, "verify", lambda pairs, texts: seen.append({tuple(r) for r in pairs.collect()}) or verify(pairs, texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert found(setjoin.groups(df)) == brute(rows)
+    assert {tuple(sorted(p)) for p in set().union(*seen)} == {(i, i + 1) for i in range(31, 41, 2)}
+
+
+def test_a_round_moves_blocks_in_parts(spark, monkeypatch):
+    """Every pair of blocks comes in one part, and a part moves about as many bytes as there is room for."""
+    weights = {x: 10 + x for x in range(60)}
+    both = [(x, y) for x in weights for y in weights if x <= y]
+    pairs = spark.createDataFrame(both, "x long, y long")
+    parts = [[tuple(r) for r in part.collect()] for part in setjoin.in_parts(pairs, spark.createDataFrame(list(weights.items()), "block long, bytes long"), 20_000)]
+    assert sorted(p for part in parts for p in part) == both
+    moved = [sum(weights[x] + (weights[y] if x != y else 0) for x, y in part) for part in parts]
+    assert len(parts) == -(-sum(moved) // 20_000) > 3 and max(moved) < 30_000
+    for name, value in (("FIRST_BLOCK", 2), ("BLOCK_GROWTH", 2), ("SMALL", 2), ("BLOCK", 3), ("ROUND_BYTES", 1500), ("ROUND_SHARE", 10**9)):
+        monkeypatch.setattr(setjoin, name, value)
+    rows = corpus(3, groups=4, copies=40)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert found(setjoin.groups(df)) == brute(rows)
