@@ -57,7 +57,7 @@ def split(rng: np.random.Generator, targets: np.ndarray, draws: int) -> np.ndarr
     """Of each target's open slots, how many fall to the ``draws`` rows of one half."""
     ends = np.cumsum(targets)
     out = np.zeros_like(targets)
-    todo = [(0, len(targets), draws)]  # runs of targets, halved until numpy can draw a run at once
+    todo = [(0, len(targets), draws)] if len(targets) else []  # runs of targets, halved until numpy can draw a run at once
     while todo:
         lo, hi, draws = todo.pop()
         before = int(ends[lo - 1]) if lo else 0

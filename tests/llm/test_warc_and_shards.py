@@ -190,3 +190,8 @@ def test_hard_rows_keep_their_columns(spark, hard, empty):
     assert hypergeometric.shuffle_into_shards(empty).collect() == []
     few = hypergeometric.shuffle_into_shards(spark.range(3), shards=16).collect()
     assert sorted(r["shard"] for r in few) == [0, 1, 2]
+
+
+def test_matrix_without_rows():
+    room = np.zeros(0, np.int64)
+    assert hypergeometric.matrix_row(np.array([0, 0]), room, 1, 0).tolist() == []
